@@ -45,7 +45,7 @@ def safe_int(col) -> Column:
 def parse_date_multi(col, formats: Sequence[str] = STAGING_DATE_FORMATS) -> Column:
     """First format that parses wins; invalid dates (2023-02-30) give NULL."""
     c = _c(col)
-    return F.coalesce(*[F.try_to_date(c, F.lit(fmt)) for fmt in formats])
+    return F.coalesce(*[F.try_to_date(c, fmt) for fmt in formats])
 
 
 def unicode_trim(col) -> Column:
