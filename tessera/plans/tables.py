@@ -14,7 +14,7 @@ from tessera.operators.topk import latest_partitions
 from tessera.session import shared_dir
 from tessera.sinks.files import (CSV_NULL, replace_partitions, write_csv,
                                  write_json, write_parquet)
-from tessera.sources.files import read_csv
+from tessera.sources.files import read_csv, read_json
 from tessera.sources.memory import lookup
 from tessera.sources.tables import read_day, read_parquet, table
 from tessera.functions.timefn import partition_day as day_of
@@ -115,7 +115,7 @@ def json_sink_roundtrip(spark, sf_dir, ds=RUN_DATE, run_id="run-1"):
         {"dt": F.lit(ds), "run_id": F.lit(run_id)})
     out = shared_dir(spark, "documents_json")
     write_json(d, out, partition_by=["dt", "run_id"])
-    back = spark.read.schema(table(spark, sf_dir, "documents").schema).json(out)
+    back = read_json(spark, out, table(spark, sf_dir, "documents").schema)
     return back.select("doc_id", "text", "lang", "source", "n_chars")
 
 

@@ -11,6 +11,9 @@ from pyspark.sql import functions as F
 
 # Marker for NULL in CSV so that NULL and '' survive a round trip.
 CSV_NULL = "\\N"
+# Timestamps in text formats keep microseconds (the default drops them).
+TS_FORMATS = {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+              "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
 
 
 def write_parquet(df: DataFrame, path: str, mode: str = "overwrite",
@@ -41,7 +44,7 @@ def write_csv(df: DataFrame, path: str, header: bool = True, sep: str = ",",
               null_value: str | None = None) -> str:
     """CSV export with doubled-quote escaping; atomic columns only."""
     w = (df.write.mode("overwrite").option("header", header).option("sep", sep)
-         .option("quote", '"').option("escape", '"'))
+         .option("quote", '"').option("escape", '"').options(**TS_FORMATS))
     if null_value is not None:
         w = w.option("nullValue", null_value).option("emptyValue", '""')
     w.csv(path)
@@ -51,7 +54,7 @@ def write_csv(df: DataFrame, path: str, header: bool = True, sep: str = ",",
 def write_json(df: DataFrame, path: str, partition_by: Sequence[str] = (),
                mode: str = "overwrite") -> str:
     """JSON-lines documents, optionally under dated/run-keyed folders."""
-    w = df.write.mode(mode)
+    w = df.write.mode(mode).options(**TS_FORMATS)
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.json(path)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tessera.functions.text import strip_cr
-from tessera.sinks.files import CSV_NULL
+from tessera.sinks.files import CSV_NULL, TS_FORMATS
 
 CORRUPT = "_corrupt_record"
 
@@ -22,7 +22,7 @@ def read_csv(spark: SparkSession, path: str, schema: StructType,
              header: bool = True, null_value: str | None = None) -> DataFrame:
     r = (spark.read.schema(schema).option("header", header)
          .option("quote", '"').option("escape", '"').option("multiLine", True)
-         .option("mode", "FAILFAST"))
+         .option("mode", "FAILFAST").options(**TS_FORMATS))
     if null_value is not None:
         r = r.option("nullValue", null_value)
     return r.csv(path)
@@ -33,10 +33,15 @@ def read_documents(spark: SparkSession, path: str, schema: StructType) -> DataFr
     text in ``_corrupt_record`` instead of failing the job."""
     if CORRUPT not in schema.fieldNames():
         schema = StructType(list(schema.fields)).add(CORRUPT, "string")
-    return (spark.read.schema(schema).option("mode", "PERMISSIVE")
+    return (spark.read.schema(schema).option("mode", "PERMISSIVE").options(**TS_FORMATS)
             .option("columnNameOfCorruptRecord", CORRUPT).json(path))
 
 
+def read_json(spark: SparkSession, path: str, schema) -> DataFrame:
+    """JSON lines written by ``write_json`` (microsecond timestamps)."""
+    return spark.read.schema(schema).options(**TS_FORMATS).json(path)
+
+
 def register_external(spark: SparkSession, name: str, path: str,
                       partitioned: bool = False) -> DataFrame:
     """Create-or-replace an unmanaged Parquet table over existing files.

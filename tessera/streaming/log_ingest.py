@@ -13,17 +13,18 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from tessera.functions.envelope import decode_envelope
+from tessera.sinks.files import TS_FORMATS
 from tessera.sources.landing import ENVELOPE_SCHEMA
 
 
 def ingest_logs(spark: SparkSession, landing: str, out: str, checkpoint: str,
                 schema=ENVELOPE_SCHEMA, available_now: bool = True):
-    stream = spark.readStream.schema(schema).json(landing)
+    stream = spark.readStream.schema(schema).options(**TS_FORMATS).json(landing)
     decoded = decode_envelope(stream)
     good = decoded.where(F.col("reject_reason").isNull()).select(
         "event_id", "publish_time", "payload",
         F.to_date("publish_time").alias("dt"))
-    w = (good.writeStream.format("json").outputMode("append")
+    w = (good.writeStream.format("json").outputMode("append").options(**TS_FORMATS)
          .partitionBy("dt").option("path", out)
          .option("checkpointLocation", checkpoint))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
