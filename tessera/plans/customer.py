@@ -60,7 +60,7 @@ def _daily_summaries(spark, sf_dir) -> str:
         F.sum(F.col("amount").cast("decimal(18,2)")).cast("double").alias("amount_sum"),
         F.count("amount").alias("amount_n")))
     out = shared_dir(spark, "customer_daily")
-    replace_partitions(daily, out, ["dt"])
+    replace_partitions(daily, out, ["dt"], within=["customer_id"])
     return out
 
 

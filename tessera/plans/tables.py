@@ -79,7 +79,7 @@ def csv_export_roundtrip(spark, sf_dir, ds=RUN_DATE):
 def _events_by_day(spark, sf_dir) -> str:
     ev = table(spark, sf_dir, "events").withColumn("dt", day_of("ts"))
     out = shared_dir(spark, "events_by_day")
-    write_parquet(ev, out, partition_by=["dt"])
+    write_parquet(ev, out, partition_by=["dt"], within=["event_id"])
     return out
 
 
@@ -93,7 +93,7 @@ def partition_replace(spark, sf_dir, ds=DAY):
     day = read_day(spark, root, ds).withColumn("value", F.col("value") * 2)
     staged = shared_dir(spark, "events_day_rerun")
     write_parquet(day, staged)  # cut lineage: the rerun reads its own input folder
-    replace_partitions(read_parquet(spark, staged), root, ["dt"])
+    replace_partitions(read_parquet(spark, staged), root, ["dt"], within=["event_id"])
     return read_parquet(spark, root)
 
 

@@ -25,6 +25,8 @@ SESSION_DEFAULTS = {
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # File listing of many partition folders: bounded task count per listing job.
+    "spark.sql.sources.parallelPartitionDiscovery.parallelism": "64",
 }
 
 

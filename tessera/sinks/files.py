@@ -16,19 +16,39 @@ TS_FORMATS = {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
               "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
 
 
+def layout_for_partitions(df: DataFrame, partition_by: Sequence[str],
+                          within: Sequence[str] = ()) -> DataFrame:
+    """Range-cluster rows on (partition columns, ``within``) before a
+    partitioned write: each task then holds few partition values (few, larger
+    files per folder instead of tasks x folders small files), and a hot
+    partition value still spreads over several tasks because range bounds
+    can fall inside it (``within`` breaks the ties)."""
+    cols = list(partition_by) + [c for c in within if c not in partition_by]
+    if not cols:
+        return df
+    # A fixed task count: AQE would coalesce small inputs into one task that
+    # then writes every partition folder serially.
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartitionByRange(n, *cols)
+
+
 def write_parquet(df: DataFrame, path: str, mode: str = "overwrite",
-                  partition_by: Sequence[str] = ()) -> str:
-    w = df.write.mode(mode)
+                  partition_by: Sequence[str] = (), within: Sequence[str] = ()) -> str:
+    w = df
+    if partition_by:
+        w = layout_for_partitions(df, partition_by, within)
+    w = w.write.mode(mode)
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)
     return path
 
 
-def replace_partitions(df: DataFrame, path: str, partition_by: Sequence[str]) -> str:
+def replace_partitions(df: DataFrame, path: str, partition_by: Sequence[str],
+                       within: Sequence[str] = ()) -> str:
     """Overwrite only the partitions present in ``df`` (dynamic overwrite), so a
     daily re-run replaces its own day and keeps every other day."""
-    (df.write.mode("overwrite")
+    (layout_for_partitions(df, partition_by, within).write.mode("overwrite")
        .option("partitionOverwriteMode", "dynamic")
        .partitionBy(*partition_by).parquet(path))
     return path
