@@ -28,8 +28,10 @@ def _c(col) -> Column:
 
 
 def salt_bits(col) -> Column:
-    """Unsigned 32-bit hash of the string form (md5 prefix); engine-portable."""
-    return F.conv(F.substring(F.md5(_c(col).cast("string")), 1, 8), 16, 10).cast("bigint")
+    """Unsigned 32-bit hash of the string form (md5 prefix); engine-portable.
+    NULL hashes to 0 so rows with a NULL salt stay in part 0 of their key."""
+    h = F.conv(F.substring(F.md5(_c(col).cast("string")), 1, 8), 16, 10).cast("bigint")
+    return F.coalesce(h, F.lit(0).cast("bigint"))
 
 
 def combine_globally(df: DataFrame, value: str, out: str = "total", zero=0) -> DataFrame:

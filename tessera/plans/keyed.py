@@ -66,7 +66,7 @@ QUERIES = {
 
 
 def _salt_sql(x: str) -> str:
-    return f"CAST('0x' || substr(md5(CAST({x} AS VARCHAR)), 1, 8) AS BIGINT)"
+    return f"COALESCE(CAST('0x' || substr(md5(CAST({x} AS VARCHAR)), 1, 8) AS BIGINT), 0)"
 
 
 def _parts_sql(n: str) -> str:
