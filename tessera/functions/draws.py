@@ -18,10 +18,19 @@ def _c(col) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
 
+def digest(seed, salt: str) -> Column:
+    """Hex md5 of ``salt:seed``: the source of four draws."""
+    return F.md5(F.concat(F.lit(f"{salt}:"), _c(seed).cast("string")))
+
+
+def draw_from(hexdigest, slot: int) -> Column:
+    """Unsigned 32-bit draw number ``slot`` (0-3) of a digest column."""
+    return F.conv(F.substring(_c(hexdigest), 1 + 8 * slot, 8), 16, 10).cast("bigint")
+
+
 def draw(seed, salt: str, slot: int = 0) -> Column:
     """Unsigned 32-bit draw number ``slot`` (0-3) for ``seed``."""
-    h = F.md5(F.concat(F.lit(f"{salt}:"), _c(seed).cast("string")))
-    return F.conv(F.substring(h, 1 + 8 * slot, 8), 16, 10).cast("bigint")
+    return draw_from(digest(seed, salt), slot)
 
 
 def weighted_pick(u: Column, choices: Sequence[tuple[str, int]]) -> Column:

@@ -65,9 +65,20 @@ def revenue_returns_summary(df: DataFrame, amount: str = "amount",
 def top_groups_by_sum(df: DataFrame, key: str, amount: str, k: int = 5,
                       positive_only: bool = True,
                       out: str = "revenue") -> DataFrame:
-    """Top-k groups by summed amount (positive amounts only by default)."""
-    src = df.where(F.col(amount) > 0) if positive_only else df
-    agg = src.groupBy(key).agg(money_sum(amount).alias(out))
+    """Top-k groups by summed amount (positive amounts only by default).
+
+    The sign test is a conditional aggregate (SUM(x) FILTER (WHERE x > 0))
+    rather than a WHERE: a WHERE would be pushed below the projection that
+    derives ``amount`` and evaluate that derivation twice per row. Groups
+    without a positive amount get a NULL sum and are dropped, exactly as the
+    WHERE would drop them.
+    """
+    a = F.col(amount)
+    if positive_only:
+        agg = df.groupBy(key).agg(money_sum(F.when(a > 0, a)).alias(out)).where(
+            F.col(out).isNotNull())
+    else:
+        agg = df.groupBy(key).agg(money_sum(a).alias(out))
     return agg.orderBy(F.desc(out), F.asc(key)).limit(k)
 
 

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions.cleansing import signed_amount
-from tessera.functions.draws import (draw, sql_draw, sql_weighted_index,
+from tessera.functions.draws import (digest, draw_from, sql_draw, sql_weighted_index,
                                      sql_weighted_pick, weighted_index,
                                      weighted_pick)
 from tessera.functions.timefn import day_name, hour_of_day, is_weekend
@@ -61,15 +61,23 @@ def _amount_cents(cat, seg, u_base, u_mult):
 
 
 def synth_transactions(orders: DataFrame) -> DataFrame:
+    # Three digests per row, computed once (md5 is not cheap, so Catalyst
+    # keeps this projection separate instead of inlining it per draw).
+    hashed = orders.select(
+        "o_orderkey", "o_custkey", "o_orderdate",
+        digest("o_custkey", "segment").alias("_h_seg"),
+        digest("o_orderkey", "txn").alias("_h1"),
+        digest("o_orderkey", "txn2").alias("_h2"))
     k, c = F.col("o_orderkey"), F.col("o_custkey")
-    seg = weighted_pick(draw(c, "segment") % 100, SEGMENTS)
-    hour = weighted_index(draw(k, "txn", 0) % sum(HOUR_WEIGHTS), HOUR_WEIGHTS)
-    ms = draw(k, "txn", 1)
-    cat = weighted_pick(draw(k, "txn", 2) % 100, CATEGORIES)
-    pay = weighted_pick(draw(k, "txn2", 1) % 100, PAYMENTS)
+    h1, h2 = F.col("_h1"), F.col("_h2")
+    seg = weighted_pick(draw_from("_h_seg", 0) % 100, SEGMENTS)
+    hour = weighted_index(draw_from(h1, 0) % sum(HOUR_WEIGHTS), HOUR_WEIGHTS)
+    ms = draw_from(h1, 1)
+    cat = weighted_pick(draw_from(h1, 2) % 100, CATEGORIES)
+    pay = weighted_pick(draw_from(h2, 1) % 100, PAYMENTS)
     store = F.element_at(F.array(*[F.lit(s) for s in STORES]),
-                         (draw(k, "txn2", 2) % len(STORES) + 1).cast("int"))
-    x = draw(k, "txn2", 3)
+                         (draw_from(h2, 2) % len(STORES) + 1).cast("int"))
+    x = draw_from(h2, 3)
     discount = F.when(x % 100 < DISCOUNT_PCT,
                       F.element_at(F.array(*[F.lit(d) for d in DISCOUNTS]),
                                    (F.floor(x / 100) % len(DISCOUNTS) + 1).cast("int"))
@@ -78,7 +86,7 @@ def synth_transactions(orders: DataFrame) -> DataFrame:
     d = F.to_date("o_orderdate")
     ts = F.make_timestamp_ntz(F.year(d), F.month(d), F.dayofmonth(d), hour,
                               (ms % 60).cast("int"), (F.floor(ms / 60) % 60).cast("int"))
-    base = orders.select(
+    base = hashed.select(
         F.concat(F.lit("TXN-"), k.cast("string")).alias("transaction_id"),
         F.concat(F.lit("CUST_"), c.cast("string")).alias("customer_id"),
         ts.alias("timestamp"),
@@ -86,7 +94,7 @@ def synth_transactions(orders: DataFrame) -> DataFrame:
         store.alias("store_location"), seg.alias("customer_segment"),
         discount.alias("discount_applied"), is_return.alias("is_return"),
         F.lit(CURRENCY).alias("currency"),
-        draw(k, "txn", 3).alias("_u_base"), draw(k, "txn2", 0).alias("_u_mult"),
+        draw_from(h1, 3).alias("_u_base"), draw_from(h2, 0).alias("_u_mult"),
     )
     cents = _amount_cents(F.col("category"), F.col("customer_segment"),
                           F.col("_u_base"), F.col("_u_mult"))
