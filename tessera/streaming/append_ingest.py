@@ -36,11 +36,13 @@ def _write_batch(out: str, rejects: str):
 
 
 def ingest_append(spark: SparkSession, landing: str, out: str, rejects: str,
-                  checkpoint: str, schema=API_DOC_SCHEMA, available_now: bool = True):
+                  checkpoint: str, schema=API_DOC_SCHEMA, available_now: bool = True,
+                  max_files_per_batch: int = 1000):
     full = schema
     if CORRUPT not in schema.fieldNames():
         full = StructType(list(schema.fields)).add(CORRUPT, "string")
     stream = (spark.readStream.schema(full).option("mode", "PERMISSIVE")
+              .option("maxFilesPerTrigger", max_files_per_batch)
               .option("columnNameOfCorruptRecord", CORRUPT).json(landing))
     w = (stream.writeStream.foreachBatch(_write_batch(out, rejects))
          .option("checkpointLocation", checkpoint))

@@ -18,8 +18,12 @@ from tessera.sources.landing import ENVELOPE_SCHEMA
 
 
 def ingest_logs(spark: SparkSession, landing: str, out: str, checkpoint: str,
-                schema=ENVELOPE_SCHEMA, available_now: bool = True):
-    stream = spark.readStream.schema(schema).options(**TS_FORMATS).json(landing)
+                schema=ENVELOPE_SCHEMA, available_now: bool = True,
+                max_files_per_batch: int = 1000):
+    # Bounded micro-batches: a large backlog is split into several batches
+    # (availableNow honours the limit) instead of one batch over every file.
+    stream = (spark.readStream.schema(schema).options(**TS_FORMATS)
+              .option("maxFilesPerTrigger", max_files_per_batch).json(landing))
     decoded = decode_envelope(stream)
     good = decoded.where(F.col("reject_reason").isNull()).select(
         "event_id", "publish_time", "payload",
