@@ -17,8 +17,10 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.functions import pandas_udf
 
 CHUNK_ROWS = 100_000
 
@@ -92,3 +94,29 @@ def cogroup(inputs: Mapping[str, DataFrame], key: str = "key", value: str = "val
                                                  F.struct(F.col(f"__v_{t}").alias("v")))))
         aggs.append(F.transform(lst, lambda x: x["v"]).alias(t))
     return tagged.groupBy(F.col("__key").alias(key), "part").agg(*aggs)
+
+
+def combine_per_key_with(df: DataFrame, key: str, value: str, fn, out: str = "total",
+                         return_type: str = "double") -> DataFrame:
+    """CombinePerKey with a user combiner ``fn(pandas.Series) -> scalar``.
+
+    ``fn`` must be associative and commutative (like sum, min, max). It runs
+    twice, like a combiner: first inside every map task on each Arrow batch
+    (``mapInPandas``, no shuffle), then once per key over the partial results.
+    A hot key therefore reaches its final group as one partial value per
+    batch, never as all of its rows.
+    """
+    schema = f"{key} {df.schema[key].dataType.simpleString()}, __p {return_type}"
+
+    def partial(batches):
+        for b in batches:
+            if len(b):
+                g = b.groupby(key, dropna=False, sort=False)[value].agg(fn)
+                yield pd.DataFrame({key: g.index, "__p": g.values})
+
+    @pandas_udf(return_type)
+    def final(s: pd.Series) -> float:
+        return fn(s)
+
+    partials = df.select(key, value).mapInPandas(partial, schema)
+    return partials.groupBy(key).agg(final(F.col("__p")).alias(out))

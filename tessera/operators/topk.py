@@ -30,13 +30,16 @@ def sort_report(df: DataFrame, *cols) -> DataFrame:
 
 
 def latest_partitions(df: DataFrame, partition_col: str, k: int,
-                      order: Sequence = (), tiebreak: Sequence = ()) -> DataFrame:
+                      order: Sequence = (), tiebreak: Sequence = (),
+                      max_scan_bytes: int | None = None) -> DataFrame:
     """Latest ``k`` rows by partition value, reading only needed partitions.
 
     Sort + limit alone does not prune partitions, so first count rows per
     partition value (a scan of the partition column only; one row per
     partition reaches the driver), keep the newest partitions that hold
     ``k`` rows, and filter on them so the scan prunes every other folder.
+    With ``max_scan_bytes`` the pruned scan is refused when its files exceed
+    the budget (checked before the rows are read).
     """
     counts = (df.groupBy(partition_col).agg(F.count(F.lit(1)).alias("n"))
                 .orderBy(F.desc(partition_col)).collect())
@@ -49,6 +52,15 @@ def latest_partitions(df: DataFrame, partition_col: str, k: int,
     if cutoff is None:
         return df.limit(0)
     pruned = df.where(F.col(partition_col) >= F.lit(cutoff))
+    if max_scan_bytes is not None:
+        from tessera.operators.quality import require_scan_under
+        require_scan_under(pruned, max_scan_bytes)
     spec = [F.col(partition_col).desc()] + [_desc(c) for c in order]
     spec += [F.col(c).asc() if isinstance(c, str) else c for c in tiebreak]
     return pruned.orderBy(*spec).limit(k)
+
+
+def sort_for_storage(df: DataFrame, *cols) -> DataFrame:
+    """Order rows inside each partition only (no global range shuffle): the
+    layout that Parquet min/max statistics need for later pruning."""
+    return df.sortWithinPartitions(*cols)

@@ -8,8 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 from tessera.operators.policy import location_violations
-from tessera.operators.quality import (require_nonempty, require_scan_under,
-                                       scanned_bytes)
+from tessera.operators.quality import require_nonempty, scanned_bytes
 from tessera.operators.topk import latest_partitions
 from tessera.session import shared_dir
 from tessera.sinks.files import (CSV_NULL, replace_partitions, write_csv,
@@ -100,9 +99,8 @@ def partition_replace(spark, sf_dir, ds=DAY):
 def latest_partition_topk(spark, sf_dir, k=5):
     root = _events_by_day(spark, sf_dir)
     logs = read_parquet(spark, root)
-    top = latest_partitions(logs, "dt", k, order=["ts"], tiebreak=["event_id"])
-    require_scan_under(top, SCAN_CAP)
-    return top
+    return latest_partitions(logs, "dt", k, order=["ts"], tiebreak=["event_id"],
+                             max_scan_bytes=SCAN_CAP)
 
 
 def scan_bytes(spark, sf_dir, ds=DAY):

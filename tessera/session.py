@@ -49,7 +49,13 @@ def build_session(master: str | None = None, app: str = "tessera",
 
 def checkpoint_root(spark: SparkSession) -> str:
     """The cluster's shared checkpoint folder; set one only when unset."""
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - e.g. a remote (Connect) session
+        configured = spark.conf.get("spark.checkpoint.dir", None)
+        if not configured:
+            raise RuntimeError("spark.checkpoint.dir is not set for this session")
+        return configured
     current = sc.getCheckpointDir()
     if current:
         return current

@@ -32,3 +32,11 @@ def read_day(spark: SparkSession, root: str, ds: str,
     """One day of a ``dt=``-partitioned dataset; the filter prunes folders."""
     return (spark.read.parquet(root)
             .where(F.col(partition_col) == F.lit(ds).cast("date")))
+
+
+def read_events_stream(spark: SparkSession, path: str, schema, fmt: str = "json",
+                       max_files_per_batch: int = 1000) -> DataFrame:
+    """A stream of landed event files with a fixed schema (any other Spark
+    streaming source can stand in for it unchanged)."""
+    return (spark.readStream.schema(schema).format(fmt)
+            .option("maxFilesPerTrigger", max_files_per_batch).load(path))
