@@ -47,7 +47,7 @@ def split_valid(df: DataFrame, reason: str = "reject_reason") -> tuple[DataFrame
 
 def items_count(col: str = "items") -> Column:
     """``len(doc.get('items', []))``: a missing list counts 0."""
-    return F.coalesce(F.size(F.col(col)), F.lit(0))
+    return F.coalesce(F.size(F.col(col)), F.lit(0)).cast("bigint")
 
 
 def pretty_json(col) -> Column:

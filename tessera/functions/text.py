@@ -16,7 +16,7 @@ def _c(col) -> Column:
 
 def word_count(col) -> Column:
     """len(line.split()) as a JVM expression; NULL line -> NULL."""
-    return F.size(F.regexp_extract_all(_c(col), F.lit(WORD_PATTERN), 1))
+    return F.size(F.regexp_extract_all(_c(col), F.lit(WORD_PATTERN), 1)).cast("bigint")
 
 
 def strip_cr(col) -> Column:

@@ -19,7 +19,7 @@ LINES_SQL = r"""
 lines AS (
 SELECT doc_id, line_no, regexp_replace(line, '\r$', '') AS line
 FROM (SELECT doc_id,
-             generate_subscripts(string_split(text, chr(10)), 1) - 1 AS line_no,
+             CAST(generate_subscripts(string_split(text, chr(10)), 1) - 1 AS INTEGER) AS line_no,
              unnest(string_split(text, chr(10))) AS line
       FROM documents))
 """

@@ -148,7 +148,7 @@ transactions AS (
   SELECT transaction_id, customer_id, timestamp,
          CASE WHEN is_return THEN -abs(CAST(amount_cents AS DOUBLE) / 100.0) ELSE CAST(amount_cents AS DOUBLE) / 100.0 END AS amount,
          category, payment_method, store_location, customer_segment, discount_applied,
-         is_return, currency, hour(timestamp) AS hour_of_day, dayname(timestamp) AS day_of_week,
+         is_return, currency, CAST(hour(timestamp) AS INTEGER) AS hour_of_day, dayname(timestamp) AS day_of_week,
          isodow(timestamp) >= 6 AS is_weekend
   FROM cents)
 """
