@@ -7,6 +7,8 @@ o_orderpriority, amount = o_totalprice, day = o_orderdate.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import (DoubleType, LongType, StructField, StructType)
@@ -64,10 +66,15 @@ def _daily_summaries(spark, sf_dir) -> str:
     return out
 
 
+def _table_name() -> str:
+    # One catalog name per run, so concurrent runs never replace each other.
+    return f"customer_daily_summary_{uuid.uuid4().hex[:8]}"
+
+
 def external_table_roundtrip(spark, sf_dir):
     """Dated output -> unmanaged external table -> per-day row counts."""
     path = _daily_summaries(spark, sf_dir)
-    ext = register_external(spark, "customer_daily_summary", path, partitioned=True)
+    ext = register_external(spark, _table_name(), path, partitioned=True)
     return ext.groupBy("dt").agg(
         F.count(F.lit(1)).alias("customers"),
         F.sum("unique_transactions").alias("transactions"))
@@ -76,7 +83,7 @@ def external_table_roundtrip(spark, sf_dir):
 def gate_row_count(spark, sf_dir):
     """COUNT(*) of the loaded external table; the gate fails on 0 rows."""
     path = _daily_summaries(spark, sf_dir)
-    ext = register_external(spark, "customer_daily_summary", path, partitioned=True)
+    ext = register_external(spark, _table_name(), path, partitioned=True)
     result = ext.agg(F.count(F.lit(1)).alias("row_count"))
     require_truthy(result, "row count gate")
     return result

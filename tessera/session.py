@@ -30,13 +30,35 @@ SESSION_DEFAULTS = {
 }
 
 
+# Settings for the target scale (~100 TB input, ~1000 executors). Shuffle
+# partitions start high and AQE coalesces them to ~256 MB each; scans split
+# files into 256 MB tasks; broadcast needs a side under 64 MB (static
+# estimate or, with AQE, the measured shuffle size); skewed join partitions
+# over 4x the median (and 512 MB) are split.
+CLUSTER_PROFILE = {
+    "spark.sql.shuffle.partitions": "20000",
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "20000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
+    "spark.sql.sources.parallelPartitionDiscovery.parallelism": "1000",
+    "spark.task.maxFailures": "8",
+    "spark.stage.maxConsecutiveAttempts": "8",
+}
+
+
 def build_session(master: str | None = None, app: str = "tessera",
                   shuffle_partitions: int | None = None,
-                  extra: dict | None = None) -> SparkSession:
+                  extra: dict | None = None, profile: str = "local") -> SparkSession:
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
     conf = dict(SESSION_DEFAULTS)
+    if profile == "cluster":
+        conf.update(CLUSTER_PROFILE)
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
