@@ -45,7 +45,8 @@ def customer_order_count(spark, sf_dir):
 def overwrite_roundtrip(spark, sf_dir):
     """Truncate-and-write twice to one path; the second write replaces the first."""
     out = shared_dir(spark, "order_counts")
-    write_parquet(customer_order_count(spark, sf_dir).limit(1), out)
+    stale = customer_order_count(spark, sf_dir).withColumn("order_count", F.col("order_count") * 2)
+    write_parquet(stale, out)                                   # an earlier, different result
     write_parquet(customer_order_count(spark, sf_dir), out, mode="overwrite")
     return read_parquet(spark, out)
 
