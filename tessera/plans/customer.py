@@ -93,6 +93,26 @@ def schema_contract(spark, sf_dir):
     return enforce_schema(customer_etl(spark, sf_dir), SUMMARY_CONTRACT)
 
 
+def run_daily_etl(spark, input_root: str, output_root: str, ds: str,
+                  table_name: str = "customer_daily_summary") -> int:
+    """The daily job end to end, for one day ``ds``:
+
+    read the day's transactions (partition-pruned) -> per-customer summary
+    -> replace that day's ``dt=`` folder of the output (a re-run rewrites the
+    same day only) -> create-or-replace the external table over the output
+    -> gate on the loaded day's row count. Returns that count.
+    """
+    from tessera.sources.tables import read_day
+    day = read_day(spark, input_root, ds)
+    summary = customer_daily_summary(day).withColumn("dt", F.lit(ds).cast("date"))
+    replace_partitions(summary, output_root, ["dt"], within=["customer_id"])
+    ext = register_external(spark, table_name, output_root, partitioned=True)
+    loaded = ext.where(F.col("dt") == F.lit(ds).cast("date")).agg(
+        F.count(F.lit(1)).alias("row_count"))
+    require_truthy(loaded, f"customer summary for {ds}")
+    return loaded.first()["row_count"]
+
+
 _ETL_SQL = """
 SELECT o_custkey AS customer_id,
        COUNT(DISTINCT o_orderkey) AS unique_transactions,
