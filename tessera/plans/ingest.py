@@ -11,8 +11,8 @@ from tessera.session import shared_dir
 from tessera.sinks.files import write_json, write_text
 from tessera.sources.files import CORRUPT, read_documents, read_json
 from tessera.sources.landing import (API_DOC_SCHEMA, API_DOCS_EXPECTED_SQL,
-                                     ENVELOPE_EXPECTED_SQL, ENVELOPE_SCHEMA,
-                                     api_document_lines, log_envelopes)
+                                     ENVELOPE_EXPECTED_SQL, api_document_lines,
+                                     log_envelopes)
 from tessera.sources.tables import table
 from tessera.streaming.append_ingest import ingest_append
 from tessera.streaming.log_ingest import ingest_logs
@@ -94,5 +94,3 @@ FROM checked WHERE reject_reason IS NULL""",
     "json_extract": WD + "SELECT event_id, user_id, kind, items, is_corrupt FROM docs",
     "items_count": WD + "SELECT event_id, COALESCE(len(items), 0) AS items_count FROM docs WHERE NOT is_corrupt",
 }
-
-__all__ = ["ENVELOPE_SCHEMA"]

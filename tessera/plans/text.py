@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tessera.functions.text import WORD_PATTERN, contains, word_count, yield_if
+from tessera.functions.text import contains, word_count, yield_if
 from tessera.session import shared_dir
 from tessera.sinks.files import write_text
 from tessera.sources.files import read_lines
@@ -76,5 +76,3 @@ ORACLE = {
        COUNT(*) FILTER (WHERE contains(line, '{TERM}')) AS filter_lines FROM lines""",
     "text_sink_roundtrip": WL + "SELECT line FROM lines",
 }
-
-__all__ = ["WORD_PATTERN"]
