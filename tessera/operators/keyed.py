@@ -59,8 +59,22 @@ def _with_part(df: DataFrame, key: str, salt, chunk_rows: int) -> DataFrame:
 
 
 def group_by_key(df: DataFrame, key: str, value: str, salt=None,
-                 chunk_rows: int = CHUNK_ROWS, out: str = "values") -> DataFrame:
-    """(key, part, sorted values) rows; NULL values are kept."""
+                 chunk_rows: int = CHUNK_ROWS, out: str = "values",
+                 multiset: bool = False) -> DataFrame:
+    """(key, part, sorted values) rows; NULL values are kept.
+
+    ``salt`` should tell rows apart (a primary key); by default it is the
+    value itself, so exact copies of one (key, value) land in the same part.
+    With ``multiset=True`` copies are instead pre-aggregated map-side into
+    (value, n) pairs before any shuffle and the parts hold distinct values
+    with their multiplicity, so even a single value copied into a third of
+    all rows yields one small struct.
+    """
+    if multiset:
+        pairs = df.groupBy(key, value).agg(F.count(F.lit(1)).alias("n"))
+        tagged = _with_part(pairs.withColumn("__salt", F.col(value)), key, "__salt", chunk_rows)
+        vals = F.array_sort(F.collect_list(F.struct(F.col(value).alias("value"), F.col("n"))))
+        return tagged.groupBy(key, "part").agg(vals.alias(out))
     salt = value if salt is None else salt
     tagged = _with_part(df.select(key, value, _c(salt).alias("__salt")), key, "__salt", chunk_rows)
     vals = F.array_sort(F.collect_list(F.struct(F.col(value).alias("v"))))

@@ -79,3 +79,15 @@ def test_chunking_matches_duckdb(spark, duck):
             FROM orders JOIN c ON o_orderstatus = c.k GROUP BY 1, 2"""
     want = {(k, p): v for k, p, v in duck.execute(q).fetchall()}
     assert got == want and len(want) > 3
+
+
+def test_multiset_grouping_of_copies(spark):
+    # One (key, value) pair copied into a third of all rows.
+    rows = [("hot", 7)] * 1000 + [("hot", i) for i in range(1000)] + [(f"k{i % 10}", i) for i in range(1000)]
+    df = spark.createDataFrame(rows, "key string, value bigint")
+    out = group_by_key(df, "key", "value", chunk_rows=100, multiset=True).collect()
+    hot = [x for r in out if r["key"] == "hot" for x in r["values"]]
+    counts = {x["value"]: x["n"] for x in hot}
+    assert counts[7] == 1001 and len(counts) == 1000
+    assert sum(x["n"] for r in out for x in r["values"]) == len(rows)
+    assert max(len(r["values"]) for r in out) < 200
