@@ -76,13 +76,18 @@ def clean_staging(df):
     )
 
 
-def elt_clean_dedup(spark, sf_dir):
+def elt_clean_dedup(spark, sf_dir, order: str = "order_date"):
+    """Clean, filter and keep one row per transaction.
+
+    ``order="order_date"`` is the faithful mode: the source cleanser orders by
+    the *raw* date string. ``order="clean_order_date"`` keeps the truly most
+    recent parsed date. ``src_key`` always breaks ties.
+    """
     c = clean_staging(staging(spark, sf_dir))
     valid = c.where(F.col("transaction_id").isNotNull()
                     & F.col("clean_sale_amount").isNotNull()
                     & (F.col("clean_quantity") >= 1))
-    # The reference orders by the raw string date; src_key makes ties stable.
-    out = dedup_latest(valid, ["transaction_id"], ["order_date"], ["src_key"])
+    out = dedup_latest(valid, ["transaction_id"], [order], ["src_key"])
     return out.drop("order_date", "src_key")
 
 
