@@ -34,3 +34,25 @@ def test_append_ingest_splits_and_replays(spark):
     assert "inserted_at" in good.columns
     ingest_append(spark, landing, out, rej, ckpt)   # restart: same table
     assert spark.read.parquet(out).count() == n_good
+
+
+def test_log_ingest_picks_up_only_new_files(spark):
+    from pyspark.sql import functions as F
+
+    from tessera.functions.envelope import decode_envelope
+    from tessera.sinks.files import write_json
+    from tessera.sources.landing import log_envelopes
+
+    events = spark.read.parquet(f"{SF}/events.parquet")
+    first, second = events.where("event_id % 2 = 0"), events.where("event_id % 2 = 1")
+    landing = shared_dir(spark, "t_land")
+    out, ckpt = shared_dir(spark, "t_log2"), shared_dir(spark, "t_log2_ckpt")
+    write_json(log_envelopes(first), landing)
+    ingest_logs(spark, landing, out, ckpt)
+    n1 = read_json(spark, out, SCHEMA).count()
+    write_json(log_envelopes(second), landing, mode="append")     # new files arrive
+    ingest_logs(spark, landing, out, ckpt)
+    got = read_json(spark, out, SCHEMA)
+    want = decode_envelope(log_envelopes(events)).where(F.col("reject_reason").isNull())
+    assert got.count() == want.count() > n1
+    assert got.select("event_id").distinct().count() == got.count()   # no duplicates
