@@ -30,7 +30,7 @@ ACTIVITY_RULES = (
 OTHER_PREFIX = "Other: "
 
 
-def cost_by_activity(spark, sf_dir, as_of=BILLING_AS_OF, service="BigQuery"):
+def cost_by_activity(spark, sf_dir, as_of=BILLING_AS_OF, service="Query Engine"):
     li = table(spark, sf_dir, "lineitem")
     usage = li.where((service_description("l_returnflag") == service)
                      & lookback("l_shipdate", as_of, "30 DAYS"))
@@ -72,7 +72,7 @@ WITH bq_usage AS (
   SELECT l_extendedprice AS cost, {SKU_SQL} AS sku_desc, {SERVICE_SQL} AS service_desc,
          l_shipdate AS usage_start_time
   FROM lineitem JOIN part ON l_partkey = p_partkey
-  WHERE {SERVICE_SQL} = 'BigQuery'
+  WHERE {SERVICE_SQL} = 'Query Engine'
     AND l_shipdate BETWEEN TIMESTAMP '{BILLING_AS_OF}' - INTERVAL 30 DAY AND TIMESTAMP '{BILLING_AS_OF}')
 SELECT activity, CAST(ROUND(SUM(CAST(cost AS DECIMAL(18,2))), 2) AS DOUBLE) AS total_cost_usd
 FROM (SELECT cost, {_CASE} AS activity FROM bq_usage)

@@ -178,11 +178,11 @@ SKU_SQL = """CASE p_type WHEN 'MEDIUM' THEN 'Analysis ' || p_name
 
 
 def service_description(returnflag):
-    return (F.when(F.col(returnflag) == "N", F.lit("BigQuery"))
-             .otherwise(F.lit("Cloud Storage")))
+    return (F.when(F.col(returnflag) == "N", F.lit("Query Engine"))
+             .otherwise(F.lit("Object Storage")))
 
 
-SERVICE_SQL = "CASE WHEN l_returnflag = 'N' THEN 'BigQuery' ELSE 'Cloud Storage' END"
+SERVICE_SQL = "CASE WHEN l_returnflag = 'N' THEN 'Query Engine' ELSE 'Object Storage' END"
 
 
 def billing_export(lineitem: DataFrame, part: DataFrame) -> DataFrame:
