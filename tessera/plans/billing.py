@@ -68,14 +68,14 @@ _CASE = "CASE " + " ".join(
 
 ORACLE = {
     "cost_by_activity": f"""
-WITH bq_usage AS (
+WITH usage_lines AS (
   SELECT l_extendedprice AS cost, {SKU_SQL} AS sku_desc, {SERVICE_SQL} AS service_desc,
          l_shipdate AS usage_start_time
   FROM lineitem JOIN part ON l_partkey = p_partkey
   WHERE {SERVICE_SQL} = 'Query Engine'
     AND l_shipdate BETWEEN TIMESTAMP '{BILLING_AS_OF}' - INTERVAL 30 DAY AND TIMESTAMP '{BILLING_AS_OF}')
 SELECT activity, CAST(ROUND(SUM(CAST(cost AS DECIMAL(18,2))), 2) AS DOUBLE) AS total_cost_usd
-FROM (SELECT cost, {_CASE} AS activity FROM bq_usage)
+FROM (SELECT cost, {_CASE} AS activity FROM usage_lines)
 GROUP BY activity ORDER BY total_cost_usd DESC""",
     "nested_field": f"""
 SELECT l_orderkey AS line_order, l_linenumber AS line_number, l_extendedprice AS cost,
