@@ -85,7 +85,10 @@ def checkpoint_root(spark: SparkSession) -> str:
     if configured:
         sc.setCheckpointDir(configured)
         return sc.getCheckpointDir() or configured
-    # Unset (local tests only): fall back to a private folder on this host.
+    # Unset: only a local-mode session may fall back to a folder on this
+    # host; on a cluster that folder would not be visible to the executors.
+    if not sc.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
     sc.setCheckpointDir(tempfile.mkdtemp(prefix="tessera-ckpt-"))
     return sc.getCheckpointDir()
 
