@@ -8,6 +8,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, MapType, StructType
 
 # Marker for NULL in CSV so that NULL and '' survive a round trip.
 CSV_NULL = "\\N"
@@ -63,6 +64,10 @@ def write_text(df: DataFrame, path: str, col: str = "value") -> str:
 def write_csv(df: DataFrame, path: str, header: bool = True, sep: str = ",",
               null_value: str | None = None) -> str:
     """CSV export with doubled-quote escaping; atomic columns only."""
+    nested = [f.name for f in df.schema.fields
+              if isinstance(f.dataType, (ArrayType, MapType, StructType))]
+    if nested:
+        raise ValueError(f"CSV holds atomic columns only; nested: {nested}")
     w = (df.write.mode("overwrite").option("header", header).option("sep", sep)
          .option("quote", '"').option("escape", '"').options(**TS_FORMATS))
     if null_value is not None:

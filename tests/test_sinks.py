@@ -46,3 +46,10 @@ def test_dedup_by_clean_date_picks_latest_parsed(spark):
               for r in elt_clean_dedup(spark, "/root/testdata/sf0.001", "clean_order_date").collect()}
     assert faithful.keys() == latest.keys()
     assert all(latest[k] is None or faithful[k] is None or latest[k] >= faithful[k] for k in latest)
+
+
+def test_csv_refuses_nested_columns(spark):
+    import pytest
+    df = spark.createDataFrame([(1, [1])], "id int, a array<int>")
+    with pytest.raises(ValueError):
+        write_csv(df, shared_dir(spark, "t_csv_nested"))
