@@ -35,8 +35,9 @@ def read_day(spark: SparkSession, root: str, ds: str,
 
 
 def read_events_stream(spark: SparkSession, path: str, schema, fmt: str = "json",
-                       max_files_per_batch: int = 1000) -> DataFrame:
+                       max_files_per_batch: int = 1000, options: dict | None = None) -> DataFrame:
     """A stream of landed event files with a fixed schema (any other Spark
-    streaming source can stand in for it unchanged)."""
-    return (spark.readStream.schema(schema).format(fmt)
+    streaming source can stand in for it unchanged). Micro-batches are
+    bounded by ``max_files_per_batch``, also under ``availableNow``."""
+    return (spark.readStream.schema(schema).format(fmt).options(**(options or {}))
             .option("maxFilesPerTrigger", max_files_per_batch).load(path))

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from tessera.functions.envelope import decode_envelope
 from tessera.sinks.files import TS_FORMATS
 from tessera.sources.landing import ENVELOPE_SCHEMA
+from tessera.sources.tables import read_events_stream
 
 
 def ingest_logs(spark: SparkSession, landing: str, out: str, checkpoint: str,
@@ -22,8 +23,7 @@ def ingest_logs(spark: SparkSession, landing: str, out: str, checkpoint: str,
                 max_files_per_batch: int = 1000):
     # Bounded micro-batches: a large backlog is split into several batches
     # (availableNow honours the limit) instead of one batch over every file.
-    stream = (spark.readStream.schema(schema).options(**TS_FORMATS)
-              .option("maxFilesPerTrigger", max_files_per_batch).json(landing))
+    stream = read_events_stream(spark, landing, schema, "json", max_files_per_batch, TS_FORMATS)
     decoded = decode_envelope(stream)
     good = decoded.where(F.col("reject_reason").isNull()).select(
         "event_id", "publish_time", "payload",
