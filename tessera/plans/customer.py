@@ -11,7 +11,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import (DoubleType, LongType, StructField, StructType)
+from pyspark.sql.types import (DateType, DoubleType, LongType, StructField,
+                               StructType)
 
 from tessera.operators.quality import enforce_schema, require_truthy
 from tessera.operators.summaries import customer_daily_summary
@@ -105,6 +106,10 @@ def run_daily_etl(spark, input_root: str, output_root: str, ds: str,
     from tessera.sources.tables import read_day
     day = read_day(spark, input_root, ds)
     summary = customer_daily_summary(day).withColumn("dt", F.lit(ds).cast("date"))
+    # The declared output contract; the key keeps the input's key type.
+    key = StructField("customer_id", day.schema["customer_id"].dataType, True)
+    contract = StructType([key] + SUMMARY_CONTRACT.fields[1:] + [StructField("dt", DateType(), False)])
+    summary = enforce_schema(summary, contract)
     replace_partitions(summary, output_root, ["dt"], within=["customer_id"])
     ext = register_external(spark, table_name, output_root, partitioned=True)
     loaded = ext.where(F.col("dt") == F.lit(ds).cast("date")).agg(
