@@ -61,9 +61,14 @@ def require_scan_under(df: DataFrame, max_bytes: int) -> int:
     return n
 
 
-def enforce_schema(df: DataFrame, contract: StructType) -> DataFrame:
+def enforce_schema(df: DataFrame, contract: StructType, inline: bool = False) -> DataFrame:
     """Check names and types against ``contract`` and that REQUIRED
-    (non-nullable) columns hold no NULL; return ``df`` in contract order."""
+    (non-nullable) columns hold no NULL; return ``df`` in contract order.
+
+    ``inline=True`` checks the NULLs while the result is produced (a
+    ``raise_error`` in the projection fails the writing job before its
+    commit) instead of running a separate aggregate pass first.
+    """
     have = {f.name: f.dataType for f in df.schema.fields}
     missing = [f.name for f in contract.fields if f.name not in have]
     if missing:
@@ -72,6 +77,12 @@ def enforce_schema(df: DataFrame, contract: StructType) -> DataFrame:
     if wrong:
         raise GateFailed(f"type mismatch in {wrong}")
     required = [f.name for f in contract.fields if not f.nullable]
+    if inline:
+        return df.select(*[
+            (F.when(F.col(f.name).isNull(),
+                    F.raise_error(F.lit(f"NULL in required column {f.name}")))
+              .otherwise(F.col(f.name)) if f.name in required else F.col(f.name)).alias(f.name)
+            for f in contract.fields])
     out = df.select(*[f.name for f in contract.fields])
     if required:
         nulls = out.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in required]).first()

@@ -109,7 +109,7 @@ def run_daily_etl(spark, input_root: str, output_root: str, ds: str,
     # The declared output contract; the key keeps the input's key type.
     key = StructField("customer_id", day.schema["customer_id"].dataType, True)
     contract = StructType([key] + SUMMARY_CONTRACT.fields[1:] + [StructField("dt", DateType(), False)])
-    summary = enforce_schema(summary, contract)
+    summary = enforce_schema(summary, contract, inline=True)
     replace_partitions(summary, output_root, ["dt"], within=["customer_id"])
     ext = register_external(spark, table_name, output_root, partitioned=True)
     loaded = ext.where(F.col("dt") == F.lit(ds).cast("date")).agg(

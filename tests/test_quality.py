@@ -49,3 +49,12 @@ def test_policy_null_location_is_reported(spark):
         "method string, resource_type string, location string")
     got = {r["location"] for r in location_violations(df, "us-central1").collect()}
     assert got == {"europe-west1-b", None}
+
+
+def test_inline_contract_fails_the_job(spark):
+    contract = StructType([StructField("k", LongType(), True), StructField("n", LongType(), False)])
+    ok = enforce_schema(spark.createDataFrame([(1, 2)], "k bigint, n bigint"), contract, inline=True)
+    assert ok.collect()[0]["n"] == 2
+    bad = enforce_schema(spark.createDataFrame([(1, None)], "k bigint, n bigint"), contract, inline=True)
+    with pytest.raises(Exception, match="NULL in required column n"):
+        bad.collect()
