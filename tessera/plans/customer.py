@@ -91,7 +91,7 @@ def gate_row_count(spark, sf_dir):
 
 
 def schema_contract(spark, sf_dir):
-    return enforce_schema(customer_etl(spark, sf_dir), SUMMARY_CONTRACT)
+    return enforce_schema(customer_etl(spark, sf_dir), SUMMARY_CONTRACT, inline=True)
 
 
 def run_daily_etl(spark, input_root: str, output_root: str, ds: str,
