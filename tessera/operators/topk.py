@@ -29,33 +29,48 @@ def sort_report(df: DataFrame, *cols) -> DataFrame:
     return df.orderBy(*cols)
 
 
+def partition_values(df: DataFrame, partition_col: str) -> list:
+    """Distinct values of a partition column, answered from the file index
+    (metadata only: no data file is opened). One value per partition."""
+    spark = df.sparkSession
+    key = "spark.sql.optimizer.metadataOnly"
+    old = spark.conf.get(key, None)
+    spark.conf.set(key, "true")
+    try:
+        return [r[0] for r in df.select(partition_col).distinct().collect()]
+    finally:
+        if old is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, old)
+
+
 def latest_partitions(df: DataFrame, partition_col: str, k: int,
                       order: Sequence = (), tiebreak: Sequence = (),
                       max_scan_bytes: int | None = None) -> DataFrame:
     """Latest ``k`` rows by partition value, reading only needed partitions.
 
-    Sort + limit alone does not prune partitions, so first count rows per
-    partition value (a scan of the partition column only; one row per
-    partition reaches the driver), keep the newest partitions that hold
-    ``k`` rows, and filter on them so the scan prunes every other folder.
-    With ``max_scan_bytes`` the pruned scan is refused when its files exceed
-    the budget (checked before the rows are read).
+    Sort + limit alone does not prune partitions. So the partition values are
+    listed from the file index (metadata only), and rows are counted in the
+    newest partitions first - 1, then 2, 4, ... more - each count a pruned
+    scan, until ``k`` rows are covered. The final top-k then reads only those
+    partitions. With ``max_scan_bytes`` the pruned scan is refused when its
+    files exceed the budget (checked before the rows are read).
     """
-    counts = (df.groupBy(partition_col).agg(F.count(F.lit(1)).alias("n"))
-                .orderBy(F.desc(partition_col)).collect())
-    need, cutoff = k, None
-    for row in counts:
-        cutoff = row[partition_col]
-        need -= row["n"]
-        if need <= 0:
-            break
-    if cutoff is None:
-        return df.limit(0)
-    pruned = df.where(F.col(partition_col) >= F.lit(cutoff))
+    values = sorted((v for v in partition_values(df, partition_col) if v is not None),
+                    reverse=True)
+    pc = F.col(partition_col)
+    seen, i, step, cutoff = 0, 0, 1, None
+    while i < len(values) and seen < k:
+        batch = values[i:i + step]
+        seen += df.where(pc.isin(*batch)).count()
+        cutoff, i, step = batch[-1], i + step, step * 2
+    # Fewer than k rows in dated partitions: NULL-dated rows (sorted last) count too.
+    pruned = df.where(pc >= F.lit(cutoff)) if seen >= k else df
     if max_scan_bytes is not None:
         from tessera.operators.quality import require_scan_under
         require_scan_under(pruned, max_scan_bytes)
-    spec = [F.col(partition_col).desc()] + [_desc(c) for c in order]
+    spec = [pc.desc()] + [_desc(c) for c in order]
     spec += [F.col(c).asc() if isinstance(c, str) else c for c in tiebreak]
     return pruned.orderBy(*spec).limit(k)
 
