@@ -85,7 +85,8 @@ def gate_row_count(spark, sf_dir):
     """COUNT(*) of the loaded external table; the gate fails on 0 rows."""
     path = _daily_summaries(spark, sf_dir)
     ext = register_external(spark, _table_name(), path, partitioned=True)
-    result = ext.agg(F.count(F.lit(1)).alias("row_count"))
+    # One aggregate row, kept so the gate and the caller share one pass.
+    result = ext.agg(F.count(F.lit(1)).alias("row_count")).persist()
     require_truthy(result, "row count gate")
     return result
 
