@@ -28,7 +28,9 @@ def layout_for_partitions(df: DataFrame, partition_by: Sequence[str],
     if not cols:
         return df
     # A fixed task count: AQE would coalesce small inputs into one task that
-    # then writes every partition folder serially.
+    # then writes every partition folder serially. Range bounds come from a
+    # sample, so a small output uses only as many ranges as it needs (empty
+    # ranges write no file), and a large one gets files of data / n bytes.
     n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return df.repartitionByRange(n, *cols)
 
