@@ -11,9 +11,11 @@ def _c(col) -> Column:
 
 
 def as_of_literal(as_of) -> Column:
-    """A fixed instant (string or datetime) or, when None, the query start time."""
+    """A fixed instant (string or datetime) or, when None, the query start
+    time as a wall-clock TIMESTAMP_NTZ in the session time zone (UTC), the
+    type of the event-time columns."""
     if as_of is None:
-        return F.current_timestamp()
+        return F.current_timestamp().cast("timestamp_ntz")
     if isinstance(as_of, Column):
         return as_of
     return F.lit(str(as_of)).cast("timestamp_ntz")

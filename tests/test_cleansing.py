@@ -74,3 +74,13 @@ def test_classify_first_match_and_null(spark):
     got = _col(spark, ["Analysis storage", "Long Storage", "other", None],
                lambda c: classify(c, rules, "Other: "))
     assert got == ["Q", "S", "Other: other", None]
+
+
+def test_lookback_bounds_and_default_now(spark):
+    import datetime as dt
+    from tessera.functions.timefn import lookback
+    df = spark.createDataFrame([(dt.datetime(2024, 1, 23, 23, 57, 12),), (dt.datetime(2024, 1, 23, 23, 57, 11),),
+                                (dt.datetime(2024, 1, 30, 23, 57, 12),)], "ts timestamp_ntz")
+    got = [r[0] for r in df.select(lookback("ts", "2024-01-30 23:57:12", "7 DAYS")).collect()]
+    assert got == [True, False, True]                  # both ends inclusive
+    assert df.where(lookback("ts", None, "36500 DAYS")).count() == 3
