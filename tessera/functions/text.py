@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# A word is a maximal run of characters that are neither whitespace nor a
-# Unicode separator; (?U) makes \S Unicode-aware like Python's str.split().
-WORD_PATTERN = r"((?U)[^\s\p{Z}]+)"
+# A word is a maximal run of characters outside Python's str.split()
+# whitespace: ASCII whitespace, the separators U+001C-U+001F, U+0085 and
+# every Unicode separator (category Z). Spelled out so the set does not
+# depend on an engine's idea of \s.
+WORD_PATTERN = r"([^\t\n\x0B\f\r\x1C-\x1F \x{85}\p{Z}]+)"
 
 
 def _c(col) -> Column:

@@ -64,7 +64,7 @@ QUERIES = {
 }
 
 WL = "WITH " + LINES_SQL
-_WORDS = r"len(regexp_extract_all(line, '[^\s\p{Z}]+'))"
+_WORDS = r"len(regexp_extract_all(line, '[^\t\n\x0B\f\r\x1C-\x1F \x{85}\p{Z}]+'))"
 
 ORACLE = {
     "text_lines": WL + "SELECT doc_id, line_no, line FROM lines",

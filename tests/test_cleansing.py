@@ -84,3 +84,20 @@ def test_lookback_bounds_and_default_now(spark):
     got = [r[0] for r in df.select(lookback("ts", "2024-01-30 23:57:12", "7 DAYS")).collect()]
     assert got == [True, False, True]                  # both ends inclusive
     assert df.where(lookback("ts", None, "36500 DAYS")).count() == 3
+
+
+def test_word_count_matches_python_split(spark):
+    seps = ["\t", "\n", "\x0b", "\x0c", "\r", "\x1c", "\x1d", "\x1e", "\x1f", " ", "\x85", "\xa0",
+            " ", " ", " ", " ", " ", " ", " ", "　"]
+    texts = [f"a{s}b{s}{s}c" for s in seps] + ["​zero-width​", "x\x00y", ""]
+    got = _col(spark, texts, word_count)
+    assert got == [len(t.split()) for t in texts]
+
+
+def test_oracle_word_pattern_matches_python_split(duck):
+    from tessera.plans.text import _WORDS
+    seps = ["\t", "\x0b", "\x1c", "\x85", "\xa0", " ", " ", "　", " "]
+    for s in seps:
+        t = f"a{s}b{s}{s}c"
+        got = duck.execute(f"SELECT {_WORDS} FROM (SELECT ? AS line)", [t]).fetchone()[0]
+        assert got == len(t.split()), repr(s)
