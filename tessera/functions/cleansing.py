@@ -24,8 +24,11 @@ KEPT_STATUSES = ("Completed", "Pending", "Cancelled")
 STATUS_ALIASES = {"Done": "Completed"}
 UNKNOWN_STATUS = "Unknown"
 
-# Leading/trailing Unicode whitespace (TRIM with one argument strips all of it).
-_EDGE_WS = r"^[\s\p{Z}]+|[\s\p{Z}]+$"
+# Leading/trailing Unicode whitespace (TRIM with one argument strips all of
+# it): ASCII whitespace, U+0085 and the separators (category Z), spelled out
+# so the set does not depend on an engine's idea of \s.
+_WS = r"[\t\n\x0B\f\r \x{85}\p{Z}]"
+_EDGE_WS = rf"^{_WS}+|{_WS}+$"
 
 
 def _c(col) -> Column:

@@ -62,7 +62,8 @@ FROM orders)
 
 # DuckDB equivalents of the cleansing expressions.
 def sql_trim(x: str) -> str:
-    return rf"regexp_replace({x}, '^[\s\p{{Z}}]+|[\s\p{{Z}}]+$', '', 'g')"
+    ws = r"[\t\n\x0B\f\r \x{85}\p{Z}]"
+    return f"regexp_replace({x}, '^{ws}+|{ws}+$', '', 'g')"
 
 
 def sql_blank_to_null(x: str) -> str:

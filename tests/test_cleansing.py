@@ -101,3 +101,15 @@ def test_oracle_word_pattern_matches_python_split(duck):
         t = f"a{s}b{s}{s}c"
         got = duck.execute(f"SELECT {_WORDS} FROM (SELECT ? AS line)", [t]).fetchone()[0]
         assert got == len(t.split()), repr(s)
+
+
+def test_trim_set_matches_unicode_whitespace(spark, duck):
+    from tessera.sources.staging import sql_blank_to_null
+    ws = "\t\n\x0b\x0c\r \x85\xa0       　"
+    texts = [f"{ws}x y{ws}", ws, "\x1cx\x1c"]
+    # Unicode White_Space (the SQL TRIM set); unlike str.strip() it keeps U+001C.
+    want = [t.strip(ws) or None for t in texts]
+    assert _col(spark, texts, blank_to_null) == want
+    got = [duck.execute(f"SELECT {sql_blank_to_null('s')} FROM (SELECT ? AS s)", [t]).fetchone()[0]
+           for t in texts]
+    assert got == want
