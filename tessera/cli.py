@@ -12,8 +12,12 @@ checkpoint locations must be on storage shared by all executors.
 from __future__ import annotations
 
 import argparse
+import os
 import sys
 
+if __package__ in (None, ""):       # run as a file by spark-submit
+    sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
