@@ -53,3 +53,25 @@ def test_csv_refuses_nested_columns(spark):
     df = spark.createDataFrame([(1, [1])], "id int, a array<int>")
     with pytest.raises(ValueError):
         write_csv(df, shared_dir(spark, "t_csv_nested"))
+
+
+def test_partitioned_external_table_needs_partition_discovery(spark):
+    out = shared_dir(spark, "t_ext2")
+    write_parquet(spark.range(6).withColumn("dt", F.lit("2024-01-02").cast("date")), out,
+                  partition_by=["dt"])
+    assert register_external(spark, "t_ext_nodisc", out, partitioned=False).count() == 0
+    assert register_external(spark, "t_ext_nodisc", out, partitioned=True).count() == 6
+
+
+def test_malformed_json_lines_are_kept_as_corrupt_records(spark):
+    from pyspark.sql.types import LongType, StructField, StructType
+
+    from tessera.sinks.files import write_text
+    from tessera.sources.files import CORRUPT, read_documents
+    lines = spark.createDataFrame([('{"id": 1}',), ('{"id": 2, "x"',), ('{"id"',)], "value string")
+    out = shared_dir(spark, "t_json_bad")
+    write_text(lines, out)
+    docs = read_documents(spark, out, StructType([StructField("id", LongType())]))
+    rows = sorted(docs.collect(), key=lambda r: (r["id"] is None, r["id"] or 0, r[CORRUPT] or ""))
+    assert rows[0]["id"] == 1 and rows[0][CORRUPT] is None
+    assert [r[CORRUPT] is not None for r in rows[1:]] == [True, True]
