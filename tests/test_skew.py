@@ -83,3 +83,14 @@ def test_hot_key_join_back_is_split_by_aqe(spark):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def test_approximate_summary_is_close_and_single_shuffle(spark):
+    df = _skewed(spark)
+    exact = {r["customer_id"]: r for r in customer_daily_summary(df).collect()}
+    approx_df = customer_daily_summary(df, approx_rsd=0.01)
+    approx = {r["customer_id"]: r for r in approx_df.collect()}
+    assert abs(approx[0]["unique_transactions"] - exact[0]["unique_transactions"]) <= 0.05 * N
+    assert all(approx[k]["distinct_categories"] == exact[k]["distinct_categories"] for k in exact)
+    plan = customer_daily_summary(df, approx_rsd=0.01)._jdf.queryExecution().executedPlan().toString()
+    assert "Expand [" not in plan and plan.count("Exchange hashpartitioning") == 1
