@@ -70,12 +70,21 @@ def sql_blank_to_null(x: str) -> str:
     return f"NULLIF({sql_trim(x)}, '')"
 
 
+def _sql_strip_ascii(x: str) -> str:
+    # Spark's string-to-number casts ignore surrounding ASCII whitespace and
+    # control characters (code points up to U+0020), and nothing else.
+    return f"regexp_replace({x}, '^[\\x00-\\x20]+|[\\x00-\\x20]+$', '', 'g')"
+
+
 def sql_safe_int(x: str) -> str:
-    return rf"CASE WHEN regexp_full_match(trim({x}), '[+-]?[0-9]+') THEN TRY_CAST(trim({x}) AS BIGINT) END"
+    s = _sql_strip_ascii(x)
+    return f"CASE WHEN regexp_full_match({s}, '[+-]?[0-9]+') THEN TRY_CAST({s} AS BIGINT) END"
 
 
 def sql_safe_numeric(x: str) -> str:
-    return f"TRY_CAST(trim({x}) AS DECIMAL(38,9))"
+    s = _sql_strip_ascii(x)
+    pattern = r"[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?"
+    return f"CASE WHEN regexp_full_match({s}, '{pattern}') THEN TRY_CAST({s} AS DECIMAL(38,9)) END"
 
 
 def sql_parse_dates(x: str, formats=("%Y-%m-%d", "%m/%d/%Y", "%d-%b-%Y")) -> str:
