@@ -56,3 +56,19 @@ def test_blank_to_null_agrees(spark, duck):
 
 def test_status_agrees(spark, duck):
     _compare(spark, duck, standardise_status, sql_status)
+
+
+def test_word_count_agrees_with_python_split(spark, duck):
+    from tessera.functions.text import word_count
+    from tessera.plans.text import _WORDS
+    pool = list("ab€é1_-.,") + ["\t", "\n", "\x0b", "\x0c", "\r", "\x1c", "\x1f", " ", "\x85", "\xa0",
+                                " ", " ", " ", "​", " ", " ", " ",
+                                " ", "　", "﻿"]
+    texts = ["".join(RNG.choice(pool) for _ in range(RNG.randint(0, 12))) for _ in range(800)]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, line string")
+    got = {r["i"]: r["w"] for r in df.select("i", word_count("line").alias("w")).collect()}
+    assert all(got[i] == len(t.split()) for i, t in enumerate(texts))
+    duck.execute("CREATE OR REPLACE TEMP TABLE wc(i INTEGER, line VARCHAR)")
+    duck.executemany("INSERT INTO wc VALUES (?, ?)", list(enumerate(texts)))
+    want = dict(duck.execute(f"SELECT i, {_WORDS} FROM wc").fetchall())
+    assert all(want[i] == len(t.split()) for i, t in enumerate(texts))
