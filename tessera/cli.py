@@ -1,7 +1,7 @@
 """Command-line jobs for ``spark-submit`` (or ``python -m tessera.cli``).
 
     customer-etl   --input_path P --output_path O --date YYYY-MM-DD [--table T]
-    ingest-logs    --landing L --output_path O --checkpoint C
+    ingest-logs    --landing L --output_path O --checkpoint C [--rejects R]
     ingest-append  --landing L --output_path O --rejects R --checkpoint C
     export-csv     --input_path P --output_path O --date YYYY-MM-DD
 
@@ -45,7 +45,7 @@ def _customer_etl(spark: SparkSession, a) -> int:
 
 def _ingest_logs(spark: SparkSession, a) -> int:
     from tessera.streaming.log_ingest import ingest_logs
-    ingest_logs(spark, a.landing, a.output_path, a.checkpoint)
+    ingest_logs(spark, a.landing, a.output_path, a.checkpoint, rejects=a.rejects)
     return 0
 
 
@@ -76,6 +76,7 @@ def main(argv=None, spark: SparkSession | None = None) -> int:
     p.add_argument("--landing", required=True)
     p.add_argument("--output_path", required=True)
     p.add_argument("--checkpoint", required=True)
+    p.add_argument("--rejects")
     p = sub.add_parser("ingest-append")
     p.add_argument("--landing", required=True)
     p.add_argument("--output_path", required=True)

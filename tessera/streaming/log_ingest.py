@@ -18,9 +18,21 @@ from tessera.sources.landing import ENVELOPE_SCHEMA
 from tessera.sources.tables import read_events_stream
 
 
+def _file_sink(df, path: str, checkpoint: str, available_now: bool, partition_by=()):
+    w = (df.writeStream.format("json").outputMode("append").options(**TS_FORMATS)
+         .option("path", path).option("checkpointLocation", checkpoint))
+    if partition_by:
+        w = w.partitionBy(*partition_by)
+    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
+    return w.start()
+
+
 def ingest_logs(spark: SparkSession, landing: str, out: str, checkpoint: str,
                 schema=ENVELOPE_SCHEMA, available_now: bool = True,
-                max_files_per_batch: int = 1000):
+                max_files_per_batch: int = 1000, rejects: str | None = None):
+    """Decoded entries go to ``out`` by day. With ``rejects`` set, the
+    undecodable envelopes (with their reason) go to that folder through a
+    second query with its own checkpoint, instead of being dropped."""
     # Bounded micro-batches: a large backlog is split into several batches
     # (availableNow honours the limit) instead of one batch over every file.
     stream = read_events_stream(spark, landing, schema, "json", max_files_per_batch, TS_FORMATS)
@@ -28,11 +40,13 @@ def ingest_logs(spark: SparkSession, landing: str, out: str, checkpoint: str,
     good = decoded.where(F.col("reject_reason").isNull()).select(
         "event_id", "publish_time", "payload",
         F.to_date("publish_time").alias("dt"))
-    w = (good.writeStream.format("json").outputMode("append").options(**TS_FORMATS)
-         .partitionBy("dt").option("path", out)
-         .option("checkpointLocation", checkpoint))
-    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
-    q = w.start()
+    queries = [_file_sink(good, out, checkpoint, available_now, ["dt"])]
+    if rejects:
+        bad = decoded.where(F.col("reject_reason").isNotNull()).select(
+            "event_id", "publish_time", "data", F.col("message.data").alias("message_data"),
+            "reject_reason")
+        queries.append(_file_sink(bad, rejects, checkpoint.rstrip("/") + "-rejects", available_now))
     if available_now:
-        q.awaitTermination()
-    return q
+        for q in queries:
+            q.awaitTermination()
+    return queries[0]

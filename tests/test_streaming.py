@@ -56,3 +56,15 @@ def test_log_ingest_picks_up_only_new_files(spark):
     want = decode_envelope(log_envelopes(events)).where(F.col("reject_reason").isNull())
     assert got.count() == want.count() > n1
     assert got.select("event_id").distinct().count() == got.count()   # no duplicates
+
+
+def test_log_ingest_can_keep_rejects(spark):
+    landing = _land_envelopes(spark, SF)
+    out, rej, ckpt = (shared_dir(spark, n) for n in ("t_log3", "t_rej3", "t_log3_ckpt"))
+    ingest_logs(spark, landing, out, ckpt, rejects=rej)
+    good = read_json(spark, out, SCHEMA).count()
+    bad = spark.read.schema("event_id BIGINT, reject_reason STRING").json(rej)
+    events = spark.read.parquet(f"{SF}/events.parquet").count()
+    assert good + bad.count() == events
+    assert {r[0] for r in bad.select("reject_reason").distinct().collect()} <= {
+        "no data", "bad base64", "bad utf8", "bad json"}
