@@ -1,0 +1 @@
+"""Column -> Column expressions built from Spark's own functions."""

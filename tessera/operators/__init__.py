@@ -1,0 +1 @@
+"""DataFrame -> DataFrame operators: summaries, dedup, keyed, top-k, quality, policy."""

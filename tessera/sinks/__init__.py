@@ -1,0 +1 @@
+"""File sinks: Parquet (with partition replace), text, CSV, JSON."""

@@ -1,0 +1 @@
+"""Readers, literal lookups and relations derived from the driver tables."""

@@ -1,0 +1 @@
+"""Structured Streaming jobs: log ingest and append ingest."""
