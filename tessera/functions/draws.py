@@ -1,36 +1,43 @@
 """Deterministic pseudo-random draws as column expressions.
 
-A draw is 32 bits of ``md5(salt || ':' || seed)``; one md5 yields four
-independent draws (slots 0-3). Being a pure function of the seed column, a
-re-executed task (lost executor, speculative copy) reproduces exactly the same
-rows, and any engine with md5 can recompute them.
+A draw is a 32-bit integer hash of a BIGINT seed column and a constant salt:
+the seed is folded to 32 bits, offset by the salt, then mixed with two
+xor-shift-multiply rounds (a well-known 32-bit integer mixer). Everything is
+BIGINT arithmetic that cannot overflow (values stay below 2^59), so any SQL
+engine computes the same bits, and a re-executed task (lost executor,
+speculative copy) reproduces exactly the same rows. It is a handful of
+integer operations per draw, inside whole-stage codegen.
 """
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+_MASK = 0xFFFFFFFF
+_GOLDEN = 0x9E3779B9
+_MIX = 0x45D9F3B
+
 
 def _c(col) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
 
-def digest(seed, salt: str) -> Column:
-    """Hex md5 of ``salt:seed``: the source of four draws."""
-    return F.md5(F.concat(F.lit(f"{salt}:"), _c(seed).cast("string")))
-
-
-def draw_from(hexdigest, slot: int) -> Column:
-    """Unsigned 32-bit draw number ``slot`` (0-3) of a digest column."""
-    return F.conv(F.substring(_c(hexdigest), 1 + 8 * slot, 8), 16, 10).cast("bigint")
+def salt_of(name: str, slot: int = 0) -> int:
+    """Stable 16-bit salt for a named draw."""
+    return zlib.crc32(f"{name}:{slot}".encode()) & 0xFFFF
 
 
 def draw(seed, salt: str, slot: int = 0) -> Column:
-    """Unsigned 32-bit draw number ``slot`` (0-3) for ``seed``."""
-    return draw_from(digest(seed, salt), slot)
+    """Unsigned 32-bit draw ``(salt, slot)`` for an integer ``seed``."""
+    k = _c(seed).cast("bigint")
+    x = (k.bitwiseXOR(F.shiftright(k, 32)) + F.lit(salt_of(salt, slot) * _GOLDEN)).bitwiseAND(F.lit(_MASK))
+    for _ in range(2):
+        x = (F.shiftright(x, 16).bitwiseXOR(x) * F.lit(_MIX)).bitwiseAND(F.lit(_MASK))
+    return F.shiftright(x, 16).bitwiseXOR(x)
 
 
 def weighted_pick(u: Column, choices: Sequence[tuple[str, int]]) -> Column:
@@ -57,8 +64,11 @@ def weighted_index(u: Column, weights: Sequence[int]) -> Column:
 
 # DuckDB text of the same draws, for the oracles.
 def sql_draw(seed: str, salt: str, slot: int = 0) -> str:
-    return (f"CAST('0x' || substr(md5('{salt}:' || CAST({seed} AS VARCHAR)), "
-            f"{1 + 8 * slot}, 8) AS BIGINT)")
+    k = f"CAST({seed} AS BIGINT)"
+    x = f"((xor({k}, {k} >> 32) + {salt_of(salt, slot) * _GOLDEN}) & {_MASK})"
+    for _ in range(2):
+        x = f"((xor({x} >> 16, {x}) * {_MIX}) & {_MASK})"
+    return f"xor({x} >> 16, {x})"
 
 
 def sql_weighted_pick(u: str, choices) -> str:
