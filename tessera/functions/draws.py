@@ -40,6 +40,34 @@ def draw(seed, salt: str, slot: int = 0) -> Column:
     return F.shiftright(x, 16).bitwiseXOR(x)
 
 
+def draw_sql(seed: str, salt: str, slot: int = 0) -> str:
+    """Spark SQL text of ``draw`` for a column name (one parse in the JVM
+    instead of one Python-to-JVM call per operator)."""
+    k = f"CAST({seed} AS BIGINT)"
+    x = f"((({k} ^ shiftright({k}, 32)) + {salt_of(salt, slot) * _GOLDEN}L) & {_MASK}L)"
+    for _ in range(2):
+        x = f"(((shiftright({x}, 16) ^ {x}) * {_MIX}L) & {_MASK}L)"
+    return f"(shiftright({x}, 16) ^ {x})"
+
+
+def weighted_pick_sql(u: str, choices: Sequence[tuple[str, int]]) -> str:
+    """Spark SQL text of ``weighted_pick``."""
+    parts, acc = [], 0
+    for label, w in choices[:-1]:
+        acc += w
+        parts.append(f"WHEN {u} < {acc} THEN '{label}'")
+    return f"CASE {' '.join(parts)} ELSE '{choices[-1][0]}' END"
+
+
+def weighted_index_sql(u: str, weights: Sequence[int]) -> str:
+    """Spark SQL text of ``weighted_index``."""
+    parts, acc = [], 0
+    for i, w in enumerate(weights[:-1]):
+        acc += w
+        parts.append(f"WHEN {u} < {acc} THEN {i}")
+    return f"CASE {' '.join(parts)} ELSE {len(weights) - 1} END"
+
+
 def weighted_pick(u: Column, choices: Sequence[tuple[str, int]]) -> Column:
     """Label whose cumulative integer weight first exceeds ``u``, where
     ``u`` is uniform on [0, sum(weights))."""

@@ -13,9 +13,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions.cleansing import signed_amount
-from tessera.functions.draws import (draw, sql_draw, sql_weighted_index,
-                                     sql_weighted_pick, weighted_index,
-                                     weighted_pick)
+from tessera.functions.draws import (draw_sql, sql_draw, sql_weighted_index,
+                                     sql_weighted_pick, weighted_index_sql,
+                                     weighted_pick_sql)
 from tessera.functions.timefn import day_name, hour_of_day, is_weekend
 
 # Fixed values of the transaction generator.
@@ -45,53 +45,44 @@ HOUR_WEIGHTS = (1, 1, 1, 1, 1, 2, 3, 4, 5, 6, 7, 8, 9, 8, 7, 6, 7, 8, 9, 8, 6, 4
 STEPS = 10000  # resolution of the uniform draws
 
 
-def _amount_cents(cat, seg, u_base, u_mult):
-    """round(uniform(category range) * uniform(segment range), 2) in cents,
-    computed in integers: base in 1e-4 units times multiplier in 1e-4 units."""
-    base = None
-    for name, (lo, hi) in CATEGORY_RANGE.items():
-        v = F.lit(lo * STEPS) + F.lit(hi - lo) * (u_base % (STEPS + 1))
-        base = F.when(cat == name, v) if base is None else base.when(cat == name, v)
-    mult = None
-    for name, (lo, hi) in SEGMENT_MULTIPLIER.items():
-        v = F.lit(round(lo * STEPS)) + F.lit(round((hi - lo) * 10)) * (u_mult % 1001)
-        mult = F.when(seg == name, v) if mult is None else mult.when(seg == name, v)
-    product = base.cast("bigint") * mult.cast("bigint")          # 1e-8 dollars
-    return F.floor((product + F.lit(500000)) / F.lit(1000000)).cast("bigint")
-
-
 def synth_transactions(orders: DataFrame) -> DataFrame:
-    k, c = F.col("o_orderkey"), F.col("o_custkey")
-    seg = weighted_pick(draw(c, "segment") % 100, SEGMENTS)
-    hour = weighted_index(draw(k, "txn", 0) % sum(HOUR_WEIGHTS), HOUR_WEIGHTS)
-    ms = draw(k, "txn", 1)
-    cat = weighted_pick(draw(k, "txn", 2) % 100, CATEGORIES)
-    pay = weighted_pick(draw(k, "txn2", 1) % 100, PAYMENTS)
-    store = F.element_at(F.array(*[F.lit(s) for s in STORES]),
-                         (draw(k, "txn2", 2) % len(STORES) + 1).cast("int"))
-    x = draw(k, "txn2", 3)
-    discount = F.when(x % 100 < DISCOUNT_PCT,
-                      F.element_at(F.array(*[F.lit(d) for d in DISCOUNTS]),
-                                   (F.floor(x / 100) % len(DISCOUNTS) + 1).cast("int"))
-                      ).otherwise(F.lit(0)).cast("bigint")
-    is_return = (F.floor(x / 1000) % 100) < RETURN_PCT
-    d = F.to_date("o_orderdate")
-    ts = F.make_timestamp_ntz(F.year(d), F.month(d), F.dayofmonth(d), hour,
-                              (ms % 60).cast("int"), (F.floor(ms / 60) % 60).cast("int"))
-    base = orders.select(
-        F.concat(F.lit("TXN-"), k.cast("string")).alias("transaction_id"),
-        F.concat(F.lit("CUST_"), c.cast("string")).alias("customer_id"),
-        ts.alias("timestamp"),
-        cat.alias("category"), pay.alias("payment_method"),
-        store.alias("store_location"), seg.alias("customer_segment"),
-        discount.alias("discount_applied"), is_return.alias("is_return"),
-        F.lit(CURRENCY).alias("currency"),
-        draw(k, "txn", 3).alias("_u_base"), draw(k, "txn2", 0).alias("_u_mult"),
+    """One synthetic transaction per order. The row expressions are written
+    as Spark SQL text (``selectExpr``): the JVM parses each once, instead of
+    Python building the large expression trees one operator call at a time."""
+    k, c = "o_orderkey", "o_custkey"
+    x = draw_sql(k, "txn2", 3)
+    ms = draw_sql(k, "txn", 1)
+    stores = ", ".join("'" + s + "'" for s in STORES)
+    discounts = ", ".join(str(d) for d in DISCOUNTS)
+    raw = orders.selectExpr(
+        f"concat('TXN-', CAST({k} AS STRING)) AS transaction_id",
+        f"concat('CUST_', CAST({c} AS STRING)) AS customer_id",
+        "make_timestamp_ntz(year(o_orderdate), month(o_orderdate), day(o_orderdate), "
+        f"{weighted_index_sql(f'{draw_sql(k, 'txn', 0)} % {sum(HOUR_WEIGHTS)}', HOUR_WEIGHTS)}, "
+        f"CAST({ms} % 60 AS INT), CAST(({ms} div 60) % 60 AS INT)) AS timestamp",
+        f"{weighted_pick_sql(f'{draw_sql(k, 'txn', 2)} % 100', CATEGORIES)} AS category",
+        f"{weighted_pick_sql(f'{draw_sql(k, 'txn2', 1)} % 100', PAYMENTS)} AS payment_method",
+        f"element_at(array({stores}), CAST({draw_sql(k, 'txn2', 2)} % {len(STORES)} + 1 AS INT)) "
+        "AS store_location",
+        f"{weighted_pick_sql(f'{draw_sql(c, 'segment', 0)} % 100', SEGMENTS)} AS customer_segment",
+        f"CAST(CASE WHEN {x} % 100 < {DISCOUNT_PCT} THEN element_at(array({discounts}), "
+        f"CAST(({x} div 100) % {len(DISCOUNTS)} + 1 AS INT)) ELSE 0 END AS BIGINT) AS discount_applied",
+        f"({x} div 1000) % 100 < {RETURN_PCT} AS is_return",
+        f"'{CURRENCY}' AS currency",
+        f"{draw_sql(k, 'txn', 3)} AS _u_base",
+        f"{draw_sql(k, 'txn2', 0)} AS _u_mult",
     )
-    cents = _amount_cents(F.col("category"), F.col("customer_segment"),
-                          F.col("_u_base"), F.col("_u_mult"))
-    amount = signed_amount(cents.cast("double") / F.lit(100.0), F.col("is_return"))
-    return base.select(
+    # round(uniform(category range) * uniform(segment multiplier), 2) in
+    # cents, in integers: base in 1e-4 units times multiplier in 1e-4 units.
+    base = "CASE " + " ".join(
+        f"WHEN category = '{n}' THEN {lo * STEPS} + {hi - lo} * (_u_base % {STEPS + 1})"
+        for n, (lo, hi) in CATEGORY_RANGE.items()) + " END"
+    mult = "CASE " + " ".join(
+        f"WHEN customer_segment = '{n}' THEN {round(lo * STEPS)} + {round((hi - lo) * 10)} * (_u_mult % 1001)"
+        for n, (lo, hi) in SEGMENT_MULTIPLIER.items()) + " END"
+    cents = f"CAST(floor((CAST({base} AS BIGINT) * CAST({mult} AS BIGINT) + 500000) / 1000000) AS BIGINT)"
+    amount = signed_amount(F.expr(f"CAST({cents} AS DOUBLE) / 100.0D"), F.col("is_return"))
+    return raw.select(
         "transaction_id", "customer_id", "timestamp", amount.alias("amount"),
         "category", "payment_method", "store_location", "customer_segment",
         "discount_applied", "is_return", "currency",
