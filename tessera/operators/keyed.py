@@ -65,6 +65,8 @@ def group_by_key(df: DataFrame, key: str, value: str, salt=None,
 
     ``salt`` should tell rows apart (a primary key); by default it is the
     value itself, so exact copies of one (key, value) land in the same part.
+    ``chunk_rows`` bounds the values per output row; lower it for wide values
+    (each part holds about ``chunk_rows`` x value size bytes).
     With ``multiset=True`` copies are instead pre-aggregated map-side into
     (value, n) pairs before any shuffle and the parts hold distinct values
     with their multiplicity, so even a single value copied into a third of
