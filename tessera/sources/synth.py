@@ -52,19 +52,22 @@ def synth_transactions(orders: DataFrame) -> DataFrame:
     k, c = "o_orderkey", "o_custkey"
     x = draw_sql(k, "txn2", 3)
     ms = draw_sql(k, "txn", 1)
+    hour = weighted_index_sql(draw_sql(k, "txn", 0) + f" % {sum(HOUR_WEIGHTS)}", HOUR_WEIGHTS)
+    category = weighted_pick_sql(draw_sql(k, "txn", 2) + " % 100", CATEGORIES)
+    payment = weighted_pick_sql(draw_sql(k, "txn2", 1) + " % 100", PAYMENTS)
+    segment = weighted_pick_sql(draw_sql(c, "segment", 0) + " % 100", SEGMENTS)
+    store = draw_sql(k, "txn2", 2)
     stores = ", ".join("'" + s + "'" for s in STORES)
     discounts = ", ".join(str(d) for d in DISCOUNTS)
     raw = orders.selectExpr(
         f"concat('TXN-', CAST({k} AS STRING)) AS transaction_id",
         f"concat('CUST_', CAST({c} AS STRING)) AS customer_id",
         "make_timestamp_ntz(year(o_orderdate), month(o_orderdate), day(o_orderdate), "
-        f"{weighted_index_sql(f'{draw_sql(k, 'txn', 0)} % {sum(HOUR_WEIGHTS)}', HOUR_WEIGHTS)}, "
-        f"CAST({ms} % 60 AS INT), CAST(({ms} div 60) % 60 AS INT)) AS timestamp",
-        f"{weighted_pick_sql(f'{draw_sql(k, 'txn', 2)} % 100', CATEGORIES)} AS category",
-        f"{weighted_pick_sql(f'{draw_sql(k, 'txn2', 1)} % 100', PAYMENTS)} AS payment_method",
-        f"element_at(array({stores}), CAST({draw_sql(k, 'txn2', 2)} % {len(STORES)} + 1 AS INT)) "
-        "AS store_location",
-        f"{weighted_pick_sql(f'{draw_sql(c, 'segment', 0)} % 100', SEGMENTS)} AS customer_segment",
+        f"{hour}, CAST({ms} % 60 AS INT), CAST(({ms} div 60) % 60 AS INT)) AS timestamp",
+        f"{category} AS category",
+        f"{payment} AS payment_method",
+        f"element_at(array({stores}), CAST({store} % {len(STORES)} + 1 AS INT)) AS store_location",
+        f"{segment} AS customer_segment",
         f"CAST(CASE WHEN {x} % 100 < {DISCOUNT_PCT} THEN element_at(array({discounts}), "
         f"CAST(({x} div 100) % {len(DISCOUNTS)} + 1 AS INT)) ELSE 0 END AS BIGINT) AS discount_applied",
         f"({x} div 1000) % 100 < {RETURN_PCT} AS is_return",
