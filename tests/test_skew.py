@@ -94,3 +94,35 @@ def test_approximate_summary_is_close_and_single_shuffle(spark):
     assert all(approx[k]["distinct_categories"] == exact[k]["distinct_categories"] for k in exact)
     plan = customer_daily_summary(df, approx_rsd=0.01)._jdf.queryExecution().executedPlan().toString()
     assert "Expand [" not in plan and plan.count("Exchange hashpartitioning") == 1
+
+
+def test_billing_export_join_splits_a_hot_part(spark):
+    """lineitem x part where one part is on a third of the lines: without a
+    broadcast the join is split by AQE's skew handling, rows stay whole."""
+    from tessera.sources.usage import billing_export
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
+            "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        li = spark.range(60000).selectExpr(
+            "id AS l_orderkey", "CASE WHEN id % 3 = 0 THEN 0 ELSE id % 997 END AS l_partkey",
+            "1 AS l_linenumber", "CAST(id % 100 AS DOUBLE) AS l_extendedprice",
+            "IF(id % 2 = 0, 'N', 'R') AS l_returnflag", "TIMESTAMP_NTZ '2024-01-01 00:00:00' AS l_shipdate")
+        part = spark.range(997).selectExpr("id AS p_partkey", "concat('p', id) AS p_name",
+                                           "IF(id % 2 = 0, 'MEDIUM', 'SMALL') AS p_type")
+        out = billing_export(li, part)
+        qe = out._jdf.queryExecution()
+        assert qe.executedPlan().execute().count() == 60000
+        assert "SortMergeJoin(skew=true)" in qe.executedPlan().toString()
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
