@@ -53,8 +53,9 @@ def customer_etl_roundtrip(spark, sf_dir):
     return read_parquet(spark, out)
 
 
-def _daily_summaries(spark, sf_dir) -> str:
-    """Write one summary per day under ``dt=`` folders (idempotent per day)."""
+def _daily_summaries(spark, sf_dir) -> tuple[str, StructType]:
+    """Write one summary per day under ``dt=`` folders (idempotent per day);
+    returns the folder and the table schema (partition column last)."""
     t = transactions(spark, sf_dir)
     daily = (t.groupBy("dt", "customer_id").agg(
         F.countDistinct("transaction_id").alias("unique_transactions"),
@@ -64,7 +65,8 @@ def _daily_summaries(spark, sf_dir) -> str:
         F.count("amount").alias("amount_n")))
     out = shared_dir(spark, "customer_daily")
     replace_partitions(daily, out, ["dt"], within=["customer_id"])
-    return out
+    fields = [f for f in daily.schema.fields if f.name != "dt"] + [daily.schema["dt"]]
+    return out, StructType(fields)
 
 
 def _table_name() -> str:
@@ -74,8 +76,8 @@ def _table_name() -> str:
 
 def external_table_roundtrip(spark, sf_dir):
     """Dated output -> unmanaged external table -> per-day row counts."""
-    path = _daily_summaries(spark, sf_dir)
-    ext = register_external(spark, _table_name(), path, partitioned=True)
+    path, schema = _daily_summaries(spark, sf_dir)
+    ext = register_external(spark, _table_name(), path, partitioned=True, schema=schema)
     return ext.groupBy("dt").agg(
         F.count(F.lit(1)).alias("customers"),
         F.sum("unique_transactions").alias("transactions"))
@@ -83,8 +85,8 @@ def external_table_roundtrip(spark, sf_dir):
 
 def gate_row_count(spark, sf_dir):
     """COUNT(*) of the loaded external table; the gate fails on 0 rows."""
-    path = _daily_summaries(spark, sf_dir)
-    ext = register_external(spark, _table_name(), path, partitioned=True)
+    path, schema = _daily_summaries(spark, sf_dir)
+    ext = register_external(spark, _table_name(), path, partitioned=True, schema=schema)
     # One aggregate row, kept so the gate and the caller share one pass.
     result = ext.agg(F.count(F.lit(1)).alias("row_count")).persist()
     require_truthy(result, "row count gate")
