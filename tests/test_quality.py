@@ -58,3 +58,17 @@ def test_inline_contract_fails_the_job(spark):
     bad = enforce_schema(spark.createDataFrame([(1, None)], "k bigint, n bigint"), contract, inline=True)
     with pytest.raises(Exception, match="NULL in required column n"):
         bad.collect()
+
+
+def test_latest_partitions_respects_the_scan_budget(spark, tmp_path):
+    from tessera.operators.topk import latest_partitions
+    df = spark.range(400).selectExpr("id", "CAST(date_add(DATE '2024-01-01', CAST(id % 8 AS INT)) AS DATE) AS dt")
+    df.write.partitionBy("dt").parquet(str(tmp_path / "p"))
+    t = spark.read.parquet(str(tmp_path / "p"))
+    top = latest_partitions(t, "dt", 5, tiebreak=["id"], max_scan_bytes=10 ** 9).collect()
+    assert [r["id"] for r in top] == [7, 15, 23, 31, 39]
+    assert {r["dt"].isoformat() for r in top} == {"2024-01-08"}
+    with pytest.raises(GateFailed):
+        latest_partitions(t, "dt", 5, max_scan_bytes=10)
+    # more rows asked than the newest days hold: older days are read too
+    assert len(latest_partitions(t, "dt", 120).collect()) == 120
