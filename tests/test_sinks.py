@@ -75,3 +75,20 @@ def test_malformed_json_lines_are_kept_as_corrupt_records(spark):
     rows = sorted(docs.collect(), key=lambda r: (r["id"] is None, r["id"] or 0, r[CORRUPT] or ""))
     assert rows[0]["id"] == 1 and rows[0][CORRUPT] is None
     assert [r[CORRUPT] is not None for r in rows[1:]] == [True, True]
+
+
+def test_bucketed_tables_join_without_shuffle(spark):
+    from tessera.sinks.files import write_bucketed
+    li = spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet").select("l_partkey", "l_extendedprice")
+    part = spark.read.parquet("/root/testdata/sf0.001/part.parquet").select("p_partkey", "p_name")
+    write_bucketed(li, "t_li_b", 8, "l_partkey", path=shared_dir(spark, "t_li_b"))
+    write_bucketed(part, "t_part_b", 8, "p_partkey", path=shared_dir(spark, "t_part_b"))
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        j = spark.table("t_li_b").join(spark.table("t_part_b"), F.col("l_partkey") == F.col("p_partkey"))
+        plan = j._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Exchange" not in plan
+        assert j.count() == li.count()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
