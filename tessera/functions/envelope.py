@@ -46,8 +46,10 @@ def split_valid(df: DataFrame, reason: str = "reject_reason") -> tuple[DataFrame
 
 
 def items_count(col: str = "items") -> Column:
-    """``len(doc.get('items', []))``: a missing list counts 0."""
-    return F.coalesce(F.size(F.col(col)), F.lit(0)).cast("bigint")
+    """``len(doc.get('items', []))``: a missing list counts 0. (``size`` of a
+    NULL is -1 rather than NULL when ANSI mode is off, so test for NULL.)"""
+    c = F.col(col)
+    return F.when(c.isNull(), F.lit(0)).otherwise(F.size(c)).cast("bigint")
 
 
 def pretty_json(col) -> Column:
