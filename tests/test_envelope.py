@@ -27,3 +27,15 @@ def test_envelope_cases(spark):
         "no data", "bad base64", "bad utf8", "bad json"]
     good, bad = split_valid(decode_envelope(df))
     assert good.count() == 2 and bad.count() == 4
+
+
+def test_items_count_missing_list_is_zero_in_both_ansi_modes(spark):
+    from tessera.functions.envelope import items_count
+    df = spark.createDataFrame([([1, 2],), (None,), ([],)], "items array<int>")
+    old = spark.conf.get("spark.sql.ansi.enabled")
+    try:
+        for mode in ("true", "false"):
+            spark.conf.set("spark.sql.ansi.enabled", mode)
+            assert [r[0] for r in df.select(items_count("items")).collect()] == [2, 0, 0]
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", old)
