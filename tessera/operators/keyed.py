@@ -21,6 +21,9 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
+from pyspark.sql.types import ByteType, IntegerType, LongType, ShortType
+
+from tessera.functions.draws import draw
 
 CHUNK_ROWS = 100_000
 
@@ -29,10 +32,18 @@ def _c(col) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
 
-def salt_bits(col) -> Column:
-    """Unsigned 32-bit hash of the string form (md5 prefix); engine-portable.
-    NULL hashes to 0 so rows with a NULL salt stay in part 0 of their key."""
-    h = F.conv(F.substring(F.md5(_c(col).cast("string")), 1, 8), 16, 10).cast("bigint")
+_INTEGRAL = (LongType, IntegerType, ShortType, ByteType)
+
+
+def salt_bits(col, integral: bool = False) -> Column:
+    """Unsigned 32-bit hash of a salt, reproducible by any SQL engine: the
+    integer mixer of ``functions.draws`` for integral salts (a few integer
+    operations), else an md5 prefix of the string form. NULL hashes to 0, so
+    rows with a NULL salt stay in part 0 of their key."""
+    if integral:
+        h = draw(col, "part", 0)
+    else:
+        h = F.conv(F.substring(F.md5(_c(col).cast("string")), 1, 8), 16, 10).cast("bigint")
     return F.coalesce(h, F.lit(0).cast("bigint"))
 
 
@@ -52,10 +63,12 @@ def _parts(df: DataFrame, key: str, chunk_rows: int) -> DataFrame:
                    F.ceil(F.count(F.lit(1)) / F.lit(float(chunk_rows))).cast("bigint")).alias("__parts"))
 
 
-def _with_part(df: DataFrame, key: str, salt, chunk_rows: int) -> DataFrame:
+def _with_part(df: DataFrame, key: str, salt: str, chunk_rows: int) -> DataFrame:
     parts = _parts(df, key, chunk_rows)
+    integral = isinstance(df.schema[salt].dataType, _INTEGRAL)
     j = df.join(parts, df[key].eqNullSafe(parts["__k"]))
-    return j.withColumn("part", F.pmod(salt_bits(salt), F.col("__parts"))).drop("__k", "__parts")
+    return j.withColumn("part", F.pmod(salt_bits(salt, integral), F.col("__parts"))).drop(
+        "__k", "__parts")
 
 
 def group_by_key(df: DataFrame, key: str, value: str, salt=None,
@@ -94,11 +107,14 @@ def cogroup(inputs: Mapping[str, DataFrame], key: str = "key", value: str = "val
     """
     tags = list(inputs)
     types = {t: d.schema[value].dataType for t, d in inputs.items()}
+    salt_col = {t: ("salt" if "salt" in d.columns else value) for t, d in inputs.items()}
+    # Integral salts everywhere keep the cheap integer hash; else hash strings.
+    salt_type = "bigint" if all(isinstance(inputs[t].schema[c].dataType, _INTEGRAL)
+                                for t, c in salt_col.items()) else "string"
     u = None
     for t, d in inputs.items():
-        salt = F.col("salt") if "salt" in d.columns else F.col(value)
         cols = [F.col(key).alias("__key"), F.lit(t).alias("__tag"),
-                salt.cast("string").alias("__salt")]
+                F.col(salt_col[t]).cast(salt_type).alias("__salt")]
         cols += [(F.col(value) if o == t else F.lit(None)).cast(types[o]).alias(f"__v_{o}")
                  for o in tags]
         part = d.select(*cols)

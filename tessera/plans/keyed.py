@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from tessera.functions.draws import sql_draw
 from tessera.operators.keyed import (CHUNK_ROWS, cogroup, combine_globally,
                                      combine_per_key, group_by_key)
 from tessera.sources.memory import lookup
@@ -65,7 +66,9 @@ QUERIES = {
 }
 
 
-def _salt_sql(x: str) -> str:
+def _salt_sql(x: str, integral: bool = True) -> str:
+    if integral:
+        return f"COALESCE({sql_draw(x, 'part', 0)}, 0)"
     return f"COALESCE(CAST('0x' || substr(md5(CAST({x} AS VARCHAR)), 1, 8) AS BIGINT), 0)"
 
 
@@ -85,10 +88,10 @@ GROUP BY 1, 2""",
 FROM orders GROUP BY o_custkey""",
     "cogroup_orders": f"""
 WITH u AS (
-  SELECT o_custkey AS key, 'orders' AS tag, CAST(o_orderkey AS VARCHAR) AS salt,
+  SELECT o_custkey AS key, 'orders' AS tag, CAST(o_orderkey AS BIGINT) AS salt,
          o_totalprice AS v_orders, CAST(NULL AS VARCHAR) AS v_customer FROM orders
   UNION ALL
-  SELECT c_custkey, 'customer', CAST(c_custkey AS VARCHAR), CAST(NULL AS DOUBLE), c_name FROM customer),
+  SELECT c_custkey, 'customer', CAST(c_custkey AS BIGINT), CAST(NULL AS DOUBLE), c_name FROM customer),
 c AS (SELECT key AS k, {_parts_sql('COUNT(*)')} AS parts FROM u GROUP BY 1)
 SELECT u.key, {_salt_sql('u.salt')} % c.parts AS part,
        COALESCE(list(v_orders ORDER BY v_orders) FILTER (WHERE tag = 'orders'), []) AS orders,
