@@ -4,10 +4,49 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tessera.llm import quality_rules, simhash_dups
+from tessera.llm import decontaminate, quality_rules, simhash_dups
 from tessera.sources.tables import table
 
 
+def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.hits(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+                        F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"),
+                        (F.col("n_hit") > 0).alias("contaminated"))
+
+
+OP4_SQL = """
+WITH item_words AS (
+  SELECT DISTINCT item_id, list_filter(string_split_regex(
+           translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), lambda x: x <> '') AS w
+  FROM benchmark WHERE text IS NOT NULL),
+item_windows AS (
+  SELECT DISTINCT item_id, list_slice(w, i, i + 9) AS win
+  FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS i FROM item_words WHERE len(w) > 0)),
+sizes AS (SELECT DISTINCT len(win) AS n FROM item_windows),
+doc_words AS (
+  SELECT row_number() OVER () AS r, doc_id, list_filter(string_split_regex(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), lambda x: x <> '') AS w
+  FROM documents),
+doc_windows AS (
+  SELECT r, n, i, list_slice(w, i, i + n - 1) AS win
+  FROM (SELECT r, n, w, unnest(range(1, len(w) - n + 2)) AS i FROM doc_words, sizes WHERE len(w) >= n)),
+met AS (
+  SELECT d.r, d.i, d.n, t.item_id FROM doc_windows d JOIN item_windows t ON d.win = t.win),
+covered AS (
+  SELECT r, count(DISTINCT p) AS n_hit FROM (SELECT r, unnest(range(i, i + n)) AS p FROM met) GROUP BY r),
+items AS (
+  SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS listed
+  FROM (SELECT DISTINCT r, CAST(item_id AS VARCHAR) AS item FROM met WHERE item_id IS NOT NULL) GROUP BY r)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+       CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(listed, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AS contaminated
+FROM doc_words LEFT JOIN covered USING (r) LEFT JOIN items USING (r)
+"""
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = quality_rules.train(docs, table(spark, sf_dir, "labels"))
@@ -22,8 +61,11 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op4_decontaminate": op4_decontaminate,
     "op7_quality_rules": op7_quality_rules,
     "op10_simhash": op10_simhash,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE = {
+    "op4_decontaminate": OP4_SQL,
+}
