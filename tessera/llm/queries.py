@@ -4,10 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tessera.llm import decontaminate, quality_rules, simhash_dups
+from tessera.llm import decontaminate, packing, quality_rules, secret_scan, simhash_dups
 from tessera.sources.tables import table
 
 
+def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
 def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.hits(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
@@ -47,6 +51,12 @@ FROM doc_words LEFT JOIN covered USING (r) LEFT JOIN items USING (r)
 """
 
 
+def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    ctx = secret_scan.context(docs)
+    return secret_scan.scan(docs, ctx, secret_scan.train(docs, ctx))
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = quality_rules.train(docs, table(spark, sf_dir, "labels"))
@@ -61,7 +71,9 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op3_best_fit_packing": op3_best_fit_packing,
     "op4_decontaminate": op4_decontaminate,
+    "op6_secret_scan": op6_secret_scan,
     "op7_quality_rules": op7_quality_rules,
     "op10_simhash": op10_simhash,
 }
