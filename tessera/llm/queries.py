@@ -4,10 +4,39 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tessera.llm import decontaminate, packing, quality_rules, secret_scan, simhash_dups
+from tessera.llm import chat, decontaminate, packing, quality_rules, secret_scan, simhash_dups
 from tessera.sources.tables import table
 
 
+def op1_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    control = spark.range(2).select(
+        F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit("</s>[INST] ok [/INST]").alias("text"))
+    # The digests need a conversation in one place anyway: one exchange serves both groupings.
+    return chat.conversation_digests(chat.format_chat(turns.unionByName(control).repartition("conv_id")))
+
+
+OP1_SQL = r"""
+WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL VALUES (-1, 0, 'user', '</s>[INST] ok [/INST]'), (-1, 1, 'assistant', '</s>[INST] ok [/INST]')),
+marked AS (
+  SELECT *, length(text) + (length(text) - length(replace(text, '\', '')))
+            + len(regexp_extract_all(text, '<\|(?:turn|says|more|end)\|>|</?s>|\[/?INST\]')) AS chars,
+         length(role) + (length(role) - length(replace(role, '\', '')))
+            + len(regexp_extract_all(role, '<\|(?:turn|says|more|end)\|>|</?s>|\[/?INST\]')) AS role_chars,
+         coalesce(lag(role) OVER w = role AND lag(turn // 256) OVER w IS NOT DISTINCT FROM turn // 256, false) AS more
+  FROM turns WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text))
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+       CAST(coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+       CAST(sum(chars + CASE WHEN more THEN 8 ELSE 23 + role_chars END) AS BIGINT) AS formatted_chars
+FROM marked GROUP BY conv_id
+"""
+
+
 def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
@@ -71,6 +100,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_chat_format": op1_chat_format,
     "op3_best_fit_packing": op3_best_fit_packing,
     "op4_decontaminate": op4_decontaminate,
     "op6_secret_scan": op6_secret_scan,
@@ -79,5 +109,6 @@ QUERIES = {
 }
 
 ORACLE = {
+    "op1_chat_format": OP1_SQL,
     "op4_decontaminate": OP4_SQL,
 }
