@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tessera.llm import chat, decontaminate, packing, quality_rules, secret_scan, simhash_dups
+from tessera.llm import chat, decontaminate, packing, quality_rules, secret_scan, simhash_dups, url_filter
 from tessera.sources.tables import table
 
 
@@ -37,6 +37,15 @@ FROM marked GROUP BY conv_id
 """
 
 
+#: The rules of the URL query.
+URL_RULES = (("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"), ("block", "net/es/"),
+             ("block", "net/fr/"))
+
+
+def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(table(spark, sf_dir, "pages"), URL_RULES)
+
+
 def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
@@ -101,6 +110,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_chat_format": op1_chat_format,
+    "op2_url_filter": op2_url_filter,
     "op3_best_fit_packing": op3_best_fit_packing,
     "op4_decontaminate": op4_decontaminate,
     "op6_secret_scan": op6_secret_scan,
