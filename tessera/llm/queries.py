@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tessera.llm import chat, decontaminate, packing, quality_rules, secret_scan, simhash_dups, url_filter
+from tessera.llm import chat, decontaminate, license_scan, packing, quality_rules, secret_scan, simhash_dups, url_filter
 from tessera.sources.tables import table
 
 
@@ -89,6 +89,10 @@ FROM doc_words LEFT JOIN covered USING (r) LEFT JOIN items USING (r)
 """
 
 
+def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(table(spark, sf_dir, "documents"))
+
+
 def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     ctx = secret_scan.context(docs)
@@ -113,6 +117,7 @@ QUERIES = {
     "op2_url_filter": op2_url_filter,
     "op3_best_fit_packing": op3_best_fit_packing,
     "op4_decontaminate": op4_decontaminate,
+    "op5_license_scan": op5_license_scan,
     "op6_secret_scan": op6_secret_scan,
     "op7_quality_rules": op7_quality_rules,
     "op10_simhash": op10_simhash,
