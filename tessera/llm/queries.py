@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tessera.llm import chat, decontaminate, license_scan, packing, quality_rules, secret_scan, simhash_dups, url_filter
+from tessera.llm import chat, decontaminate, license_scan, packing, quality_rules, secret_scan, simhash_dups, url_filter, warc_zip
 from tessera.sources.tables import table
 
 
@@ -107,6 +107,22 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "probability")
 
 
+def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc_zip.digests(warc_zip.round_trip(table(spark, sf_dir, "pages")))
+
+
+OP9_SQL = """
+WITH p AS (
+  SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages),
+f AS (
+  SELECT *, CASE WHEN payload_bytes >= 100 THEN min(page_id) OVER (PARTITION BY payload_digest) ELSE page_id END AS first FROM p)
+SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes, payload_digest,
+       CASE WHEN first IS NOT DISTINCT FROM page_id THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN first IS DISTINCT FROM page_id THEN first END AS refers_to
+FROM f
+"""
+
+
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash_dups.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
@@ -120,10 +136,12 @@ QUERIES = {
     "op5_license_scan": op5_license_scan,
     "op6_secret_scan": op6_secret_scan,
     "op7_quality_rules": op7_quality_rules,
+    "op9_warc": op9_warc,
     "op10_simhash": op10_simhash,
 }
 
 ORACLE = {
     "op1_chat_format": OP1_SQL,
     "op4_decontaminate": OP4_SQL,
+    "op9_warc": OP9_SQL,
 }
