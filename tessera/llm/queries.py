@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tessera.llm import chat, decontaminate, license_scan, packing, quality_rules, secret_scan, simhash_dups, url_filter, warc_zip
+from tessera.llm import chat, decontaminate, license_scan, lm_quality, packing, quality_rules, secret_scan, simhash_dups, url_filter, warc_zip
 from tessera.sources.tables import table
 
 
@@ -107,6 +107,11 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "probability")
 
 
+def op8_lm_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    trusted = table(spark, sf_dir, "labels").where("quality = 1 AND toxic = 0")
+    return lm_quality.score(table(spark, sf_dir, "documents"), trusted)
+
+
 def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc_zip.digests(warc_zip.round_trip(table(spark, sf_dir, "pages")))
 
@@ -136,6 +141,7 @@ QUERIES = {
     "op5_license_scan": op5_license_scan,
     "op6_secret_scan": op6_secret_scan,
     "op7_quality_rules": op7_quality_rules,
+    "op8_lm_quality": op8_lm_quality,
     "op9_warc": op9_warc,
     "op10_simhash": op10_simhash,
 }
