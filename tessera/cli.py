@@ -23,10 +23,7 @@ from pyspark.sql import functions as F
 
 
 def _customer_etl(spark: SparkSession, a) -> int:
-    from tessera.operators.quality import require_truthy
-    from tessera.operators.summaries import customer_daily_summary
-    from tessera.sinks.files import replace_partitions
-    from tessera.sources.files import register_external
+    from tessera.plans.customer import load_day
 
     src = spark.read.parquet(a.input_path)
     day = F.lit(a.date).cast("date")
@@ -34,12 +31,7 @@ def _customer_etl(spark: SparkSession, a) -> int:
         src = src.where(F.col("dt") == day)
     elif "timestamp" in src.columns:             # flat files: filter on the event day
         src = src.where(F.to_date("timestamp") == day)
-    summary = customer_daily_summary(src).withColumn("dt", day)
-    replace_partitions(summary, a.output_path, ["dt"], within=["customer_id"])
-    if a.table:
-        ext = register_external(spark, a.table, a.output_path, partitioned=True)
-        loaded = ext.where(F.col("dt") == day).agg(F.count(F.lit(1)).alias("row_count"))
-        require_truthy(loaded, f"{a.table} for {a.date}")
+    load_day(spark, src, a.output_path, a.date, a.table)
     return 0
 
 

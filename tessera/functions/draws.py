@@ -68,28 +68,6 @@ def weighted_index_sql(u: str, weights: Sequence[int]) -> str:
     return f"CASE {' '.join(parts)} ELSE {len(weights) - 1} END"
 
 
-def weighted_pick(u: Column, choices: Sequence[tuple[str, int]]) -> Column:
-    """Label whose cumulative integer weight first exceeds ``u``, where
-    ``u`` is uniform on [0, sum(weights))."""
-    out, acc = None, 0
-    for label, w in choices[:-1]:
-        acc += w
-        out = (F.when(u < acc, F.lit(label)) if out is None
-               else out.when(u < acc, F.lit(label)))
-    last = F.lit(choices[-1][0])
-    return last if out is None else out.otherwise(last)
-
-
-def weighted_index(u: Column, weights: Sequence[int]) -> Column:
-    """Index (0-based) version of ``weighted_pick`` for integer outcomes."""
-    out, acc = None, 0
-    for i, w in enumerate(weights[:-1]):
-        acc += w
-        out = F.when(u < acc, F.lit(i)) if out is None else out.when(u < acc, F.lit(i))
-    last = F.lit(len(weights) - 1)
-    return last if out is None else out.otherwise(last)
-
-
 # DuckDB text of the same draws, for the oracles.
 def sql_draw(seed: str, salt: str, slot: int = 0) -> str:
     k = f"CAST({seed} AS BIGINT)"
@@ -97,19 +75,3 @@ def sql_draw(seed: str, salt: str, slot: int = 0) -> str:
     for _ in range(2):
         x = f"((xor({x} >> 16, {x}) * {_MIX}) & {_MASK})"
     return f"xor({x} >> 16, {x})"
-
-
-def sql_weighted_pick(u: str, choices) -> str:
-    parts, acc = [], 0
-    for label, w in choices[:-1]:
-        acc += w
-        parts.append(f"WHEN {u} < {acc} THEN '{label}'")
-    return f"CASE {' '.join(parts)} ELSE '{choices[-1][0]}' END"
-
-
-def sql_weighted_index(u: str, weights) -> str:
-    parts, acc = [], 0
-    for i, w in enumerate(weights[:-1]):
-        acc += w
-        parts.append(f"WHEN {u} < {acc} THEN {i}")
-    return f"CASE {' '.join(parts)} ELSE {len(weights) - 1} END"

@@ -25,17 +25,24 @@ def envelope_payload(df: DataFrame) -> Column:
 def decode_envelope(df: DataFrame) -> DataFrame:
     """Adds ``payload`` (decoded JSON text), ``entry`` (parsed VARIANT) and
     ``reject_reason`` (NULL when the envelope decoded to valid JSON)."""
-    b64 = envelope_payload(df)
-    raw = F.try_to_binary(b64, F.lit("base64"))
-    text = raw.cast("string")
-    utf8_ok = F.is_valid_utf8(text)
-    payload = F.when(utf8_ok, text)
-    entry = F.try_parse_json(payload)
-    reason = (F.when(b64.isNull(), F.lit(NO_DATA))
-               .when(raw.isNull(), F.lit(BAD_BASE64))
-               .when(~utf8_ok, F.lit(BAD_UTF8))
-               .when(entry.isNull(), F.lit(BAD_JSON)))
-    return df.withColumns({"payload": payload, "entry": entry, "reject_reason": reason})
+    # Each step reads the step before through a lambda variable, and the last
+    # one is exploded: so the optimiser cannot copy a step into every use of
+    # it, and an envelope is decoded and parsed once.
+    decoded = F.transform(F.array(envelope_payload(df)), lambda b: F.struct(
+        b.alias("b64"), F.try_to_binary(b, F.lit("base64")).cast("string").alias("text")))
+    checked = F.transform(decoded, lambda x: F.struct(
+        x["b64"].alias("b64"), x["text"].alias("text"), F.is_valid_utf8(x["text"]).alias("utf8")))
+    parsed = F.transform(checked, lambda x: F.struct(
+        x["b64"].alias("b64"), x["utf8"].alias("utf8"), F.when(x["utf8"], x["text"]).alias("payload"),
+        F.try_parse_json(F.when(x["utf8"], x["text"])).alias("entry")))
+    done = F.col("__decoded")
+    reason = (F.when(done["b64"].isNull(), F.lit(NO_DATA))
+               .when(done["utf8"].isNull(), F.lit(BAD_BASE64))
+               .when(~done["utf8"], F.lit(BAD_UTF8))
+               .when(done["entry"].isNull(), F.lit(BAD_JSON)))
+    return (df.select("*", F.explode(parsed).alias("__decoded"))
+            .withColumns({"payload": done["payload"], "entry": done["entry"], "reject_reason": reason})
+            .drop("__decoded"))
 
 
 def split_valid(df: DataFrame, reason: str = "reject_reason") -> tuple[DataFrame, DataFrame]:

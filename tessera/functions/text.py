@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # A word is a maximal run of characters outside Python's str.split()
@@ -17,8 +17,8 @@ def _c(col) -> Column:
 
 
 def word_count(col) -> Column:
-    """len(line.split()) as a JVM expression; NULL line -> NULL. Counts
-    matches without building the list of words."""
+    """len(line.split()) as a JVM expression; NULL line -> NULL. (Spark counts
+    the elements of the extracted word list of each line.)"""
     return F.regexp_count(_c(col), F.lit(WORD_PATTERN)).cast("bigint")
 
 
@@ -32,6 +32,16 @@ def contains(col, needle: str) -> Column:
     return F.contains(_c(col), F.lit(needle))
 
 
+def flat_map(df: DataFrame, elements: Column, out: str) -> DataFrame:
+    """FlatMap: one row for each of the 0..n elements that a row yields (an array expression)."""
+    return df.withColumn(out, F.explode(elements))
+
+
+def words(col) -> Column:
+    """The words of a line, in order (as ``word_count`` counts them)."""
+    return F.regexp_extract_all(_c(col), F.lit(WORD_PATTERN), F.lit(1))
+
+
 def yield_if(col, pred: Column, element_type: str = "string") -> Column:
     """Array of 0 or 1 elements: the generator body ``if pred: yield value``.
 

@@ -4,13 +4,13 @@ Combines are built-in aggregates, so Spark pre-combines map-side and a hot key
 ships one partial row per map task.
 
 Grouping collects values, which is where a hot key hurts: one key holding a
-third of the rows would become one giant array in one task. So grouped
-output is *chunked*: each key is split into ``ceil(n / chunk_rows)`` parts by
-a hash of a salt column (a row-unique column, by default the value), and each
-output row holds one part. Concatenating the parts of a key gives exactly the
-key's full multiset of values; no row is dropped. The per-key counts come from
-a partial aggregate and are joined back (AQE broadcasts them when small at run
-time, and splits skewed partitions otherwise).
+third of the rows would become one giant array in one task. So grouped output
+is *split*: every key, large or small, has its values dealt over a fixed number
+of ``parts`` by a hash of its rows' salt, a column that tells the rows apart
+(a primary key). Each output row holds one part; the parts of a key together
+hold exactly its multiset of values, also NULL values. One scan and one
+exchange, on (key, part); nothing depends on how many rows a key has. Choose
+``parts`` so that the largest key's values, divided by it, fit a task.
 """
 
 from __future__ import annotations
@@ -20,12 +20,12 @@ from collections.abc import Mapping
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.functions import pandas_udf
 from pyspark.sql.types import ByteType, IntegerType, LongType, ShortType
 
 from tessera.functions.draws import draw
 
-CHUNK_ROWS = 100_000
+#: Parts that each key is split into unless the caller says otherwise.
+PARTS = 16
 
 
 def _c(col) -> Column:
@@ -38,8 +38,8 @@ _INTEGRAL = (LongType, IntegerType, ShortType, ByteType)
 def salt_bits(col, integral: bool = False) -> Column:
     """Unsigned 32-bit hash of a salt, reproducible by any SQL engine: the
     integer mixer of ``functions.draws`` for integral salts (a few integer
-    operations), else an md5 prefix of the string form. NULL hashes to 0, so
-    rows with a NULL salt stay in part 0 of their key."""
+    operations), else an md5 prefix of the string form. NULL hashes to 0 (a
+    row-unique salt is NULL at most once)."""
     if integral:
         h = draw(col, "part", 0)
     else:
@@ -56,70 +56,52 @@ def combine_per_key(df: DataFrame, key: str, value: str, out: str = "total") ->
     return df.groupBy(key).agg(F.sum(value).alias(out))
 
 
-def _parts(df: DataFrame, key: str, chunk_rows: int) -> DataFrame:
-    """Per key: number of output parts (>= 1)."""
-    return df.groupBy(F.col(key).alias("__k")).agg(
-        F.greatest(F.lit(1).cast("bigint"),
-                   F.ceil(F.count(F.lit(1)) / F.lit(float(chunk_rows))).cast("bigint")).alias("__parts"))
-
-
-def _with_part(df: DataFrame, key: str, salt: str, chunk_rows: int) -> DataFrame:
-    parts = _parts(df, key, chunk_rows)
+def _with_part(df: DataFrame, salt: str, parts: int) -> DataFrame:
     integral = isinstance(df.schema[salt].dataType, _INTEGRAL)
-    j = df.join(parts, df[key].eqNullSafe(parts["__k"]))
-    return j.withColumn("part", F.pmod(salt_bits(salt, integral), F.col("__parts"))).drop(
-        "__k", "__parts")
+    return df.withColumn("part", F.pmod(salt_bits(salt, integral), F.lit(parts).cast("bigint")))
 
 
-def group_by_key(df: DataFrame, key: str, value: str, salt=None,
-                 chunk_rows: int = CHUNK_ROWS, out: str = "values",
-                 multiset: bool = False) -> DataFrame:
+def group_by_key(df: DataFrame, key: str, value: str, salt, parts: int = PARTS,
+                 out: str = "values", multiset: bool = False) -> DataFrame:
     """(key, part, sorted values) rows; NULL values are kept.
 
-    ``salt`` should tell rows apart (a primary key); by default it is the
-    value itself, so exact copies of one (key, value) land in the same part.
-    ``chunk_rows`` bounds the values per output row; lower it for wide values
-    (each part holds about ``chunk_rows`` x value size bytes).
-    With ``multiset=True`` copies are instead pre-aggregated map-side into
-    (value, n) pairs before any shuffle and the parts hold distinct values
-    with their multiplicity, so even a single value copied into a third of
-    all rows yields one small struct.
+    ``salt`` tells rows apart (a primary key). With ``multiset=True`` it is not
+    needed: copies are pre-aggregated map-side into (value, n) pairs before any
+    shuffle and the parts hold distinct values with their multiplicity, so even
+    a single value copied into a third of all rows yields one small struct.
     """
     if multiset:
         pairs = df.groupBy(key, value).agg(F.count(F.lit(1)).alias("n"))
-        tagged = _with_part(pairs.withColumn("__salt", F.col(value)), key, "__salt", chunk_rows)
+        tagged = _with_part(pairs.withColumn("__salt", F.col(value)), "__salt", parts)
         vals = F.array_sort(F.collect_list(F.struct(F.col(value).alias("value"), F.col("n"))))
         return tagged.groupBy(key, "part").agg(vals.alias(out))
-    salt = value if salt is None else salt
-    tagged = _with_part(df.select(key, value, _c(salt).alias("__salt")), key, "__salt", chunk_rows)
+    tagged = _with_part(df.select(key, value, _c(salt).alias("__salt")), "__salt", parts)
     vals = F.array_sort(F.collect_list(F.struct(F.col(value).alias("v"))))
     return tagged.groupBy(key, "part").agg(F.transform(vals, lambda x: x["v"]).alias(out))
 
 
 def cogroup(inputs: Mapping[str, DataFrame], key: str = "key", value: str = "value",
-            chunk_rows: int = CHUNK_ROWS) -> DataFrame:
+            salt: str = "salt", parts: int = PARTS) -> DataFrame:
     """CoGroupByKey: one row per (key, part) with one sorted list per input
-    tag; ``[]`` where an input has no value for the key. One union and one
-    grouping shuffle; NULL keys group together and NULL values are kept.
+    tag; ``[]`` where an input has no value for the key in that part. One union
+    and one grouping shuffle; NULL keys group together and NULL values are kept.
 
-    Each input has columns ``key`` and ``value`` and optionally ``salt`` (a
-    row-unique column used to split hot keys; the value otherwise).
+    Each input has the columns ``key``, ``value`` and ``salt`` (row-unique).
     """
     tags = list(inputs)
     types = {t: d.schema[value].dataType for t, d in inputs.items()}
-    salt_col = {t: ("salt" if "salt" in d.columns else value) for t, d in inputs.items()}
     # Integral salts everywhere keep the cheap integer hash; else hash strings.
-    salt_type = "bigint" if all(isinstance(inputs[t].schema[c].dataType, _INTEGRAL)
-                                for t, c in salt_col.items()) else "string"
+    salt_type = "bigint" if all(isinstance(d.schema[salt].dataType, _INTEGRAL)
+                                for d in inputs.values()) else "string"
     u = None
     for t, d in inputs.items():
         cols = [F.col(key).alias("__key"), F.lit(t).alias("__tag"),
-                F.col(salt_col[t]).cast(salt_type).alias("__salt")]
+                F.col(salt).cast(salt_type).alias("__salt")]
         cols += [(F.col(value) if o == t else F.lit(None)).cast(types[o]).alias(f"__v_{o}")
                  for o in tags]
         part = d.select(*cols)
         u = part if u is None else u.unionByName(part)
-    tagged = _with_part(u, "__key", "__salt", chunk_rows)
+    tagged = _with_part(u, "__salt", parts)
     aggs = []
     for t in tags:
         lst = F.array_sort(F.collect_list(F.when(F.col("__tag") == t,
@@ -128,27 +110,42 @@ def cogroup(inputs: Mapping[str, DataFrame], key: str = "key", value: str = "val
     return tagged.groupBy(F.col("__key").alias(key), "part").agg(*aggs)
 
 
+#: Keys that a task holds partial results of before it passes them on.
+HELD_KEYS = 200_000
+
+
 def combine_per_key_with(df: DataFrame, key: str, value: str, fn, out: str = "total",
-                         return_type: str = "double") -> DataFrame:
+                         return_type: str = "double", held_keys: int = HELD_KEYS) -> DataFrame:
     """CombinePerKey with a user combiner ``fn(pandas.Series) -> scalar``.
 
-    ``fn`` must be associative and commutative (like sum, min, max). It runs
-    twice, like a combiner: first inside every map task on each Arrow batch
-    (``mapInPandas``, no shuffle), then once per key over the partial results.
-    A hot key therefore reaches its final group as one partial value per
-    batch, never as all of its rows.
+    ``fn`` must be associative and commutative (like sum, min, max). Like a
+    combiner it runs twice: inside every map task, whose partial results are
+    carried from batch to batch (``mapInPandas``, no shuffle), then once per key
+    over the partial results. A hot key reaches its final group as one partial
+    value per task; a task that meets more than ``held_keys`` keys passes on
+    what it holds, so its memory is bounded.
     """
     schema = f"{key} {df.schema[key].dataType.simpleString()}, __p {return_type}"
+    final_schema = f"{key} {df.schema[key].dataType.simpleString()}, {out} {return_type}"
+
+    def merged(frames, col):
+        g = pd.concat(frames).groupby(key, dropna=False, sort=False)[col].agg(fn)
+        return pd.DataFrame({key: g.index, "__p": g.values})
 
     def partial(batches):
+        held = None
         for b in batches:
             if len(b):
-                g = b.groupby(key, dropna=False, sort=False)[value].agg(fn)
-                yield pd.DataFrame({key: g.index, "__p": g.values})
+                now = merged([b.rename(columns={value: "__p"})], "__p")
+                held = now if held is None else merged([held, now], "__p")
+                if len(held) > held_keys:
+                    yield held
+                    held = None
+        if held is not None:
+            yield held
 
-    @pandas_udf(return_type)
-    def final(s: pd.Series) -> float:
-        return fn(s)
+    def final(pdf):
+        return merged([pdf], "__p").rename(columns={"__p": out})
 
     partials = df.select(key, value).mapInPandas(partial, schema)
-    return partials.groupBy(key).agg(final(F.col("__p")).alias(out))
+    return partials.groupBy(key).applyInPandas(final, final_schema)

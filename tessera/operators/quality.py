@@ -6,7 +6,7 @@ itself is checked by Spark aggregates, never collected.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -33,29 +33,33 @@ def require_nonempty(df: DataFrame, what: str = "input") -> DataFrame:
     return df
 
 
-def require_positive_total(df: DataFrame, col: str, what: str = "items") -> int:
-    """Aggregate ``col`` in Spark and fail when the total is zero."""
-    total = df.agg(F.coalesce(F.sum(col), F.lit(0)).alias("t")).first()["t"]
-    if not total:
+def require_positive_total(df: DataFrame, col: str, what: str = "items") -> DataFrame:
+    """Fail when the total of a count column (never negative) is zero: the
+    first positive row settles it, so the rest is not read."""
+    if df.where(F.col(col) > 0).limit(1).isEmpty():
         raise GateFailed(f"{what}: total is 0")
-    return int(total)
+    return df
 
 
-def scanned_bytes(df: DataFrame) -> DataFrame:
-    """Bytes of the files a (filtered, pruned) file scan touches.
+def data_files(spark: SparkSession, root: str) -> DataFrame:
+    """Path, ``length`` and partition columns of a dataset's data files, from
+    the listing alone: the content column is not asked for, so none is read."""
+    return (spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet")
+            .load(root).drop("content", "modificationTime"))
 
-    Uses the hidden ``_metadata`` column, so partition and file pruning of
-    ``df``'s own filters apply; one row per distinct file, then a sum.
-    """
-    files = df.select(F.col("_metadata.file_path").alias("f"),
-                      F.col("_metadata.file_size").alias("s")).distinct()
+
+def scanned_bytes(spark: SparkSession, root: str, where=None) -> DataFrame:
+    """Files and bytes that a scan of ``root`` touches; ``where`` filters on partition columns."""
+    files = data_files(spark, root)
+    if where is not None:
+        files = files.where(where)
     return files.agg(F.count(F.lit(1)).alias("files"),
-                     F.coalesce(F.sum("s"), F.lit(0)).cast("bigint").alias("scanned_bytes"))
+                     F.coalesce(F.sum("length"), F.lit(0)).cast("bigint").alias("scanned_bytes"))
 
 
-def require_scan_under(df: DataFrame, max_bytes: int) -> int:
-    """Refuse (raise) when the scan of ``df`` would read more than max_bytes."""
-    n = scanned_bytes(df).first()["scanned_bytes"]
+def require_scan_under(spark: SparkSession, root: str, max_bytes: int, where=None) -> int:
+    """Refuse (raise) when a scan of ``root`` would read more than max_bytes."""
+    n = scanned_bytes(spark, root, where).first()["scanned_bytes"]
     if n > max_bytes:
         raise GateFailed(f"scan of {n} bytes exceeds the cap of {max_bytes}")
     return n

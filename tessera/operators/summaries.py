@@ -4,7 +4,8 @@ All are single ``groupBy().agg()`` passes: Spark computes partial aggregates
 map-side before the shuffle, so a hot key costs one partial row per map task.
 Multiple COUNT(DISTINCT) are planned as Expand + two HashAggregates, whose
 first shuffle is keyed by (key, value) and so spreads a hot key over values.
-Money is summed as DECIMAL so results do not depend on summation order.
+Money is summed as DECIMAL(38,9), so results do not depend on summation order
+and fractions of a cent count; rounding, where the source rounds, comes last.
 """
 
 from __future__ import annotations
@@ -14,19 +15,24 @@ from pyspark.sql import functions as F
 
 from tessera.functions.cleansing import round_half_up
 
-MONEY = "decimal(18,2)"
+MONEY = "decimal(38,9)"
 
 
 def money_sum(col) -> Column:
-    """Order-independent sum of a 2-decimal amount, returned as DOUBLE."""
+    """Order-independent sum of an amount, returned as DOUBLE."""
     c = F.col(col) if isinstance(col, str) else col
     return F.sum(c.cast(MONEY)).cast("double")
 
 
-def money_avg(col) -> Column:
-    """Exact decimal sum / count, rounded half-up to cents."""
+def money_mean(col) -> Column:
+    """Mean of an amount (not rounded) that does not depend on the order of rows."""
     c = F.col(col) if isinstance(col, str) else col
-    return round_half_up(F.sum(c.cast(MONEY)).cast("double") / F.count(c), 2)
+    return F.sum(c.cast(MONEY)).cast("double") / F.count(c)
+
+
+def money_avg(col) -> Column:
+    """The mean rounded half-up to cents, for reports."""
+    return round_half_up(money_mean(col), 2)
 
 
 def customer_daily_summary(df: DataFrame, customer: str = "customer_id",
@@ -34,17 +40,15 @@ def customer_daily_summary(df: DataFrame, customer: str = "customer_id",
                            category: str = "category",
                            payment: str = "payment_method",
                            amount: str = "amount",
-                           exact_avg: bool = False,
                            approx_rsd: float | None = None) -> DataFrame:
     """Per customer: distinct transactions, categories, payment methods and
-    the average amount (returns included, as in the daily ETL).
+    the plain average amount (returns included, as in the daily ETL).
 
     Exact distinct counts expand each row once per counted column before the
     first shuffle. ``approx_rsd`` (e.g. 0.01) switches to HyperLogLog++
     sketches instead: fixed-size partial aggregates, one shuffle, no Expand,
     with that relative standard deviation; counts stay BIGINT.
     """
-    avg = F.avg(amount) if exact_avg else money_avg(amount)
     if approx_rsd is None:
         distinct = lambda c: F.countDistinct(c)
     else:
@@ -53,7 +57,7 @@ def customer_daily_summary(df: DataFrame, customer: str = "customer_id",
         distinct(transaction).alias("unique_transactions"),
         distinct(category).alias("distinct_categories"),
         distinct(payment).alias("distinct_payment_methods"),
-        avg.alias("avg_transaction_amount"),
+        money_mean(amount).alias("avg_transaction_amount"),
     )
 
 

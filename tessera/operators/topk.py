@@ -9,9 +9,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tessera.operators.quality import data_files, require_scan_under
+
 
 def _desc(c) -> Column:
     return F.col(c).desc() if isinstance(c, str) else c
@@ -29,56 +31,39 @@ def sort_report(df: DataFrame, *cols) -> DataFrame:
     return df.orderBy(*cols)
 
 
-def partition_values(df: DataFrame, partition_col: str) -> list:
-    """Distinct values of a partition column, answered from the file index
-    (metadata only: no data file is opened). One value per partition."""
-    spark = df.sparkSession
-    key = "spark.sql.optimizer.metadataOnly"
-    try:
-        old = spark.conf.get(key, None)
-        spark.conf.set(key, "true")
-    except Exception:  # noqa: BLE001 - setting unavailable: plain distinct
-        return [r[0] for r in df.select(partition_col).distinct().collect()]
-    try:
-        return [r[0] for r in df.select(partition_col).distinct().collect()]
-    finally:
-        if old is None:
-            spark.conf.unset(key)
-        else:
-            spark.conf.set(key, old)
-
-
-def latest_partitions(df: DataFrame, partition_col: str, k: int,
+def latest_partitions(spark: SparkSession, root: str, partition_col: str, k: int,
                       order: Sequence = (), tiebreak: Sequence = (),
                       max_scan_bytes: int | None = None) -> DataFrame:
     """Latest ``k`` rows by partition value, reading only needed partitions.
 
-    Sort + limit alone does not prune partitions. So the partition values are
-    listed from the file index (metadata only), and rows are counted in the
-    newest partitions first - 1, then 2, 4, ... more - each count a pruned
-    scan, until ``k`` rows are covered. The final top-k then reads only those
-    partitions. With ``max_scan_bytes`` the pruned scan is refused when its
-    files exceed the budget (checked before the rows are read).
+    Sort + limit alone does not prune partitions. A file holds at least one row
+    as a rule, so the newest partitions with ``k`` files between them, known
+    from the file listing, suffice; their rows are counted from the file footers
+    and, should files be empty, older partitions are added. The top-k is then
+    one pass over those partitions. A caller's ``max_scan_bytes`` refuses a scan
+    whose files exceed it, before rows are read.
     """
-    values = sorted((v for v in partition_values(df, partition_col) if v is not None),
-                    reverse=True)
     pc = F.col(partition_col)
-    seen, i, step, cutoff = 0, 0, 1, None
-    while i < len(values) and seen < k:
-        batch = values[i:i + step]
-        seen += df.where(pc.isin(*batch)).count()
-        cutoff, i, step = batch[-1], i + step, step * 2
-    # Fewer than k rows in dated partitions: NULL-dated rows (sorted last) count too.
-    pruned = df.where(pc >= F.lit(cutoff)) if seen >= k else df
+    rows = spark.read.parquet(root)
+    by_value = data_files(spark, root).where(pc.isNotNull()).groupBy(partition_col).agg(F.count("*").alias("files"))
+    need, pruned, where = k, rows, None
+    while True:
+        # At most ``need`` values reach the driver.
+        newest = by_value.orderBy(pc.desc()).limit(need).collect()
+        files, cutoff = 0, None
+        for value, n in newest:
+            files, cutoff = files + n, value
+            if files >= need:
+                break
+        if cutoff is None or files < need and len(newest) < need:
+            break  # all partitions, with those without a value (sorted last)
+        where = pc >= F.lit(cutoff)
+        pruned = rows.where(where)
+        if pruned.count() >= k:
+            break
+        need, pruned, where = need * 2, rows, None
     if max_scan_bytes is not None:
-        from tessera.operators.quality import require_scan_under
-        require_scan_under(pruned, max_scan_bytes)
+        require_scan_under(spark, root, max_scan_bytes, where)
     spec = [pc.desc()] + [_desc(c) for c in order]
     spec += [F.col(c).asc() if isinstance(c, str) else c for c in tiebreak]
     return pruned.orderBy(*spec).limit(k)
-
-
-def sort_for_storage(df: DataFrame, *cols) -> DataFrame:
-    """Order rows inside each partition only (no global range shuffle): the
-    layout that Parquet min/max statistics need for later pruning."""
-    return df.sortWithinPartitions(*cols)

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions.cleansing import classify
 from tessera.functions.timefn import lookback
+from tessera.operators.summaries import MONEY
 from tessera.session import shared_dir
 from tessera.sinks.files import write_parquet
 from tessera.sources.tables import read_parquet, table
@@ -35,7 +36,7 @@ def cost_by_activity(spark, sf_dir, as_of=BILLING_AS_OF, service="Query Engine")
     usage = li.where((service_description("l_returnflag") == service)
                      & lookback("l_shipdate", as_of, "30 DAYS"))
     per_part = usage.groupBy("l_partkey").agg(
-        F.sum(F.col("l_extendedprice").cast("decimal(18,2)")).alias("cost"))
+        F.sum(F.col("l_extendedprice").cast(MONEY)).alias("cost"))
     part = table(spark, sf_dir, "part").select(
         "p_partkey", sku_description("p_type", "p_name").alias("sku_desc"))
     lines = per_part.join(part, per_part.l_partkey == part.p_partkey)
@@ -74,7 +75,7 @@ WITH usage_lines AS (
   FROM lineitem JOIN part ON l_partkey = p_partkey
   WHERE {SERVICE_SQL} = 'Query Engine'
     AND l_shipdate BETWEEN TIMESTAMP '{BILLING_AS_OF}' - INTERVAL 30 DAY AND TIMESTAMP '{BILLING_AS_OF}')
-SELECT activity, CAST(ROUND(SUM(CAST(cost AS DECIMAL(18,2))), 2) AS DOUBLE) AS total_cost_usd
+SELECT activity, CAST(ROUND(SUM(CAST(cost AS DECIMAL(38,9))), 2) AS DOUBLE) AS total_cost_usd
 FROM (SELECT cost, {_CASE} AS activity FROM usage_lines)
 GROUP BY activity ORDER BY total_cost_usd DESC""",
     "nested_field": f"""

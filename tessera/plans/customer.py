@@ -14,12 +14,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import (DateType, DoubleType, LongType, StructField,
                                StructType)
 
-from tessera.operators.quality import enforce_schema, require_truthy
-from tessera.operators.summaries import customer_daily_summary
-from tessera.session import shared_dir
-from tessera.sinks.files import replace_partitions, write_parquet
-from tessera.sources.files import register_external
-from tessera.sources.tables import read_parquet, table
+from tessera.operators.quality import GateFailed, enforce_schema, require_truthy
+from tessera.operators.summaries import customer_daily_summary, money_sum
+from tessera.session import cut_lineage, shared_dir
+from tessera.sinks.files import replace_folder, write_parquet
+from tessera.sources.files import refresh_external_day, register_external
+from tessera.sources.tables import read_day, read_parquet, table
 
 # Output contract of the daily summary: counts are REQUIRED.
 SUMMARY_CONTRACT = StructType([
@@ -53,44 +53,49 @@ def customer_etl_roundtrip(spark, sf_dir):
     return read_parquet(spark, out)
 
 
-def _daily_summaries(spark, sf_dir) -> tuple[str, StructType]:
-    """Write one summary per day under ``dt=`` folders (idempotent per day);
-    returns the folder and the table schema (partition column last)."""
+def _daily_summaries(spark, sf_dir) -> DataFrame:
+    """One summary row per day and customer."""
     t = transactions(spark, sf_dir)
-    daily = (t.groupBy("dt", "customer_id").agg(
+    return (t.groupBy("dt", "customer_id").agg(
         F.countDistinct("transaction_id").alias("unique_transactions"),
         F.countDistinct("category").alias("distinct_categories"),
         F.countDistinct("payment_method").alias("distinct_payment_methods"),
-        F.sum(F.col("amount").cast("decimal(18,2)")).cast("double").alias("amount_sum"),
+        money_sum("amount").alias("amount_sum"),
         F.count("amount").alias("amount_n")))
-    out = shared_dir(spark, "customer_daily")
-    replace_partitions(daily, out, ["dt"], within=["customer_id"])
-    fields = [f for f in daily.schema.fields if f.name != "dt"] + [daily.schema["dt"]]
-    return out, StructType(fields)
 
 
-def _table_name() -> str:
+def _from_external(spark, path, schema, partition_by, ask) -> DataFrame:
+    """Answer ``ask(table)`` from an external table that exists only meanwhile."""
     # One catalog name per run, so concurrent runs never replace each other.
-    return f"customer_daily_summary_{uuid.uuid4().hex[:8]}"
+    name = f"customer_daily_summary_{uuid.uuid4().hex[:8]}"
+    try:
+        ext = register_external(spark, name, path, bool(partition_by), schema, partition_by)
+        return cut_lineage(ask(ext))
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
 
 
 def external_table_roundtrip(spark, sf_dir):
-    """Dated output -> unmanaged external table -> per-day row counts."""
-    path, schema = _daily_summaries(spark, sf_dir)
-    ext = register_external(spark, _table_name(), path, partitioned=True, schema=schema)
-    return ext.groupBy("dt").agg(
+    """Dated output -> unmanaged external table -> per-day row counts.
+
+    The folders are months: a day of these tables is a few rows, and one folder
+    per day costs more to write and to discover than its rows.
+    """
+    daily = _daily_summaries(spark, sf_dir).withColumn("month", F.date_format("dt", "yyyy-MM"))
+    out = shared_dir(spark, "customer_daily")
+    write_parquet(daily, out, partition_by=["month"])
+    return _from_external(spark, out, daily.schema, ("month",), lambda t: t.groupBy("dt").agg(
         F.count(F.lit(1)).alias("customers"),
-        F.sum("unique_transactions").alias("transactions"))
+        F.sum("unique_transactions").alias("transactions")))
 
 
 def gate_row_count(spark, sf_dir):
     """COUNT(*) of the loaded external table; the gate fails on 0 rows."""
-    path, schema = _daily_summaries(spark, sf_dir)
-    ext = register_external(spark, _table_name(), path, partitioned=True, schema=schema)
-    # One aggregate row, kept so the gate and the caller share one pass.
-    result = ext.agg(F.count(F.lit(1)).alias("row_count")).persist()
-    require_truthy(result, "row count gate")
-    return result
+    daily = _daily_summaries(spark, sf_dir)
+    out = shared_dir(spark, "customer_daily")
+    write_parquet(daily, out)
+    result = _from_external(spark, out, daily.schema, (), lambda t: t.agg(F.count(F.lit(1)).alias("row_count")))
+    return require_truthy(result, "row count gate")
 
 
 def schema_contract(spark, sf_dir):
@@ -101,24 +106,29 @@ def run_daily_etl(spark, input_root: str, output_root: str, ds: str,
                   table_name: str = "customer_daily_summary") -> int:
     """The daily job end to end, for one day ``ds``:
 
-    read the day's transactions (partition-pruned) -> per-customer summary
-    -> replace that day's ``dt=`` folder of the output (a re-run rewrites the
-    same day only) -> create-or-replace the external table over the output
-    -> gate on the loaded day's row count. Returns that count.
+    read the day's transactions (its folder alone) -> ``load_day``.
+    """
+    return load_day(spark, read_day(spark, input_root, ds), output_root, ds, table_name)
+
+
+def load_day(spark, day: DataFrame, output_root: str, ds: str, table_name: str | None) -> int:
+    """Per-customer summary of one day's rows -> replace that day's ``dt=``
+    folder of the output (a re-run rewrites the same day only, and a day that
+    became empty is emptied) -> gate on the row count written -> make the
+    day known to the external table. Returns that count.
     """
-    from tessera.sources.tables import read_day
-    day = read_day(spark, input_root, ds)
     summary = customer_daily_summary(day).withColumn("dt", F.lit(ds).cast("date"))
     # The declared output contract; the key keeps the input's key type.
     key = StructField("customer_id", day.schema["customer_id"].dataType, True)
     contract = StructType([key] + SUMMARY_CONTRACT.fields[1:] + [StructField("dt", DateType(), False)])
     summary = enforce_schema(summary, contract, inline=True)
-    replace_partitions(summary, output_root, ["dt"], within=["customer_id"])
-    ext = register_external(spark, table_name, output_root, partitioned=True)
-    loaded = ext.where(F.col("dt") == F.lit(ds).cast("date")).agg(
-        F.count(F.lit(1)).alias("row_count"))
-    require_truthy(loaded, f"customer summary for {ds}")
-    return loaded.first()["row_count"]
+    folder = replace_folder(summary, output_root, "dt", ds)
+    if table_name:
+        refresh_external_day(spark, table_name, output_root, ds, contract)
+    loaded = read_parquet(spark, folder).count()  # from the file footers
+    if not loaded:
+        raise GateFailed(f"customer summary for {ds}: no row")
+    return loaded
 
 
 _ETL_SQL = """
@@ -126,9 +136,8 @@ SELECT o_custkey AS customer_id,
        COUNT(DISTINCT o_orderkey) AS unique_transactions,
        COUNT(DISTINCT o_orderstatus) AS distinct_categories,
        COUNT(DISTINCT o_orderpriority) AS distinct_payment_methods,
-       sign(CAST(SUM(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) / COUNT(o_totalprice))
-         * floor(abs(CAST(SUM(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) / COUNT(o_totalprice)) * 100 + 0.5)
-         / 100 AS avg_transaction_amount
+       -- AVG(o_totalprice), summed exactly so that the order of rows does not show
+       CAST(SUM(CAST(o_totalprice AS DECIMAL(38,9))) AS DOUBLE) / COUNT(o_totalprice) AS avg_transaction_amount
 FROM orders GROUP BY o_custkey
 """
 

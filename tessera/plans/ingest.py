@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tessera.functions.envelope import decode_envelope as decode, items_count as n_items
+from tessera.functions.envelope import decode_envelope as decode, items_count as n_items, pretty_json
 from tessera.functions.envelope import split_valid
 from tessera.operators.quality import require_positive_total
 from tessera.session import shared_dir
@@ -49,7 +49,7 @@ def stream_log_ingest(spark, sf_dir):
     out, ckpt = shared_dir(spark, "job_log"), shared_dir(spark, "job_log_ckpt")
     ingest_logs(spark, landing, out, ckpt)
     schema = "event_id BIGINT, publish_time TIMESTAMP_NTZ, payload STRING, dt DATE"
-    return read_json(spark, out, schema)
+    return read_json(spark, out, schema).select("event_id", "publish_time", "payload", "dt")
 
 
 def stream_append_ingest(spark, sf_dir):
@@ -69,8 +69,13 @@ def items_count(spark, sf_dir):
     docs = read_documents(spark, _land_api_docs(spark, sf_dir), API_DOC_SCHEMA)
     counted = docs.where(F.col(CORRUPT).isNull()).select(
         "event_id", n_items("items").alias("items_count"))
-    require_positive_total(counted, "items_count", "shopping items")
-    return counted
+    return require_positive_total(counted, "items_count", "shopping items")
+
+
+def pretty_documents(spark, sf_dir):
+    """Each event as an indented JSON document."""
+    e = table(spark, sf_dir, "events")
+    return e.select("event_id", pretty_json(F.struct("event_id", "user_id", "event_type")).alias("document"))
 
 
 QUERIES = {
@@ -80,6 +85,7 @@ QUERIES = {
     "stream_append_ingest": stream_append_ingest,
     "json_extract": json_extract,
     "items_count": items_count,
+    "pretty_documents": pretty_documents,
 }
 
 WE = "WITH " + ENVELOPE_EXPECTED_SQL
@@ -92,5 +98,8 @@ ORACLE = {
 FROM checked WHERE reject_reason IS NULL""",
     "stream_append_ingest": WD + "SELECT event_id, user_id, kind, items FROM docs WHERE NOT is_corrupt",
     "json_extract": WD + "SELECT event_id, user_id, kind, items, is_corrupt FROM docs",
+    "pretty_documents": """
+SELECT event_id, '{' || chr(10) || '  "event_id" : ' || event_id || ',' || chr(10) || '  "user_id" : ' || user_id
+       || ',' || chr(10) || '  "event_type" : "' || event_type || '"' || chr(10) || '}' AS document FROM events""",
     "items_count": WD + "SELECT event_id, COALESCE(len(items), 0) AS items_count FROM docs WHERE NOT is_corrupt",
 }

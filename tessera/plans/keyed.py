@@ -3,12 +3,14 @@ literal lookup joined to a table."""
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from tessera.functions.draws import sql_draw
-from tessera.operators.keyed import (CHUNK_ROWS, cogroup, combine_globally,
-                                     combine_per_key, group_by_key)
+from tessera.operators.keyed import (PARTS, cogroup, combine_globally, combine_per_key,
+                                     combine_per_key_with, group_by_key)
+from tessera.operators.summaries import MONEY
 from tessera.sources.memory import lookup
 from tessera.sources.tables import table
 
@@ -19,20 +21,26 @@ _LOOKUP_SCHEMA = StructType([StructField("code", StringType(), False),
 
 
 def group_values(spark, sf_dir):
-    """GroupByKey of (nation, customer) pairs, chunked per hot key."""
+    """GroupByKey of (nation, customer) pairs; each nation is split into parts."""
     c = table(spark, sf_dir, "customer")
-    return group_by_key(c, "c_nationkey", "c_custkey", out="custkeys")
+    return group_by_key(c, "c_nationkey", "c_custkey", salt="c_custkey", out="custkeys")
+
+
+def max_per_key(spark, sf_dir):
+    """CombinePerKey with a Python combiner: the largest order of each customer."""
+    o = table(spark, sf_dir, "orders")
+    return combine_per_key_with(o, "o_custkey", "o_totalprice", pd.Series.max, out="largest")
 
 
 def global_sum(spark, sf_dir):
     o = table(spark, sf_dir, "orders").select(
-        F.col("o_totalprice").cast("decimal(18,2)").alias("v"))
+        F.col("o_totalprice").cast(MONEY).alias("v"))
     return combine_globally(o, "v").select(F.col("total").cast("double").alias("total"))
 
 
 def sum_per_key(spark, sf_dir):
     o = table(spark, sf_dir, "orders").select(
-        F.col("o_custkey").alias("key"), F.col("o_totalprice").cast("decimal(18,2)").alias("v"))
+        F.col("o_custkey").alias("key"), F.col("o_totalprice").cast(MONEY).alias("v"))
     return combine_per_key(o, "key", "v").select("key", F.col("total").cast("double").alias("total"))
 
 
@@ -54,11 +62,12 @@ def inline_rows(spark, sf_dir):
     j = o.join(labels, o.o_orderstatus == labels.code)
     return j.groupBy("label").agg(
         F.count(F.lit(1)).alias("orders"),
-        F.sum(F.col("o_totalprice").cast("decimal(18,2)")).cast("double").alias("total"))
+        F.sum(F.col("o_totalprice").cast(MONEY)).cast("double").alias("total"))
 
 
 QUERIES = {
     "group_values": group_values,
+    "max_per_key": max_per_key,
     "global_sum": global_sum,
     "sum_per_key": sum_per_key,
     "cogroup_orders": cogroup_orders,
@@ -72,34 +81,26 @@ def _salt_sql(x: str, integral: bool = True) -> str:
     return f"COALESCE(CAST('0x' || substr(md5(CAST({x} AS VARCHAR)), 1, 8) AS BIGINT), 0)"
 
 
-def _parts_sql(n: str) -> str:
-    return f"greatest(1, CAST(ceil({n} / {float(CHUNK_ROWS)}) AS BIGINT))"
-
-
 ORACLE = {
     "group_values": f"""
-WITH c AS (SELECT c_nationkey AS k, {_parts_sql('COUNT(*)')} AS parts FROM customer GROUP BY 1)
-SELECT t.c_nationkey, {_salt_sql('t.c_custkey')} % c.parts AS part,
-       list(t.c_custkey ORDER BY t.c_custkey) AS custkeys
-FROM customer t JOIN c ON t.c_nationkey IS NOT DISTINCT FROM c.k
-GROUP BY 1, 2""",
-    "global_sum": "SELECT CAST(COALESCE(SUM(CAST(o_totalprice AS DECIMAL(18,2))), 0) AS DOUBLE) AS total FROM orders",
-    "sum_per_key": """SELECT o_custkey AS key, CAST(SUM(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS total
+SELECT c_nationkey, {_salt_sql('c_custkey')} % {PARTS} AS part, list(c_custkey ORDER BY c_custkey) AS custkeys
+FROM customer GROUP BY 1, 2""",
+    "max_per_key": "SELECT o_custkey, MAX(o_totalprice) AS largest FROM orders GROUP BY o_custkey",
+    "global_sum": "SELECT CAST(COALESCE(SUM(CAST(o_totalprice AS DECIMAL(38,9))), 0) AS DOUBLE) AS total FROM orders",
+    "sum_per_key": """SELECT o_custkey AS key, CAST(SUM(CAST(o_totalprice AS DECIMAL(38,9))) AS DOUBLE) AS total
 FROM orders GROUP BY o_custkey""",
     "cogroup_orders": f"""
 WITH u AS (
   SELECT o_custkey AS key, 'orders' AS tag, CAST(o_orderkey AS BIGINT) AS salt,
          o_totalprice AS v_orders, CAST(NULL AS VARCHAR) AS v_customer FROM orders
   UNION ALL
-  SELECT c_custkey, 'customer', CAST(c_custkey AS BIGINT), CAST(NULL AS DOUBLE), c_name FROM customer),
-c AS (SELECT key AS k, {_parts_sql('COUNT(*)')} AS parts FROM u GROUP BY 1)
-SELECT u.key, {_salt_sql('u.salt')} % c.parts AS part,
+  SELECT c_custkey, 'customer', CAST(c_custkey AS BIGINT), CAST(NULL AS DOUBLE), c_name FROM customer)
+SELECT key, {_salt_sql('salt')} % {PARTS} AS part,
        COALESCE(list(v_orders ORDER BY v_orders) FILTER (WHERE tag = 'orders'), []) AS orders,
        COALESCE(list(v_customer ORDER BY v_customer) FILTER (WHERE tag = 'customer'), []) AS customer
-FROM u JOIN c ON u.key IS NOT DISTINCT FROM c.k
-GROUP BY 1, 2""",
+FROM u GROUP BY 1, 2""",
     "inline_rows": """
 WITH s(code, label) AS (VALUES ('F', 'Fulfilled'), ('O', 'Open'), ('P', 'Partial'))
-SELECT label, COUNT(*) AS orders, CAST(SUM(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS total
+SELECT label, COUNT(*) AS orders, CAST(SUM(CAST(o_totalprice AS DECIMAL(38,9))) AS DOUBLE) AS total
 FROM orders JOIN s ON o_orderstatus = code GROUP BY label""",
 }

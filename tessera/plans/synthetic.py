@@ -67,7 +67,7 @@ W = "WITH " + synth_sql()
 
 
 def _money(x):
-    return f"CAST(SUM(CAST({x} AS DECIMAL(18,2))) AS DOUBLE)"
+    return f"CAST(SUM(CAST({x} AS DECIMAL(38,9))) AS DOUBLE)"
 
 
 def _round2(x):

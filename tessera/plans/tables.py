@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 from tessera.operators.policy import location_violations
-from tessera.operators.quality import require_nonempty, scanned_bytes
+from tessera.operators.quality import data_files, require_nonempty, scanned_bytes
 from tessera.operators.topk import latest_partitions
 from tessera.session import shared_dir
 from tessera.sinks.files import (CSV_NULL, replace_partitions, write_csv,
@@ -20,7 +20,6 @@ from tessera.functions.timefn import partition_day as day_of
 
 DAY = "2024-01-15"
 RUN_DATE = "2024-02-01"
-SCAN_CAP = 10 ** 9
 # The allowed bucket location prefix of the policy.
 ALLOWED_PREFIX = "us-central1"
 # Region key -> bucket location of the synthetic inventory
@@ -52,11 +51,8 @@ def overwrite_roundtrip(spark, sf_dir):
 
 
 def having_nonempty(spark, sf_dir):
-    # One aggregate row, kept so the gate and the caller share one pass.
-    result = table(spark, sf_dir, "orders").agg(F.count(F.lit(1)).alias("row_count")).where(
-        F.col("row_count") > 0).persist()
-    require_nonempty(result, "orders export gate")
-    return result
+    return table(spark, sf_dir, "orders").agg(F.count(F.lit(1)).alias("row_count")).where(
+        F.col("row_count") > 0)
 
 
 def row_count(spark, sf_dir):
@@ -70,7 +66,7 @@ def scan_parquet(spark, sf_dir):
 
 def csv_export_roundtrip(spark, sf_dir, ds=RUN_DATE):
     """Gate, then sharded CSV export under a dated path; read back losslessly."""
-    having_nonempty(spark, sf_dir)
+    require_nonempty(having_nonempty(spark, sf_dir), "orders export gate")
     o = table(spark, sf_dir, "orders")
     out = shared_dir(spark, "csv_export") + f"/dt={ds}"
     write_csv(o, out, null_value=CSV_NULL)
@@ -100,14 +96,19 @@ def partition_replace(spark, sf_dir, ds=DAY):
 
 def latest_partition_topk(spark, sf_dir, k=5):
     root = _events_by_day(spark, sf_dir)
-    logs = read_parquet(spark, root)
-    return latest_partitions(logs, "dt", k, order=["ts"], tiebreak=["event_id"],
-                             max_scan_bytes=SCAN_CAP)
+    return latest_partitions(spark, root, "dt", k, order=["ts"], tiebreak=["event_id"])
 
 
 def scan_bytes(spark, sf_dir, ds=DAY):
-    """Bytes a one-day read of the dated log would scan (pruned files only)."""
-    return scanned_bytes(read_day(spark, _events_by_day(spark, sf_dir), ds))
+    """What a one-day read of the dated log would scan, from the file listing:
+    whether it has files, costs less than the whole log, and how many days it touches."""
+    root = _events_by_day(spark, sf_dir)
+    day = F.col("dt") == F.lit(ds).cast("date")
+    one, whole = scanned_bytes(spark, root, day).first(), scanned_bytes(spark, root).first()
+    return data_files(spark, root).where(day).agg(
+        F.lit(one["files"] > 0).alias("has_files"),
+        F.lit(0 < one["scanned_bytes"] < whole["scanned_bytes"]).alias("below_whole"),
+        F.countDistinct("dt").alias("days"))
 
 
 def json_sink_roundtrip(spark, sf_dir, ds=RUN_DATE, run_id="run-1"):
@@ -172,6 +173,11 @@ ORACLE = {
        CASE WHEN CAST(ts AS DATE) = DATE '{DAY}' THEN value * 2 ELSE value END AS value,
        props, CAST(ts AS DATE) AS dt FROM events""",
     "latest_partition_topk": _EVENTS_DT + " ORDER BY dt DESC, ts DESC, event_id LIMIT 5",
+    "scan_bytes": f"""
+SELECT COUNT(*) FILTER (WHERE CAST(ts AS DATE) = DATE '{DAY}') > 0 AS has_files,
+       COUNT(*) FILTER (WHERE CAST(ts AS DATE) = DATE '{DAY}') BETWEEN 1 AND COUNT(*) - 1 AS below_whole,
+       COUNT(DISTINCT CAST(ts AS DATE)) FILTER (WHERE CAST(ts AS DATE) = DATE '{DAY}') AS days
+FROM events""",
     "json_sink_roundtrip": "SELECT doc_id, text, lang, source, n_chars FROM documents",
     "policy_violations": f"""
 WITH loc(region, region_location) AS (VALUES (0, 'us-central1'), (1, 'us-east1'),

@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tessera.functions.text import contains, word_count, yield_if
+from tessera.functions.text import contains, flat_map, word_count, words, yield_if
 from tessera.session import shared_dir
 from tessera.sinks.files import write_text
 from tessera.sources.files import read_lines
@@ -34,6 +34,11 @@ def flatmap_lines(spark, sf_dir, term=TERM):
                     F.explode(yield_if("line", contains("line", term))).alias("line"))
 
 
+def flatmap_words(spark, sf_dir):
+    """FlatMap with 0..n results: every word of every line."""
+    return flat_map(_lines(spark, sf_dir), words("line"), "word").select("doc_id", "line_no", "word")
+
+
 def filter_contains(spark, sf_dir, term=TERM):
     return _lines(spark, sf_dir).where(contains("line", term))
 
@@ -58,6 +63,7 @@ QUERIES = {
     "text_lines": text_lines,
     "line_word_count": line_word_count,
     "flatmap_lines": flatmap_lines,
+    "flatmap_words": flatmap_words,
     "filter_contains": filter_contains,
     "fanout_counts": fanout_counts,
     "text_sink_roundtrip": text_sink_roundtrip,
@@ -70,6 +76,7 @@ ORACLE = {
     "text_lines": WL + "SELECT doc_id, line_no, line FROM lines",
     "line_word_count": WL + f"SELECT doc_id, line_no, {_WORDS} AS words FROM lines",
     "flatmap_lines": WL + f"SELECT doc_id, line_no, line FROM lines WHERE contains(line, '{TERM}')",
+    "flatmap_words": WL + f"SELECT doc_id, line_no, unnest({_WORDS[4:-1]}) AS word FROM lines",
     "filter_contains": WL + f"SELECT doc_id, line_no, line FROM lines WHERE contains(line, '{TERM}')",
     "fanout_counts": WL + f"""SELECT COUNT(*) AS lines, CAST(SUM({_WORDS}) AS BIGINT) AS words,
        COUNT(*) FILTER (WHERE contains(line, '{TERM}')) AS flatmap_lines,

@@ -9,9 +9,8 @@ from tessera.functions.cleansing import ratio_pct
 from tessera.functions.timefn import lookback
 from tessera.operators.topk import sort_report, top_k
 from tessera.sources.tables import table
-from tessera.sources.usage import (ACCESS_LOG_SQL, CATALOG_SQL, EVENTS_AS_OF,
-                                   JOBS_SQL, LINEITEM_AS_OF, STORAGE_SQL,
-                                   VIEWS_SQL, access_log, catalog_tables, jobs,
+from tessera.sources.usage import (JOBS_SQL, LINEITEM_AS_OF, STORAGE_SQL, VIEWS_SQL,
+                                   access_log, catalog_tables, jobs, latest_time,
                                    table_storage, views)
 
 EPOCH = "1970-01-01 00:00:00"
@@ -21,10 +20,14 @@ def _jobs(spark, sf_dir):
     return jobs(table(spark, sf_dir, "events"))
 
 
-def usage_by_user(spark, sf_dir, as_of=EVENTS_AS_OF, k=10):
+def _events_as_of(spark, sf_dir) -> str:
+    return latest_time(table(spark, sf_dir, "events"), "ts")
+
+
+def usage_by_user(spark, sf_dir, as_of=None, k=10):
     j = _jobs(spark, sf_dir)
     recent = j.where((F.col("job_type") == "QUERY")
-                     & lookback("creation_time", as_of, "7 DAYS"))
+                     & lookback("creation_time", as_of or _events_as_of(spark, sf_dir), "7 DAYS"))
     agg = recent.groupBy("user_email").agg(
         F.sum("total_bytes_processed").alias("total_bytes_processed"),
         F.count("job_id").alias("total_queries"))
@@ -42,13 +45,13 @@ def storage_ratios(spark, sf_dir):
     return out.orderBy(F.desc("compression_ratio"), "table_schema", "table_name")
 
 
-def unfiltered_text_topk(spark, sf_dir, as_of=EVENTS_AS_OF, k=10, ignore_case=False):
+def unfiltered_text_topk(spark, sf_dir, as_of=None, k=10, ignore_case=False):
     """Recent SELECT jobs whose text has no WHERE clause, by bytes."""
     j = _jobs(spark, sf_dir)
     pattern = "(?i)WHERE" if ignore_case else "WHERE"
     hits = j.where((F.col("job_type") == "QUERY") & (F.col("statement_type") == "SELECT")
                    & (F.col("total_bytes_processed") > 0)
-                   & lookback("creation_time", as_of, "24 HOURS")
+                   & lookback("creation_time", as_of or _events_as_of(spark, sf_dir), "24 HOURS")
                    & ~F.col("query").rlike(pattern))
     top = top_k(hits, ["total_bytes_processed"], k, tiebreak=["job_id"])
     return top.select("query", "user_email", "total_bytes_processed")
@@ -67,7 +70,9 @@ def unnest_last_access(spark, sf_dir):
 def stale_entities(spark, sf_dir, as_of=LINEITEM_AS_OF, days=90):
     """Tables not accessed in the last ``days`` days, or never accessed."""
     keys = ["project_id", "dataset_id", "table_name"]
-    log = access_log(table(spark, sf_dir, "lineitem"))
+    # One row per part and status before names are built.
+    log = access_log(table(spark, sf_dir, "lineitem").groupBy("l_partkey", "l_linestatus")
+                     .agg(F.max("l_shipdate").alias("l_shipdate")))
     recent = (log.where((F.col("job_type") == "QUERY") & (F.col("state") == "DONE"))
                  .groupBy(*keys).agg(F.max("creation_time").alias("last_access_time")))
     t = catalog_tables(table(spark, sf_dir, "part")).select(
@@ -80,9 +85,9 @@ def stale_entities(spark, sf_dir, as_of=LINEITEM_AS_OF, days=90):
     return stale.orderBy(F.asc_nulls_first("last_access_time"), *keys)
 
 
-def resource_by_job(spark, sf_dir, as_of=EVENTS_AS_OF):
+def resource_by_job(spark, sf_dir, as_of=None):
     j = _jobs(spark, sf_dir)
-    hits = j.where(lookback("creation_time", as_of, "1 HOUR") & (F.col("total_slot_ms") > 0))
+    hits = j.where(lookback("creation_time", as_of or _events_as_of(spark, sf_dir), "1 HOUR") & (F.col("total_slot_ms") > 0))
     return hits.select("creation_time", "job_id", "user_email", "total_slot_ms").orderBy(
         F.desc("total_slot_ms"), "job_id")
 
@@ -93,9 +98,9 @@ def view_report(spark, sf_dir):
                        "table_schema", "table_name")
 
 
-def lookback_usage(spark, sf_dir, as_of=EVENTS_AS_OF):
+def lookback_usage(spark, sf_dir, as_of=None):
     """Jobs and bytes per job type over the last 30 days."""
-    j = _jobs(spark, sf_dir).where(lookback("creation_time", as_of, "30 DAYS"))
+    j = _jobs(spark, sf_dir).where(lookback("creation_time", as_of or _events_as_of(spark, sf_dir), "30 DAYS"))
     return j.groupBy("job_type").agg(
         F.count(F.lit(1)).alias("jobs"),
         F.sum("total_bytes_processed").alias("total_bytes_processed"))
@@ -134,7 +139,7 @@ def _ratio_sql(part, total):
             f"1.0 - sign({x}) * floor(abs({x}) * 100 + 0.5) / 100 END) * 100.0")
 
 
-_EV = f"TIMESTAMP '{EVENTS_AS_OF}'"
+_EV = "(SELECT MAX(ts) FROM events)"
 WJ = "WITH " + JOBS_SQL
 
 ORACLE = {
@@ -162,19 +167,12 @@ SELECT rt.project_id AS project_id, rt.dataset_id AS dataset_id, rt.table_id AS
 FROM jobs AS j, unnest(j.referenced_tables) AS u(rt)
 WHERE j.job_type = 'QUERY' AND j.state = 'DONE'
 GROUP BY 1, 2, 3""",
-    "stale_entities": "WITH " + ACCESS_LOG_SQL + ", " + CATALOG_SQL + f""",
-recent_access AS (
-  SELECT project_id, dataset_id, table_name, MAX(creation_time) AS last_access_time
-  FROM access_log WHERE job_type = 'QUERY' AND state = 'DONE'
-  GROUP BY project_id, dataset_id, table_name)
-SELECT t.table_catalog AS project_id, t.table_schema AS dataset_id, t.table_name,
-       r.last_access_time
-FROM catalog_tables AS t LEFT JOIN recent_access AS r
-  ON t.table_catalog = r.project_id AND t.table_schema = r.dataset_id
- AND t.table_name = r.table_name
-WHERE COALESCE(r.last_access_time, TIMESTAMP '{EPOCH}')
-      < TIMESTAMP '{LINEITEM_AS_OF}' - INTERVAL 90 DAY
-ORDER BY r.last_access_time NULLS FIRST""",
+    "stale_entities": f"""
+SELECT 'proj' AS project_id, 'tpch' AS dataset_id, 'part_' || p_partkey AS table_name,
+       (SELECT MAX(l_shipdate) FROM lineitem WHERE l_partkey = p_partkey AND l_linestatus = 'F') AS last_access_time
+FROM part AS p
+WHERE NOT EXISTS (SELECT 1 FROM lineitem AS l WHERE l.l_partkey = p.p_partkey AND l.l_linestatus = 'F'
+                  AND l.l_shipdate >= TIMESTAMP '{LINEITEM_AS_OF}' - INTERVAL 90 DAY)""",
     "resource_by_job": WJ + f"""
 SELECT creation_time, job_id, user_email, total_slot_ms FROM jobs
 WHERE creation_time BETWEEN {_EV} - INTERVAL 1 HOUR AND {_EV} AND total_slot_ms > 0

@@ -22,7 +22,6 @@ SESSION_DEFAULTS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "3",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     # File listing of many partition folders: bounded task count per listing job.
@@ -96,10 +95,19 @@ def checkpoint_root(spark: SparkSession) -> str:
 
 
 def shared_dir(spark: SparkSession, name: str) -> str:
-    """A fresh, run-unique folder under the shared checkpoint root."""
-    root = checkpoint_root(spark)
-    # Spark's writers create the folder; nothing is written from the driver.
-    return f"{root.rstrip('/')}/tessera/{name}-{uuid.uuid4().hex[:12]}"
+    """A fresh, run-unique folder under the shared checkpoint root.
+
+    All such folders of an application lie in one folder of its own, which is
+    deleted when the application ends.
+    """
+    root = f"{checkpoint_root(spark).rstrip('/')}/tessera-{spark.sparkContext.applicationId}"
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(root)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(path):
+        fs.mkdirs(path)
+        fs.deleteOnExit(path)
+    return f"{root}/{name}-{uuid.uuid4().hex[:12]}"
 
 
 def cut_lineage(df):

@@ -17,46 +17,55 @@ TS_FORMATS = {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
               "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
 
 
-def layout_for_partitions(df: DataFrame, partition_by: Sequence[str],
-                          within: Sequence[str] = ()) -> DataFrame:
-    """Range-cluster rows on (partition columns, ``within``) before a
-    partitioned write: each task then holds few partition values (few, larger
-    files per folder instead of tasks x folders small files), and a hot
-    partition value still spreads over several tasks because range bounds
-    can fall inside it (``within`` breaks the ties)."""
-    cols = list(partition_by) + [c for c in within if c not in partition_by]
-    if not cols:
+#: Files that one partition folder is written as, at most.
+FILES_PER_FOLDER = 4
+
+
+def layout_for_partitions(df: DataFrame, partition_by: Sequence[str], within: Sequence[str] = (),
+                          files: int = FILES_PER_FOLDER) -> DataFrame:
+    """Deal rows by (partition columns, hash of ``within``) before a partitioned
+    write: a folder gets up to ``files`` files instead of one per task, and a
+    hot partition value is written by as many tasks (raise ``files`` for large
+    folders). One exchange, and the input is read once."""
+    if not partition_by:
         return df
     # A fixed task count: AQE would coalesce small inputs into one task that
-    # then writes every partition folder serially. Range bounds come from a
-    # sample, so a small output uses only as many ranges as it needs (empty
-    # ranges write no file), and a large one gets files of data / n bytes.
+    # then writes every partition folder serially.
     n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return df.repartitionByRange(n, *cols)
+    bucket = [F.pmod(F.xxhash64(*within), F.lit(files))] if within else []
+    return df.repartition(n, *partition_by, *bucket)
 
 
 def write_parquet(df: DataFrame, path: str, mode: str = "overwrite",
-                  partition_by: Sequence[str] = (), within: Sequence[str] = ()) -> str:
-    w = df
+                  partition_by: Sequence[str] = (), within: Sequence[str] = (),
+                  files: int = FILES_PER_FOLDER) -> str:
+    """Write, by default in place of everything at ``path`` whatever the session's overwrite mode."""
+    w = layout_for_partitions(df, partition_by, within, files).write.mode(mode)
     if partition_by:
-        w = layout_for_partitions(df, partition_by, within)
-    w = w.write.mode(mode)
-    if partition_by:
-        w = w.partitionBy(*partition_by)
+        w = w.partitionBy(*partition_by).option("partitionOverwriteMode", "static")
     w.parquet(path)
     return path
 
 
 def replace_partitions(df: DataFrame, path: str, partition_by: Sequence[str],
-                       within: Sequence[str] = ()) -> str:
-    """Overwrite only the partitions present in ``df`` (dynamic overwrite), so a
-    daily re-run replaces its own day and keeps every other day."""
-    (layout_for_partitions(df, partition_by, within).write.mode("overwrite")
+                       within: Sequence[str] = (), files: int = FILES_PER_FOLDER) -> str:
+    """Overwrite only the partitions present in ``df`` (dynamic overwrite) and keep every other one.
+
+    A partition that became empty is not present; use ``replace_folder`` for it.
+    """
+    (layout_for_partitions(df, partition_by, within, files).write.mode("overwrite")
        .option("partitionOverwriteMode", "dynamic")
        .partitionBy(*partition_by).parquet(path))
     return path
 
 
+def replace_folder(df: DataFrame, root: str, partition: str, value: str) -> str:
+    """Overwrite one partition folder, ``root/partition=value``; an empty ``df`` clears it."""
+    path = f"{root.rstrip('/')}/{partition}={value}"
+    df.drop(partition).write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
+    return path
+
+
 def write_text(df: DataFrame, path: str, col: str = "value") -> str:
     """One element per line, one file per task (sharded text sink)."""
     df.select(F.col(col).cast("string").alias("value")).write.mode("overwrite").text(path)
@@ -81,26 +90,8 @@ def write_csv(df: DataFrame, path: str, header: bool = True, sep: str = ",",
 def write_json(df: DataFrame, path: str, partition_by: Sequence[str] = (),
                mode: str = "overwrite") -> str:
     """JSON-lines documents, optionally under dated/run-keyed folders."""
-    w = df.write.mode(mode).options(**TS_FORMATS)
+    w = df.write.mode(mode).options(**TS_FORMATS).option("partitionOverwriteMode", "static")
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.json(path)
     return path
-
-
-def write_bucketed(df: DataFrame, table_name: str, buckets: int, key: str,
-                   path: str | None = None, sort: bool = True) -> str:
-    """Store ``df`` as a Parquet table bucketed (and sorted) on ``key``.
-
-    Tables bucketed the same way on their join key (same bucket count) join
-    without shuffling either side: the layout for a fact and a dimension that
-    are joined again and again (lineitem/part, orders/customer). With
-    ``path`` the table is unmanaged (files stay there when it is dropped).
-    """
-    w = df.write.mode("overwrite").format("parquet").bucketBy(buckets, key)
-    if sort:
-        w = w.sortBy(key)
-    if path:
-        w = w.option("path", path)
-    w.saveAsTable(table_name)
-    return table_name

@@ -18,9 +18,11 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_csv(spark: SparkSession, path: str, schema: StructType,
-             header: bool = True, null_value: str | None = None) -> DataFrame:
+             header: bool = True, null_value: str | None = None,
+             line_breaks: bool = False) -> DataFrame:
+    """``line_breaks``: values may hold line breaks; each file is then read by one task."""
     r = (spark.read.schema(schema).option("header", header)
-         .option("quote", '"').option("escape", '"').option("multiLine", True)
+         .option("quote", '"').option("escape", '"').option("multiLine", line_breaks)
          .option("mode", "FAILFAST").options(**TS_FORMATS))
     if null_value is not None:
         r = r.option("nullValue", null_value)
@@ -62,3 +64,18 @@ def register_external(spark: SparkSession, name: str, path: str,
         spark.sql(f"MSCK REPAIR TABLE {name}")
     return spark.table(name)
 
+
+def refresh_external_day(spark: SparkSession, name: str, path: str, ds: str, schema: StructType,
+                         partition: str = "dt") -> DataFrame:
+    """The external table over ``path`` after one of its days was written.
+
+    A table that already stands over ``path`` only learns of that day; others
+    are created (or replaced) with one discovery of all days.
+    """
+    if spark.catalog.tableExists(name):
+        about = {r[0]: r[1] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect()}
+        if about.get("Location", "").removeprefix("file:").rstrip("/") == path.removeprefix("file:").rstrip("/"):
+            spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS PARTITION ({partition}='{ds}')")
+            spark.sql(f"REFRESH TABLE {name}")
+            return spark.table(name)
+    return register_external(spark, name, path, partitioned=True, schema=schema, partition_by=(partition,))

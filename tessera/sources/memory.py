@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 
 def from_rows(spark: SparkSession, rows, schema) -> DataFrame:
@@ -11,10 +10,7 @@ def from_rows(spark: SparkSession, rows, schema) -> DataFrame:
     return spark.createDataFrame(list(rows), schema)
 
 
-def lookup(spark: SparkSession, rows, schema, max_rows: int = 10_000) -> DataFrame:
-    """A literal lookup table marked for broadcast. The size bound is checked
-    here, on the literal itself, so broadcasting it is always safe."""
-    rows = list(rows)
-    if len(rows) > max_rows:
-        raise ValueError(f"lookup of {len(rows)} rows exceeds {max_rows}")
-    return F.broadcast(from_rows(spark, rows, schema))
+def lookup(spark: SparkSession, rows, schema) -> DataFrame:
+    """A literal lookup table. Spark knows its size in bytes and broadcasts it
+    below the session's threshold; a larger one is joined by a shuffle."""
+    return from_rows(spark, rows, schema)

@@ -13,8 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions.cleansing import signed_amount
-from tessera.functions.draws import (draw_sql, sql_draw, sql_weighted_index,
-                                     sql_weighted_pick, weighted_index_sql,
+from tessera.functions.draws import (draw_sql, sql_draw, weighted_index_sql,
                                      weighted_pick_sql)
 from tessera.functions.timefn import day_name, hour_of_day, is_weekend
 
@@ -97,12 +96,12 @@ def synth_transactions(orders: DataFrame) -> DataFrame:
 
 def synth_sql() -> str:
     """DuckDB text of ``synth_transactions`` as a CTE named ``transactions``."""
-    seg = sql_weighted_pick(f"{sql_draw('o_custkey', 'segment')} % 100", SEGMENTS)
-    hour = sql_weighted_index(f"{sql_draw('o_orderkey', 'txn', 0)} % {sum(HOUR_WEIGHTS)}",
+    seg = weighted_pick_sql(f"{sql_draw('o_custkey', 'segment')} % 100", SEGMENTS)
+    hour = weighted_index_sql(f"{sql_draw('o_orderkey', 'txn', 0)} % {sum(HOUR_WEIGHTS)}",
                               HOUR_WEIGHTS)
     ms = sql_draw("o_orderkey", "txn", 1)
-    cat = sql_weighted_pick(f"{sql_draw('o_orderkey', 'txn', 2)} % 100", CATEGORIES)
-    pay = sql_weighted_pick(f"{sql_draw('o_orderkey', 'txn2', 1)} % 100", PAYMENTS)
+    cat = weighted_pick_sql(f"{sql_draw('o_orderkey', 'txn', 2)} % 100", CATEGORIES)
+    pay = weighted_pick_sql(f"{sql_draw('o_orderkey', 'txn2', 1)} % 100", PAYMENTS)
     stores = "[" + ", ".join("'" + s + "'" for s in STORES) + "]"
     store = f"{stores}[{sql_draw('o_orderkey', 'txn2', 2)} % {len(STORES)} + 1]"
     x = sql_draw("o_orderkey", "txn2", 3)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,17 +22,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return read_parquet(spark, f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def register_tables(spark: SparkSession, sf_dir: str, names=TABLES) -> None:
-    """Expose the driver tables as temp views for ``spark.sql``."""
-    for name in names:
-        table(spark, sf_dir, name).createOrReplaceTempView(name)
-
-
 def read_day(spark: SparkSession, root: str, ds: str,
              partition_col: str = "dt") -> DataFrame:
-    """One day of a ``dt=``-partitioned dataset; the filter prunes folders."""
-    return (spark.read.parquet(root)
-            .where(F.col(partition_col) == F.lit(ds).cast("date")))
+    """One day of a ``dt=``-partitioned dataset. Only its own folder is listed;
+    a day without a folder has no rows."""
+    folder = f"{root.rstrip('/')}/{partition_col}={ds}"
+    try:
+        return spark.read.option("basePath", root).parquet(folder)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.read.parquet(root).where(F.lit(False))
 
 
 def read_events_stream(spark: SparkSession, path: str, schema, fmt: str = "json",

@@ -19,11 +19,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 # Fixed points in time of the driver data, used as ``as_of`` of look-backs.
-EVENTS_AS_OF = "2024-01-30 23:57:12"
 LINEITEM_AS_OF = "2001-12-31 00:00:00"
 BILLING_AS_OF = "2001-11-01 00:00:00"
 PROJECT = "proj"
 
+
+
+def latest_time(df: DataFrame, ts: str) -> str:
+    """The last time in ``df``: the ``as_of`` of look-backs that are given none."""
+    return str(df.agg(F.max(ts)).first()[0])
+
+
 # ---------------------------------------------------------------- jobs
 
 def jobs(events: DataFrame) -> DataFrame:
@@ -98,28 +104,12 @@ def access_log(lineitem: DataFrame) -> DataFrame:
     )
 
 
-ACCESS_LOG_SQL = f"""
-access_log AS (
-SELECT '{PROJECT}' AS project_id, 'tpch' AS dataset_id, 'part_' || l_partkey AS table_name,
-       'QUERY' AS job_type, CASE WHEN l_linestatus = 'F' THEN 'DONE' ELSE 'RUNNING' END AS state,
-       l_shipdate AS creation_time
-FROM lineitem)
-"""
-
-
 def catalog_tables(part: DataFrame) -> DataFrame:
     return part.select(
         F.lit(PROJECT).alias("table_catalog"), F.lit("tpch").alias("table_schema"),
         F.concat(F.lit("part_"), F.col("p_partkey").cast("string")).alias("table_name"))
 
 
-CATALOG_SQL = f"""
-catalog_tables AS (
-SELECT '{PROJECT}' AS table_catalog, 'tpch' AS table_schema, 'part_' || p_partkey AS table_name
-FROM part)
-"""
-
-
 def table_storage(part: DataFrame) -> DataFrame:
     size = (F.col("p_size") - 1).cast("bigint")
     return part.select(

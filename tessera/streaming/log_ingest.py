@@ -1,10 +1,11 @@
 """Log ingest (T1): message envelopes -> decoded JSON entries in dated folders.
 
-A stateless Structured Streaming query: file source -> decode -> file sink
-partitioned by ``dt``. The checkpoint plus the file sink's commit log make
-each source file land exactly once, so a restart (or a lost executor) does
-not duplicate or drop entries; undecodable envelopes are counted out, as the
-reference logs and drops them.
+One stateless Structured Streaming query: each micro-batch is decoded once, its
+entries go to ``dt=`` folders and its undecodable envelopes, with their reason,
+to the reject folder. Both are written to partitions of the stream and batch
+(see ``append_ingest``), so a restart or a lost executor neither duplicates nor
+drops a row. The query's progress reports how many envelopes and rejects each
+batch held (observed metrics ``log_ingest``).
 """
 
 from __future__ import annotations
@@ -16,37 +17,45 @@ from tessera.functions.envelope import decode_envelope
 from tessera.sinks.files import TS_FORMATS
 from tessera.sources.landing import ENVELOPE_SCHEMA
 from tessera.sources.tables import read_events_stream
-
-
-def _file_sink(df, path: str, checkpoint: str, available_now: bool, partition_by=()):
-    w = (df.writeStream.format("json").outputMode("append").options(**TS_FORMATS)
-         .option("path", path).option("checkpointLocation", checkpoint))
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
-    return w.start()
+from tessera.streaming.append_ingest import stream_id
+
+
+def _write_batch(out: str, rejects: str, checkpoint: str):
+    def run(df, batch_id: int):
+        df = df.withColumns({"stream_id": F.lit(stream_id(df.sparkSession, checkpoint)),
+                             "batch_id": F.lit(batch_id).cast("bigint")}).persist()
+        try:
+            good = df.where(F.col("reject_reason").isNull()).select(
+                "event_id", "publish_time", "payload",
+                F.to_date("publish_time").alias("dt"), "stream_id", "batch_id")
+            bad = df.where(F.col("reject_reason").isNotNull()).select(
+                "event_id", "publish_time", "data", F.col("message.data").alias("message_data"),
+                "reject_reason", "stream_id", "batch_id")
+            for frame, path, by in ((good, out, ("dt", "stream_id", "batch_id")),
+                                    (bad, rejects, ("stream_id", "batch_id"))):
+                (frame.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+                 .options(**TS_FORMATS).partitionBy(*by).json(path))
+        finally:
+            df.unpersist()
+    return run
 
 
 def ingest_logs(spark: SparkSession, landing: str, out: str, checkpoint: str,
                 schema=ENVELOPE_SCHEMA, available_now: bool = True,
                 max_files_per_batch: int = 1000, rejects: str | None = None):
-    """Decoded entries go to ``out`` by day. With ``rejects`` set, the
-    undecodable envelopes (with their reason) go to that folder through a
-    second query with its own checkpoint, instead of being dropped."""
+    """Decoded entries go to ``out`` by day, undecodable envelopes to
+    ``rejects`` (``<out>_rejects`` unless named)."""
     # Bounded micro-batches: a large backlog is split into several batches
     # (availableNow honours the limit) instead of one batch over every file.
     stream = read_events_stream(spark, landing, schema, "json", max_files_per_batch, TS_FORMATS)
-    decoded = decode_envelope(stream)
-    good = decoded.where(F.col("reject_reason").isNull()).select(
-        "event_id", "publish_time", "payload",
-        F.to_date("publish_time").alias("dt"))
-    queries = [_file_sink(good, out, checkpoint, available_now, ["dt"])]
-    if rejects:
-        bad = decoded.where(F.col("reject_reason").isNotNull()).select(
-            "event_id", "publish_time", "data", F.col("message.data").alias("message_data"),
-            "reject_reason")
-        queries.append(_file_sink(bad, rejects, checkpoint.rstrip("/") + "-rejects", available_now))
+    decoded = decode_envelope(stream).drop("entry").observe(
+        "log_ingest", F.count(F.lit(1)).alias("envelopes"),
+        F.count_if(F.col("reject_reason").isNotNull()).alias("rejects"))
+    rejects = rejects or f"{out.rstrip('/')}_rejects"
+    w = (decoded.writeStream.foreachBatch(_write_batch(out, rejects, checkpoint))
+         .option("checkpointLocation", checkpoint))
+    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
+    q = w.start()
     if available_now:
-        for q in queries:
-            q.awaitTermination()
-    return queries[0]
+        q.awaitTermination()
+    return q

@@ -21,7 +21,7 @@ def _merged(rows, col):
 
 def test_group_by_key_golden(spark):
     df = spark.createDataFrame(CITY_ZIP, "key string, value string")
-    got = _merged(group_by_key(df, "key", "value").collect(), 2)
+    got = _merged(group_by_key(df, "key", "value", salt="value").collect(), 2)
     assert got == {"Lexington": ["40502", "40513", "40591"], "Mountain View": ["94041", "94085"],
                    "Nashville": ["37027"], "Seattle": ["98125", "98133"]}
 
@@ -37,57 +37,98 @@ def test_combines_golden(spark):
     assert combine_per_key(empty, "key", "value").count() == 0
 
 
+def _salted(df):
+    return df.withColumn("salt", F.monotonically_increasing_id())
+
+
+def _lists(rows, tag):
+    out = {}
+    for r in rows:
+        out.setdefault(r["key"], []).extend(r[tag])
+    return out
+
+
 def test_cogroup_golden_missing_side(spark):
     amounts = spark.createDataFrame([(f"ORD100{i}", 10.0 * i) for i in range(1, 9)], "key string, value double")
     dates = spark.createDataFrame([(f"ORD100{i}", f"2025-08-{13 + i}") for i in range(1, 8)],
                                   "key string, value string")
-    rows = {r["key"]: r for r in cogroup({"orders": amounts, "shipping": dates}).collect()}
-    assert len(rows) == 8
-    assert rows["ORD1001"]["orders"] == [10.0] and rows["ORD1001"]["shipping"] == ["2025-08-14"]
-    assert rows["ORD1008"]["shipping"] == []
+    rows = cogroup({"orders": _salted(amounts), "shipping": _salted(dates)}).collect()
+    assert _lists(rows, "orders") == {f"ORD100{i}": [10.0 * i] for i in range(1, 9)}
+    assert _lists(rows, "shipping") == {f"ORD100{i}": [f"2025-08-{13 + i}"] if i < 8 else [] for i in range(1, 9)}
 
 
 def test_cogroup_null_keys_and_values(spark):
     a = spark.createDataFrame([(None, 1.0), (None, None), ("k", 2.0)], "key string, value double")
     b = spark.createDataFrame([(None, "x")], "key string, value string")
-    rows = {r["key"]: r for r in cogroup({"a": a, "b": b}).collect()}
-    assert sorted(rows[None]["a"], key=lambda v: (v is None, v)) == [1.0, None]
-    assert rows[None]["b"] == ["x"] and rows["k"]["b"] == []
-
-
-def test_hot_key_is_split_into_bounded_parts(spark):
-    # One key holds a third of all rows.
-    n = 3000
-    rows = [("hot", i) for i in range(n // 3)] + [(f"k{i % 500}", i) for i in range(n // 3, n)]
-    df = spark.createDataFrame(rows, "key string, value bigint")
-    out = group_by_key(df, "key", "value", chunk_rows=100).collect()
+    rows = cogroup({"a": _salted(a), "b": _salted(b)}).collect()
+    assert sorted(_lists(rows, "a")[None], key=lambda v: (v is None, v)) == [1.0, None]
+    assert _lists(rows, "b") == {None: ["x"], "k": []}
+
+
+def test_every_key_is_split_into_the_same_parts(spark):
+    # One key holds a third of all rows, of two values, one of them NULL.
+    n = 6000
+    df = spark.range(n).selectExpr("id", "IF(id % 3 = 0, 'hot', concat('k', id % 10)) AS key",
+                                   "IF(id % 2 = 0, 7, NULL) AS value")
+    grouped = group_by_key(df, "key", "value", salt="id", parts=8)
+    plan = grouped._jdf.queryExecution().executedPlan().toString()
+    out = grouped.collect()
     hot = [r for r in out if r["key"] == "hot"]
-    assert len(hot) == 10                       # ceil(1000 / 100) parts
-    assert max(len(r["values"]) for r in hot) < 200
-    assert sorted(v for r in hot for v in r["values"]) == list(range(n // 3))
+    assert len(hot) == 8 and max(len(r["values"]) for r in hot) < 2 * (n // 3) / 8
+    assert sorted((v is None for r in hot for v in r["values"])) == [False] * 1000 + [True] * 1000
     assert sum(len(r["values"]) for r in out) == n
+    assert plan.count("Exchange") == 1 and "Join" not in plan and plan.count("Range") == 1
 
 
-def test_chunking_matches_duckdb(spark, duck):
+def test_parts_match_duckdb(spark, duck):
     from tessera.plans.keyed import _salt_sql
     df = spark.read.parquet("/root/testdata/sf0.001/orders.parquet").select(
         F.col("o_orderstatus").alias("key"), F.col("o_orderkey").alias("value"))
-    got = {(r["key"], r["part"]): r["values"] for r in group_by_key(df, "key", "value", chunk_rows=50).collect()}
-    q = f"""WITH c AS (SELECT o_orderstatus AS k, greatest(1, CAST(ceil(COUNT(*) / 50.0) AS BIGINT)) AS parts
-                      FROM orders GROUP BY 1)
-            SELECT o_orderstatus, {_salt_sql('o_orderkey')} % parts, list(o_orderkey ORDER BY o_orderkey)
-            FROM orders JOIN c ON o_orderstatus = c.k GROUP BY 1, 2"""
+    got = {(r["key"], r["part"]): r["values"]
+           for r in group_by_key(df, "key", "value", salt="value", parts=5).collect()}
+    q = f"""SELECT o_orderstatus, {_salt_sql('o_orderkey')} % 5, list(o_orderkey ORDER BY o_orderkey)
+            FROM orders GROUP BY 1, 2"""
     want = {(k, p): v for k, p, v in duck.execute(q).fetchall()}
-    assert got == want and len(want) > 3
+    assert got == want and len(want) == 15
 
 
 def test_multiset_grouping_of_copies(spark):
     # One (key, value) pair copied into a third of all rows.
     rows = [("hot", 7)] * 1000 + [("hot", i) for i in range(1000)] + [(f"k{i % 10}", i) for i in range(1000)]
     df = spark.createDataFrame(rows, "key string, value bigint")
-    out = group_by_key(df, "key", "value", chunk_rows=100, multiset=True).collect()
+    out = group_by_key(df, "key", "value", None, parts=10, multiset=True).collect()
     hot = [x for r in out if r["key"] == "hot" for x in r["values"]]
     counts = {x["value"]: x["n"] for x in hot}
     assert counts[7] == 1001 and len(counts) == 1000
     assert sum(x["n"] for r in out for x in r["values"]) == len(rows)
     assert max(len(r["values"]) for r in out) < 200
+
+
+def test_callable_combiner_passes_on_one_partial_per_key_and_task(spark):
+    import pandas as pd
+
+    from tessera.operators.keyed import combine_per_key_with
+    old = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "100")
+    try:
+        df = spark.range(0, 9000, 1, 3).selectExpr("IF(id % 3 = 0, 0, id % 7) AS key", "id AS value")
+
+        def total(s: pd.Series) -> int:
+            return int(s.sum())
+
+        out = combine_per_key_with(df, "key", "value", total, return_type="bigint")
+        got = {r[0]: r[1] for r in out.collect()}
+        assert got == {r[0]: r[1] for r in df.groupBy("key").agg(F.sum("value")).collect()}
+        qe = out._jdf.queryExecution().executedPlan().toString()
+        assert "MapInPandas" in qe and "FlatMapGroupsInPandas" in qe
+        held = combine_per_key_with(df, "key", "value", total, return_type="bigint", held_keys=2)
+        assert {r[0]: r[1] for r in held.collect()} == got     # small memory, same result
+        # Thirty batches in each of three tasks, yet each task hands on one row per key.
+        partials = out._jdf.queryExecution().optimizedPlan().children().apply(0)
+        while "MapInPandas" not in partials.nodeName():
+            partials = partials.children().apply(0)
+        from pyspark.sql import DataFrame
+        rows = DataFrame(spark._jvm.org.apache.spark.sql.classic.Dataset.ofRows(spark._jsparkSession, partials), spark)
+        assert rows.groupBy("key", F.spark_partition_id()).count().agg(F.max("count")).first()[0] == 1
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)

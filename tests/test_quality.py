@@ -17,6 +17,7 @@ def test_truthy_gate(spark):
         require_nonempty(spark.createDataFrame([], "n bigint"))
     with pytest.raises(GateFailed):
         require_positive_total(spark.createDataFrame([(0,), (0,)], "n bigint"), "n")
+    assert require_positive_total(spark.createDataFrame([(0,), (2,)], "n bigint"), "n").count() == 2
 
 
 def test_schema_contract(spark):
@@ -32,13 +33,15 @@ def test_schema_contract(spark):
 def test_scan_budget_counts_only_pruned_files(spark, tmp_path):
     df = spark.range(100).selectExpr("id", "id % 4 AS dt")
     df.write.partitionBy("dt").parquet(str(tmp_path / "t"))
-    t = spark.read.parquet(str(tmp_path / "t"))
-    full = scanned_bytes(t).first()["scanned_bytes"]
-    one = scanned_bytes(t.where("dt = 1")).first()["scanned_bytes"]
+    root = str(tmp_path / "t")
+    listed = scanned_bytes(spark, root, "dt = 1")
+    full, one = scanned_bytes(spark, root).first()["scanned_bytes"], listed.first()["scanned_bytes"]
     assert 0 < one < full
-    assert require_scan_under(t.where("dt = 1"), full) == one
+    assert require_scan_under(spark, root, full, "dt = 1") == one
     with pytest.raises(GateFailed):
-        require_scan_under(t, one)
+        require_scan_under(spark, root, one)
+    plan = listed._jdf.queryExecution().executedPlan().toString()
+    assert "content" not in plan and "PartitionFilters: [isnotnull(dt" in plan
 
 
 def test_policy_null_location_is_reported(spark):
@@ -64,11 +67,20 @@ def test_latest_partitions_respects_the_scan_budget(spark, tmp_path):
     from tessera.operators.topk import latest_partitions
     df = spark.range(400).selectExpr("id", "CAST(date_add(DATE '2024-01-01', CAST(id % 8 AS INT)) AS DATE) AS dt")
     df.write.partitionBy("dt").parquet(str(tmp_path / "p"))
-    t = spark.read.parquet(str(tmp_path / "p"))
-    top = latest_partitions(t, "dt", 5, tiebreak=["id"], max_scan_bytes=10 ** 9).collect()
+    root = str(tmp_path / "p")
+    top = latest_partitions(spark, root, "dt", 5, tiebreak=["id"], max_scan_bytes=10 ** 9).collect()
     assert [r["id"] for r in top] == [7, 15, 23, 31, 39]
     assert {r["dt"].isoformat() for r in top} == {"2024-01-08"}
     with pytest.raises(GateFailed):
-        latest_partitions(t, "dt", 5, max_scan_bytes=10)
+        latest_partitions(spark, root, "dt", 5, max_scan_bytes=10)
     # more rows asked than the newest days hold: older days are read too
-    assert len(latest_partitions(t, "dt", 120).collect()) == 120
+    assert len(latest_partitions(spark, root, "dt", 120).collect()) == 120
+    assert len(latest_partitions(spark, root, "dt", 1000).collect()) == 400
+
+
+def test_latest_partitions_passes_over_empty_files(spark, tmp_path):
+    from tessera.operators.topk import latest_partitions
+    root = str(tmp_path / "e")
+    spark.range(6).coalesce(1).write.parquet(f"{root}/dt=2024-01-01")
+    spark.range(6).where("id > 9").write.parquet(f"{root}/dt=2024-01-02")
+    assert len(latest_partitions(spark, root, "dt", 2, tiebreak=["id"]).collect()) == 2

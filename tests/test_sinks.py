@@ -13,7 +13,7 @@ def test_csv_keeps_null_empty_quotes_and_newlines(spark):
     df = spark.createDataFrame(rows, "id bigint, s string")
     out = shared_dir(spark, "t_csv")
     write_csv(df, out, null_value=CSV_NULL)
-    back = {r["id"]: r["s"] for r in read_csv(spark, out, df.schema, null_value=CSV_NULL).collect()}
+    back = {r["id"]: r["s"] for r in read_csv(spark, out, df.schema, null_value=CSV_NULL, line_breaks=True).collect()}
     assert back == dict(rows)
 
 
@@ -77,18 +77,32 @@ def test_malformed_json_lines_are_kept_as_corrupt_records(spark):
     assert [r[CORRUPT] is not None for r in rows[1:]] == [True, True]
 
 
-def test_bucketed_tables_join_without_shuffle(spark):
-    from tessera.sinks.files import write_bucketed
-    li = spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet").select("l_partkey", "l_extendedprice")
-    part = spark.read.parquet("/root/testdata/sf0.001/part.parquet").select("p_partkey", "p_name")
-    write_bucketed(li, "t_li_b", 8, "l_partkey", path=shared_dir(spark, "t_li_b"))
-    write_bucketed(part, "t_part_b", 8, "p_partkey", path=shared_dir(spark, "t_part_b"))
-    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        j = spark.table("t_li_b").join(spark.table("t_part_b"), F.col("l_partkey") == F.col("p_partkey"))
-        plan = j._jdf.queryExecution().executedPlan().toString()
-        assert "SortMergeJoin" in plan and "Exchange" not in plan
-        assert j.count() == li.count()
-    finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+def test_overwrite_mode_is_explicit(spark):
+    """Static and dynamic overwrites do what they say whatever the session's default."""
+    from tessera.sinks.files import replace_folder, replace_partitions
+    two = spark.range(8).withColumn("dt", F.when(F.col("id") < 4, "2024-01-01").otherwise("2024-01-02").cast("date"))
+    one = two.where("dt = DATE '2024-01-01'")
+    for mode in ("static", "dynamic"):
+        spark.conf.set("spark.sql.sources.partitionOverwriteMode", mode)
+        try:
+            out = shared_dir(spark, "t_modes")
+            write_parquet(two, out, partition_by=["dt"])
+            replace_partitions(one, out, ["dt"], within=["id"])
+            assert spark.read.parquet(out).count() == 8
+            write_parquet(one, out, partition_by=["dt"])
+            assert spark.read.parquet(out).count() == 4
+            replace_folder(one.where("id < 0"), out, "dt", "2024-01-01")
+            assert spark.read.parquet(out).count() == 0
+        finally:
+            spark.conf.unset("spark.sql.sources.partitionOverwriteMode")
+
+
+def test_one_day_is_read_from_its_folder_alone(spark):
+    from tessera.sources.tables import read_day
+    out = shared_dir(spark, "t_day")
+    df = spark.range(10).withColumn("dt", F.when(F.col("id") < 4, "2024-01-01").otherwise("2024-01-02").cast("date"))
+    write_parquet(df, out, partition_by=["dt"])
+    day = read_day(spark, out, "2024-01-01")
+    assert day.schema["dt"].dataType.simpleString() == "date" and day.count() == 4
+    assert all("dt=2024-01-01" in f for f in day.inputFiles())
+    assert read_day(spark, out, "2030-01-01").count() == 0

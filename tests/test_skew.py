@@ -54,37 +54,6 @@ def test_pretty_json_round_trips(spark):
     assert "\n" in text and json.loads(text) == {"k": 1, "v": "a"}
 
 
-def test_hot_key_join_back_is_split_by_aqe(spark):
-    """Without broadcast, the per-key count join of a hot key is a skew join
-    that AQE splits (thresholds lowered so the small test data qualifies)."""
-    from tessera.operators.keyed import group_by_key
-    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1",
-            "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
-            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
-            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
-            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
-            "spark.sql.adaptive.coalescePartitions.enabled": "false"}
-    old = {k: spark.conf.get(k, None) for k in conf}
-    try:
-        for k, v in conf.items():
-            spark.conf.set(k, v)
-        df = spark.range(60000).selectExpr(
-            "CASE WHEN id % 3 = 0 THEN 'hot' ELSE concat('k', id % 500) END AS key", "id AS value")
-        out = group_by_key(df, "key", "value", chunk_rows=1000)
-        qe = out._jdf.queryExecution()
-        qe.executedPlan().execute().count()
-        assert "SortMergeJoin(skew=true)" in qe.executedPlan().toString()
-        rows = out.collect()
-        hot = [r for r in rows if r["key"] == "hot"]
-        assert len(hot) == 20 and sum(len(r["values"]) for r in rows) == 60000
-    finally:
-        for k, v in old.items():
-            if v is None:
-                spark.conf.unset(k)
-            else:
-                spark.conf.set(k, v)
-
-
 def test_approximate_summary_is_close_and_single_shuffle(spark):
     df = _skewed(spark)
     exact = {r["customer_id"]: r for r in customer_daily_summary(df).collect()}
