@@ -41,10 +41,10 @@ from tessera.session import cut_lineage
 LONGEST_WORD = 20
 LEAST_COUNT = 3
 #: Weight of a seed name, in pages, and Laplace smoothing.
-SEED_WEIGHT = 20.0
+SEED_WEIGHT = 1.0
 #: Share of all words that a seed has at least in the segmentation.
 SEED_SHARE = 1e-4
-SMOOTHING = 1.0
+SMOOTHING = 0.1
 #: Names that are known to serve the purposes to be blocked, or not.
 SEEDS = {
     "block": ("adult ads bet bets betting bonus casino cheap dating escort farm free gambling jackpot loan lottery "
