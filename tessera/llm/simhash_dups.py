@@ -9,8 +9,9 @@ to be linked, one segment differs by at most one bit. Every segment is indexed
 under its one-wildcard variants (one bit blanked), so that an equality join on
 (segment, blanked bit, rest) meets every pair to be linked; the bit distance
 is then verified. A signature shared by many fingerprints would pair them all;
-those fingerprints are joined on the variants with all ``max_bits`` bits
-blanked instead: exact as well, and a bucket holds at most 2^max_bits values.
+those fingerprints meet at every value within half the distance of both
+instead: exact as well, and all that meet at a value are linked to each other,
+so linking each to the least of them connects the same groups without pairs.
 
 Defined results: null and empty texts have no words and fingerprint zero, which
 is linked like any other; texts with fewer words than a shingle have one
@@ -34,7 +35,7 @@ from tessera.llm.blocks import column_bytes
 from tessera.llm.components import components
 from tessera.session import cut_lineage
 
-#: A signature with more fingerprints than this is searched by fully blanked variants.
+#: A signature with more fingerprints than this is searched by values halfway between.
 CROWD = 64
 _SHINGLES_AT_ONCE = 1 << 15
 
@@ -81,38 +82,52 @@ def segment_masks(max_bits: int) -> list[int]:
 
 
 def links(fps: DataFrame, max_bits: int = 2, crowd: int = CROWD) -> DataFrame:
-    """``a, b`` for all distinct values ``fp`` that differ in 1 to ``max_bits`` bits, a < b."""
+    """``a, b``: links between distinct values ``fp`` that differ in 1 to ``max_bits`` bits, a < b.
+
+    All of them, but for crowded signatures, whose links connect the same groups.
+    """
     # (segment and blanked bit, mask of what remains); without bits to differ there is nothing to link.
     variants = [(s * 64 + bit, _signed(m & ~(1 << bit)))
                 for s, m in enumerate(segment_masks(max_bits)) for bit in range(64) if m >> bit & 1]
+    # An explicit number of partitions: each row becomes one row per bit.
+    fps = fps.repartition(int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions")), "fp")
     index = fps.select("fp", F.explode(F.array(*[
         F.struct(F.lit(k).alias("kind"), F.col("fp").bitwiseAND(F.lit(m)).alias("rest")) for k, m in variants])).alias("x")
     ).select("fp", F.xxhash64("x.kind", "x.rest").alias("key"))
-    sizes = index.groupBy("key").agg(F.count("*").alias("n"))
-    crowded = cut_lineage(sizes.where(F.col("n") > crowd).select("key"))
-    few = index.join(sizes.where(F.col("n").between(2, crowd)).select("key"), "key")
-    found = _meet(few, max_bits)
-    if not crowded.isEmpty():
-        rest = index.join(crowded, "key", "left_semi").select("fp").distinct()
-        found = found.unionByName(_meet(_fully_blanked(rest, max_bits), max_bits))
+    # Counted with least and greatest member before the shuffle; a signature of two is a candidate pair as it stands.
+    shared = cut_lineage(index.groupBy("key").agg(
+        F.count("*").alias("n"), F.min("fp").alias("a"), F.max("fp").alias("b")).where("n > 1"))
+    members = cut_lineage(index.join(shared.where("n > 2").select("key", "n"), "key"))
+    found = _verified(shared.where("n = 2"), max_bits).unionByName(_meet(members.where(F.col("n") <= crowd), max_bits))
+    rest = cut_lineage(members.where(F.col("n") > crowd).select("fp").distinct())
+    if not rest.isEmpty():
+        found = found.unionByName(_halfway(rest, max_bits))
     return found.distinct()
 
 
-def _fully_blanked(fps: DataFrame, max_bits: int) -> DataFrame:
-    """``key, fp`` with every choice of ``max_bits`` bits blanked, where a key has several fingerprints."""
-    rows = fps.select("fp", F.lit(-1).alias("bit"), F.lit(0).cast("long").alias("blank"))
-    for k in range(max_bits):
-        rows = (rows.select("fp", "bit", "blank", F.explode(F.sequence(F.col("bit") + 1, F.lit(64 - max_bits + k))).alias("next"))
-                .select("fp", F.col("next").alias("bit"), F.expr("blank | shiftleft(1L, next)").alias("blank")))
-    keyed = rows.select("fp", F.xxhash64("blank", F.expr("fp & ~blank")).alias("key"))
-    return keyed.join(keyed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key"), "key")
+def _halfway(fps: DataFrame, max_bits: int) -> DataFrame:
+    """Links through the values that differ from a fingerprint in at most half of ``max_bits`` bits."""
+    level = fps.select("fp", F.lit(-1).alias("bit"), F.col("fp").alias("key"))
+    near = level
+    for _ in range((max_bits + 1) // 2):
+        level = (level.where("bit < 63").select("fp", "key", F.explode(F.expr("sequence(bit + 1, 63)")).alias("bit"))
+                 .select("fp", "bit", F.expr("key ^ shiftleft(1L, bit)").alias("key")))
+        near = near.unionByName(level)
+    near = near.select("key", "fp")
+    if max_bits % 2:  # two that meet may be one bit too far apart
+        return _meet(near, max_bits)
+    least = near.groupBy("key").agg(F.min("fp").alias("a"), F.count("*").alias("n")).where("n > 1").select("key", "a")
+    return near.join(least, "key").where("fp <> a").select("a", F.col("fp").alias("b"))
 
 
 def _meet(index: DataFrame, max_bits: int) -> DataFrame:
     """Equality join of an index with itself, verified by bit distance."""
     left, right = index.select("key", F.col("fp").alias("a")), index.select("key", F.col("fp").alias("b"))
-    return (left.join(right, "key").where("a < b")
-            .where(F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= max_bits).select("a", "b"))
+    return _verified(left.join(right, "key").where("a < b"), max_bits)
+
+
+def _verified(pairs: DataFrame, max_bits: int) -> DataFrame:
+    return pairs.where(F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= max_bits).select("a", "b")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 3,
