@@ -60,14 +60,14 @@ def fingerprint(text: bytes, size: int, seed: int) -> int:
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                  size: int = 3, seed: int = 42) -> DataFrame:
-    """``id, fp``: one row per document, the fingerprint as a signed long."""
+    """``id, h, fp``: one row per document, a hash of its text and the fingerprint as a signed long."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             found = [fingerprint(t, size, seed) for t in column_bytes(b.column("text"))]
-            yield pa.RecordBatch.from_arrays([b.column("id"), pa.array(found, pa.int64())], ["id", "fp"])
+            yield pa.RecordBatch.from_arrays([b.column("id"), b.column("h"), pa.array(found, pa.int64())], ["id", "h", "fp"])
 
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    return rows.mapInArrow(run, f"id {dict(rows.dtypes)['id']}, fp long")
+    rows = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("h"), F.col(text_col).alias("text"))
+    return rows.mapInArrow(run, f"id {dict(rows.dtypes)['id']}, h long, fp long")
 
 
 def _signed(x: int) -> int:
@@ -130,25 +130,36 @@ def _verified(pairs: DataFrame, max_bits: int) -> DataFrame:
     return pairs.where(F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= max_bits).select("a", "b")
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 3,
-                    seed: int = 42, max_bits: int = 2, crowd: int = CROWD) -> DataFrame:
-    """One row per document: id, ``fp`` and ``component_id``, the smallest id of its group."""
+def _groups(docs: DataFrame, id_col: str, text_col: str, size: int = 3, seed: int = 42, max_bits: int = 2,
+            crowd: int = CROWD) -> DataFrame:
+    """``id, h, fp, root, component_id`` per document; ``root`` is the least fingerprint of its group."""
     rows = cut_lineage(fingerprints(docs, id_col, text_col, size, seed))
     values = cut_lineage(rows.groupBy("fp").agg(F.min("id").alias("first_id")))
     roots = cut_lineage(components(links(values.select("fp"), max_bits, crowd)).select(F.col("node").alias("fp"), "root"))
     grouped = values.join(roots, "fp", "left").select("fp", "first_id", F.coalesce("root", "fp").alias("root"))
     least = grouped.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    by_value = grouped.join(least, "root").select("fp", "component_id")
-    return rows.join(by_value, "fp").select(F.col("id").alias(id_col), "fp", "component_id")
+    return rows.join(grouped.join(least, "root").select("fp", "root", "component_id"), "fp")
+
+
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **search) -> DataFrame:
+    """One row per document: id, ``fp`` and ``component_id``, the smallest id of its group.
+
+    ``search``: ``size`` (words of a shingle), ``seed``, ``max_bits``, ``crowd``.
+    """
+    return _groups(docs, id_col, text_col, **search).select(F.col("id").alias(id_col), "fp", "component_id")
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **search) -> DataFrame:
     """The rows of ``docs``, all columns, of which one stays for each group: that with the smallest id.
 
-    Of rows that share that id, the one whose text has the smallest hash stays.
+    A null id counts as the largest. Of rows that share that id, the one whose text has the least hash stays;
+    of repeated rows (same id and text) that whose other columns have the least hash.
     """
-    found = near_duplicates(docs, id_col, text_col, **search)
-    chosen = found.where(F.col(id_col).eqNullSafe(F.col("component_id"))).select(F.col(id_col).alias("id")).distinct()
-    rows = docs.select(F.col(id_col).alias("id"), F.xxhash64(F.col(text_col)).alias("order"), F.struct("*").alias("row"))
-    kept = rows.join(chosen.withColumnRenamed("id", "kept_id"), F.col("id").eqNullSafe(F.col("kept_id")), "left_semi")
-    return kept.groupBy("id").agg(F.min_by("row", "order").alias("row")).select("row.*")
+    first = F.min(F.struct(F.col("id").isNull(), "id", "h")).alias("x")
+    chosen = _groups(docs, id_col, text_col, **search).groupBy("root").agg(first).select(
+        F.col("x.id").alias("kept_id"), F.col("x.h").alias("kept_h"))
+    others = [f"`{c}`" for c, t in docs.dtypes if "map<" not in t and "variant" not in t]
+    rows = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("h"), F.xxhash64(*others).alias("order"),
+                       F.struct("*").alias("row"))
+    kept = rows.join(chosen, (F.col("h") == F.col("kept_h")) & F.col("id").eqNullSafe(F.col("kept_id")), "left_semi")
+    return kept.groupBy("id", "h").agg(F.min_by("row", "order").alias("row")).select("row.*")

@@ -113,6 +113,14 @@ def test_fingerprints_and_groups_against_brute_force(spark):
     assert sorted(r["doc_id"] for r in one.collect()) == sorted(groups)
 
 
+def test_groups_without_ids_keep_one_each(spark):
+    rows = [(None, "alpha beta gamma delta"), (None, "alpha beta gamma delta"), (None, "one two three four five six"), (4, "x y z"), (4, "x y z"),
+            (4, "other words altogether here")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").withColumn("note", F.monotonically_increasing_id())
+    got = sorted((tuple(r)[:2] for r in simhash_dups.keep_one(df).collect()), key=str)
+    assert got == sorted(set(rows), key=str)
+
+
 @pytest.mark.parametrize("bits", [1, 2, 3, 4])
 @pytest.mark.parametrize("crowd", [0, 3, 64])
 def test_links_join_all_groups(spark, bits, crowd):
