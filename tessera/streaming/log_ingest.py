@@ -14,7 +14,7 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from tessera.functions.envelope import decode_envelope
-from tessera.sinks.files import TS_FORMATS
+from tessera.sinks.files import TS_FORMATS, layout_for_partitions
 from tessera.sources.landing import ENVELOPE_SCHEMA
 from tessera.sources.tables import read_events_stream
 from tessera.streaming.append_ingest import stream_id
@@ -31,6 +31,8 @@ def _write_batch(out: str, rejects: str, checkpoint: str):
             bad = df.where(F.col("reject_reason").isNotNull()).select(
                 "event_id", "publish_time", "data", F.col("message.data").alias("message_data"),
                 "reject_reason", "stream_id", "batch_id")
+            # Few files in each day's folder, however many tasks read the batch.
+            good = layout_for_partitions(good, ["dt"], ["event_id"])
             for frame, path, by in ((good, out, ("dt", "stream_id", "batch_id")),
                                     (bad, rejects, ("stream_id", "batch_id"))):
                 (frame.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
