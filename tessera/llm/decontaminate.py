@@ -108,7 +108,9 @@ def hits(docs: DataFrame, benchmark: DataFrame, doc_col: str = "doc_id", text_co
     listed = (verified.select("k1", "k2", "wid").distinct()
               .join(item_windows.where("item IS NOT NULL").select("wid", F.col("item").cast("string").alias("item")), "wid")
               .groupBy("k1", "k2").agg(F.sort_array(F.collect_set("item")).alias("items")))
-    return (documents.join(covered, ["k1", "k2"], "left").join(listed, ["k1", "k2"], "left")
+    # Written down, so that the join below stands alone and a text with many copies can be split over tasks.
+    per_text = cut_lineage(covered.join(listed, ["k1", "k2"], "left"))
+    return (documents.join(per_text, ["k1", "k2"], "left")
             .select(F.col("id").alias(doc_col), "n_words", F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"),
                     F.coalesce("items", F.array().cast("array<string>")).alias("items"),
                     F.struct("k1", "k2").alias("text_key")))
