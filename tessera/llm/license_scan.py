@@ -23,7 +23,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from tessera.llm.blocks import column_bytes
+from tessera.llm.blocks import column_bytes, slices
 
 #: Lines that a wrapped sentence may span.
 MAX_JOIN = 8
@@ -173,7 +173,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
              "spans": pa.list_(pa.struct([("start", pa.int64()), ("length", pa.int64())])), "unmatched": pa.list_(pa.string())}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in slices(batches):
             found = [_scan(t) for t in column_bytes(b.column("text"))]
             yield pa.RecordBatch.from_arrays(
                 [b.column("id"), *(pa.array([x[k] for x in found], t) for k, t in types.items())], ["id", *types])

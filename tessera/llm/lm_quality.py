@@ -32,7 +32,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tessera.llm.blocks import SPACE, blocks, column_bytes
+from tessera.llm.blocks import SPACE, blocks, column_bytes, slices
 from tessera.session import cut_lineage
 
 ORDER, CLASS_BITS = 4, 5
@@ -75,7 +75,7 @@ def gram_counts(docs: DataFrame) -> DataFrame:
                                                   pa.array(counts[g], pa.int64())], ["lang", "g", "c"])
             held.clear()
 
-        for b in batches:
+        for b in slices(batches):
             for lang, _, texts in by_language(b):
                 counts = held.setdefault(lang, np.zeros(CELLS, np.int64))
                 for i, j in blocks(texts):
@@ -172,7 +172,7 @@ def score(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col:
     shared = spark.sparkContext.broadcast(tables if not counted.isEmpty() else {})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in slices(batches):
             entropy = np.full(b.num_rows, np.nan)
             size = np.zeros(b.num_rows, np.int64)
             for lang, at, texts in by_language(b):

@@ -22,7 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from tessera.llm.blocks import SpanHasher, U64, blocks, column_bytes, joined, mix, window_hashes, word_spans
+from tessera.llm.blocks import SpanHasher, U64, blocks, column_bytes, joined, mix, slices, window_hashes, word_spans
 
 #: Labelled rows that the classifier is fitted on at most (lowest hash of doc_id first).
 TRAIN_ROWS = 3000
@@ -148,7 +148,7 @@ def fit(texts: list[bytes], good: np.ndarray, rounds: int = 60, rate: float = 0.
         values.append(counts.astype(np.float32) * share[family])
         at.append(at[-1] + len(u))
     ids, values, at = np.concatenate(ids), np.concatenate(values), np.array(at)
-    owner = np.repeat(np.arange(len(at) - 1), np.diff(at))
+    owner = np.repeat(np.arange(len(at) - 1, dtype=np.int32), np.diff(at))
     y = good[~held].astype(np.float64)
     balance = np.where(y == 1, 0.5 / y.mean(), 0.5 / (1 - y.mean()))
     w, seen, bias, bias_seen = np.zeros(_SIZE), np.full(_SIZE, 1e-12), 0.0, 1e-12
@@ -179,16 +179,18 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     A document with several labels counts as good only if all say so. ``rows``
     bounds the ids that are broadcast, the texts in the fitting task and the model.
     """
-    picked = (labels.where(F.col(id_col).isNotNull() & F.col(label_col).isin(0, 1))
+    # Only ids whose hash falls below the share wanted (with room to spare) are considered, so tasks send few.
+    share = int(min(1.0, 2 * rows / max(labels.count(), 1)) * 2**31)
+    picked = (labels.where(F.col(id_col).isNotNull() & F.col(label_col).isin(0, 1) & (F.pmod(F.xxhash64(id_col), F.lit(2**31)) < share))
               .groupBy(F.col(id_col).alias("id")).agg(F.min(label_col).cast("int").alias("good"))
-              .orderBy(F.xxhash64("id"), "id").limit(rows))
+              .orderBy(F.pmod(F.xxhash64("id"), F.lit(2**31)), "id").limit(rows))
     sample = (docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
               .join(F.broadcast(picked), "id")
-              .orderBy(F.xxhash64("id"), "id", F.xxhash64("text")).limit(rows))
+              .orderBy(F.pmod(F.xxhash64("id"), F.lit(2**31)), "id", F.xxhash64("text")).limit(rows))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         texts, good = [], []
-        for b in batches:
+        for b in slices(batches):
             texts += column_bytes(b.column("text"))
             good += b.column("good").to_pylist()
         if model := fit(texts, np.array(good)):
@@ -205,10 +207,9 @@ def quality_rules(docs: DataFrame, model: Classifier | None, id_col: str = "doc_
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = SpanHasher()
-        for b in batches:
-            if b.num_rows:
-                found = judge_texts(column_bytes(b.column("text")), model, hasher)
-                yield pa.RecordBatch.from_arrays([b.column("id"), *map(pa.array, found.values())], ["id", *found])
+        for b in slices(batches):
+            found = judge_texts(column_bytes(b.column("text")), model, hasher)
+            yield pa.RecordBatch.from_arrays([b.column("id"), *map(pa.array, found.values())], ["id", *found])
 
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     kind = dict(rows.dtypes)["id"]
@@ -221,8 +222,7 @@ def keep_good(docs: DataFrame, model: Classifier | None, text_col: str = "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = SpanHasher()
-        for b in batches:
-            if b.num_rows:
-                yield b.filter(pa.array(judge_texts(column_bytes(b.column(at)), model, hasher)["kept"]))
+        for b in slices(batches):
+            yield b.filter(pa.array(judge_texts(column_bytes(b.column(at)), model, hasher)["kept"]))
 
     return docs.mapInArrow(run, docs.schema)

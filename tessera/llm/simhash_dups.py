@@ -31,7 +31,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from tessera.llm.blocks import column_bytes
+from tessera.llm.blocks import column_bytes, slices
 from tessera.llm.components import components
 from tessera.session import cut_lineage
 
@@ -62,7 +62,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                  size: int = 3, seed: int = 42) -> DataFrame:
     """``id, h, fp``: one row per document, a hash of its text and the fingerprint as a signed long."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in slices(batches):
             found = [fingerprint(t, size, seed) for t in column_bytes(b.column("text"))]
             yield pa.RecordBatch.from_arrays([b.column("id"), b.column("h"), pa.array(found, pa.int64())], ["id", "h", "fp"])
 
