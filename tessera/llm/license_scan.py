@@ -1,9 +1,9 @@
 """Licence scans by sentence rules.
 
-A text is cut into sentences (at line ends and at ``. ! ? ;`` before a space),
-each is normalised and mapped to the identifier of a known licence sentence. A
-sentence that is wrapped over lines is joined with up to ``MAX_JOIN`` following
-lines until a known sentence results. The sequence of identifiers in the text is
+A text is cut into pieces (at line ends, at ``. ! ? ;`` before a space, and where
+the notices of the GNU licences have parts), each is normalised. A known licence
+sentence, mapped to its identifier, covers whole pieces: pieces are taken
+together, over any number of lines, until ``. ! ? ;`` ends the sentence. The sequence of identifiers in the text is
 then matched against ordered licence rules: the first rule whose sequence occurs
 takes its sentences, and so on until no rule fits; known sentences that no rule
 takes are reported as unmatched. Documents without any licence word are passed
@@ -17,6 +17,8 @@ gives an empty result. Extra columns are not read.
 
 from __future__ import annotations
 
+import bisect
+import itertools
 import re
 from collections.abc import Iterator
 
@@ -25,11 +27,9 @@ from pyspark.sql import DataFrame, functions as F
 
 from tessera.llm.blocks import column_bytes, slices
 
-#: Lines that a wrapped sentence may span.
-MAX_JOIN = 8
-#: Words of which a text with a licence has one.
-_HINT = re.compile(r"licen[cs]|copyright|\(c\)|©|spdx|warrant|permi(ssion|tted)|redistribut|public domain|all rights reserved", re.I)
-_SENTENCE = re.compile(r"[^\n.!?;]*(?:[.!?;](?![\s\"')])[^\n.!?;]*)*(?:[.!?;][\"')]*|(?=\n)|$)")
+_SENTENCE = re.compile(r"[^\n.!?;]*(?:(?:[.!?;](?![\s\"')])|(?<=\bv)\.(?= ?\d))[^\n.!?;]*)*(?:[.!?;][\"')]*|(?=\n)|$)")
+#: Where parts of a notice start inside a line: "free software: you can", "Foundation, either version 3".
+_PART = re.compile(r"(?<=software:)\s|(?<=,)\s(?=\s*(?:either|version)\b)", re.I)
 _COMMENT = re.compile(r"^\s*(?:/\*+|\*+/?|//+|#+|--+|;+|<!--|%+|dnl\b|rem\b)\s*|\s*(?:\*/|-->)\s*$", re.I | re.M)
 
 #: Known licence sentences after normalisation, as (identifier, pattern of the whole sentence).
@@ -51,19 +51,28 @@ SENTENCES = (
     ("bsd-short", r"(?:released|licensed|distributed) under the (?:(?P<clauses>[23])-clause )?bsd license"),
     ("gpl3-short", r"(?:this (?:work|file|software|project) is )?(?:released|licensed|distributed) under the gnu general public license,? (?:version|v) ?3(?:\.0)?"),
     ("gpl2-short", r"(?:this (?:work|file|software|project) is )?(?:released|licensed|distributed) under the gnu general public license,? (?:version|v) ?2(?:\.0)?"),
-    ("gpl-free", r"this program is free software(?:: you can redistribute it.*)?"),
-    ("gpl-terms", r"you can redistribute it and/or modify it under the terms of the gnu general public license.*"),
-    ("gpl-version3", r"either version 3 of the license, or.*"),
-    ("gpl-version2", r"either version 2 of the license, or.*"),
+    ("gpl-free", r".*is free software"),
+    ("gpl2-terms", r"you (?:can|may) redistribute it and/or modify it under the terms of the gnu general public license,? version 2.*"),
+    ("gpl3-terms", r"you (?:can|may) redistribute it and/or modify it under the terms of the gnu general public license,? version 3.*"),
+    ("gpl-terms", r"you (?:can|may) redistribute it and/or modify it under the terms of (?:version [23] of )?the gnu general public license.*"),
+    ("lgpl-terms", r"you (?:can|may) redistribute it and/or modify it under the terms of the gnu (?:lesser|library) general public license.*"),
+    ("agpl-terms", r"you (?:can|may) redistribute it and/or modify it under the terms of the gnu affero general public license.*"),
+    ("gpl-version3", r"either version 3(?:\.0)? of the license, or.*"),
+    ("gpl-version2", r"either version 2(?:\.0)? of the license, or.*"),
+    ("gpl-version21", r"either version 2\.1 of the license, or.*"),
+    ("gpl-only3", r"version 3(?:\.0)?(?: of the license)?"),
+    ("gpl-only2", r"version 2(?:\.0)?(?: of the license)?"),
     ("lgpl-short", r"(?:released|licensed|distributed) under the gnu lesser general public license.*"),
     ("agpl-short", r"(?:this .* is )?(?:released|licensed|distributed) under the gnu affero general public license.*"),
     ("mpl2", r"this source code form is subject to the terms of the mozilla public license, v\. ?2\.0"),
     ("cc-by-nc", r"(?:this work is )?licensed under (?:a )?(?:cc by-nc|creative commons attribution-noncommercial)(?: ?4\.0)?(?: international)?(?: license)?"),
     ("cc-by-sa", r"(?:this work is )?licensed under (?:a )?(?:cc by-sa|creative commons attribution-sharealike)(?: ?4\.0)?(?: international)?(?: license)?"),
     ("cc-by", r"(?:this work is )?licensed under (?:a )?(?:cc by|creative commons attribution)(?: ?4\.0)?(?: international)?(?: license)?"),
-    ("cc0", r"(?:this work is )?(?:dedicated to|released into|in) the public domain|.*cc0 1\.0.*"),
+    ("cc0", r"(?:this work is )?(?:dedicated to|released into|in) the public domain"),
+    ("cc0", r".*cc0 1\.0.*"),
     ("unlicense", r"this is free and unencumbered software released into the public domain"),
-    ("proprietary", r"all rights reserved|.*confidential and proprietary.*"),
+    ("proprietary", r"all rights reserved"),
+    ("proprietary", r".*confidential and proprietary.*"),
     ("copyright", r"(?:copyright|\(c\)|©).*"),
 )
 
@@ -73,10 +82,21 @@ RULES = (
     ("BSD-3-Clause", "permissive", ("bsd-grant", "bsd-source", "bsd-binary", "bsd-endorse", "asis")),
     ("BSD-2-Clause", "permissive", ("bsd-grant", "bsd-source", "bsd-binary", "asis")),
     ("MIT", "permissive", ("mit-grant", "mit-notice", "asis")),
+    ("AGPL-3.0-or-later", "copyleft", ("gpl-free", "agpl-terms", "gpl-version3")),
+    ("AGPL-3.0", "copyleft", ("gpl-free", "agpl-terms")),
+    ("LGPL-3.0-or-later", "weak copyleft", ("gpl-free", "lgpl-terms", "gpl-version3")),
+    ("LGPL-2.1-or-later", "weak copyleft", ("gpl-free", "lgpl-terms", "gpl-version21")),
+    ("LGPL-2.0-or-later", "weak copyleft", ("gpl-free", "lgpl-terms", "gpl-version2")),
+    ("LGPL", "weak copyleft", ("gpl-free", "lgpl-terms")),
     ("GPL-3.0-or-later", "copyleft", ("gpl-free", "gpl-terms", "gpl-version3")),
     ("GPL-2.0-or-later", "copyleft", ("gpl-free", "gpl-terms", "gpl-version2")),
     ("GPL-3.0-or-later", "copyleft", ("gpl-free", "gpl-version3")),
     ("GPL-2.0-or-later", "copyleft", ("gpl-free", "gpl-version2")),
+    ("GPL-3.0-only", "copyleft", ("gpl-free", "gpl3-terms")),
+    ("GPL-2.0-only", "copyleft", ("gpl-free", "gpl2-terms")),
+    ("GPL-3.0-only", "copyleft", ("gpl-free", "gpl-terms", "gpl-only3")),
+    ("GPL-2.0-only", "copyleft", ("gpl-free", "gpl-terms", "gpl-only2")),
+    ("GPL", "copyleft", ("gpl-free", "gpl-terms")),
     ("Apache-2.0", "permissive", ("apache2-grant",)),
     ("Apache-2.0", "permissive", ("apache2-short",)),
     ("MIT", "permissive", ("mit-grant",)),
@@ -99,43 +119,64 @@ RULES = (
 #: The most restrictive category of a text's licences is its own.
 CATEGORIES = ("proprietary", "non-commercial", "copyleft", "weak copyleft", "declared", "permissive")
 
-_KNOWN = tuple((name, re.compile(pattern)) for name, pattern in SENTENCES)
+
+
+def _over_lines(pattern: str) -> re.Pattern:
+    """The pattern of a whole sentence, to be found in lines: at a line's start and end where it has no ``.*`` there."""
+    first, last = pattern.startswith(".*"), pattern.endswith(".*")
+    core = pattern[2 if first else 0:len(pattern) - (2 if last else 0)]
+    core = re.sub(r"\[[^\]]*\]|\\.|\.\*| ", lambda m: {".*": r"[\s\S]*?", " ": r"[ \n]"}.get(m[0], m[0]), core)
+    return re.compile((r"" if first else r"(?m:^)[ .!?;:,*#]*") + core + (r"" if last else r"[ .!?;:,*#]*(?m:$)"))
+
+
+_KNOWN = tuple((name, _over_lines(pattern)) for name, pattern in SENTENCES)
 LICENSE_SCHEMA = ("licenses array<string>, category string, sentence_ids array<string>, "
                   "spans array<struct<start:long,length:long>>, unmatched array<string>")
 
 
-def normalise(sentence: str) -> str:
-    s = _COMMENT.sub("", sentence).lower()
+def normalise(piece: str) -> str:
+    s = _COMMENT.sub("", piece).lower()
     s = re.sub(r"[\"'`“”‘’]|(?<=spdx)-|(?<=license)-(?=identifier)", " ", s)
     s = re.sub(r"(?<=identifier):", " ", s)
-    return re.sub(r"(?<=\() | (?=\))", "", re.sub(r"\s+", " ", s)).strip(" \t.!?;:,*#")
-
+    return re.sub(r"(?<=\() | (?=\))", "", re.sub(r"\s+", " ", s)).strip()
 
-def _identify(sentence: str) -> str | None:
-    s = normalise(sentence)
-    return next((name for name, pattern in _KNOWN if pattern.fullmatch(s)), None) if s and _HINT_PART.search(s) else None
 
-
-#: A known sentence holds one of these; others need no pattern.
-_HINT_PART = re.compile(r"licen|copyright|\(c\)|©|spdx|software|permission|redistribut|public domain|rights reserved|confidential|"
-                        r"endorse|cc0|version [23]|gnu|source code form|compliance")
+#: Words of which a text with a licence has one.
+_HINT = re.compile(r"licen[cs]|copyright|\(c\)|©|spdx|warrant|permi(ssion|tted)|redistribut|public domain|all rights reserved", re.I)
+#: A known sentence holds one of these words, however it is wrapped; others need no pattern.
+_HINT_PART = re.compile(r"licen[cs]|copyright|\(c\)|©|spdx|software|permission|redistribut|domain|rights|confidential|endorse|cc0|version|gnu|"
+                        r"compliance", re.I)
+
+
+def _known(pieces: list[tuple[int, int, str]]) -> list[tuple[int, int, str]]:
+    """Known sentences among the pieces of one sentence, the first to start before others, then in the order of ``SENTENCES``."""
+    lines = "\n".join(s for _, _, s in pieces)
+    if not _HINT_PART.search(lines):
+        return []
+    at = list(itertools.accumulate((len(s) + 1 for _, _, s in pieces), initial=0))
+    hits = sorted((bisect.bisect_right(at, m.start()) - 1, k, bisect.bisect_right(at, m.end() - 1) - 1, name)
+                  for k, (name, pattern) in enumerate(_KNOWN) for m in pattern.finditer(lines))
+    found, last = [], -1
+    for i, _, j, name in hits:
+        if i > last:
+            found.append((pieces[i][0], pieces[j][1], name))
+            last = j
+    return found
 
 
 def sentences(text: str) -> list[tuple[int, int, str]]:
     """Start, end and identifier of every known sentence, in order."""
-    spans = [m.span() for m in _SENTENCE.finditer(text) if not m[0].isspace() and m[0]]
-    found, i = [], 0
-    while i < len(spans):
-        start = spans[i][0]
-        for j in range(i, min(i + MAX_JOIN, len(spans))):
-            if j > i and text[spans[j - 1][1] - 1] in ".!?;":
-                break
-            if name := _identify(text[start:spans[j][1]]):
-                found.append((start, spans[j][1], name))
-                i = j
-                break
-        i += 1
-    return found
+    found, pieces = [], []
+    for m in _SENTENCE.finditer(text):
+        start = m.start()
+        for cut in [*(c.start() for c in _PART.finditer(text, *m.span())), m.end()]:
+            if s := normalise(text[start:cut]):
+                pieces.append((start, cut, s))
+            start = cut
+        if m[0].rstrip("\"')")[-1:] in (".", "!", "?", ";"):
+            found += _known(pieces)
+            pieces = []
+    return found + _known(pieces)
 
 
 def apply_rules(ids: list[str]) -> tuple[list[tuple[str, str]], list[int]]:

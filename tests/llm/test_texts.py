@@ -2,6 +2,7 @@
 
 import random
 import re
+import textwrap
 from collections import Counter
 
 import numpy as np
@@ -231,6 +232,26 @@ def test_licences(text, want, category):
     assert (found["licenses"], found["category"]) == (want, category)
 
 
+_NOTICE = """This {what} is free software{sign} you can redistribute it and/or modify it under the terms of the GNU {kind}General Public License \
+as published by the Free Software Foundation{sep} either version {version} of the License, or (at your option) any later version.
+
+This {what} is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of \
+MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the GNU {kind}General Public License for more details."""
+
+
+@pytest.mark.parametrize("width", [0, 12, 30, 50, 72])
+@pytest.mark.parametrize("mark", ["", "# ", " * "])
+@pytest.mark.parametrize(("what", "sign", "kind", "sep", "version", "want", "category"), [
+    ("program", ":", "", ",", "3", "GPL-3.0-or-later", "copyleft"), ("program", ";", "", ";", "2", "GPL-2.0-or-later", "copyleft"),
+    ("program", ":", "Affero ", ",", "3", "AGPL-3.0-or-later", "copyleft"),
+    ("library", ";", "Lesser ", ";", "2.1", "LGPL-2.1-or-later", "weak copyleft"), ("library", ":", "Lesser ", ",", "3", "LGPL-3.0-or-later", "weak copyleft")])
+def test_standard_notices_wrapped_and_unwrapped(width, mark, what, sign, kind, sep, version, want, category):
+    notice = _NOTICE.format(what=what, sign=sign, kind=kind, sep=sep, version=version)
+    lines = [x for p in notice.split("\n") for x in (textwrap.wrap(p, width, break_long_words=False) if width and p else [p])]
+    found = license_scan._scan("\n".join(mark + x for x in lines).encode())
+    assert (found["licenses"], found["category"]) == ([want], category)
+
+
 def test_licence_query_finds_every_licence_line(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").withColumn("spans", F.lit(1))
     lines = {"Apache-2.0": "Licensed under the Apache License, Version 2.0.", "MIT": "Released under the MIT License.",
