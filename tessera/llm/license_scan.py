@@ -141,17 +141,15 @@ def normalise(piece: str) -> str:
     return re.sub(r"(?<=\() | (?=\))", "", re.sub(r"\s+", " ", s)).strip()
 
 
-#: Words of which a text with a licence has one.
-_HINT = re.compile(r"licen[cs]|copyright|\(c\)|©|spdx|warrant|permi(ssion|tted)|redistribut|public domain|all rights reserved", re.I)
-#: A known sentence holds one of these words, however it is wrapped; others need no pattern.
-_HINT_PART = re.compile(r"licen[cs]|copyright|\(c\)|©|spdx|software|permission|redistribut|domain|rights|confidential|endorse|cc0|version|gnu|"
-                        r"compliance", re.I)
+#: A known sentence holds one of these words, however it is wrapped; texts and sentences without any need no pattern.
+_HINT = re.compile(r"licen[cs]|copyright|\(c\)|©|spdx|software|permission|redistribut|domain|rights|confidential|endorse|cc0|version|gnu|"
+                   r"compliance", re.I)
 
 
 def _known(pieces: list[tuple[int, int, str]]) -> list[tuple[int, int, str]]:
     """Known sentences among the pieces of one sentence, the first to start before others, then in the order of ``SENTENCES``."""
     lines = "\n".join(s for _, _, s in pieces)
-    if not _HINT_PART.search(lines):
+    if not _HINT.search(lines):
         return []
     at = list(itertools.accumulate((len(s) + 1 for _, _, s in pieces), initial=0))
     hits = sorted((bisect.bisect_right(at, m.start()) - 1, k, bisect.bisect_right(at, m.end() - 1) - 1, name)

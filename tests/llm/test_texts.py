@@ -252,6 +252,60 @@ def test_standard_notices_wrapped_and_unwrapped(width, mark, what, sign, kind, s
     assert (found["licenses"], found["category"]) == ([want], category)
 
 
+_ONE_EACH = """spdx|SPDX-License-Identifier: MIT
+apache2-grant|Licensed under the Apache License, Version 2.0
+apache2-short|Available under the Apache Software License 2.0.
+apache-comply|You may not use this file except in compliance with the License.
+apache-copy|You may obtain a copy of the License at
+apache-asis|Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an "AS IS" BASIS
+mit-short|Distributed under the terms of the MIT license.
+mit-grant|Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files
+mit-notice|The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.
+asis|THE SOFTWARE IS PROVIDED "AS IS"
+bsd-grant|Redistribution and use in source and binary forms, with or without modification, are permitted provided that
+bsd-source|Redistributions of source code must retain the above copyright notice
+bsd-binary|Redistributions in binary form must reproduce the above copyright notice
+bsd-endorse|Neither the name of X may be used to endorse or promote products
+bsd-short|Released under the 3-clause BSD license.
+gpl3-short|Distributed under the GNU General Public License v3.
+gpl2-short|Distributed under the GNU General Public License, version 2.
+gpl-free|This program is free software.
+gpl2-terms|You can redistribute it and/or modify it under the terms of the GNU General Public License version 2
+gpl3-terms|You can redistribute it and/or modify it under the terms of the GNU General Public License version 3
+gpl-terms|You can redistribute it and/or modify it under the terms of the GNU General Public License
+lgpl-terms|You can redistribute it and/or modify it under the terms of the GNU Lesser General Public License
+agpl-terms|You can redistribute it and/or modify it under the terms of the GNU Affero General Public License
+gpl-version3|either version 3 of the License, or
+gpl-version2|either version 2 of the License, or
+gpl-version21|either version 2.1 of the License, or
+gpl-only3|version 3 of the License.
+gpl-only2|version 2.
+lgpl-short|Released under the GNU Lesser General Public License
+agpl-short|Released under the GNU Affero General Public License
+mpl2|This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.
+cc-by-nc|Licensed under CC BY-NC 4.0.
+cc-by-sa|Licensed under CC BY-SA 4.0.
+cc-by|Licensed under CC BY 4.0.
+cc0|Dedicated to the public domain.
+cc0|CC0 1.0 Universal
+unlicense|This is free and unencumbered software released into the public domain.
+proprietary|All rights reserved.
+proprietary|This document is confidential and proprietary.
+copyright|Copyright 2020 X"""
+
+
+def test_each_known_sentence_alone_is_found_on_one_line_and_word_by_word():
+    given = [line.split("|") for line in _ONE_EACH.split("\n")]
+    assert [name for name, _ in given] == [name for name, _ in license_scan.SENTENCES]
+    for name, text in given:
+        assert license_scan._scan(text.encode())["sentence_ids"] == [name], text
+        if name not in ("spdx", "mpl2"):  # their identifier and number stand on one line
+            found = license_scan._scan(("// " + text.replace(" ", "\n// ")).encode())
+            assert name in found["sentence_ids"], text
+    assert license_scan._scan(b"This document is confidential and proprietary.")["category"] == "proprietary"
+    assert license_scan._scan(b"CC0 1.0 Universal")["licenses"] == ["CC0-1.0"]
+
+
 def test_licence_query_finds_every_licence_line(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").withColumn("spans", F.lit(1))
     lines = {"Apache-2.0": "Licensed under the Apache License, Version 2.0.", "MIT": "Released under the MIT License.",
