@@ -1,6 +1,18 @@
 """Quality by perplexity under an interpolated modified Kneser-Ney model of trusted text.
 
-The model is over byte classes (white space, 26 letters, capitals, digits,
+``score_characters``, which the query runs, counts n-grams of five characters as
+they stand in the text (no classes), for every language and for all trusted text.
+Their number grows with the input, so they stay in tables sharded on (language,
+n-gram): the distinct n-grams of each group of documents (about ``GROUP_BYTES``)
+meet their probabilities in a join and come to the group's texts, where each
+document's log-probabilities are summed. Every language has its own model and
+quantiles, weighted against those of all trusted text by its number of trusted
+documents; there is no limit on languages and no size at which one switches.
+Null languages, null and empty texts, repeated rows, missing trusted documents
+and empty tables give what is defined below; ``model`` is ``*`` where a language
+has no trusted document. U+0000 counts as U+FFFD.
+
+``score`` is the small model, over byte classes (white space, 26 letters, capitals, digits,
 sentence marks, other signs, bytes beyond ASCII), of order four, one per
 language. Counts are gathered from all trusted documents and sharded by n-gram;
 continuation counts, discounts and context sums come from aggregations, and
@@ -25,7 +37,7 @@ result. Extra columns are not read.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -51,6 +63,11 @@ _CLASS[48:58] = 28
 _CLASS[list(b".,;:!?'\"()-")] = 29
 _PAD = b"\n" * (ORDER - 1)
 
+#: Characters of an n-gram, bytes of text whose documents are scored together, and the chance of an unknown character.
+CHARACTERS, GROUP_BYTES, UNSEEN = 5, 16 << 20, 2.0 ** -16
+#: A language's model counts half where it has so many trusted documents, the model of all trusted text the other half.
+HALF_TRUSTED = 20
+
 
 def gram_cells(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The n-gram that ends at each byte, and where each text starts and ends among them."""
@@ -107,7 +124,7 @@ def _bits(k: int) -> int:
 def _discounted(counts: DataFrame) -> DataFrame:
     """``lang, g, c, d``: counts of one order with their modified Kneser-Ney discount."""
     n = counts.groupBy("lang").agg(*[F.count(F.when(F.col("c") == k, 1)).alias(f"n{k}") for k in (1, 2, 3, 4)])
-    y = F.col("n1") / (F.col("n1") + 2 * F.col("n2"))
+    y = F.try_divide("n1", F.col("n1") + 2 * F.col("n2"))
     usable = (F.col("n1") > 0) & (F.col("n2") > 0) & (F.col("n3") > 0)
 
     def d(k: int) -> Column:
@@ -120,18 +137,27 @@ def _discounted(counts: DataFrame) -> DataFrame:
         "lang", "g", "c", F.when(F.col("c") == 1, F.col("d1")).when(F.col("c") == 2, F.col("d2")).otherwise(F.col("d3")).alias("d"))
 
 
-def log_probabilities(counts: DataFrame, needed: DataFrame) -> DataFrame:
-    """``lang, g, logp`` (base 2) for all ``needed`` n-grams, from the trusted ``counts``; both sharded by n-gram."""
-    levels = {ORDER: counts}
-    for k in range(ORDER - 1, 0, -1):  # continuation counts: how many n-grams one longer end in g
+def _last_cells(k: int) -> Column:
+    return F.col("g").bitwiseAND(F.lit(_bits(k)))
+
+
+def log_probabilities(counts: DataFrame, needed: DataFrame, order: int = ORDER, unseen: float = 1.0 / (1 << CLASS_BITS),
+                      last: Callable[[int], Column] = _last_cells,
+                      before: Callable[[str], Column] = lambda g: F.shiftright(g, CLASS_BITS)) -> DataFrame:
+    """``lang, g, logp`` (base 2) for all ``needed`` n-grams, from the trusted ``counts``; both sharded by n-gram.
+
+    ``last`` gives the last k symbols of ``g``, ``before`` all but the last one.
+    """
+    levels = {order: counts}
+    for k in range(order - 1, 0, -1):  # continuation counts: how many n-grams one longer end in g
         longer = levels[k + 1]
-        levels[k] = cut_lineage(longer.groupBy("lang", F.col("g").bitwiseAND(F.lit(_bits(k))).alias("g")).agg(F.count("*").alias("c")))
-    p = needed.select("lang", "g", F.lit(1.0 / (1 << CLASS_BITS)).alias("p"))
-    for k in range(1, ORDER + 1):
+        levels[k] = cut_lineage(longer.groupBy("lang", last(k).alias("g")).agg(F.count("*").alias("c")))
+    p = needed.select("lang", "g", F.lit(unseen).alias("p"))
+    for k in range(1, order + 1):
         d = _discounted(levels[k])
-        contexts = (d.groupBy("lang", F.shiftright("g", CLASS_BITS).alias("context"))
+        contexts = (d.groupBy("lang", before("g").alias("context"))
                     .agg(F.sum("c").alias("total"), F.sum("d").alias("spared")))
-        p = (p.withColumn("key", F.col("g").bitwiseAND(F.lit(_bits(k)))).withColumn("context", F.shiftright("key", CLASS_BITS))
+        p = (p.withColumn("key", last(k)).withColumn("context", before("key"))
              .join(d.withColumnRenamed("g", "key"), ["lang", "key"], "left")
              .join(contexts, ["lang", "context"], "left")
              .select("lang", "g", F.when(F.col("total").isNull(), F.col("p")).otherwise(
@@ -198,3 +224,112 @@ def score(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col:
     return (scored.join(F.broadcast(limits), "model", "left")  # at most MOST_LANGUAGES + 1 rows
             .select(F.col("id").alias(id_col), "model", "n_symbols", "perplexity",
                     ((F.col("n_symbols") > 0) & F.coalesce(F.col("perplexity").between(F.col("q")[0], F.col("q")[1]), F.lit(True))).alias("kept")))
+
+
+def character_grams(texts: list[bytes]) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """The distinct n-grams of ``texts``, which of them ends at each character, and the characters of each text."""
+    decoded = [t.decode("utf-8", "replace").replace("\0", "\ufffd") for t in texts]
+    pad = "\n" * (CHARACTERS - 1)
+    data = np.frombuffer("".join(pad + t for t in decoded).encode("utf-32-le"), np.uint32)
+    lengths = np.array([len(t) for t in decoded], np.int64)
+    starts = np.cumsum(lengths + len(pad)) - lengths - len(pad)
+    at = np.arange(lengths.sum()) + np.repeat(starts - (np.cumsum(lengths) - lengths), lengths)
+    mixed = np.zeros(len(at), np.uint64)
+    for k in range(CHARACTERS):  # 64-bit hashes, as for words in blocks.py
+        mixed = (mixed ^ data[at + k]) * np.uint64(0x9E3779B97F4A7C15)
+        mixed ^= mixed >> np.uint64(29)
+    _, first, which = np.unique(mixed, return_index=True, return_inverse=True)
+    windows = data[at[first][:, None] + np.arange(CHARACTERS)]
+    return np.ascontiguousarray(windows).view(f"<U{CHARACTERS}").ravel().tolist(), which, lengths
+
+
+def character_counts(docs: DataFrame) -> DataFrame:
+    """``lang, g, c``: how often each n-gram of characters occurs in ``docs`` (lang, text)."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in slices(batches, 2000):
+            for lang, _, texts in by_language(b):
+                for i, j in blocks(texts, 4 << 20):
+                    grams, which, _ = character_grams(texts[i:j])
+                    yield pa.RecordBatch.from_arrays([pa.array([lang] * len(grams), pa.string()), pa.array(grams, pa.string()),
+                                                      pa.array(np.bincount(which, minlength=len(grams)), pa.int64())], ["lang", "g", "c"])
+
+    return docs.mapInArrow(run, "lang string, g string, c long").groupBy("lang", "g").agg(F.sum("c").alias("c"))
+
+
+def score_characters(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
+                     low: float = LOW, high: float = HIGH) -> DataFrame:
+    """One row per document, with the columns of ``score``; ``n_symbols`` counts characters."""
+    rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(lang_col).cast("string"), F.lit("")).alias("lang"),
+                       F.col(text_col).alias("text"))
+    ids = trusted.select(F.col(id_col).alias("id")).where("id IS NOT NULL").distinct()
+    good = rows.where("text <> ''").join(ids.hint("merge"), "id", "left_semi")
+    counted = cut_lineage(character_counts(good.select("lang", "text")))
+    if counted.isEmpty():
+        return rows.select(F.col("id").alias(id_col), F.lit(ALL).alias("model"),
+                           F.coalesce(F.length("text"), F.lit(0)).cast("long").alias("n_symbols"),
+                           F.lit(None).cast("double").alias("perplexity"), (F.coalesce(F.length("text"), F.lit(0)) > 0).alias("kept"))
+    n_trusted = cut_lineage(rows.where("text <> ''").select("id", "lang").join(ids, "id", "left_semi").groupBy("lang").agg(
+        (F.count("*") / (F.count("*") + HALF_TRUSTED)).alias("own")))  # one row a language
+    needed = cut_lineage(character_counts(rows.select("lang", "text")).select("lang", "g"))
+
+    def model(counts: DataFrame, wanted: DataFrame) -> DataFrame:
+        return log_probabilities(counts, wanted, CHARACTERS, UNSEEN, lambda k: F.right("g", F.lit(k)),
+                                 lambda g: F.expr(f"left({g}, length({g}) - 1)"))
+
+    pooled = model(cut_lineage(counted.groupBy("g").agg(F.sum("c").alias("c")).select(F.lit(ALL).alias("lang"), "g", "c")),
+                   needed.select("g").distinct().select(F.lit(ALL).alias("lang"), "g")).select("g", F.col("logp").alias("of_all"))
+    weight = F.coalesce("own", F.lit(0.0))
+    known = cut_lineage(model(counted, needed).join(pooled, "g").join(F.broadcast(n_trusted), "lang", "left").select(
+        "lang", "g", F.log2(weight * F.pow(F.lit(2.0), "logp") + (1 - weight) * F.pow(F.lit(2.0), "of_all")).alias("logp")))
+
+    size = rows.agg(F.sum(F.octet_length("text"))).collect()[0][0] or 0
+    n = max(1, -(-size // GROUP_BYTES))
+    laid = rows.withColumn("part", F.pmod(F.xxhash64("id", "text"), F.lit(n))).repartition(n, "part")
+
+    def distinct(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in slices(batches, 2000):
+            parts = np.array(b.column("part"))
+            for part in np.unique(parts):
+                one = b.take(pa.array(np.flatnonzero(parts == part)))
+                for lang, _, texts in by_language(one):
+                    for i, j in blocks(texts, 4 << 20):
+                        grams = character_grams(texts[i:j])[0]
+                        yield pa.RecordBatch.from_arrays([pa.array([part] * len(grams), pa.int64()), pa.array([lang] * len(grams), pa.string()),
+                                                          pa.array(grams, pa.string())], ["part", "lang", "g"])
+
+    met = (laid.mapInArrow(distinct, "part long, lang string, g string").groupBy("lang", "g").agg(F.collect_set("part").alias("parts"))
+           .join(known, ["lang", "g"]).select(F.explode("parts").alias("part"), "lang", "g", "logp"))
+
+    def run(texts: pa.Table, probabilities: pa.Table) -> pa.Table:
+        logs: dict = {}
+        for lang, g, logp in zip(*(c.to_pylist() for c in probabilities.select(["lang", "g", "logp"]).columns), strict=True):
+            logs.setdefault(lang, {})[g] = logp
+        out = []
+        for b in slices(texts.to_batches()):
+            entropy, n_symbols = np.full(b.num_rows, np.nan), np.zeros(b.num_rows, np.int64)
+            for lang, at, found in by_language(b):
+                for i, j in blocks(found, 4 << 20):
+                    grams, which, lengths = character_grams(found[i:j])
+                    sums = np.zeros(len(which) + 1)
+                    np.cumsum(np.array([logs[lang][g] for g in grams], float)[which], out=sums[1:])
+                    ends = np.cumsum(lengths)
+                    with np.errstate(invalid="ignore"):
+                        entropy[at[i:j]] = (sums[ends - lengths] - sums[ends]) / lengths
+                    n_symbols[at[i:j]] = lengths
+            out.append(pa.RecordBatch.from_arrays([b.column("id"), b.column("lang"), pa.array(n_symbols), pa.array(2.0 ** entropy, from_pandas=True)],
+                                                  ["id", "lang", "n_symbols", "perplexity"]))
+        return pa.Table.from_batches(out)
+
+    kind = dict(rows.dtypes)["id"]
+    scored = cut_lineage(laid.groupBy("part").cogroup(met.groupBy("part")).applyInArrow(
+        run, f"id {kind}, lang string, n_symbols long, perplexity double"))
+    accepted = scored.where("perplexity IS NOT NULL").join(ids, "id", "left_semi").withColumn("bits", F.log2("perplexity"))
+    quantiles = F.percentile_approx("bits", [low, high], F.lit(10_000))
+    weights = n_trusted.join(accepted.groupBy("lang").agg(quantiles.alias("q")), "lang")
+    limits = cut_lineage(weights.crossJoin(F.broadcast(accepted.agg(quantiles.alias("a")))).select(
+        "lang", *[(F.col("own") * F.col("q")[i] + (1 - F.col("own")) * F.col("a")[i]).alias(name) for i, name in enumerate(("least", "most"))]))
+    other = accepted.agg(quantiles.alias("a"))
+    bits = F.log2("perplexity")
+    return (scored.join(F.broadcast(limits), "lang", "left").crossJoin(F.broadcast(other))  # one row a language, and one row
+            .select(F.col("id").alias(id_col), F.when(F.col("least").isNull(), ALL).otherwise(F.col("lang")).alias("model"), "n_symbols", "perplexity",
+                    F.coalesce(bits.between(F.coalesce("least", F.col("a")[0]), F.coalesce("most", F.col("a")[1])), F.lit(False)).alias("kept")))

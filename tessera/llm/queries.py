@@ -109,7 +109,7 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_lm_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     trusted = table(spark, sf_dir, "labels").where("quality = 1 AND toxic = 0")
-    return lm_quality.score(table(spark, sf_dir, "documents"), trusted)
+    return lm_quality.score_characters(table(spark, sf_dir, "documents"), trusted)
 
 
 def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:

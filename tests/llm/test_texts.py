@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from tessera.llm import license_scan, lm_quality, quality_rules, queries, secret_scan, simhash_dups
 from tessera.llm.blocks import SpanHasher
-from tests.llm.helpers import SF
+from tests.llm.helpers import SF, write_tables
 
 ODD = [None, "", " \t\x0b ", "one", "a b\na b\n\na b\r\n  \n", "x " * 40, "#*$%&|<>", "word" * 20000, "é\x1cü\x85ö a\x0cb",
        "\n".join(["same line here"] * 50), "the cat sat on the mat and the cat sat on the mat again", "\U0001F600 " * 12,
@@ -389,3 +389,50 @@ def test_perplexity_tells_labelled_rows_apart(spark):
     good, bad = ([r for r in judged if r["quality"] == q and not r["toxic"]] for q in (1, 0))
     assert sum(r["kept"] for r in good) >= 0.95 * len(good)
     assert sum(r["kept"] for r in bad) <= 0.35 * len(bad)
+
+
+@pytest.mark.parametrize("half", [0, 5])
+def test_character_perplexity_against_plain_kneser_ney(spark, monkeypatch, half):
+    monkeypatch.setattr(lm_quality, "HALF_TRUSTED", half)
+    monkeypatch.setattr(lm_quality, "UNSEEN", 1 / 32)
+    rng = random.Random(4)
+    words = ["the", "of", "cat", "sat", "mat", "zebra"]  # letters and line breaks: a class each in the plain version
+    rows = [(i, "\n".join(rng.choice(words) for _ in range(rng.randint(1, 30))), ["en", "fr", None][i % 3]) for i in range(40)]
+    rows += [(40, "", "en"), (41, None, "fr"), (42, "qqq", "en"), (43, "a\ncat", "xx"), (0, rows[0][1], "en")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").withColumn("part", F.lit(1))
+    got = lm_quality.score_characters(docs.repartition(4), docs.where("doc_id < 30").select("doc_id")).collect()
+    good = [(t.encode(), x or "") for i, t, x in rows if i < 30]
+    models = {m: _kneser_ney([t for t, x in good if m in ("*", x)], 5) for m in ("*", "en", "fr", "")}
+    counts = Counter(x for _, x in good)
+    want = []
+    for i, t, x in rows:
+        x, t = x or "", (t or "").encode()
+        c = [0] * 4 + [int(v) for v in lm_quality._CLASS[list(t)]]
+        own = counts[x] / (counts[x] + half) if x in counts else 0
+        p = [sum(w * models[m](tuple(c[k:k + 5])) for m, w in ((x, own), ("*", 1 - own)) if w) for k in range(len(t))]
+        want.append((i, x if x in counts else "*", len(t), 2 ** -np.mean(np.log2(p)) if p else None))
+    for g, w in zip(sorted(got, key=lambda r: r["doc_id"]), sorted(want, key=lambda r: r[0]), strict=True):
+        assert (g["doc_id"], g["model"], g["n_symbols"]) == w[:3]
+        assert (g["perplexity"] is None) == (w[3] is None) and (w[3] is None or g["perplexity"] == pytest.approx(w[3], rel=1e-6))
+    kept = {r["doc_id"]: r["kept"] for r in got}
+    assert not kept[40] and not kept[41] and not kept[42]
+    alone = lm_quality.score_characters(docs, docs.limit(0)).collect()
+    assert all(r["perplexity"] is None and r["kept"] == (r["n_symbols"] > 0) for r in alone)
+
+
+def _labelled_tables(spark, tmp_path, rows, n_trusted):
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    labels = docs.where(F.col("doc_id") < n_trusted).select("doc_id", F.lit(1).alias("quality"), F.lit(0).alias("toxic"))
+    return write_tables(spark, tmp_path, {"documents": docs, "labels": labels})
+
+
+def test_scrambled_words_beyond_ascii_are_not_kept(spark, tmp_path):
+    rng = random.Random(6)
+    words = ["молоко", "дорога", "погода", "человек", "город", "книга", "большой", "время"]
+    good = [" ".join(rng.choice(words) for _ in range(60)) for _ in range(40)]
+    # Words of the same lengths: one class of bytes and spaces are alike.
+    bad = ["".join(rng.choice("фщъыэюжцчшгпк") if c != " " else c for c in t) for t in good[:10]]
+    root = _labelled_tables(spark, tmp_path, [(i, t, "ru") for i, t in enumerate(good + bad)], 40)
+    kept = {r["doc_id"]: r["kept"] for r in queries.op8_lm_quality(spark, root).collect()}
+    assert sum(kept[i] for i in range(40)) >= 38
+    assert not any(kept[i] for i in range(40, 50))
