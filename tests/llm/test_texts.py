@@ -436,3 +436,19 @@ def test_scrambled_words_beyond_ascii_are_not_kept(spark, tmp_path):
     kept = {r["doc_id"]: r["kept"] for r in queries.op8_lm_quality(spark, root).collect()}
     assert sum(kept[i] for i in range(40)) >= 38
     assert not any(kept[i] for i in range(40, 50))
+
+
+def test_every_language_has_a_model_of_its_own(spark, tmp_path):
+    rng = random.Random(7)
+    rows = []
+    for k in range(70):  # two letters of its own, so other languages' text is unlikely
+        letters = "abcdefghijklmnopqrstuvwxyz"[k % 26] + "abcdefghijklmnopqrstuvwxyz"[(k * 7 + k // 26 + 1) % 26]
+        rows += [(len(rows) + j, "".join(rng.choice(letters + " ") for _ in range(200)), f"l{k:02}") for j in range(2 if k >= 60 else 21)]
+    n = len(rows)
+    last = [t for _, t, x in rows if x == "l69"]
+    rows += [(n, "".join(last), "l69"), (n + 1, rows[0][1], "l69")]
+    root = _labelled_tables(spark, tmp_path, rows, n)
+    got = {r["doc_id"]: r for r in queries.op8_lm_quality(spark, root).collect()}
+    assert all(got[i]["model"] == lang for i, _, lang in rows)
+    # Text like its own two trusted documents is likelier in l69 than text of l00.
+    assert got[n]["perplexity"] < got[n + 1]["perplexity"]
