@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tessera.llm import chat, decontaminate, license_scan, lm_quality, packing, quality_rules, secret_scan, simhash_dups, url_filter, warc_zip
+from tessera.llm import (chat, decontaminate, license_scan, lm_quality, packing, pivot_search, quality_rules, secret_scan,
+                         simhash_dups, spelling, url_filter, warc_zip, whitening)
 from tessera.sources.tables import table
 
 
@@ -133,6 +134,33 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op11_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pivot_search.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+    return found.withColumnRenamed("id", "vec_id")
+
+
+OP11_SQL = """
+WITH v AS (
+  SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda c: floor(256 * CAST(c AS DOUBLE))) AS x
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0),
+scored AS (
+  SELECT q.r, q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.x, c.x) AS BIGINT) AS score
+  FROM v q JOIN v c ON len(q.x) = len(c.x) AND q.r <> c.r WHERE q.vec_id % 50 = 0),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id NULLS LAST) AS place FROM scored)
+SELECT query_id, CAST(place AS INTEGER) AS rank, vec_id, score FROM ranked WHERE place <= 5
+"""
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents"), every=199)
+
+
 QUERIES = {
     "op1_chat_format": op1_chat_format,
     "op2_url_filter": op2_url_filter,
@@ -144,10 +172,14 @@ QUERIES = {
     "op8_lm_quality": op8_lm_quality,
     "op9_warc": op9_warc,
     "op10_simhash": op10_simhash,
+    "op11_topk_search": op11_topk_search,
+    "op12_whitening": op12_whitening,
+    "op13_spelling_variants": op13_spelling_variants,
 }
 
 ORACLE = {
     "op1_chat_format": OP1_SQL,
     "op4_decontaminate": OP4_SQL,
     "op9_warc": OP9_SQL,
+    "op11_topk_search": OP11_SQL,
 }
