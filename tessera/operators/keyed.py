@@ -17,12 +17,13 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-import pandas as pd
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ByteType, IntegerType, LongType, ShortType
 
 from tessera.functions.draws import draw
+from tessera.operators.combiners import HELD_KEYS, Combiner, combine_with, of_series, reducing
 
 #: Parts that each key is split into unless the caller says otherwise.
 PARTS = 16
@@ -110,42 +111,13 @@ def cogroup(inputs: Mapping[str, DataFrame], key: str = "key", value: str = "val
     return tagged.groupBy(F.col("__key").alias(key), "part").agg(*aggs)
 
 
-#: Keys that a task holds partial results of before it passes them on.
-HELD_KEYS = 200_000
-
-
 def combine_per_key_with(df: DataFrame, key: str, value: str, fn, out: str = "total",
                          return_type: str = "double", held_keys: int = HELD_KEYS) -> DataFrame:
-    """CombinePerKey with a user combiner ``fn(pandas.Series) -> scalar``.
-
-    ``fn`` must be associative and commutative (like sum, min, max). Like a
-    combiner it runs twice: inside every map task, whose partial results are
-    carried from batch to batch (``mapInPandas``, no shuffle), then once per key
-    over the partial results. A hot key reaches its final group as one partial
-    value per task; a task that meets more than ``held_keys`` keys passes on
-    what it holds, so its memory is bounded.
+    """CombinePerKey with a user combiner: a ``Combiner``, a numpy ufunc, or a function ``pandas.Series -> scalar``.
+
+    It must be associative and commutative (like sum, min, max), for it runs twice: in every task that reads, then
+    over the partial results (see ``operators.combiners``). Only the last form is called for each key.
     """
-    schema = f"{key} {df.schema[key].dataType.simpleString()}, __p {return_type}"
-    final_schema = f"{key} {df.schema[key].dataType.simpleString()}, {out} {return_type}"
-
-    def merged(frames, col):
-        g = pd.concat(frames).groupby(key, dropna=False, sort=False)[col].agg(fn)
-        return pd.DataFrame({key: g.index, "__p": g.values})
-
-    def partial(batches):
-        held = None
-        for b in batches:
-            if len(b):
-                now = merged([b.rename(columns={value: "__p"})], "__p")
-                held = now if held is None else merged([held, now], "__p")
-                if len(held) > held_keys:
-                    yield held
-                    held = None
-        if held is not None:
-            yield held
-
-    def final(pdf):
-        return merged([pdf], "__p").rename(columns={"__p": out})
-
-    partials = df.select(key, value).mapInPandas(partial, schema)
-    return partials.groupBy(key).applyInPandas(final, final_schema)
+    if isinstance(fn, np.ufunc):
+        fn = reducing(fn, return_type)
+    return combine_with(df, key, value, fn if isinstance(fn, Combiner) else of_series(fn, return_type), out, held_keys)

@@ -3,11 +3,12 @@ literal lookup joined to a table."""
 
 from __future__ import annotations
 
-import pandas as pd
+import numpy as np
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from tessera.functions.draws import sql_draw
+from tessera.operators.combiners import combine_with, largest, mean
 from tessera.operators.keyed import (PARTS, cogroup, combine_globally, combine_per_key,
                                      combine_per_key_with, group_by_key)
 from tessera.operators.summaries import MONEY
@@ -29,7 +30,17 @@ def group_values(spark, sf_dir):
 def max_per_key(spark, sf_dir):
     """CombinePerKey with a Python combiner: the largest order of each customer."""
     o = table(spark, sf_dir, "orders")
-    return combine_per_key_with(o, "o_custkey", "o_totalprice", pd.Series.max, out="largest")
+    return combine_per_key_with(o, "o_custkey", "o_totalprice", np.maximum, out="largest")
+
+
+def top_per_key(spark, sf_dir):
+    """CombinePerKey with lists and with (sum, count) as accumulators: the three largest orders of each customer and
+    their mean, in whole cents, so that sums do not depend on the order of rows."""
+    o = table(spark, sf_dir, "orders").select("o_custkey", F.round(F.col("o_totalprice") * 100).cast("bigint").alias("cents"))
+    top = combine_with(o, "o_custkey", "cents", largest(3, "bigint"), out="top")
+    means = combine_with(o, "o_custkey", "cents", mean(), out="mean_cents")
+    return top.join(means, "o_custkey").select(
+        "o_custkey", *[F.try_element_at("top", F.lit(i)).alias(f"top{i}") for i in (1, 2, 3)], "mean_cents")
 
 
 def global_sum(spark, sf_dir):
@@ -68,6 +79,7 @@ def inline_rows(spark, sf_dir):
 QUERIES = {
     "group_values": group_values,
     "max_per_key": max_per_key,
+    "top_per_key": top_per_key,
     "global_sum": global_sum,
     "sum_per_key": sum_per_key,
     "cogroup_orders": cogroup_orders,
@@ -86,6 +98,11 @@ ORACLE = {
 SELECT c_nationkey, {_salt_sql('c_custkey')} % {PARTS} AS part, list(c_custkey ORDER BY c_custkey) AS custkeys
 FROM customer GROUP BY 1, 2""",
     "max_per_key": "SELECT o_custkey, MAX(o_totalprice) AS largest FROM orders GROUP BY o_custkey",
+    "top_per_key": """
+WITH c AS (SELECT o_custkey, CAST(round(o_totalprice * 100) AS BIGINT) AS cents FROM orders),
+t AS (SELECT o_custkey, list(cents ORDER BY cents DESC) AS l, CAST(SUM(cents) AS DOUBLE) / COUNT(*) AS mean_cents
+      FROM c GROUP BY o_custkey)
+SELECT o_custkey, l[1] AS top1, l[2] AS top2, l[3] AS top3, mean_cents FROM t""",
     "global_sum": "SELECT CAST(COALESCE(SUM(CAST(o_totalprice AS DECIMAL(38,9))), 0) AS DOUBLE) AS total FROM orders",
     "sum_per_key": """SELECT o_custkey AS key, CAST(SUM(CAST(o_totalprice AS DECIMAL(38,9))) AS DOUBLE) AS total
 FROM orders GROUP BY o_custkey""",

@@ -119,16 +119,74 @@ def test_callable_combiner_passes_on_one_partial_per_key_and_task(spark):
         out = combine_per_key_with(df, "key", "value", total, return_type="bigint")
         got = {r[0]: r[1] for r in out.collect()}
         assert got == {r[0]: r[1] for r in df.groupBy("key").agg(F.sum("value")).collect()}
-        qe = out._jdf.queryExecution().executedPlan().toString()
-        assert "MapInPandas" in qe and "FlatMapGroupsInPandas" in qe
+        plan = out._jdf.queryExecution().optimizedPlan()
+        assert plan.toString().count("MapInArrow") == 2 and "InPandas" not in plan.toString()
         held = combine_per_key_with(df, "key", "value", total, return_type="bigint", held_keys=2)
         assert {r[0]: r[1] for r in held.collect()} == got     # small memory, same result
         # Thirty batches in each of three tasks, yet each task hands on one row per key.
-        partials = out._jdf.queryExecution().optimizedPlan().children().apply(0)
-        while "MapInPandas" not in partials.nodeName():
+        partials = plan
+        while "MapInArrow" not in partials.children().apply(0).nodeName():
+            partials = partials.children().apply(0)
+        while "MapInArrow" not in partials.nodeName():
+            partials = partials.children().apply(0)
+        partials = partials.children().apply(0)
+        while "MapInArrow" not in partials.nodeName():
             partials = partials.children().apply(0)
         from pyspark.sql import DataFrame
         rows = DataFrame(spark._jvm.org.apache.spark.sql.classic.Dataset.ofRows(spark._jsparkSession, partials), spark)
         assert rows.groupBy("key", F.spark_partition_id()).count().agg(F.max("count")).first()[0] == 1
     finally:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
+
+
+BIG = 1 << 53
+KEYED = [(BIG, BIG + 1), (BIG + 1, BIG + 3), (None, 5), (None, None), (BIG + 1, None), (BIG, 2), (7, None), (BIG, BIG + 1)]
+
+
+def _keyed(spark):
+    return spark.createDataFrame(KEYED, "key bigint, value bigint").repartition(3)
+
+
+def test_combiners_keep_large_keys_and_values_beside_nulls(spark):
+    import numpy as np
+
+    from tessera.operators.combiners import combine_with, largest, mean, reducing
+    df = _keyed(spark)
+
+    def found(combiner, source=df):
+        return {r[0]: r[1] for r in combine_with(source, "key", "value", combiner).collect()}
+
+    assert found(reducing(np.maximum, "bigint")) == {BIG: BIG + 1, BIG + 1: BIG + 3, None: 5, 7: None}
+    assert found(reducing(np.add, "bigint")) == {BIG: 2 * BIG + 4, BIG + 1: BIG + 3, None: 5, 7: None}
+    assert found(largest(2, "bigint")) == {BIG: [BIG + 1, BIG + 1], BIG + 1: [BIG + 3], None: [5], 7: []}
+    assert found(mean())[None] == 5.0 and found(mean())[7] is None
+    words = df.selectExpr("key", "CAST(value AS STRING) AS value")
+    assert found(reducing(max, "string"), words)[BIG] == str(BIG + 1)          # any function of two values
+    floats = spark.createDataFrame([(float("nan"), 1), (float("nan"), 2), (0.0, 3), (-0.0, 4), (None, 5)], "key double, value bigint")
+    got = combine_with(floats.repartition(4), "key", "value", reducing(np.add, "bigint")).collect()
+    assert sorted((str(r[0]), r[1]) for r in got) == [("0.0", 7), ("None", 5), ("nan", 3)]
+    assert combine_with(df.limit(0), "key", "value", mean()).count() == 0
+
+
+def test_series_combiner_keeps_large_keys(spark):
+    from tessera.operators.keyed import combine_per_key_with
+    got = combine_per_key_with(_keyed(spark), "key", "value", lambda s: s.max(), return_type="bigint")
+    assert {r[0]: r[1] for r in got.collect()} == {BIG: BIG + 1, BIG + 1: BIG + 3, None: 5, 7: None}
+
+
+def test_combiner_over_many_batches_and_a_hot_key(spark):
+    import numpy as np
+
+    from tessera.operators.combiners import combine_with, largest, reducing
+    old = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "50")
+    try:
+        df = spark.range(0, 6000, 1, 4).selectExpr("IF(id % 3 = 0, 0, id) AS key", "id * 7 % 1000 AS value")
+        want = {r[0]: r[1] for r in df.groupBy("key").agg(F.sum("value")).collect()}
+        for held in (200_000, 10):
+            got = combine_with(df, "key", "value", reducing(np.add, "bigint"), held_keys=held).collect()
+            assert len(got) == len(want) and {r[0]: r[1] for r in got} == want
+        top = {r[0]: r[1] for r in combine_with(df, "key", "value", largest(4, "bigint"), held_keys=10).collect()}
+        assert top[0] == sorted((i * 7 % 1000 for i in range(0, 6000, 3)), reverse=True)[:4] and len(top) == len(want)
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
