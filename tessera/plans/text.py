@@ -5,8 +5,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tessera.functions.generators import volumes
 from tessera.functions.text import contains, flat_map, word_count, words, yield_if
 from tessera.session import shared_dir
+from tessera.sinks.fanout import read_outputs, write_outputs
 from tessera.sinks.files import write_text
 from tessera.sources.files import read_lines
 from tessera.sources.lines import LINES_SQL, document_lines
@@ -59,7 +61,34 @@ def text_sink_roundtrip(spark, sf_dir):
     return read_lines(spark, out).select(F.col("value").alias("line"))
 
 
+def fanout_outputs(line: str = "line", term: str = TERM) -> dict:
+    """The four outputs of the line pipeline, as the elements that each line yields."""
+    return {"lines": F.array(line),
+            "word_counts": F.array(word_count(line).cast("string")),
+            "flatmap_lines": yield_if(line, contains(line, term)),
+            "filter_lines": F.filter(F.array(line), lambda x: contains(x, term))}
+
+
+def fanout_sinks(spark, sf_dir, term=TERM):
+    """One scan feeds four text outputs, which are read back."""
+    out = shared_dir(spark, "fanout")
+    write_outputs(_lines(spark, sf_dir), fanout_outputs(term=term), out)
+    return read_outputs(spark, out)
+
+
+#: Characters that a volume holds.
+VOLUME_CHARS = 4000
+
+
+def volume_items(spark, sf_dir, capacity=VOLUME_CHARS):
+    """A generator with state: the documents of a source, in order, shelved in volumes."""
+    d = table(spark, sf_dir, "documents")
+    return volumes(d, "source", "doc_id", F.length("text"), capacity)
+
+
 QUERIES = {
+    "fanout_sinks": fanout_sinks,
+    "volume_items": volume_items,
     "text_lines": text_lines,
     "line_word_count": line_word_count,
     "flatmap_lines": flatmap_lines,
@@ -82,4 +111,28 @@ ORACLE = {
        COUNT(*) FILTER (WHERE contains(line, '{TERM}')) AS flatmap_lines,
        COUNT(*) FILTER (WHERE contains(line, '{TERM}')) AS filter_lines FROM lines""",
     "text_sink_roundtrip": WL + "SELECT line FROM lines",
+    "fanout_sinks": WL + f"""SELECT 'lines' AS output, line AS value FROM lines
+UNION ALL SELECT 'word_counts', CAST({_WORDS} AS VARCHAR) FROM lines
+UNION ALL SELECT o.name, line FROM lines, (VALUES ('flatmap_lines'), ('filter_lines')) AS o(name)
+WHERE contains(line, '{TERM}')""",
+    "volume_items": f"""
+WITH RECURSIVE items AS (
+  SELECT source, CAST(floor(doc_id / 1024) AS BIGINT) AS part, doc_id, length(text) AS n,
+         row_number() OVER (PARTITION BY source, floor(doc_id / 1024) ORDER BY doc_id, length(text)) AS k
+  FROM documents WHERE length(text) > 0),
+-- The volume that is open before item k, how full it is, and whether the item shares it.
+placed AS (
+  SELECT source, part, doc_id, n, k, CAST(0 AS BIGINT) AS first, CAST(0 AS BIGINT) AS shared,
+         CAST((n - 1) // {VOLUME_CHARS} AS BIGINT) AS last, CAST((n - 1) % {VOLUME_CHARS} + 1 AS BIGINT) AS used
+  FROM items WHERE k = 1
+  UNION ALL
+  SELECT i.source, i.part, i.doc_id, i.n, i.k,
+         CASE WHEN p.used + i.n <= {VOLUME_CHARS} THEN p.last ELSE p.last + 1 END,
+         CASE WHEN p.used + i.n <= {VOLUME_CHARS} THEN p.used ELSE 0 END,
+         CASE WHEN p.used + i.n <= {VOLUME_CHARS} THEN p.last ELSE p.last + 1 + (i.n - 1) // {VOLUME_CHARS} END,
+         CASE WHEN p.used + i.n <= {VOLUME_CHARS} THEN p.used + i.n ELSE (i.n - 1) % {VOLUME_CHARS} + 1 END
+  FROM placed p JOIN items i ON i.source IS NOT DISTINCT FROM p.source AND i.part IS NOT DISTINCT FROM p.part AND i.k = p.k + 1)
+SELECT source, part, doc_id, first + j AS volume, j * {VOLUME_CHARS} AS start,
+       CAST(least({VOLUME_CHARS}, n - j * {VOLUME_CHARS}) AS BIGINT) AS length, CASE WHEN j = 0 THEN shared ELSE 0 END AS "offset"
+FROM (SELECT *, unnest(range(0, (n - 1) // {VOLUME_CHARS} + 1)) AS j FROM placed)""",
 }
