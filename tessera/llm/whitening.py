@@ -134,10 +134,11 @@ class Model:
         return [s if s < 1 << 63 else None for s in (d * d).sum(1).tolist()]
 
 
-def _sums(vectors: DataFrame, products, columns: str) -> DataFrame:
-    """Rows ``dim, i, j, value`` of whole numbers or doubles, one for each task and place, summed over tasks.
+def _sums(vectors: DataFrame, what: str, products, kind: str) -> dict[int, dict[tuple[int, int], int]]:
+    """By length, ``(i, j) -> value``: sums over all vectors, one row for each place and task before the exchange.
 
-    ``products(dim, x)`` gives a matrix of sums over the rows of ``x`` (all of length ``dim``).
+    ``products(dim, x)`` gives a matrix of sums over the rows of ``x`` (all of length ``dim``): one row
+    of them, or a symmetric matrix, of which the places i <= j are kept. ``what`` names the column.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[int, np.ndarray] = {}
@@ -147,21 +148,18 @@ def _sums(vectors: DataFrame, products, columns: str) -> DataFrame:
                 now = products(dim, unpack([packed[i] for i in at.tolist()]))
                 held[dim] = held[dim] + now if dim in held else now
         for dim, m in held.items():
-            i, j = np.indices(m.shape).reshape(2, -1)
-            values = m.reshape(-1)
+            i, j = np.triu_indices(*m.shape[:1], m=m.shape[1]) if len(m) > 1 else np.indices(m.shape).reshape(2, -1)
+            values = m[i, j]
             value = pa.array(values, pa.float64()) if m.dtype == np.float64 else pa.array(
                 [int(v) for v in values], pa.decimal128(38, 0))
             for k in range(0, len(values), 1 << 16):
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(len(i[k:k + (1 << 16)]), dim), pa.int32()), pa.array(i[k:k + (1 << 16)], pa.int32()),
-                                                  pa.array(j[k:k + (1 << 16)], pa.int32()), value.slice(k, 1 << 16)], ["dim", "i", "j", "value"])
+                                                  pa.array(j[k:k + (1 << 16)], pa.int32()), value.slice(k, 1 << 16)], ["dim", "i", "j", what])
 
-    return vectors.select("dim", "x").mapInArrow(run, f"dim int, i int, j int, value {columns}").groupBy("dim", "i", "j").agg(F.sum("value").alias("value"))
-
-
-def _matrices(sums: DataFrame) -> dict[int, dict[tuple[int, int], int]]:
+    sums = vectors.select("dim", "x").mapInArrow(run, f"dim int, i int, j int, {what} {kind}").groupBy("dim", "i", "j").agg(F.sum(what))
     out: dict[int, dict[tuple[int, int], int]] = {}
-    for r in sums.collect():
-        out.setdefault(r.dim, {})[r.i, r.j] = r.value
+    for dim, i, j, value in sums.collect():
+        out.setdefault(dim, {})[i, j] = value
     return out
 
 
@@ -176,7 +174,7 @@ def fit(distinct: DataFrame, shift: int, components: int) -> dict[int, Model]:
         low, high = x & 0xFFFFFFFF, x >> 32
         return np.append([int(a) + (int(b) << 32) for a, b in zip(low.sum(0), high.sum(0), strict=True)], [len(x)]).astype(object)[None]
 
-    found = _matrices(_sums(distinct, totals, "decimal(38,0)"))
+    found = _sums(distinct, "total", totals, "decimal(38,0)")
     n = {dim: int(m[0, dim]) for dim, m in found.items()}
     total = {dim: [int(m[0, i]) for i in range(dim)] for dim, m in found.items()}
     center = {dim: [(2 * s + n[dim]) // (2 * n[dim]) for s in total[dim]] for dim in found}
@@ -190,14 +188,14 @@ def fit(distinct: DataFrame, shift: int, components: int) -> dict[int, Model]:
         return d.astype(object).T @ d.astype(object)
 
     models = {}
-    for dim, m in _matrices(_sums(distinct, products, "decimal(38,0)")).items():
+    for dim, m in _sums(distinct, "product", products, "decimal(38,0)").items():
         count = n[dim]
         b = [s - count * c for s, c in zip(total[dim], center[dim], strict=True)]
         v = np.zeros((dim, dim), np.longdouble)
         for (i, j), value in m.items():
             whole, part = divmod(count * int(value) - b[i] * b[j], count * count)
-            v[i, j] = np.longdouble(whole) + np.longdouble(part / (count * count))
-        values, x = eigen((v + v.T) / 2)
+            v[i, j] = v[j, i] = np.longdouble(whole) + np.longdouble(part / (count * count))
+        values, x = eigen(v)
         k = min(components, dim)
         trace = np.trace(v)
         varies = values[:k] > dim * np.finfo(np.float64).eps * max(trace, 0)
@@ -216,14 +214,14 @@ def _identity_errors(distinct: DataFrame, models: dict[int, Model], shift: int)
         return models[dim].whitened(x + shift).sum(0)[None]
 
     means = {dim: np.array([m[0, i] for i in range(len(m))]) / models[dim].n
-             for dim, m in _matrices(_sums(distinct, totals, "double")).items()}
+             for dim, m in _sums(distinct, "white_total", totals, "double").items()}
 
     def products(dim: int, x: np.ndarray) -> np.ndarray:
         w = models[dim].whitened(x + shift) - means[dim]
         return w.T @ w
 
     out: dict[int, float | None] = {}
-    for dim, m in _matrices(_sums(distinct, products, "double")).items():
+    for dim, m in _sums(distinct, "white_product", products, "double").items():
         errors = [abs(v / models[dim].n - (i == j)) for (i, j), v in m.items() if v == v]
         out[dim] = max(errors, default=None)
     return out
