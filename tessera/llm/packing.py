@@ -28,7 +28,8 @@ from __future__ import annotations
 import bisect
 from collections.abc import Sequence
 
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
 #: Permitted sequence lengths in tokens.
@@ -129,14 +130,18 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length
     packs = max(1, -(-total // pack_pieces))
     dealt = pieces.where("length > 0").withColumn("pack", F.pmod(F.xxhash64("id", "copy", "piece"), F.lit(packs)))
 
-    def one(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["length", "id", "piece", "copy"], ascending=[False, True, True, True], ignore_index=True)
-        bins, offset, used, final = best_fit(pdf["length"].tolist(), permitted, quadratic_at)
-        return pdf.assign(bin=bins, bin_length=[final[b] for b in bins], bin_used=[used[b] for b in bins], offset=offset)
+    def one(t: pa.Table) -> pa.Table:
+        # In Arrow throughout, so that ids of any size and type come back as they are, beside nulls too.
+        t = t.take(pc.sort_indices(t, [("length", "descending"), ("id", "ascending"), ("piece", "ascending"), ("copy", "ascending")]))
+        bins, offset, used, final = best_fit(t.column("length").to_pylist(), permitted, quadratic_at)
+        for name, values in (("bin", bins), ("bin_length", [final[b] for b in bins]), ("bin_used", [used[b] for b in bins]),
+                             ("offset", offset)):
+            t = t.append_column(name, pa.array(values, pa.int64()))
+        return t
 
     kind = dict(pieces.dtypes)["id"]
     columns = f"id {kind}, copy long, piece long, start long, length long, pack long, {BIN_SCHEMA}"
-    packed = dealt.groupBy("pack").applyInPandas(one, columns)
+    packed = dealt.groupBy("pack").applyInArrow(one, columns)
     empty = pieces.where("length = 0").selectExpr(
         "id", "copy", "piece", "start", "length", "CAST(NULL AS long) pack", "CAST(NULL AS long) bin",
         "CAST(NULL AS long) bin_length", "CAST(NULL AS long) bin_used", "CAST(NULL AS long) offset")

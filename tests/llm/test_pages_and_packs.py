@@ -190,6 +190,48 @@ def test_many_copies_of_one_row_are_dealt_out(spark):
     assert rows.groupBy("pack").count().agg(F.max("count")).first()[0] < 5000
 
 
+def test_large_and_text_ids_beside_nulls(spark):
+    big = 1 << 53
+    ids = [big + 1, None, big + 3, -big - 1, big + 1]
+    df = spark.createDataFrame([(i, "t" * (n + 1)) for n, i in enumerate(ids)], "doc_id long, text string")
+    got = packing.pack(df).collect()
+    assert sorted((str(r["doc_id"]), r["length"]) for r in got) == sorted((str(i), n + 1) for n, i in enumerate(ids))
+    words = df.selectExpr("CAST(doc_id AS STRING) AS doc_id", "text")
+    assert sorted(str(r["doc_id"]) for r in packing.pack(words).collect()) == sorted(map(str, ids))
+
+
+def _plain_best_fit(lengths, permitted, quadratic_at):
+    """The method stated as simply as it can be: every bin and every permitted length is looked at for each piece."""
+    bins, out = [], []
+    for i, n in enumerate(lengths):
+        fitting = [(b["room"] - b["used"], -b["put"], k) for k, b in enumerate(bins) if b["room"] - b["used"] >= n]
+        if not fitting:
+            def per_token(c):
+                filled, room = n, c - n
+                for m in sorted(lengths[i + 1:], reverse=True):
+                    if m <= room:
+                        filled, room = filled + m, room - m
+                return c * (1 + c / quadratic_at) / filled
+            bins.append({"room": min((c for c in permitted if c >= n), key=lambda c: (per_token(c), c)), "used": 0, "put": -1})
+            k = len(bins) - 1
+        else:
+            k = min(fitting)[2]  # the tightest; of equal ones that which was filled last
+        out.append((k, bins[k]["used"]))
+        bins[k]["used"] += n
+        bins[k]["put"] = i
+    return out, [b["used"] for b in bins], [min(c for c in permitted if c >= b["used"]) for b in bins]
+
+
+@pytest.mark.parametrize("seed", range(12))
+def test_best_fit_against_a_plain_version(seed):
+    rng = random.Random(seed)
+    permitted = sorted(rng.sample([4, 8, 12, 16, 24, 32], 3))
+    lengths = sorted((rng.randint(1, permitted[-1]) for _ in range(rng.randint(1, 120))), reverse=True)
+    places, used, final = _plain_best_fit(lengths, permitted, 16)
+    got = packing.best_fit(lengths, permitted, 16)
+    assert (list(zip(got[0], got[1])), got[2], got[3]) == (places, used, final)
+
+
 # --- pipeline ----------------------------------------------------------------
 
 def test_pipeline_stages_against_their_operators(spark, tmp_path):
