@@ -70,10 +70,6 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return rows.mapInArrow(run, f"id {dict(rows.dtypes)['id']}, h long, fp long")
 
 
-def _signed(x: int) -> int:
-    return x - (1 << 64) if x >> 63 else x
-
-
 def segment_masks(max_bits: int) -> list[int]:
     """Masks of the fewest segments of which one differs by at most one bit."""
     n = max_bits // 2 + 1
@@ -81,28 +77,105 @@ def segment_masks(max_bits: int) -> list[int]:
     return [((1 << b) - 1) ^ ((1 << a) - 1) for a, b in itertools.pairwise(cuts)]
 
 
+def _signatures(fps: np.ndarray, max_bits: int) -> np.ndarray:
+    """One row for each blanked bit, a column for each fingerprint: segment, blanked bit and what remains in one number.
+
+    Numbers may only collide for segments of over 57 bits; what meets is verified anyway.
+    """
+    out = []
+    for s, m in enumerate(segment_masks(max_bits)):
+        low = (m & -m).bit_length() - 1
+        for bit in range(64):
+            if m >> bit & 1:
+                out.append(((fps & np.uint64(m & ~(1 << bit))) >> np.uint64(low)) ^ np.uint64((s * 64 + bit) % 128 << 57))
+    return np.array(out)
+
+
+def _runs(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Start and length of each run of equal keys."""
+    starts = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]]) if len(keys) else np.zeros(0, np.int64)
+    return starts, np.diff(np.r_[starts, len(keys)])
+
+
+def _pairs(keys: np.ndarray, fps: np.ndarray, max_bits: int, crowd: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Links (a < b) among the members of each sorted key, and the members of crowded keys."""
+    starts, sizes = _runs(keys)
+    size = np.repeat(sizes, sizes)
+    packed = size > crowd
+    a, b = [fps[:0]], [fps[:0]]
+    ends = np.repeat(starts + sizes, sizes)
+    at = np.flatnonzero(~packed & (size > 1))
+    for step in range(1, crowd):
+        at = at[at + step < ends[at]]
+        if not len(at):
+            break
+        x, y = fps[at], fps[at + step]
+        apart = np.bitwise_count((x ^ y).view(np.uint64))
+        near = (apart > 0) & (apart <= max_bits)
+        a.append(np.minimum(x[near], y[near]))
+        b.append(np.maximum(x[near], y[near]))
+    return np.concatenate(a), np.concatenate(b), np.unique(fps[packed])
+
+
+def _links_table(a: np.ndarray, b: np.ndarray, members: np.ndarray) -> pa.RecordBatch:
+    """Links, and crowded members as rows without an end ``b``."""
+    ends = pa.concat_arrays([pa.array(b, pa.int64()), pa.nulls(len(members), pa.int64())])
+    return pa.RecordBatch.from_arrays([pa.array(np.concatenate([a, members]), pa.int64()), ends], ["a", "b"])
+
+
 def links(fps: DataFrame, max_bits: int = 2, crowd: int = CROWD) -> DataFrame:
     """``a, b``: links between distinct values ``fp`` that differ in 1 to ``max_bits`` bits, a < b.
 
     All of them, but for crowded signatures, whose links connect the same groups.
+
+    One exchange deals (signature, fingerprint) by signature, and each task streams its sorted part. A signature that is
+    already crowded within one batch before the exchange sends on just enough members to be known as crowded there
+    too; so no task gets more of it than that from each batch.
     """
-    # (segment and blanked bit, mask of what remains); without bits to differ there is nothing to link.
-    variants = [(s * 64 + bit, _signed(m & ~(1 << bit)))
-                for s, m in enumerate(segment_masks(max_bits)) for bit in range(64) if m >> bit & 1]
+    def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in slices(batches, 20_000):
+            fp = np.asarray(b.column("fp"), np.int64)
+            keys = _signatures(fp.view(np.uint64), max_bits).view(np.int64)
+            of = np.tile(fp, len(keys))
+            keys = keys.reshape(-1)
+            order = np.argsort(keys, kind="stable")
+            keys, of = keys[order], of[order]
+            starts, sizes = _runs(keys)
+            place = np.arange(len(keys)) - np.repeat(starts, sizes)
+            packed = np.repeat(sizes > crowd, sizes)
+            members = np.unique(of[packed])
+            going = ~packed | (place <= crowd)
+            keys, of = np.concatenate([keys[going], members]), np.concatenate([of[going], members])
+            known = np.zeros(len(keys), bool)
+            known[len(keys) - len(members):] = True
+            for k in range(0, len(keys), 1 << 17):
+                yield pa.RecordBatch.from_arrays([pa.array(keys[k:k + (1 << 17)]), pa.array(of[k:k + (1 << 17)]),
+                                                  pa.array(known[k:k + (1 << 17)])], ["key", "fp", "crowded"])
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keys, of = np.zeros(0, np.int64), np.zeros(0, np.int64)  # of the last key, which may go on
+        for b in batches:
+            known = b.column("crowded").to_numpy(zero_copy_only=False)
+            new, fp = np.asarray(b.column("key")), np.asarray(b.column("fp"))
+            keys, of = np.concatenate([keys, new[~known]]), np.concatenate([of, fp[~known]])
+            last = int(np.searchsorted(keys, keys[-1])) if len(keys) else 0
+            members = fp[known]
+            if len(keys) - last > crowd:
+                members = np.concatenate([members, of[last:]])
+            yield _links_table(of[:0], of[:0], members)
+            yield _links_table(*_pairs(keys[:last], of[:last], max_bits, crowd))
+            keys, of = keys[last:last + crowd + 1], of[last:last + crowd + 1]
+        yield _links_table(*_pairs(keys, of, max_bits, crowd))
+
     # An explicit number of partitions: each row becomes one row per bit.
     fps = fps.repartition(int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions")), "fp")
-    index = fps.select("fp", F.explode(F.array(*[
-        F.struct(F.lit(k).alias("kind"), F.col("fp").bitwiseAND(F.lit(m)).alias("rest")) for k, m in variants])).alias("x")
-    ).select("fp", F.xxhash64("x.kind", "x.rest").alias("key"))
-    # Counted with least and greatest member before the shuffle; a signature of two is a candidate pair as it stands.
-    shared = cut_lineage(index.groupBy("key").agg(
-        F.count("*").alias("n"), F.min("fp").alias("a"), F.max("fp").alias("b")).where("n > 1"))
-    members = cut_lineage(index.join(shared.where("n > 2").select("key", "n"), "key"))
-    found = _verified(shared.where("n = 2"), max_bits).unionByName(_meet(members.where(F.col("n") <= crowd), max_bits))
-    rest = cut_lineage(members.where(F.col("n") > crowd).select("fp").distinct())
+    dealt = fps.select("fp").mapInArrow(index, "key long, fp long, crowded boolean").repartition("key").sortWithinPartitions("key")
+    met = cut_lineage(dealt.mapInArrow(meet, "a long, b long").distinct())
+    found = met.where("b IS NOT NULL")
+    rest = met.where("b IS NULL").select(F.col("a").alias("fp"))
     if not rest.isEmpty():
-        found = found.unionByName(_halfway(rest, max_bits))
-    return found.distinct()
+        found = found.unionByName(_halfway(rest, max_bits)).distinct()
+    return found
 
 
 def _halfway(fps: DataFrame, max_bits: int) -> DataFrame:
