@@ -40,8 +40,9 @@ def customer_daily_summary(df: DataFrame, customer: str = "customer_id",
                            category: str = "category",
                            payment: str = "payment_method",
                            amount: str = "amount",
-                           approx_rsd: float | None = None) -> DataFrame:
-    """Per customer: distinct transactions, categories, payment methods and
+                           approx_rsd: float | None = None,
+                           extra_keys: tuple[str, ...] = ()) -> DataFrame:
+    """Per customer (and ``extra_keys``, such as the day): distinct transactions, categories, payment methods and
     the plain average amount (returns included, as in the daily ETL).
 
     Exact distinct counts expand each row once per counted column before the
@@ -53,7 +54,7 @@ def customer_daily_summary(df: DataFrame, customer: str = "customer_id",
         distinct = lambda c: F.countDistinct(c)
     else:
         distinct = lambda c: F.approx_count_distinct(c, approx_rsd)
-    return df.groupBy(F.col(customer).alias("customer_id")).agg(
+    return df.groupBy(F.col(customer).alias("customer_id"), *extra_keys).agg(
         distinct(transaction).alias("unique_transactions"),
         distinct(category).alias("distinct_categories"),
         distinct(payment).alias("distinct_payment_methods"),

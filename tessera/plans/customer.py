@@ -18,7 +18,8 @@ from tessera.operators.quality import GateFailed, enforce_schema, require_truthy
 from tessera.operators.summaries import customer_daily_summary, money_sum
 from tessera.session import cut_lineage, shared_dir
 from tessera.sinks.files import replace_folder, write_parquet
-from tessera.sources.files import refresh_external_day, register_external
+from tessera.sinks.partition_stats import replace_measured, stats as partition_stats
+from tessera.sources.files import add_partitions, declare_external, refresh_external_day, register_external
 from tessera.sources.tables import read_day, read_parquet, table
 
 # Output contract of the daily summary: counts are REQUIRED.
@@ -131,6 +132,55 @@ def load_day(spark, day: DataFrame, output_root: str, ds: str, table_name: str |
     return loaded
 
 
+def load_days(spark, rows: DataFrame, output_root: str, days, table_name: str) -> dict[str, int]:
+    """Several days at once: ``load_day`` for a backfill, as one job and one catalogue statement.
+
+    ``rows`` holds the transactions of the days (others are left out), with ``dt``. Each day's folder is replaced, days
+    without rows are emptied; the days become partitions of the external table, which stands from one run to the next,
+    without a look at its other folders; then the gate: the rows of each day, from the writer's statistics.
+    Returns them by day.
+    """
+    days = sorted(str(d) for d in days)
+    picked = rows.where(F.col("dt").isin([F.lit(d).cast("date") for d in days]))
+    summary = customer_daily_summary(picked, extra_keys=("dt",))
+    key = StructField("customer_id", rows.schema["customer_id"].dataType, True)
+    contract = StructType([key] + SUMMARY_CONTRACT.fields[1:] + [StructField("dt", DateType(), False)])
+    replace_measured(enforce_schema(summary, contract, inline=True), output_root, "dt", within=["customer_id"], emptied=days)
+    if declare_external(spark, table_name, output_root, contract):
+        # A new table learns of all days that the statistics know; one that stands, of the new ones.
+        known = [r[0] for r in partition_stats(spark, output_root).select("dt").collect()]
+    else:
+        known = days
+    add_partitions(spark, table_name, output_root, known)
+    spark.catalog.refreshTable(table_name)
+    loaded = {str(r.dt): r.rows for r in partition_stats(spark, output_root)
+              .where(F.col("dt").cast("string").isin(days)).collect()}
+    empty = [d for d in days if not loaded.get(d)]
+    if empty:
+        raise GateFailed(f"customer summary: no row for {', '.join(empty)}")
+    return loaded
+
+
+#: Days that the backfill query loads.
+BACKFILL_DAYS = 31
+
+
+def daily_partitions(spark, sf_dir):
+    """The last month loaded day by day into ``dt=`` partitions of one external table: two runs, and one day again."""
+    t = transactions(spark, sf_dir)
+    days = [str(r.dt) for r in t.select("dt").distinct().orderBy(F.desc("dt")).limit(BACKFILL_DAYS).collect()][::-1]
+    out = shared_dir(spark, "customer_days")
+    name = f"customer_days_{uuid.uuid4().hex[:8]}"
+    try:
+        half = len(days) // 2
+        load_days(spark, t, out, days[:half], name)
+        load_days(spark, t, out, days[half:], name)
+        load_days(spark, t, out, days[half - 1:half + 1], name)
+        return cut_lineage(spark.table(name))
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
 _ETL_SQL = """
 SELECT o_custkey AS customer_id,
        COUNT(DISTINCT o_orderkey) AS unique_transactions,
@@ -146,6 +196,7 @@ QUERIES = {
     "customer_etl_roundtrip": customer_etl_roundtrip,
     "external_table_roundtrip": external_table_roundtrip,
     "gate_row_count": gate_row_count,
+    "daily_partitions": daily_partitions,
     "schema_contract": schema_contract,
 }
 
@@ -163,4 +214,10 @@ SELECT COUNT(*) AS row_count
 FROM (SELECT DISTINCT CAST(o_orderdate AS DATE), o_custkey FROM orders)
 """,
     "schema_contract": _ETL_SQL,
+    "daily_partitions": f"""
+WITH last AS (SELECT DISTINCT CAST(o_orderdate AS DATE) AS dt FROM orders ORDER BY dt DESC LIMIT {BACKFILL_DAYS})
+SELECT o_custkey AS customer_id, COUNT(DISTINCT o_orderkey) AS unique_transactions,
+       COUNT(DISTINCT o_orderstatus) AS distinct_categories, COUNT(DISTINCT o_orderpriority) AS distinct_payment_methods,
+       CAST(SUM(CAST(o_totalprice AS DECIMAL(38,9))) AS DOUBLE) / COUNT(o_totalprice) AS avg_transaction_amount, dt
+FROM orders JOIN last ON CAST(o_orderdate AS DATE) = dt GROUP BY o_custkey, dt""",
 }

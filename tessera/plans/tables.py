@@ -9,10 +9,10 @@ from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 from tessera.operators.policy import location_violations
 from tessera.operators.quality import data_files, require_nonempty, scanned_bytes
-from tessera.operators.topk import latest_partitions
 from tessera.session import shared_dir
 from tessera.sinks.files import (CSV_NULL, replace_partitions, write_csv,
                                  write_json, write_parquet)
+from tessera.sinks.partition_stats import latest_rows, replace_measured, stats as partition_stats
 from tessera.sources.files import read_csv, read_json
 from tessera.sources.memory import lookup
 from tessera.sources.tables import read_day, read_parquet, table
@@ -80,6 +80,14 @@ def _events_by_day(spark, sf_dir) -> str:
     return out
 
 
+def _measured_events(spark, sf_dir) -> str:
+    """The events in dated partitions, with statistics."""
+    ev = table(spark, sf_dir, "events").withColumn("dt", day_of("ts"))
+    out = shared_dir(spark, "events_by_day")
+    replace_measured(ev, out, within=["event_id"])
+    return out
+
+
 def partition_day(spark, sf_dir, ds=DAY):
     return read_day(spark, _events_by_day(spark, sf_dir), ds)
 
@@ -95,8 +103,28 @@ def partition_replace(spark, sf_dir, ds=DAY):
 
 
 def latest_partition_topk(spark, sf_dir, k=5):
-    root = _events_by_day(spark, sf_dir)
-    return latest_partitions(spark, root, "dt", k, order=["ts"], tiebreak=["event_id"])
+    """The newest rows, from the partitions that the writer's statistics name; no other folder is listed."""
+    return latest_rows(spark, _measured_events(spark, sf_dir), k, order=[F.col("ts").desc(), F.col("event_id").asc()])
+
+
+#: Scans that the budget query is asked for: name and days back from the last day.
+BUDGETED_SCANS = (("day", 1), ("week", 7), ("all", 10_000))
+
+
+def scan_budget(spark, sf_dir):
+    """Which scans of the dated log a budget of half its bytes refuses, from the writer's statistics.
+
+    ``bytes_are_right``: the statistics name exactly the bytes of the files (which SQL over the tables cannot know).
+    """
+    root = _measured_events(spark, sf_dir)
+    days = partition_stats(spark, root)
+    budget, last = days.agg(F.sum("bytes") / 2, F.max("dt")).first()
+    on_disk = data_files(spark, root).groupBy("dt").agg(F.sum("length").alias("length"))
+    scans = lookup(spark, BUDGETED_SCANS, StructType([StructField("scan", StringType()), StructField("back", IntegerType())]))
+    asked = days.join(on_disk, "dt").join(scans, F.datediff(F.lit(last), "dt") < F.col("back"))
+    return asked.groupBy("scan").agg(
+        F.count("*").alias("partitions"), F.sum("rows").alias("rows"), (F.sum("bytes") > budget).alias("refused"),
+        F.bool_and(F.col("bytes") == F.col("length")).alias("bytes_are_right"))
 
 
 def scan_bytes(spark, sf_dir, ds=DAY):
@@ -150,6 +178,7 @@ QUERIES = {
     "partition_replace": partition_replace,
     "latest_partition_topk": latest_partition_topk,
     "scan_bytes": scan_bytes,
+    "scan_budget": scan_budget,
     "json_sink_roundtrip": json_sink_roundtrip,
     "policy_violations": policy_violations,
 }
@@ -178,6 +207,12 @@ SELECT COUNT(*) FILTER (WHERE CAST(ts AS DATE) = DATE '{DAY}') > 0 AS has_files,
        COUNT(*) FILTER (WHERE CAST(ts AS DATE) = DATE '{DAY}') BETWEEN 1 AND COUNT(*) - 1 AS below_whole,
        COUNT(DISTINCT CAST(ts AS DATE)) FILTER (WHERE CAST(ts AS DATE) = DATE '{DAY}') AS days
 FROM events""",
+    "scan_budget": """
+WITH e AS (SELECT CAST(ts AS DATE) AS dt FROM events),
+s(scan, back) AS (VALUES ('day', 1), ('week', 7), ('all', 10000))
+SELECT scan, COUNT(DISTINCT dt) AS partitions, COUNT(*) AS rows, COUNT(*) * 2 > (SELECT COUNT(*) FROM e) AS refused,
+       true AS bytes_are_right
+FROM e JOIN s ON (SELECT MAX(dt) FROM e) - dt < back GROUP BY scan""",
     "json_sink_roundtrip": "SELECT doc_id, text, lang, source, n_chars FROM documents",
     "policy_violations": f"""
 WITH loc(region, region_location) AS (VALUES (0, 'us-central1'), (1, 'us-east1'),

@@ -46,6 +46,10 @@ class Files:
     def delete(self, name: str) -> None:
         self._fs.delete(self.path(name), True)
 
+    def move(self, name: str, to: str) -> None:
+        if not self._fs.rename(self.path(name), self.path(to)):
+            raise OSError(f"{self.root}/{name} could not be moved to {to}")
+
     def read(self, name: str) -> str:
         stream = self._fs.open(self.path(name))
         try:

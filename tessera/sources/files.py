@@ -43,6 +43,43 @@ def read_json(spark: SparkSession, path: str, schema) -> DataFrame:
     return spark.read.schema(schema).options(**TS_FORMATS).json(path)
 
 
+def partition_folder(partition: str, value) -> str:
+    """Name of a partition's folder for a date or another value without special characters."""
+    text = str(value)
+    if not text or not all(c.isalnum() or c in "-_." for c in text):
+        raise ValueError(f"partition value {text!r}")
+    return f"{partition}={text}"
+
+
+#: Partitions that one catalogue statement adds.
+PARTITIONS_AT_ONCE = 500
+
+
+def add_partitions(spark: SparkSession, name: str, root: str, values, partition: str = "dt") -> None:
+    """Make partitions known to an external table, many in each statement; nothing below ``root`` is listed."""
+    folders = [(v, partition_folder(partition, v)) for v in values]
+    for k in range(0, len(folders), PARTITIONS_AT_ONCE):
+        parts = " ".join(f"PARTITION (`{partition}`='{v}') LOCATION '{root.rstrip('/')}/{f}'" for v, f in folders[k:k + PARTITIONS_AT_ONCE])
+        spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS {parts}")
+
+
+def declare_external(spark: SparkSession, name: str, root: str, schema: StructType, partition: str = "dt") -> bool:
+    """Declare an external Parquet table over ``root`` without looking at its files; an equal one stays.
+
+    Returns whether it was declared now. A table of that name over another folder, or with other columns, is replaced
+    (its files stay).
+    """
+    if spark.catalog.tableExists(name):
+        about = {r[0]: r[1] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect()}
+        same = about.get("Location", "").removeprefix("file:").rstrip("/") == root.removeprefix("file:").rstrip("/")
+        if same and {(f.name, f.dataType) for f in spark.table(name).schema} == {(f.name, f.dataType) for f in schema}:
+            return False
+        spark.sql(f"DROP TABLE {name}")
+    cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+    spark.sql(f"CREATE TABLE {name} ({cols}) USING parquet PARTITIONED BY (`{partition}`) LOCATION '{root}'")
+    return True
+
+
 def register_external(spark: SparkSession, name: str, path: str,
                       partitioned: bool = False, schema: StructType | None = None,
                       partition_by: tuple = ("dt",)) -> DataFrame:
