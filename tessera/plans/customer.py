@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import (DateType, DoubleType, LongType, StructField,
                                StructType)
 
+from tessera.operators.bitmaps import daily_bitmaps, distinct_in_windows, number_items
 from tessera.operators.quality import GateFailed, enforce_schema, require_truthy
 from tessera.operators.summaries import customer_daily_summary, money_sum
 from tessera.session import cut_lineage, shared_dir
@@ -181,6 +182,22 @@ def daily_partitions(spark, sf_dir):
         spark.sql(f"DROP TABLE IF EXISTS {name}")
 
 
+#: Look-back windows of the distinct counts, in days.
+DISTINCT_WINDOWS = (7, 30)
+
+
+def distinct_in_lookbacks(spark, sf_dir):
+    """Distinct customers per category over the 7 and 30 days before each month's end, from stored daily bitmaps."""
+    t = transactions(spark, sf_dir).select("customer_id", "category", "dt")
+    numbers = number_items(t, "customer_id")
+    daily = daily_bitmaps(t.distinct().join(numbers, "customer_id"), "dt", ["category"], "number")
+    out = shared_dir(spark, "daily_bitmaps")
+    write_parquet(daily, out)
+    stored = read_parquet(spark, out)
+    ends = stored.select(F.last_day("day").alias("as_of")).distinct()
+    return distinct_in_windows(stored, ends, DISTINCT_WINDOWS, ["category"])
+
+
 _ETL_SQL = """
 SELECT o_custkey AS customer_id,
        COUNT(DISTINCT o_orderkey) AS unique_transactions,
@@ -197,6 +214,7 @@ QUERIES = {
     "external_table_roundtrip": external_table_roundtrip,
     "gate_row_count": gate_row_count,
     "daily_partitions": daily_partitions,
+    "distinct_in_lookbacks": distinct_in_lookbacks,
     "schema_contract": schema_contract,
 }
 
@@ -214,6 +232,12 @@ SELECT COUNT(*) AS row_count
 FROM (SELECT DISTINCT CAST(o_orderdate AS DATE), o_custkey FROM orders)
 """,
     "schema_contract": _ETL_SQL,
+    "distinct_in_lookbacks": """
+WITH t AS (SELECT DISTINCT o_custkey, o_orderstatus AS category, CAST(o_orderdate AS DATE) AS dt FROM orders),
+ends AS (SELECT DISTINCT last_day(dt) AS as_of FROM t)
+SELECT as_of, CAST(w.days AS INTEGER) AS days, category, COUNT(DISTINCT o_custkey) AS items
+FROM ends, (VALUES (7), (30)) AS w(days), t
+WHERE dt <= as_of AND dt > as_of - w.days GROUP BY as_of, w.days, category""",
     "daily_partitions": f"""
 WITH last AS (SELECT DISTINCT CAST(o_orderdate AS DATE) AS dt FROM orders ORDER BY dt DESC LIMIT {BACKFILL_DAYS})
 SELECT o_custkey AS customer_id, COUNT(DISTINCT o_orderkey) AS unique_transactions,

@@ -4,14 +4,19 @@ bucket-location policy audit."""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 from tessera.operators.policy import location_violations
 from tessera.operators.quality import data_files, require_nonempty, scanned_bytes
-from tessera.session import shared_dir
+from tessera.functions.envelope import pretty_json
+from tessera.session import cut_lineage, shared_dir
+from tessera.sinks.documents import read_whole_documents, write_documents
 from tessera.sinks.files import (CSV_NULL, replace_partitions, write_csv,
-                                 write_json, write_parquet)
+                                 write_json, write_parquet, write_sorted)
+from tessera.sinks.tables import replace_table
 from tessera.sinks.partition_stats import latest_rows, replace_measured, stats as partition_stats
 from tessera.sources.files import read_csv, read_json
 from tessera.sources.memory import lookup
@@ -50,6 +55,52 @@ def overwrite_roundtrip(spark, sf_dir):
     return read_parquet(spark, out)
 
 
+def table_replaced_from_itself(spark, sf_dir):
+    """Truncate-and-write of a table by a query that reads it, twice: counts grow, small ones go."""
+    name, base = f"order_counts_{uuid.uuid4().hex[:8]}", shared_dir(spark, "order_counts_table")
+    try:
+        replace_table(customer_order_count(spark, sf_dir), name, base)
+        for least in (3, 6):
+            now = spark.table(name)
+            replace_table(now.withColumn("order_count", F.col("order_count") + 1).where(F.col("order_count") >= least), name, base)
+        return cut_lineage(spark.table(name))
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+HOUR = "2024-01-15 10:00:00"
+
+
+def sorted_hour_scan(spark, sf_dir, start=HOUR):
+    """Events stored by time, sorted within files; an hour of them, for which the other row groups are skipped."""
+    out = shared_dir(spark, "events_sorted")
+    write_sorted(table(spark, sf_dir, "events"), out, ["ts", "event_id"])
+    from_ts = F.lit(start).cast("timestamp_ntz")
+    return read_parquet(spark, out).where((F.col("ts") >= from_ts) & (F.col("ts") < from_ts + F.expr("INTERVAL 1 HOUR")))
+
+
+#: Events of a run, and which runs' files are damaged or empty.
+RUN_EVENTS, DAMAGED_EVERY, EMPTY_EVERY = 500, 7, 11
+DOCUMENT = "run long, items array<struct<event_id long, kind string>>"
+
+
+def document_files_roundtrip(spark, sf_dir):
+    """One indented document for each run, one file each, some damaged or empty; read back whole, with their problems."""
+    e = table(spark, sf_dir, "events").withColumn("run", F.expr(f"event_id div {RUN_EVENTS}"))
+    item = F.struct("event_id", F.col("event_type").alias("kind"))
+    runs = e.groupBy("run").agg(F.sort_array(F.collect_list(item)).alias("items"), F.min("ts").alias("first"))
+    whole = pretty_json(F.struct("run", "items"))
+    text = (F.when(F.col("run") % EMPTY_EVERY == 1, "").when(F.col("run") % DAMAGED_EVERY == 1, F.expr("substr(whole, 1, length(whole) - 9)"))
+            .otherwise(F.col("whole")))
+    out = shared_dir(spark, "documents")
+    write_documents(runs.select("run", whole.alias("whole"), F.to_date("first").cast("string").alias("dt"), F.concat(F.lit("run-"), "run").alias("run_id"))
+                    .withColumn("text", text), out, "text", pretty=False)
+    back = read_whole_documents(spark, out, DOCUMENT)
+    return back.select("dt", "run_id", "problem", F.size("doc.items").cast("long").alias("n_items"),
+                       F.aggregate("doc.items", F.lit(0).cast("long"), lambda a, x: a + x["event_id"]).alias("id_sum"),
+                       F.endswith("path", F.lit(".txt")).alias("own_file"))
+
+
 def having_nonempty(spark, sf_dir):
     return table(spark, sf_dir, "orders").agg(F.count(F.lit(1)).alias("row_count")).where(
         F.col("row_count") > 0)
@@ -170,6 +221,9 @@ def policy_violations(spark, sf_dir):
 QUERIES = {
     "customer_order_count": customer_order_count,
     "overwrite_roundtrip": overwrite_roundtrip,
+    "table_replaced_from_itself": table_replaced_from_itself,
+    "sorted_hour_scan": sorted_hour_scan,
+    "document_files_roundtrip": document_files_roundtrip,
     "having_nonempty": having_nonempty,
     "row_count": row_count,
     "scan_parquet": scan_parquet,
@@ -193,6 +247,16 @@ _EVENTS_DT = "SELECT event_id, ts, user_id, event_type, value, props, CAST(ts AS
 ORACLE = {
     "customer_order_count": _COUNT_SQL,
     "overwrite_roundtrip": _COUNT_SQL,
+    "table_replaced_from_itself": f"""
+SELECT cust_id, order_count + 2 AS order_count FROM ({_COUNT_SQL}) WHERE order_count + 1 >= 3 AND order_count + 2 >= 6""",
+    "sorted_hour_scan": f"""
+SELECT * FROM events WHERE ts >= TIMESTAMP '{HOUR}' AND ts < TIMESTAMP '{HOUR}' + INTERVAL 1 HOUR""",
+    "document_files_roundtrip": f"""
+WITH r AS (SELECT event_id // {RUN_EVENTS} AS run, CAST(CAST(min(ts) AS DATE) AS VARCHAR) AS dt, COUNT(*) AS n,
+                  CAST(SUM(event_id) AS BIGINT) AS ids FROM events GROUP BY 1),
+p AS (SELECT *, CASE WHEN run % {EMPTY_EVERY} = 1 THEN 'empty' WHEN run % {DAMAGED_EVERY} = 1 THEN 'damaged' END AS problem FROM r)
+SELECT dt, 'run-' || run AS run_id, problem, CASE WHEN problem IS NULL THEN n END AS n_items,
+       CASE WHEN problem IS NULL THEN ids END AS id_sum, true AS own_file FROM p""",
     "having_nonempty": "SELECT COUNT(*) AS row_count FROM orders HAVING COUNT(*) > 0",
     "row_count": "SELECT COUNT(*) AS row_count FROM lineitem",
     "scan_parquet": "SELECT l_orderkey, l_partkey, l_suppkey, l_quantity, l_extendedprice FROM lineitem",

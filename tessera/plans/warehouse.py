@@ -1,5 +1,8 @@
 """Workload C: warehouse usage analytics over job metadata, plus the
-plain projection / filter / look-back operators they are built from."""
+plain projection / filter / look-back operators they are built from.
+
+Look-backs take ``as_of``: None is the clock; the default here is a fixed time after the driver's
+events, so no pass over the data looks for their last one."""
 
 from __future__ import annotations
 
@@ -9,8 +12,8 @@ from tessera.functions.cleansing import ratio_pct
 from tessera.functions.timefn import lookback
 from tessera.operators.topk import sort_report, top_k
 from tessera.sources.tables import table
-from tessera.sources.usage import (JOBS_SQL, LINEITEM_AS_OF, STORAGE_SQL, VIEWS_SQL,
-                                   access_log, catalog_tables, jobs, latest_time,
+from tessera.sources.usage import (EVENTS_AS_OF, JOBS_SQL, LINEITEM_AS_OF, STORAGE_SQL, VIEWS_SQL,
+                                   access_log, catalog_tables, jobs,
                                    table_storage, views)
 
 EPOCH = "1970-01-01 00:00:00"
@@ -20,14 +23,10 @@ def _jobs(spark, sf_dir):
     return jobs(table(spark, sf_dir, "events"))
 
 
-def _events_as_of(spark, sf_dir) -> str:
-    return latest_time(table(spark, sf_dir, "events"), "ts")
-
-
-def usage_by_user(spark, sf_dir, as_of=None, k=10):
+def usage_by_user(spark, sf_dir, as_of=EVENTS_AS_OF, k=10):
     j = _jobs(spark, sf_dir)
     recent = j.where((F.col("job_type") == "QUERY")
-                     & lookback("creation_time", as_of or _events_as_of(spark, sf_dir), "7 DAYS"))
+                     & lookback("creation_time", as_of, "7 DAYS"))
     agg = recent.groupBy("user_email").agg(
         F.sum("total_bytes_processed").alias("total_bytes_processed"),
         F.count("job_id").alias("total_queries"))
@@ -45,13 +44,13 @@ def storage_ratios(spark, sf_dir):
     return out.orderBy(F.desc("compression_ratio"), "table_schema", "table_name")
 
 
-def unfiltered_text_topk(spark, sf_dir, as_of=None, k=10, ignore_case=False):
+def unfiltered_text_topk(spark, sf_dir, as_of=EVENTS_AS_OF, k=10, ignore_case=False):
     """Recent SELECT jobs whose text has no WHERE clause, by bytes."""
     j = _jobs(spark, sf_dir)
     pattern = "(?i)WHERE" if ignore_case else "WHERE"
     hits = j.where((F.col("job_type") == "QUERY") & (F.col("statement_type") == "SELECT")
                    & (F.col("total_bytes_processed") > 0)
-                   & lookback("creation_time", as_of or _events_as_of(spark, sf_dir), "24 HOURS")
+                   & lookback("creation_time", as_of, "24 HOURS")
                    & ~F.col("query").rlike(pattern))
     top = top_k(hits, ["total_bytes_processed"], k, tiebreak=["job_id"])
     return top.select("query", "user_email", "total_bytes_processed")
@@ -85,9 +84,9 @@ def stale_entities(spark, sf_dir, as_of=LINEITEM_AS_OF, days=90):
     return stale.orderBy(F.asc_nulls_first("last_access_time"), *keys)
 
 
-def resource_by_job(spark, sf_dir, as_of=None):
+def resource_by_job(spark, sf_dir, as_of=EVENTS_AS_OF):
     j = _jobs(spark, sf_dir)
-    hits = j.where(lookback("creation_time", as_of or _events_as_of(spark, sf_dir), "1 HOUR") & (F.col("total_slot_ms") > 0))
+    hits = j.where(lookback("creation_time", as_of, "1 HOUR") & (F.col("total_slot_ms") > 0))
     return hits.select("creation_time", "job_id", "user_email", "total_slot_ms").orderBy(
         F.desc("total_slot_ms"), "job_id")
 
@@ -98,9 +97,9 @@ def view_report(spark, sf_dir):
                        "table_schema", "table_name")
 
 
-def lookback_usage(spark, sf_dir, as_of=None):
+def lookback_usage(spark, sf_dir, as_of=EVENTS_AS_OF):
     """Jobs and bytes per job type over the last 30 days."""
-    j = _jobs(spark, sf_dir).where(lookback("creation_time", as_of or _events_as_of(spark, sf_dir), "30 DAYS"))
+    j = _jobs(spark, sf_dir).where(lookback("creation_time", as_of, "30 DAYS"))
     return j.groupBy("job_type").agg(
         F.count(F.lit(1)).alias("jobs"),
         F.sum("total_bytes_processed").alias("total_bytes_processed"))
@@ -139,7 +138,7 @@ def _ratio_sql(part, total):
             f"1.0 - sign({x}) * floor(abs({x}) * 100 + 0.5) / 100 END) * 100.0")
 
 
-_EV = "(SELECT MAX(ts) FROM events)"
+_EV = f"TIMESTAMP '{EVENTS_AS_OF}'"
 WJ = "WITH " + JOBS_SQL
 
 ORACLE = {

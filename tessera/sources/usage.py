@@ -21,15 +21,11 @@ from pyspark.sql import functions as F
 # Fixed points in time of the driver data, used as ``as_of`` of look-backs.
 LINEITEM_AS_OF = "2001-12-31 00:00:00"
 BILLING_AS_OF = "2001-11-01 00:00:00"
+EVENTS_AS_OF = "2024-01-31 00:00:00"
 PROJECT = "proj"
 
 
 
-def latest_time(df: DataFrame, ts: str) -> str:
-    """The last time in ``df``: the ``as_of`` of look-backs that are given none."""
-    return str(df.agg(F.max(ts)).first()[0])
-
-
 # ---------------------------------------------------------------- jobs
 
 def jobs(events: DataFrame) -> DataFrame:
