@@ -14,8 +14,7 @@ def op1_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     control = spark.range(2).select(
         F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"),
         F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit("</s>[INST] ok [/INST]").alias("text"))
-    # The digests need a conversation in one place anyway: one exchange serves both groupings.
-    return chat.conversation_digests(chat.format_chat(turns.unionByName(control).repartition("conv_id")))
+    return chat.conversation_digests(chat.format_chat(turns.unionByName(control)))
 
 
 OP1_SQL = r"""
@@ -27,7 +26,7 @@ marked AS (
             + len(regexp_extract_all(text, '<\|(?:turn|says|more|end)\|>|</?s>|\[/?INST\]')) AS chars,
          length(role) + (length(role) - length(replace(role, '\', '')))
             + len(regexp_extract_all(role, '<\|(?:turn|says|more|end)\|>|</?s>|\[/?INST\]')) AS role_chars,
-         coalesce(lag(role) OVER w = role AND lag(turn // 256) OVER w IS NOT DISTINCT FROM turn // 256, false) AS more
+         coalesce(lag(role) OVER w = role, false) AS more
   FROM turns WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text))
 SELECT conv_id, count(*) AS n_turns,
        sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,

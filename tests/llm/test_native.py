@@ -42,7 +42,7 @@ def test_turns_and_loss_are_read_back(spark):
     parts = chat.format_chat(df)
     whole = {}
     for r in parts.orderBy("conv_id", "part").select(
-            "conv_id", "formatted", chat.read_turns(F.col("formatted")).alias("turns"),
+            "conv_id", "formatted", chat.read_turns(F.col("formatted"), carried=F.col("carried")).alias("turns"),
             chat.read_loss(F.col("formatted"), F.col("loss_spans")).alias("loss")).collect():
         turns, loss, n = whole.get(r["conv_id"], ([], "", 0))
         whole[r["conv_id"]] = (turns + [tuple(x) for x in r["turns"]], loss + r["loss"], n + len(r["formatted"]))
@@ -72,6 +72,35 @@ def test_long_conversation_is_formatted_in_bounded_parts(spark):
     assert chat.conversation_digests(parts).first()["n_turns"] == 2000
 
 
+def _plainly(turns):
+    """The formatted conversation, written at once."""
+    def escape(x):
+        x = x.replace("\\", "\\\\")
+        return re.sub(r"<(?=\|(?:turn|says|more|end)\|>|/?s>)|\[(?=/?INST\])", lambda m: m[0] + "\\", x)
+    out, last = "", None
+    for role, text in turns:
+        out += ("<|more|>" if role == last else ("<|end|>" if last is not None else "") + f"<|turn|>{escape(role)}<|says|>") + escape(text)
+        last = role
+    return out + "<|end|>"
+
+
+def test_blocks_do_not_depend_on_the_borders_of_parts(spark):
+    odd = ["a<|end|>", "</s>", "\\", ""]
+    rows = [(1, i, "user" if i < 600 else "assistant", odd[i % 4] + str(i)) for i in range(1200)]       # over part borders
+    rows += [(2, i * 1000 - 5000, "assistant" if i % 4 else "user", str(i)) for i in range(20)]          # sparse and negative numbers
+    rows += [(3, None, "assistant", f"{i:04}") for i in range(700)] + [(3, 0, "assistant", "first")]     # no numbers
+    rows += [(4, 7, "r" + str(i % 2), f"{i:04}") for i in range(1000)]                                  # one number
+    rows += [(5, -(1 << 62), "u", "x"), (5, (1 << 62), "u", "y"), (5, 255, "u", "z"), (5, 256, "v", "<|more|>")]
+    parts = chat.format_chat(spark.createDataFrame(rows, SCHEMA).repartition(5))
+    got = {}
+    for r in parts.orderBy("conv_id", "part").select("*", chat.read_turns(F.col("formatted"), carried=F.col("carried")).alias("turns")).collect():
+        text, turns = got.get(r["conv_id"], ("", []))
+        got[r["conv_id"]] = (text + r["formatted"], turns + [tuple(x) for x in r["turns"]])
+        assert len(r["turns"]) <= chat.PART_TURNS
+    for c, turns in _expected(rows).items():
+        assert got[c][1] == turns and got[c][0] == _plainly(turns)
+
+
 def test_chat_of_nothing(spark):
     assert chat.conversation_digests(chat.format_chat(spark.createDataFrame([], SCHEMA))).count() == 0
 
