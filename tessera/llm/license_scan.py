@@ -6,8 +6,11 @@ sentence, mapped to its identifier, covers whole pieces: pieces are taken
 together, over any number of lines, until ``. ! ? ;`` ends the sentence. The sequence of identifiers in the text is
 then matched against ordered licence rules: the first rule whose sequence occurs
 takes its sentences, and so on until no rule fits; known sentences that no rule
-takes are reported as unmatched. Documents without any licence word are passed
-by after one search.
+takes are reported as unmatched. An SPDX line is a sentence that states its licences itself: its expression is read
+(``AND``, ``OR``, ``WITH``, brackets), each licence is reported, and it counts with the category that the expression
+leaves: the least restrictive of alternatives, the most restrictive of what holds together. "All rights reserved" makes
+a text proprietary only where nothing grants a licence. Documents without any licence word are passed
+by after one search. The work grows linearly with a text.
 
 Defined results: null and empty texts, and texts without known sentences, have
 no licences (``licenses`` empty, ``category`` none); repeated rows are scanned
@@ -48,7 +51,18 @@ SENTENCES = (
     ("bsd-source", r".*redistributions of source code must retain the above copyright notice.*"),
     ("bsd-binary", r".*redistributions in binary form must reproduce the above copyright notice.*"),
     ("bsd-endorse", r".*neither the name .* may be used to endorse or promote products.*"),
-    ("bsd-short", r"(?:released|licensed|distributed) under the (?:(?P<clauses>[23])-clause )?bsd license"),
+    ("bsd2-short", r"(?:released|licensed|distributed) under the (?:2-clause bsd|bsd 2-clause) license"),
+    ("bsd3-short", r"(?:released|licensed|distributed) under the (?:3-clause bsd|bsd 3-clause) license"),
+    ("bsd-short", r"(?:released|licensed|distributed) under the bsd license"),
+    ("bsd2-title", r"bsd 2-clause (?:simplified )?license"),
+    ("bsd3-title", r"bsd 3-clause (?:new or revised )?license"),
+    ("mit-title", r"(?:the )?mit license(?: \(mit\))?"),
+    ("apache2-title", r"apache license,? version 2(?:\.0)?(?:, january 2004)?"),
+    ("isc-title", r"(?:the )?isc license(?: \(isc\))?"),
+    ("isc-grant", r"permission to use, copy, modify,? and/or distribute this software for any purpose with or without fee is hereby granted.*"),
+    ("bsl1-title", r"boost software license - version 1\.0.*"),
+    ("bsl1-grant", r"permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and accompanying documentation covered by this license.*"),
+    ("zlib-grant", r"permission is granted to anyone to use this software for any purpose, including commercial applications.*"),
     ("gpl3-short", r"(?:this (?:work|file|software|project) is )?(?:released|licensed|distributed) under the gnu general public license,? (?:version|v) ?3(?:\.0)?"),
     ("gpl2-short", r"(?:this (?:work|file|software|project) is )?(?:released|licensed|distributed) under the gnu general public license,? (?:version|v) ?2(?:\.0)?"),
     ("gpl-free", r".*is free software"),
@@ -71,7 +85,7 @@ SENTENCES = (
     ("cc0", r"(?:this work is )?(?:dedicated to|released into|in) the public domain"),
     ("cc0", r".*cc0 1\.0.*"),
     ("unlicense", r"this is free and unencumbered software released into the public domain"),
-    ("proprietary", r"all rights reserved"),
+    ("reserved", r"all rights reserved"),
     ("proprietary", r".*confidential and proprietary.*"),
     ("copyright", r"(?:copyright|\(c\)|©).*"),
 )
@@ -81,7 +95,11 @@ RULES = (
     ("Apache-2.0", "permissive", ("apache2-grant", "apache-comply", "apache-copy", "apache-asis")),
     ("BSD-3-Clause", "permissive", ("bsd-grant", "bsd-source", "bsd-binary", "bsd-endorse", "asis")),
     ("BSD-2-Clause", "permissive", ("bsd-grant", "bsd-source", "bsd-binary", "asis")),
+    ("MIT", "permissive", ("mit-title", "mit-grant", "mit-notice", "asis")),
     ("MIT", "permissive", ("mit-grant", "mit-notice", "asis")),
+    ("ISC", "permissive", ("isc-title", "isc-grant", "asis")),
+    ("ISC", "permissive", ("isc-grant", "asis")),
+    ("BSL-1.0", "permissive", ("bsl1-title", "bsl1-grant", "asis")),
     ("AGPL-3.0-or-later", "copyleft", ("gpl-free", "agpl-terms", "gpl-version3")),
     ("AGPL-3.0", "copyleft", ("gpl-free", "agpl-terms")),
     ("LGPL-3.0-or-later", "weak copyleft", ("gpl-free", "lgpl-terms", "gpl-version3")),
@@ -101,7 +119,18 @@ RULES = (
     ("Apache-2.0", "permissive", ("apache2-short",)),
     ("MIT", "permissive", ("mit-grant",)),
     ("MIT", "permissive", ("mit-short",)),
+    ("BSD-2-Clause", "permissive", ("bsd2-short",)),
+    ("BSD-3-Clause", "permissive", ("bsd3-short",)),
     ("BSD", "permissive", ("bsd-short",)),
+    ("BSD-2-Clause", "permissive", ("bsd2-title",)),
+    ("BSD-3-Clause", "permissive", ("bsd3-title",)),
+    ("MIT", "permissive", ("mit-title",)),
+    ("Apache-2.0", "permissive", ("apache2-title",)),
+    ("ISC", "permissive", ("isc-title",)),
+    ("ISC", "permissive", ("isc-grant",)),
+    ("BSL-1.0", "permissive", ("bsl1-title",)),
+    ("BSL-1.0", "permissive", ("bsl1-grant",)),
+    ("Zlib", "permissive", ("zlib-grant",)),
     ("BSD", "permissive", ("bsd-grant",)),
     ("GPL-3.0-only", "copyleft", ("gpl3-short",)),
     ("GPL-2.0-only", "copyleft", ("gpl2-short",)),
@@ -113,9 +142,16 @@ RULES = (
     ("CC-BY-4.0", "permissive", ("cc-by",)),
     ("Unlicense", "permissive", ("unlicense",)),
     ("CC0-1.0", "permissive", ("cc0",)),
-    ("SPDX", "declared", ("spdx",)),
     ("Proprietary", "proprietary", ("proprietary",)),
 )
+#: The rule where no other fits, and categories of SPDX identifiers by their beginnings (the first that fits).
+WITHOUT_GRANT = ("Proprietary", "proprietary", "reserved")
+SPDX_CATEGORIES = (
+    ("CC-BY-NC", "non-commercial"), ("CC-BY-SA", "copyleft"), ("CC-BY", "permissive"), ("CC0-", "permissive"),
+    ("AGPL-", "copyleft"), ("LGPL-", "weak copyleft"), ("GPL-", "copyleft"), ("MPL-", "weak copyleft"), ("EPL-", "weak copyleft"),
+    ("CDDL-", "weak copyleft"), ("EUPL-", "copyleft"), ("Apache-", "permissive"), ("MIT", "permissive"), ("BSD-", "permissive"),
+    ("0BSD", "permissive"), ("ISC", "permissive"), ("BSL-", "permissive"), ("Zlib", "permissive"), ("Unlicense", "permissive"),
+)
 #: The most restrictive category of a text's licences is its own.
 CATEGORIES = ("proprietary", "non-commercial", "copyleft", "weak copyleft", "declared", "permissive")
 
@@ -178,31 +214,103 @@ def sentences(text: str) -> list[tuple[int, int, str]]:
 
 
 def apply_rules(ids: list[str]) -> tuple[list[tuple[str, str]], list[int]]:
-    """The licences that ordered rules find in a sequence of identifiers, and the positions that they leave."""
-    left, found = list(range(len(ids))), []
+    """The licences that ordered rules find in a sequence of identifiers, and the positions that they leave.
+
+    A rule takes its first identifier's first place, then the next identifier's first place after that, and so on; then
+    it is tried again on what is left. So its places only move forward, and one pass over them does.
+    """
+    found, places, taken = [], {}, set()
+    for k, name in enumerate(ids):
+        places.setdefault(name, []).append(k)
     for license_id, category, wanted in RULES:
+        if any(not places.get(w) for w in wanted):
+            continue
+        at, used = [0] * len(wanted), []
         while True:
-            taken, at = [], 0
-            for want in wanted:
-                at = next((k for k in range(at, len(left)) if ids[left[k]] == want), -1)
-                if at < 0:
+            last = -1
+            for n, want in enumerate(wanted):
+                own = places[want]
+                while at[n] < len(own) and own[at[n]] <= last:
+                    at[n] += 1
+                if at[n] == len(own):
                     break
-                taken.append(left[at])
-                at += 1
-            if at < 0:
-                break
-            found.append((taken[0], license_id, category))
-            left = [k for k in left if k not in set(taken)]
+                last = own[at[n]]
+            else:
+                used.append([places[w][i] for w, i in zip(wanted, at, strict=True)])
+                at = [i + 1 for i in at]
+                continue
+            break
+        found += [(x[0], license_id, category) for x in used]
+        gone = {k for x in used for k in x}
+        taken |= gone
+        if gone:
+            for want in wanted:
+                places[want] = [k for k in places[want] if k not in gone]
+    left = [k for k in range(len(ids)) if k not in taken]
     return [(x, c) for _, x, c in sorted(found)], left
 
 
+_SPDX = re.compile(r"spdx-license-identifier:?[ \t]*([^\n]*)", re.I)
+_SPDX_TOKEN = re.compile(r"[()]|[A-Za-z0-9.+:-]+")
+
+
+def spdx_category(license_id: str) -> str:
+    return next((c for start, c in SPDX_CATEGORIES if license_id.lower().startswith(start.lower())), "declared")
+
+
+def spdx_licenses(expression: str) -> tuple[list[str], str | None]:
+    """The licences of an SPDX expression, in order, and the category that it leaves (null without a licence)."""
+    tokens, names = _SPDX_TOKEN.findall(expression), []
+    # Alternatives of what holds together; open brackets wait on the stack. A token like (, OR is skipped where it makes no sense.
+    stack: list[list[list[str]]] = [[[]]]
+    skip = False
+    for token in tokens:
+        word = token.upper()
+        if skip:
+            skip = False
+        elif token == "(":
+            stack.append([[]])
+        elif token == ")":
+            if len(stack) > 1:
+                inner = _left(stack.pop())
+                stack[-1][-1] += [inner] if inner else []
+        elif word == "OR":
+            stack[-1].append([])
+        elif word == "WITH":
+            skip = True  # the exception's name
+        elif word != "AND":
+            names.append(token)
+            stack[-1][-1].append(spdx_category(token))
+    while len(stack) > 1:
+        inner = _left(stack.pop())
+        stack[-1][-1] += [inner] if inner else []
+    return names, _left(stack[0])
+
+
+def _left(alternatives: list[list[str]]) -> str | None:
+    """The least restrictive alternative; each is as restrictive as its most restrictive part."""
+    each = [min(parts, key=CATEGORIES.index) for parts in alternatives if parts]
+    return max(each, key=CATEGORIES.index, default=None)
+
+
 def _scan(text: bytes) -> dict:
     t = text.decode("utf-8", "replace")
     known = sentences(t) if _HINT.search(t) else []
     ids = [name for _, _, name in known]
-    found, left = apply_rules(ids)
-    kinds = {c for _, c in found}
-    return {"licenses": list(dict.fromkeys(x for x, _ in found)), "category": next((c for c in CATEGORIES if c in kinds), "none"),
+    found, left = apply_rules([name if name != "spdx" else "" for name in ids])
+    licenses, kinds, stated = [x for x, _ in found], {c for _, c in found}, set()
+    for k, (start, end, name) in enumerate(known):
+        if name == "spdx" and (m := _SPDX.search(t, start, end)):
+            names, category = spdx_licenses(m[1])
+            if names:
+                licenses += names
+                kinds.add(category)
+                stated.add(k)
+    left = [k for k in left if k not in stated]
+    if not licenses and WITHOUT_GRANT[2] in ids:
+        licenses, kinds = [WITHOUT_GRANT[0]], {WITHOUT_GRANT[1]}
+        left = [k for k in left if ids[k] != WITHOUT_GRANT[2]]
+    return {"licenses": list(dict.fromkeys(licenses)), "category": next((c for c in CATEGORIES if c in kinds), "none"),
             "sentence_ids": ids, "spans": [{"start": a, "length": b - a} for a, b, _ in known], "unmatched": [ids[k] for k in left]}
 
 

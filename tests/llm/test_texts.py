@@ -3,6 +3,7 @@
 import random
 import re
 import textwrap
+import time
 from collections import Counter
 
 import numpy as np
@@ -266,7 +267,18 @@ bsd-grant|Redistribution and use in source and binary forms, with or without mod
 bsd-source|Redistributions of source code must retain the above copyright notice
 bsd-binary|Redistributions in binary form must reproduce the above copyright notice
 bsd-endorse|Neither the name of X may be used to endorse or promote products
-bsd-short|Released under the 3-clause BSD license.
+bsd2-short|Released under the 2-clause BSD license.
+bsd3-short|Released under the BSD 3-Clause license.
+bsd-short|Released under the BSD license.
+bsd2-title|BSD 2-Clause License
+bsd3-title|BSD 3-Clause "New" or "Revised" License
+mit-title|The MIT License (MIT)
+apache2-title|Apache License, Version 2.0, January 2004
+isc-title|ISC License
+isc-grant|Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided
+bsl1-title|Boost Software License - Version 1.0
+bsl1-grant|Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and accompanying documentation covered by this license
+zlib-grant|Permission is granted to anyone to use this software for any purpose, including commercial applications
 gpl3-short|Distributed under the GNU General Public License v3.
 gpl2-short|Distributed under the GNU General Public License, version 2.
 gpl-free|This program is free software.
@@ -289,7 +301,7 @@ cc-by|Licensed under CC BY 4.0.
 cc0|Dedicated to the public domain.
 cc0|CC0 1.0 Universal
 unlicense|This is free and unencumbered software released into the public domain.
-proprietary|All rights reserved.
+reserved|All rights reserved.
 proprietary|This document is confidential and proprietary.
 copyright|Copyright 2020 X"""
 
@@ -306,6 +318,125 @@ def test_each_known_sentence_alone_is_found_on_one_line_and_word_by_word():
     assert license_scan._scan(b"CC0 1.0 Universal")["licenses"] == ["CC0-1.0"]
 
 
+_FULL = {
+    "MIT": """The MIT License (MIT)
+
+Copyright (c) 2020 A. Person. All rights reserved.
+
+Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files
+(the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge,
+publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do
+so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF
+MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT.""",
+    "ISC": """ISC License
+
+Copyright 2020 A. Person
+
+Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that
+the above copyright notice and this permission notice appear in all copies.
+
+THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE.""",
+    "BSD-3-Clause": """Copyright (c) 2020, A. Person
+All rights reserved.
+
+Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions
+are met:
+
+1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in
+   the documentation and/or other materials provided with the distribution.
+
+3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from
+   this software without specific prior written permission.
+
+THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES ARE DISCLAIMED.""",
+    "BSL-1.0": """Boost Software License - Version 1.0 - August 17th, 2003
+
+Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and accompanying
+documentation covered by this license (the "Software") to use, reproduce, display, distribute, execute, and transmit the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED.""",
+    "Apache-2.0": """Copyright 2020 A. Person. All rights reserved.
+
+Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License.
+You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an "AS IS" BASIS,
+WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.""",
+}
+
+
+@pytest.mark.parametrize("name", sorted(_FULL))
+@pytest.mark.parametrize("mark", ["", "# ", " * ", "// "])
+def test_whole_licence_texts(name, mark):
+    text = "\n".join(mark + x for x in _FULL[name].split("\n"))
+    found = license_scan._scan(f"def f():\n    pass\n{text}\nmore".encode())
+    assert found["licenses"] == [name] and found["category"] == "permissive"
+    both = license_scan._scan((text + "\n\nSPDX-License-Identifier: GPL-2.0-only\n").encode())
+    assert both["licenses"] == [name, "GPL-2.0-only"] and both["category"] == "copyleft"
+
+
+@pytest.mark.parametrize(("line", "want", "category"), [
+    ("MIT", ["MIT"], "permissive"), ("GPL-2.0-only OR MIT", ["GPL-2.0-only", "MIT"], "permissive"),
+    ("GPL-2.0-only AND MIT", ["GPL-2.0-only", "MIT"], "copyleft"), ("(LGPL-2.1-only OR MIT) AND BSD-3-Clause", ["LGPL-2.1-only", "MIT", "BSD-3-Clause"], "permissive"),
+    ("MIT AND (AGPL-3.0-only OR CC-BY-NC-4.0)", ["MIT", "AGPL-3.0-only", "CC-BY-NC-4.0"], "copyleft"),
+    ("GPL-2.0-or-later WITH Classpath-exception-2.0", ["GPL-2.0-or-later"], "copyleft"), ("LicenseRef-Own", ["LicenseRef-Own"], "declared"),
+    ("MIT OR", ["MIT"], "permissive"), ("((MIT)", ["MIT"], "permissive")])
+def test_spdx_expressions(line, want, category):
+    for mark in ("", "// ", "# "):
+        found = license_scan._scan(f"{mark}SPDX-License-Identifier: {line}\ncode".encode())
+        assert (found["licenses"], found["category"], found["unmatched"]) == (want, category, [])
+
+
+def test_reserved_rights_count_only_without_a_grant():
+    assert license_scan._scan(b"Copyright 2020 X.\nAll rights reserved.")["category"] == "proprietary"
+    assert license_scan._scan(b"All rights reserved.\nReleased under the MIT License.")["category"] == "permissive"
+    assert license_scan._scan(b"This document is confidential and proprietary.\nReleased under the MIT License.")["category"] == "proprietary"
+    assert license_scan._scan(b"Released under the 2-clause BSD license.")["licenses"] == ["BSD-2-Clause"]
+
+
+def _plain_rules(ids):
+    """Ordered rules by their definition: each is tried from the start of what is left until it fits no more."""
+    left, found = list(range(len(ids))), []
+    for license_id, category, wanted in license_scan.RULES:
+        while True:
+            taken, at = [], 0
+            for want in wanted:
+                at = next((k for k in range(at, len(left)) if ids[left[k]] == want), -1)
+                if at < 0:
+                    break
+                taken.append(left[at])
+                at += 1
+            if at < 0:
+                break
+            found.append((taken[0], license_id, category))
+            left = [k for k in left if k not in taken]
+    return [(x, c) for _, x, c in sorted(found)], left
+
+
+def test_rules_equal_their_definition():
+    rng = random.Random(1)
+    names = sorted({n for n, _ in license_scan.SENTENCES})
+    for _ in range(300):
+        some = rng.sample(names, rng.randint(2, 8)) if rng.random() < 0.5 else [w for r in rng.sample(license_scan.RULES, 3) for w in r[2]]
+        ids = [rng.choice(some) for _ in range(rng.randint(0, 60))]
+        assert license_scan.apply_rules(ids) == _plain_rules(ids)
+
+
+def test_long_licence_texts_take_linear_time():
+    text = b"SPDX-License-Identifier: MIT\nReleased under the MIT License.\nthis is free software\n" * 20_000
+    began = time.monotonic()
+    found = license_scan._scan(text)
+    assert len(found["sentence_ids"]) == 60_000 and found["licenses"] == ["MIT"] and time.monotonic() - began < 60
+
+
 def test_licence_query_finds_every_licence_line(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").withColumn("spans", F.lit(1))
     lines = {"Apache-2.0": "Licensed under the Apache License, Version 2.0.", "MIT": "Released under the MIT License.",
