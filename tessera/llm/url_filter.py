@@ -3,13 +3,13 @@
 A rule ``host/path`` fits its host and all subdomains where the URL's path
 starts with the rule's path; the longest rule wins. Other URLs are judged by a
 multinomial naive Bayes model. Its tokens: host and path are cut at anything
-but letters and digits; names are split into words by a unigram Viterbi (the
+but letters (of any script) and digits; names are split into words by a unigram Viterbi (the
 most probable segmentation under word counts of all pages; unknown stretches
 pay by length); digits count as one token by length. Host and path tokens are
 told apart. The model is fitted on all pages, labelled by short lists of known
 words (a page whose host has a name made of words to be blocked counts as
-block, any other as allow), and on these lists themselves. The rules are policy
-and teach the model nothing.
+block, any other as allow), and on these lists themselves. URLs that a caller has labelled are counted as well, with a weight.
+The rules are policy and teach the model nothing.
 
 Counts, segmentation and scores are joined, none is collected: names are
 reduced to distinct ones, each distinct name's substrings meet the word counts
@@ -37,9 +37,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 from tessera.llm.blocks import column_bytes
 from tessera.session import cut_lineage
 
-#: Longest word that the segmentation considers, and how often one must occur.
+#: Longest word that the segmentation considers, in code points.
 LONGEST_WORD = 20
-LEAST_COUNT = 3
 #: Weight of a seed name, in pages, and Laplace smoothing.
 SEED_WEIGHT = 1.0
 #: Share of all words that a seed has at least in the segmentation.
@@ -54,8 +53,39 @@ SEEDS = {
               "teach university weather wiki").split(),
 }
 
-_MARKUP = re.compile(rb"<(script|style)\b.*?</\1>|<!--.*?-->|<[^>]*>|&\w+;", re.S | re.I)
-_WORD = re.compile(rb"[a-z\x80-\xff]{1,20}(?![a-z\x80-\xff])")
+#: Pages that one labelled URL counts as.
+LABEL_WEIGHT = 10.0
+
+_OPENING = re.compile(r"<(?:(script|style)\b|!--)?", re.I)
+_CLOSING = {"script": re.compile("</script>", re.I), "style": re.compile("</style>", re.I)}
+_ENTITY = re.compile(r"&\w+;")
+_WORD = re.compile(r"[^\W\d_]+")
+
+
+def visible(html: str) -> str:
+    """The text outside tags, comments, scripts and styles. One pass: an end that is missing is looked for once."""
+    out, at, absent = [], 0, set()
+    while (start := html.find("<", at)) >= 0:
+        out.append(html[at:start])
+        m = _OPENING.match(html, start)
+        kind = (m[1] or m[0][1:]).lower()  # script, style, !-- or nothing
+        end = -1
+        if kind and kind not in absent:
+            if kind == "!--":
+                end = html.find("-->", m.end())
+                end += 3 if end >= 0 else 0
+            elif closing := _CLOSING[kind].search(html, m.end()):
+                end = closing.end()
+            if end < 0:
+                absent.add(kind)
+        if end < 0:  # an ordinary tag, or what begins as more and never ends
+            end = html.find(">", start) + 1
+            if not end:
+                at = start
+                break
+        out.append(" ")
+        at = end
+    return _ENTITY.sub(" ", "".join([*out, html[at:]]))
 
 
 def split_url(url: Column) -> tuple[Column, Column]:
@@ -85,12 +115,11 @@ def word_counts(pages: DataFrame, html_col: str = "html") -> DataFrame:
         for b in batches:
             counts: Counter = Counter()
             for html in column_bytes(b.column(0)):
-                counts.update(_WORD.findall(_MARKUP.sub(b" ", html).lower()))
-            words = {w.decode("utf-8", "replace"): n for w, n in counts.items()}
-            yield pa.RecordBatch.from_pydict({"word": pa.array(words.keys(), pa.string()), "n": pa.array(words.values(), pa.int64())})
+                counts.update(_WORD.findall(visible(html.decode("utf-8", "replace")).lower()))
+            yield pa.RecordBatch.from_pydict({"word": pa.array(counts.keys(), pa.string()), "n": pa.array(counts.values(), pa.int64())})
 
     rows = pages.select(html_col).mapInArrow(run, "word string, n long")
-    return rows.groupBy("word").agg(F.sum("n").alias("n")).where(F.col("n") >= LEAST_COUNT)
+    return rows.groupBy("word").agg(F.sum("n").alias("n"))
 
 
 def segment(name: str, known: dict[str, float], unknown: float) -> list[str]:
@@ -114,7 +143,7 @@ def segment_names(names: DataFrame, counts: DataFrame) -> DataFrame:
     pieces = (names.select("name", F.explode(F.sequence(F.lit(1), F.length("name"))).alias("at"))
               .select("name", "at", F.explode(F.expr(f"sequence(1, least({LONGEST_WORD}, length(name) - at + 1))")).alias("k"))
               .select("name", F.expr("substr(name, at, k)").alias("word")).distinct())
-    seeds = names.sparkSession.createDataFrame([(w, max(LEAST_COUNT, int(total * SEED_SHARE))) for v in SEEDS.values() for w in v if len(w) > 1], "word string, n long")
+    seeds = names.sparkSession.createDataFrame([(w, max(1, int(total * SEED_SHARE))) for v in SEEDS.values() for w in v if len(w) > 1], "word string, n long")
     counts = counts.unionByName(seeds).groupBy("word").agg(F.sum("n").alias("n"))
     found = pieces.join(counts, "word").groupBy("name").agg(F.collect_list(F.struct("word", "n")).alias("found"))
     unknown = -math.log(total)
@@ -130,7 +159,7 @@ def segment_names(names: DataFrame, counts: DataFrame) -> DataFrame:
 def _names(host: Column, path: Column) -> Column:
     """Marked names of a URL, in order: ``h`` or ``p``, then a run of letters, or ``#`` and how many digits."""
     def marked(mark: str, x: Column) -> Column:
-        runs = F.regexp_extract_all(F.lower(x), F.lit(r"[0-9]+|[^\W\d_]+"), F.lit(0))
+        runs = F.regexp_extract_all(F.lower(x), F.lit(r"[0-9]+|[\p{L}\p{M}]+"), F.lit(0))
         length = lambda n: F.concat(F.lit("#"), F.length(n).cast("string"))
         return F.transform(runs, lambda n: F.concat(F.lit(mark), F.when(n.rlike("^[0-9]"), length(n)).otherwise(n)))
 
@@ -138,8 +167,11 @@ def _names(host: Column, path: Column) -> Column:
 
 
 def judge(pages: DataFrame, rules: Sequence[tuple[str, str]], id_col: str = "page_id", url_col: str = "url",
-          html_col: str = "html") -> DataFrame:
-    """One row per page: id, ``host``, ``path``, ``rule``, ``verdict``, and the model's ``log_odds`` of allow."""
+          html_col: str = "html", labelled: DataFrame | None = None) -> DataFrame:
+    """One row per page: id, ``host``, ``path``, ``rule``, ``verdict``, and the model's ``log_odds`` of allow.
+
+    ``labelled``: URLs of known verdict (columns ``url`` and ``label``, allow or block) that the model learns from too.
+    """
     spark = pages.sparkSession
     host, path = split_url(F.col("url"))
     urls = pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("url")).select("id", host.alias("host"), path.alias("path"))
@@ -147,10 +179,21 @@ def judge(pages: DataFrame, rules: Sequence[tuple[str, str]], id_col: str = "pag
     urls = cut_lineage(urls.select("id", "host", "path", rule.alias("rule"), verdict.alias("ruled"),
                                    _names(F.col("host"), F.col("path")).alias("names")))
     # Distinct signatures (lists of names) and their pages.
-    signatures = cut_lineage(urls.groupBy("names").agg(F.count("*").alias("pages")))
+    known = "names array<string>, allow double, block double"
+    if labelled is None:
+        taught = spark.createDataFrame([], known)
+    else:
+        h, p = split_url(F.col("url"))
+        taught = labelled.select("label", h.alias("host"), p.alias("path")).select(
+            _names(F.col("host"), F.col("path")).alias("names"), *[
+                F.when(F.col("label") == v, LABEL_WEIGHT).otherwise(0.0).alias(v) for v in ("allow", "block")]).groupBy("names").agg(
+                F.sum("allow").alias("allow"), F.sum("block").alias("block"))
+    taught = cut_lineage(taught)
+    signatures = cut_lineage(urls.select("names", F.lit(1).alias("n")).unionByName(taught.select("names", F.lit(0).alias("n")))
+                             .groupBy("names").agg(F.sum("n").alias("pages")))
     by_name = signatures.select("names", "pages", F.explode("names").alias("name"))
     names = by_name.select(F.expr("substr(name, 2)").alias("name")).where(~F.col("name").startswith("#")).distinct()
-    split = cut_lineage(segment_names(names, word_counts(pages, html_col)))
+    split = cut_lineage(segment_names(names, cut_lineage(word_counts(pages, html_col))))
     marked = by_name.select("name").distinct().withColumn("bare", F.expr("substr(name, 2)"))
     tokens = cut_lineage(
         marked.join(split.withColumnRenamed("name", "bare"), "bare", "left")
@@ -160,13 +203,13 @@ def judge(pages: DataFrame, rules: Sequence[tuple[str, str]], id_col: str = "pag
     bad = (tokens.where(F.col("name").startswith("h")).groupBy("name")
            .agg(F.min(F.expr("substr(token, 2)").isin(SEEDS["block"])).alias("all"), F.max(F.length("token")).alias("longest"))
            .where("all AND longest > 3").select("name"))
-    labelled = cut_lineage(signatures.join(by_name.join(bad, "name").select("names").distinct().withColumn("bad", F.lit(True)), "names", "left")
+    judged = cut_lineage(signatures.join(by_name.join(bad, "name").select("names").distinct().withColumn("bad", F.lit(True)), "names", "left")
                            .select("names", F.when(F.col("bad"), 0).otherwise(F.col("pages")).alias("allow"),
                                    F.when(F.col("bad"), F.col("pages")).otherwise(0).alias("block")))
     seeds = spark.createDataFrame(
         [(m + w, SEED_WEIGHT * (v == "allow"), SEED_WEIGHT * (v == "block")) for v, ws in SEEDS.items() for w in ws for m in "hp"],
         "token string, allow double, block double")
-    per_name = (labelled.select("allow", "block", F.explode("names").alias("name")).groupBy("name")
+    per_name = (judged.unionByName(taught).select("allow", "block", F.explode("names").alias("name")).groupBy("name")
                 .agg(F.sum("allow").cast("double").alias("allow"), F.sum("block").cast("double").alias("block")))
     counted = (tokens.join(per_name, "name").select("token", "allow", "block").unionByName(seeds)
                .groupBy("token").agg(F.sum("allow").alias("allow"), F.sum("block").alias("block")))
@@ -174,7 +217,7 @@ def judge(pages: DataFrame, rules: Sequence[tuple[str, str]], id_col: str = "pag
     a, b, v = counted.agg(F.sum("allow"), F.sum("block"), F.count("*")).first()
     weights = counted.select("token", (F.log((F.col("allow") + SMOOTHING) / (a + SMOOTHING * v))
                                        - F.log((F.col("block") + SMOOTHING) / (b + SMOOTHING * v))).alias("weight"))
-    pages_allowed, pages_blocked = labelled.agg(F.sum("allow"), F.sum("block")).first()
+    pages_allowed, pages_blocked = judged.unionByName(taught).agg(F.sum("allow"), F.sum("block")).first()
     prior = math.log(((pages_allowed or 0) + 1) / ((pages_blocked or 0) + 1))
     name_score = tokens.join(weights, "token").groupBy("name").agg(F.sum("weight").alias("weight"))
     score = (by_name.select("names", "name").join(name_score, "name")

@@ -3,6 +3,7 @@
 import hashlib
 import io
 import random
+import time
 import zipfile
 
 import pytest
@@ -68,6 +69,89 @@ def test_segmentation_against_exhaustive_search():
     assert url_filter.segment("", known, unknown) == []
 
 
+def test_visible_text_equals_the_definition(spark):
+    import re
+    plain = re.compile(r"<(script|style)\b.*?</\1>|<!--.*?-->|<[^>]*>|&\w+;", re.S | re.I)
+    pages = [r["html"] or "" for r in spark.read.parquet(f"{SF}/pages.parquet").select("html").collect()]
+    pages += ["", "plain", "a<b>c</b>&amp;d", "<!-- x > y -->z", "<script>a<b</script>c", "<SCRIPT src=x>1</SCRIPT >2</script>3", "a < b > c",
+              "<style>p{}</style><p", "x <!-- no end > y", "<script> no end </scrip> t", "<scripted>q</scripted>", "a<", "<>", "é<b>ü</b>"]
+    for html in pages:
+        assert url_filter.visible(html).split() == plain.sub(" ", html).split(), html
+
+
+@pytest.mark.parametrize("piece", ["<!--", "<script>", "<style ", "<", "<a", "&", "&a", "<!-- > ", "<script></style>", "<!--></script"])
+def test_long_broken_pages_take_linear_time(piece):
+    began = time.monotonic()
+    url_filter.visible(piece * (2_000_000 // len(piece)))
+    assert time.monotonic() - began < 10
+
+
+def _plain_bayes(pages, labelled):
+    """The model by its definition, in memory: word counts, segmentation, token counts, log odds."""
+    import math
+    import re
+    from collections import Counter
+    counts = Counter(w for _, _, html in pages for w in re.findall(r"[^\W\d_]+", url_filter.visible(html or "").lower()))
+    total = float(sum(counts.values()) or 1)
+    for w in (w for ws in url_filter.SEEDS.values() for w in ws if len(w) > 1):
+        counts[w] += max(1, int(total * url_filter.SEED_SHARE))
+    known = {w: math.log(n / total) for w, n in counts.items()}
+
+    def tokens(url):
+        out = []
+        for mark, part in zip("hp", _host_path(url), strict=True):
+            for run in re.findall(r"[0-9]+|[^\W\d_]+", part.lower()):
+                if run[0] in "0123456789":
+                    out.append([f"{mark}#{len(run)}"])
+                else:
+                    out.append([mark + w for w in url_filter.segment(run, known, -math.log(total))])
+        return out
+
+    bad = set(url_filter.SEEDS["block"])
+    allow, block = Counter(), Counter()
+    for v, ws in url_filter.SEEDS.items():
+        for w in ws:
+            for m in "hp":
+                (allow if v == "allow" else block)[m + w] += url_filter.SEED_WEIGHT
+    n_allow = n_block = 0.0
+    for url, label, weight in [(u, None, 1) for _, u, _ in pages] + [(u, v, url_filter.LABEL_WEIGHT) for u, v in labelled]:
+        names = tokens(url)
+        is_bad = label == "block" if label else any(
+            n[0][0] == "h" and all(t[1:] in bad for t in n) and max(len(t) for t in n) > 3 for n in names)
+        n_allow, n_block = n_allow + weight * (not is_bad), n_block + weight * is_bad
+        for t in (t for n in names for t in n):
+            (block if is_bad else allow)[t] += weight
+    vocabulary = allow.keys() | block.keys()
+    a, b, v = sum(allow.values()), sum(block.values()), len(vocabulary)
+    k = url_filter.SMOOTHING
+    weight = {t: math.log((allow[t] + k) / (a + k * v)) - math.log((block[t] + k) / (b + k * v)) for t in vocabulary}
+    prior = math.log((n_allow + 1) / (n_block + 1))
+    return [prior + sum(weight[t] for n in tokens(u) for t in n) for _, u, _ in pages]
+
+
+@pytest.mark.parametrize("taught", [False, True])
+def test_naive_bayes_against_a_plain_version(spark, taught):
+    urls = ["http://casinowin.com/freebonus", "http://cityschool.org/history/2024", "http://wiki.org/wiki/wiki", "http://bestnews.net/bets/99",
+            "http://новости.рф/город/дом", "http://münchen.de/straße", "http://grüneküche.de/rezepte", "http://x.org", None, "nothing",
+            "http://casinowin.com/freebonus", "http://kitchenrecipes.net/city/casino"]
+    html = "<p>casino win free bonus city school history best news bets kitchen recipes grüne küche новости город</p>" + "<script>x</script>city "
+    pages = [(i, u, html if i % 3 else None) for i, u in enumerate(urls)]
+    labelled = [("http://kitchenrecipes.net/a", "block"), ("http://bestnews.net/b", "allow"), ("http://kitchenrecipes.net/a", "block")] if taught else []
+    df = spark.createDataFrame(pages, "page_id long, url string, html string").withColumn("label", F.lit(3))
+    given = spark.createDataFrame(labelled, "url string, label string") if taught else None
+    got = {r["page_id"]: r for r in url_filter.judge(df, queries.URL_RULES, labelled=given).collect()}
+    for i, want in enumerate(_plain_bayes(pages, labelled)):
+        assert got[i]["log_odds"] == pytest.approx(want, abs=1e-6), urls[i]
+    if taught:  # a label teaches what the lists of words cannot
+        assert got[11]["log_odds"] < 0
+
+
+def test_names_of_any_script_are_words(spark):
+    names = spark.createDataFrame([("http://Новости.РФ/Город1/straße",)], "url string").select(
+        url_filter._names(*url_filter.split_url(F.col("url"))).alias("n")).first()["n"]
+    assert names == ["hновости", "hрф", "pгород", "p#1", "pstraße"]
+
+
 def test_url_model_blocks_known_bad_hosts_only(spark):
     got = queries.op2_url_filter(spark, "/root/testdata/sf0.01").where("rule IS NULL").collect()
     bad = [r for r in got if any(x in r["host"] for x in ("casino", "adult-x", "cheap-pills", "spam-farm", "free-bets"))]
