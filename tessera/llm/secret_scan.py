@@ -12,8 +12,8 @@ decides. Labelled findings are the seeds below (made by a rule), and findings
 of a bounded sample of documents that clear evidence labels (or a caller's).
 
 Defined results: null and empty texts have no findings; repeated rows are
-scanned each; a null path is an empty one; without a dictionary its coverage
-is zero; an empty table gives an empty result. ``redact`` keeps all rows and
+scanned each; a null path is an empty one, as is that of a table without the path column; with ``None`` for a dictionary its
+coverage is zero, and a dictionary that is not there is an error; an empty table gives an empty result. ``redact`` keeps all rows and
 columns, replaces findings by a mark, and leaves other texts byte for byte.
 """
 
@@ -23,7 +23,6 @@ import base64
 import bisect
 import hashlib
 import json
-import os
 import re
 from collections import Counter
 from collections.abc import Iterator
@@ -31,7 +30,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tessera.llm.blocks import SPACE, blocks, column_bytes, joined, slices
 from tessera.llm.forest import Forest, grow
@@ -102,8 +101,11 @@ def transition_counts(docs: DataFrame, text_col: str = "text") -> np.ndarray:
 
 
 def dictionary(path: str | None = DICTIONARY, shortest: int = 4) -> frozenset:
-    """Lower-case letter pieces of a public vocabulary file (its size is the bound); empty without a file."""
-    if not path or not os.path.exists(path):
+    """Lower-case letter pieces of a public vocabulary file (its size is the bound); empty for no path.
+
+    Read where the job is started, and sent to the tasks; verdicts so do not depend on the machines that run them.
+    """
+    if not path:
         return frozenset()
     with open(path, "rb") as f:
         pieces = (base64.b64decode(line.split()[0]).strip().lower() for line in f if line.strip())
@@ -151,7 +153,7 @@ def candidates(text: bytes) -> list[Candidate]:
 
 
 def features(text: bytes, c: Candidate, path: str, ctx: Context) -> list[float]:
-    v = (_MARKS.sub(b"", c.value[:4096]).strip() if c.kind == "private_key" else c.value[:4096]) or c.value[:4096]
+    v = (_MARKS.sub(b"", c.value).strip() if c.kind == "private_key" else c.value) or c.value
     a = np.frombuffer(v, np.uint8)
     n, k = len(a), _CLASS[a]
     digit, upper, lower = (a >= 48) & (a < 58), (a >= 65) & (a < 91), (a >= 97) & (a < 123)
@@ -228,10 +230,14 @@ def seeds(n: int = 60) -> list[tuple[bytes, int]]:
     return out
 
 
+def _path(docs: DataFrame, path_col: str) -> Column:
+    return (F.col(path_col).cast("string") if path_col in docs.columns else F.lit("")).alias("path")
+
+
 def train(docs: DataFrame, ctx: Context, id_col: str = "doc_id", text_col: str = "text", path_col: str = "source",
           train_docs: int = TRAIN_DOCS, labelled: DataFrame | None = None) -> Forest:
     """Fit on the seeds, findings of about ``train_docs`` documents, and ``labelled`` rows (text, path, label)."""
-    rows = docs.select(F.xxhash64(id_col, text_col).alias("h"), F.col(text_col).alias("text"), F.col(path_col).cast("string").alias("path"))
+    rows = docs.select(F.xxhash64(id_col, text_col).alias("h"), F.col(text_col).alias("text"), _path(docs, path_col))
     # Rows whose hash falls below the share wanted, repeated ones once: no task sends more than its share.
     share = int(min(1.0, train_docs / max(docs.count(), 1)) * 2**31)
     sample = (rows.where("text IS NOT NULL").where(F.pmod("h", F.lit(2**31)) < share)
@@ -295,7 +301,12 @@ def scan(docs: DataFrame, ctx: Context, forest: Forest, id_col: str = "doc_id",
         for b in slices(batches):
             texts, ids = column_bytes(b.column(1)), b.column(0)
             hits = _scan(texts, b.column(2).to_pylist(), ctx, forest)
-            starts = [len(texts[i][:c.start].decode("utf-8", "replace")) for i, c, _ in hits]
+            starts, last, at, chars = [], -1, 0, 0  # code points before each candidate, counted on from the one before
+            for i, c, _ in hits:
+                at, chars = (at, chars) if i == last else (0, 0)
+                chars += len(texts[i][at:c.start].decode("utf-8", "replace"))
+                last, at = i, c.start
+                starts.append(chars)
             yield pa.RecordBatch.from_arrays([
                 ids.take(pa.array([i for i, _, _ in hits], pa.int64())), pa.array([c.kind for _, c, _ in hits], pa.string()),
                 pa.array(starts, pa.int64()),
@@ -305,7 +316,7 @@ def scan(docs: DataFrame, ctx: Context, forest: Forest, id_col: str = "doc_id",
                 pa.array([p >= SECRET_PROBABILITY for _, _, p in hits], pa.bool_())],
                 ["id", *(x.split()[0] for x in FINDING_SCHEMA.split(", "))])
 
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(path_col).cast("string").alias("path"))
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), _path(docs, path_col))
     return rows.mapInArrow(run, f"id {dict(rows.dtypes)['id']}, {FINDING_SCHEMA}").withColumnRenamed("id", id_col)
 
 
@@ -313,14 +324,14 @@ def redact(docs: DataFrame, ctx: Context, forest: Forest, text_col: str = "text"
            chars_col: str | None = "n_chars", mark: str = MARK) -> DataFrame:
     """``docs`` with every secret replaced by ``mark``; ``chars_col``, where present, follows the text."""
     names = docs.columns
-    at, path_at = names.index(text_col), names.index(path_col)
+    at, path_at = names.index(text_col), names.index(path_col) if path_col in names else -1
     chars_at = names.index(chars_col) if chars_col in names else -1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches):
             texts = column_bytes(b.column(at))
             spans: dict[int, list[Candidate]] = {}
-            for i, c, p in _scan(texts, [str(x or "") for x in b.column(path_at).to_pylist()], ctx, forest):
+            for i, c, p in _scan(texts, [str(x or "") for x in b.column(path_at).to_pylist()] if path_at >= 0 else [""] * len(texts), ctx, forest):
                 if p >= SECRET_PROBABILITY:
                     spans.setdefault(i, []).append(c)
             if spans:

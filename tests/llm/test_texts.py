@@ -1,5 +1,6 @@
 """Quality rules, SimHash, secrets, licences and perplexity: brute force, held-out rows and edge cases."""
 
+import hashlib
 import random
 import re
 import textwrap
@@ -183,6 +184,24 @@ def test_secrets_are_found_and_redacted(spark):
     assert {r[0] for r in want} == {r[0] for r in got}
 
 
+def test_features_see_whole_values_and_spans_of_long_texts(spark):
+    ctx = secret_scan.Context(np.zeros((28, 28)), frozenset())
+    quiet = b"a" * 5000
+    one, two = (secret_scan.features(b"", secret_scan.Candidate(0, len(v), "value", v), "", ctx) for v in (quiet, quiet + b"Z9!" * 2000))
+    assert one[1:5] == [0, 0, 1, 0] and two[2] > 0.1  # what stands beyond the first bytes counts
+    docs = spark.createDataFrame([(1, "é" * 50 + " token = 'x9Kq2LmZ8vT4wYp1Rb6N' ü key: abc" * 30_000)], "doc_id long, text string")
+    forest = secret_scan.train(docs.limit(0), ctx)
+    began = time.monotonic()
+    text = docs.first()["text"]
+    found = secret_scan.scan(docs, ctx, forest).collect()  # a table without a path column
+    assert time.monotonic() - began < 120 and len(found) == 60_000
+    assert all(hashlib.sha256(text[r["start"]:r["start"] + r["length"]].encode()).hexdigest() == r["finding_sha256"] for r in found[::97])
+    assert secret_scan.redact(docs, ctx, forest).count() == 1
+    with pytest.raises(FileNotFoundError):
+        secret_scan.dictionary("/no/such/file")
+    assert secret_scan.dictionary(None) == frozenset()
+
+
 def test_secrets_of_every_form_reach_the_forest_and_go(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     ctx = secret_scan.context(docs)
