@@ -1,36 +1,23 @@
 """Quality by perplexity under an interpolated modified Kneser-Ney model of trusted text.
 
-``score_characters``, which the query runs, counts n-grams of five characters as
-they stand in the text (no classes), for every language and for all trusted text.
-Their number grows with the input, so they stay in tables sharded on (language,
-n-gram): the distinct n-grams of each group of documents (about ``GROUP_BYTES``)
-meet their probabilities in a join and come to the group's texts, where each
-document's log-probabilities are summed. Every language has its own model and
-quantiles, weighted against those of all trusted text by its number of trusted
-documents; there is no limit on languages and no size at which one switches.
-Null languages, null and empty texts, repeated rows, missing trusted documents
-and empty tables give what is defined below; ``model`` is ``*`` where a language
-has no trusted document. U+0000 counts as U+FFFD.
-
-``score`` is the small model, over byte classes (white space, 26 letters, capitals, digits,
-sentence marks, other signs, bytes beyond ASCII), of order four, one per
-language. Counts are gathered from all trusted documents and sharded by n-gram;
-continuation counts, discounts and context sums come from aggregations, and
-the counts meet them in joins on (language, n-gram) and (language, context)
-for every n-gram that occurs in any document. A language's probabilities are
-at most 32^4 numbers however large the corpus is, so they are given to all
-tasks, and every whole document is scored in one pass without moving its text.
-A document is kept if its perplexity is within its language's quantiles of the
-trusted documents.
-
-Languages with fewer than ``LEAST_TRUSTED`` trusted documents, or beyond the
-``MOST_LANGUAGES`` with most of them, use a model (and quantiles) of all
-trusted text. Word n-grams were not chosen: joining them per document moves
-several times the corpus.
+N-grams of five characters are counted as they stand in the text, for every language and for all trusted text.
+Their number grows with the input, so they stay in tables sharded on (language, n-gram): the distinct
+n-grams of each group of documents (about ``GROUP_BYTES``) meet their probabilities in a join and come to the group's
+texts, where each document's log-probabilities are summed. Every language has its own model and quantiles,
+weighted against those of all trusted text by its number of trusted documents; there is no limit on languages and no
+size at which one switches.
+
+A document is kept if its perplexity lies within its language's quantiles of trusted text. The upper one comes from text that the
+model has not seen (the lower one from what it has seen, which new text of its kind does not undercut): trusted documents are dealt into ``FOLDS`` parts by a hash of id and text, and each is scored once more by models that were
+trained without its part. That is also the perplexity by which it is itself judged (``perplexity`` is that under the whole model, for
+every document). The folds are languages of their own in all tables (language, separator, fold), so one
+pass serves the models of all text and of the folds.
 
 Defined results: null and empty texts have no perplexity (null) and are not
 kept; a null language is one of its own; repeated rows are scored alike, one
-result each; without trusted documents nothing is known and every text that is
+result each; ``model`` is ``*`` where a language has no trusted document; U+0000 counts as U+FFFD,
+and U+0001 in the name of a language too;
+without trusted documents nothing is known and every text that is
 not empty is kept, with a null perplexity; an empty table gives an empty
 result. Extra columns are not read.
 """
@@ -40,28 +27,17 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tessera.llm.blocks import SPACE, blocks, column_bytes, slices
+from tessera.llm.blocks import blocks, column_bytes, slices
 from tessera.session import cut_lineage
 
-ORDER, CLASS_BITS = 4, 5
-CELLS = 1 << ORDER * CLASS_BITS
-LEAST_TRUSTED, MOST_LANGUAGES = 20, 64
 #: Quantiles of the trusted documents' perplexity within which a document is kept.
 LOW, HIGH = 0.002, 0.99
 ALL = "*"
-
-_CLASS = np.full(256, 31, np.uint8)
-_CLASS[:128] = 30
-_CLASS[SPACE] = 0
-_CLASS[97:123] = np.arange(1, 27)
-_CLASS[65:91] = 27
-_CLASS[48:58] = 28
-_CLASS[list(b".,;:!?'\"()-")] = 29
-_PAD = b"\n" * (ORDER - 1)
+#: Parts of the trusted documents, each scored by models without it, and what divides a language from its fold.
+FOLDS, OF_FOLD = 2, "\x01"
 
 #: Characters of an n-gram, bytes of text whose documents are scored together, and the chance of an unknown character.
 CHARACTERS, GROUP_BYTES, UNSEEN = 5, 16 << 20, 2.0 ** -16
@@ -69,45 +45,6 @@ CHARACTERS, GROUP_BYTES, UNSEEN = 5, 16 << 20, 2.0 ** -16
 HALF_TRUSTED = 20
 
 
-def gram_cells(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The n-gram that ends at each byte, and where each text starts and ends among them."""
-    data = _CLASS[np.frombuffer(b"".join(_PAD + t for t in texts), np.uint8)].astype(np.int32)
-    cells = np.zeros(max(len(data) - ORDER + 1, 0), np.int32)
-    for k in range(ORDER):
-        cells = (cells << CLASS_BITS) | data[k:k + len(cells)]
-    lengths = np.array([len(t) for t in texts], np.int64)
-    starts = np.cumsum(lengths + len(_PAD)) - lengths - len(_PAD)
-    return cells, starts, starts + lengths
-
-
-def gram_counts(docs: DataFrame) -> DataFrame:
-    """``lang, g, c``: how often each n-gram occurs in ``docs`` (lang, text), summed per task before the shuffle."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict = {}
-
-        def flush() -> Iterator[pa.RecordBatch]:
-            for lang, counts in held.items():
-                g = np.flatnonzero(counts)
-                yield pa.RecordBatch.from_arrays([pa.array([lang] * len(g), pa.string()), pa.array(g, pa.int64()),
-                                                  pa.array(counts[g], pa.int64())], ["lang", "g", "c"])
-            held.clear()
-
-        for b in slices(batches):
-            for lang, _, texts in by_language(b):
-                counts = held.setdefault(lang, np.zeros(CELLS, np.int64))
-                for i, j in blocks(texts):
-                    cells, starts, ends = gram_cells(texts[i:j])
-                    inside = np.zeros(len(cells) + 1, np.int8)
-                    np.add.at(inside, starts, 1)
-                    np.add.at(inside, ends, -1)
-                    counts += np.bincount(cells[np.cumsum(inside[:-1]) > 0], minlength=CELLS)
-                if len(held) > 8:
-                    yield from flush()
-        yield from flush()
-
-    return docs.mapInArrow(run, "lang string, g long, c long").groupBy("lang", "g").agg(F.sum("c").alias("c"))
-
-
 def by_language(b: pa.RecordBatch) -> Iterator[tuple[str, list[int], list[bytes]]]:
     """Positions and texts of a batch (columns lang and text), language by language."""
     texts, at = column_bytes(b.column("text")), {}
@@ -117,10 +54,6 @@ def by_language(b: pa.RecordBatch) -> Iterator[tuple[str, list[int], list[bytes]
         yield lang, rows, [texts[i] for i in rows]
 
 
-def _bits(k: int) -> int:
-    return (1 << k * CLASS_BITS) - 1
-
-
 def _discounted(counts: DataFrame) -> DataFrame:
     """``lang, g, c, d``: counts of one order with their modified Kneser-Ney discount."""
     n = counts.groupBy("lang").agg(*[F.count(F.when(F.col("c") == k, 1)).alias(f"n{k}") for k in (1, 2, 3, 4)])
@@ -137,13 +70,8 @@ def _discounted(counts: DataFrame) -> DataFrame:
         "lang", "g", "c", F.when(F.col("c") == 1, F.col("d1")).when(F.col("c") == 2, F.col("d2")).otherwise(F.col("d3")).alias("d"))
 
 
-def _last_cells(k: int) -> Column:
-    return F.col("g").bitwiseAND(F.lit(_bits(k)))
-
-
-def log_probabilities(counts: DataFrame, needed: DataFrame, order: int = ORDER, unseen: float = 1.0 / (1 << CLASS_BITS),
-                      last: Callable[[int], Column] = _last_cells,
-                      before: Callable[[str], Column] = lambda g: F.shiftright(g, CLASS_BITS)) -> DataFrame:
+def log_probabilities(counts: DataFrame, needed: DataFrame, order: int, unseen: float, last: Callable[[int], Column],
+                      before: Callable[[str], Column]) -> DataFrame:
     """``lang, g, logp`` (base 2) for all ``needed`` n-grams, from the trusted ``counts``; both sharded by n-gram.
 
     ``last`` gives the last k symbols of ``g``, ``before`` all but the last one.
@@ -166,66 +94,6 @@ def log_probabilities(counts: DataFrame, needed: DataFrame, order: int = ORDER,
     return p.select("lang", "g", F.log2("p").alias("logp"))
 
 
-def score(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
-          low: float = LOW, high: float = HIGH) -> DataFrame:
-    """One row per document: id, ``model`` (its language or ``*``), ``n_symbols``, ``perplexity``, ``kept``.
-
-    ``trusted`` holds the ids of trusted documents.
-    """
-    spark = docs.sparkSession
-    rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(lang_col).cast("string"), F.lit("")).alias("lang"),
-                       F.col(text_col).alias("text"))
-    ids = trusted.select(F.col(id_col).alias("id")).where("id IS NOT NULL").distinct()
-    # The one step that moves text. A merge join at every size: trusted ids grow with the corpus.
-    good = rows.where("text <> ''").join(ids.hint("merge"), "id", "left_semi")
-    counted = cut_lineage(gram_counts(good.select("lang", "text")))
-    # Documents per language: at most MOST_LANGUAGES names reach the driver.
-    own = [r[0] for r in rows.select("id", "lang").join(ids, "id", "left_semi").groupBy("lang").count()
-           .where(F.col("count") >= LEAST_TRUSTED).orderBy(F.desc("count"), "lang").limit(MOST_LANGUAGES).collect()]
-    counts = cut_lineage(counted.where(F.col("lang").isin(own)).unionByName(
-        counted.groupBy("g").agg(F.sum("c").alias("c")).select(F.lit(ALL).alias("lang"), "g", "c")))
-    rows = rows.withColumn("lang", F.when(F.col("lang").isin(own), F.col("lang")).otherwise(ALL))
-    needed = gram_counts(rows.select("lang", "text")).select("lang", "g")
-
-    def dense(pdf: pd.DataFrame) -> pd.DataFrame:
-        table = np.zeros(CELLS, np.float32)
-        table[pdf["g"]] = pdf["logp"]
-        return pd.DataFrame({"lang": pdf["lang"].iloc[:1], "logp": [table.tobytes()]})
-
-    # At most MOST_LANGUAGES + 1 tables of 32^4 numbers, whatever the corpus.
-    tables = {r[0]: np.frombuffer(r[1], np.float32) for r in
-              log_probabilities(counts, needed).groupBy("lang").applyInPandas(dense, "lang string, logp binary").collect()}
-    shared = spark.sparkContext.broadcast(tables if not counted.isEmpty() else {})
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in slices(batches):
-            entropy = np.full(b.num_rows, np.nan)
-            size = np.zeros(b.num_rows, np.int64)
-            for lang, at, texts in by_language(b):
-                size[at] = [len(t) for t in texts]
-                if (table := shared.value.get(lang)) is None:
-                    continue
-                for i, j in blocks(texts):
-                    cells, starts, ends = gram_cells(texts[i:j])
-                    sums = np.zeros(len(cells) + 1)
-                    np.cumsum(table[cells], out=sums[1:], dtype=np.float64)
-                    with np.errstate(invalid="ignore"):
-                        entropy[at[i:j]] = (sums[starts] - sums[ends]) / (ends - starts)
-            yield pa.RecordBatch.from_arrays([
-                b.column("id"), b.column("lang"), pa.array(size), pa.array(2.0 ** entropy, from_pandas=True)],
-                ["id", "model", "n_symbols", "perplexity"])
-
-    kind = dict(rows.dtypes)["id"]
-    scored = cut_lineage(rows.mapInArrow(run, f"id {kind}, model string, n_symbols long, perplexity double"))
-    accepted = scored.join(ids, "id", "left_semi").where("perplexity IS NOT NULL")
-    # "*" is judged by all trusted documents, any other model by those of its language.
-    both = accepted.select("model", "perplexity").unionByName(accepted.where(F.col("model") != ALL).select(F.lit(ALL).alias("model"), "perplexity"))
-    limits = cut_lineage(both.groupBy("model").agg(F.percentile_approx("perplexity", [low, high], F.lit(10_000)).alias("q")))
-    return (scored.join(F.broadcast(limits), "model", "left")  # at most MOST_LANGUAGES + 1 rows
-            .select(F.col("id").alias(id_col), "model", "n_symbols", "perplexity",
-                    ((F.col("n_symbols") > 0) & F.coalesce(F.col("perplexity").between(F.col("q")[0], F.col("q")[1]), F.lit(True))).alias("kept")))
-
-
 def character_grams(texts: list[bytes]) -> tuple[list[str], np.ndarray, np.ndarray]:
     """The distinct n-grams of ``texts``, which of them ends at each character, and the characters of each text."""
     decoded = [t.decode("utf-8", "replace").replace("\0", "\ufffd") for t in texts]
@@ -256,35 +124,36 @@ def character_counts(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(run, "lang string, g string, c long").groupBy("lang", "g").agg(F.sum("c").alias("c"))
 
 
+def _of(lang: Column, fold: Column) -> Column:
+    return F.concat(lang, F.lit(OF_FOLD), fold.cast("string"))
+
+
 def score_characters(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
                      low: float = LOW, high: float = HIGH) -> DataFrame:
-    """One row per document, with the columns of ``score``; ``n_symbols`` counts characters."""
-    rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(lang_col).cast("string"), F.lit("")).alias("lang"),
+    """One row per document: id, ``model`` (its language or ``*``), ``n_symbols`` (characters), ``perplexity``, ``kept``.
+
+    ``trusted`` holds the ids of trusted documents.
+    """
+    rows = docs.select(F.col(id_col).alias("id"), F.translate(F.coalesce(F.col(lang_col).cast("string"), F.lit("")), OF_FOLD, "\ufffd").alias("lang"),
                        F.col(text_col).alias("text"))
     ids = trusted.select(F.col(id_col).alias("id")).where("id IS NOT NULL").distinct()
-    good = rows.where("text <> ''").join(ids.hint("merge"), "id", "left_semi")
-    counted = cut_lineage(character_counts(good.select("lang", "text")))
+    good = rows.where("text <> ''").join(ids.hint("merge"), "id", "left_semi").withColumn("fold", F.pmod(F.xxhash64("id", "text"), F.lit(FOLDS)))
+    # A fold's model counts the trusted documents of the other folds.
+    others = F.filter(F.sequence(F.lit(0), F.lit(FOLDS - 1)), lambda f: f != F.col("fold"))
+    taught = good.select("text", F.explode(F.concat(F.array("lang"), F.transform(others, lambda f: _of(F.col("lang"), f)))).alias("lang"))
+    counted = cut_lineage(character_counts(taught.select("lang", "text")))
     if counted.isEmpty():
         return rows.select(F.col("id").alias(id_col), F.lit(ALL).alias("model"),
                            F.coalesce(F.length("text"), F.lit(0)).cast("long").alias("n_symbols"),
                            F.lit(None).cast("double").alias("perplexity"), (F.coalesce(F.length("text"), F.lit(0)) > 0).alias("kept"))
-    n_trusted = cut_lineage(rows.where("text <> ''").select("id", "lang").join(ids, "id", "left_semi").groupBy("lang").agg(
-        (F.count("*") / (F.count("*") + HALF_TRUSTED)).alias("own")))  # one row a language
-    needed = cut_lineage(character_counts(rows.select("lang", "text")).select("lang", "g"))
-
-    def model(counts: DataFrame, wanted: DataFrame) -> DataFrame:
-        return log_probabilities(counts, wanted, CHARACTERS, UNSEEN, lambda k: F.right("g", F.lit(k)),
-                                 lambda g: F.expr(f"left({g}, length({g}) - 1)"))
-
-    pooled = model(cut_lineage(counted.groupBy("g").agg(F.sum("c").alias("c")).select(F.lit(ALL).alias("lang"), "g", "c")),
-                   needed.select("g").distinct().select(F.lit(ALL).alias("lang"), "g")).select("g", F.col("logp").alias("of_all"))
-    weight = F.coalesce("own", F.lit(0.0))
-    known = cut_lineage(model(counted, needed).join(pooled, "g").join(F.broadcast(n_trusted), "lang", "left").select(
-        "lang", "g", F.log2(weight * F.pow(F.lit(2.0), "logp") + (1 - weight) * F.pow(F.lit(2.0), "of_all")).alias("logp")))
+    n_trusted = cut_lineage(good.groupBy("lang").agg((F.count("*") / (F.count("*") + HALF_TRUSTED)).alias("own")))  # one row a language
+    asked = rows.unionByName(good.select("id", _of(F.col("lang"), F.col("fold")).alias("lang"), "text"))
 
-    size = rows.agg(F.sum(F.octet_length("text"))).collect()[0][0] or 0
+    size = asked.agg(F.sum(F.octet_length("text"))).collect()[0][0] or 0
     n = max(1, -(-size // GROUP_BYTES))
-    laid = rows.withColumn("part", F.pmod(F.xxhash64("id", "text"), F.lit(n))).repartition(n, "part")
+    # Repeated rows are counted, so that copies of one text, however many, are one in its group.
+    laid = (asked.withColumn("part", F.pmod(F.xxhash64("id", "text"), F.lit(n))).repartition(n, "part")
+            .groupBy("part", "id", "lang", "text").agg(F.count("*").alias("times")).withColumn("h", F.xxhash64("text")))
 
     def distinct(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches, 2000):
@@ -297,14 +166,29 @@ def score_characters(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id"
                         yield pa.RecordBatch.from_arrays([pa.array([part] * len(grams), pa.int64()), pa.array([lang] * len(grams), pa.string()),
                                                           pa.array(grams, pa.string())], ["part", "lang", "g"])
 
-    met = (laid.mapInArrow(distinct, "part long, lang string, g string").groupBy("lang", "g").agg(F.collect_set("part").alias("parts"))
-           .join(known, ["lang", "g"]).select(F.explode("parts").alias("part"), "lang", "g", "logp"))
+    gathered = cut_lineage(laid.mapInArrow(distinct, "part long, lang string, g string").distinct())
+    needed = gathered.select("lang", "g").distinct()
+
+    def model(counts: DataFrame, wanted: DataFrame) -> DataFrame:
+        return log_probabilities(counts, wanted, CHARACTERS, UNSEEN, lambda k: F.right("g", F.lit(k)),
+                                 lambda g: F.expr(f"left({g}, length({g}) - 1)"))
+
+    # The models of all trusted text: one, and one for each fold.
+    base, fold = F.substring_index("lang", OF_FOLD, 1), F.regexp_extract("lang", f"{OF_FOLD}[0-9]+$", 0)
+    pooled = model(cut_lineage(counted.groupBy(F.concat(F.lit(ALL), fold).alias("lang"), "g").agg(F.sum("c").alias("c"))),
+                   needed.select(F.concat(F.lit(ALL), fold).alias("lang"), "g").distinct()).select(
+        F.col("lang").alias("pool"), "g", F.col("logp").alias("of_all"))
+    weight = F.coalesce("own", F.lit(0.0))
+    known = cut_lineage(model(counted, needed).withColumn("pool", F.concat(F.lit(ALL), fold)).join(pooled, ["pool", "g"])
+                        .withColumn("base", base).join(n_trusted.withColumnRenamed("lang", "base"), "base", "left").select(
+        "lang", "g", F.log2(weight * F.pow(F.lit(2.0), "logp") + (1 - weight) * F.pow(F.lit(2.0), "of_all")).alias("logp")))
+    met = gathered.join(known, ["lang", "g"]).select("part", "lang", "g", "logp")
 
     def run(texts: pa.Table, probabilities: pa.Table) -> pa.Table:
         logs: dict = {}
         for lang, g, logp in zip(*(c.to_pylist() for c in probabilities.select(["lang", "g", "logp"]).columns), strict=True):
             logs.setdefault(lang, {})[g] = logp
-        out = []
+        out, unseen = [], {}  # a trusted document and its row for the model without it lie in one group
         for b in slices(texts.to_batches()):
             entropy, n_symbols = np.full(b.num_rows, np.nan), np.zeros(b.num_rows, np.int64)
             for lang, at, found in by_language(b):
@@ -316,20 +200,31 @@ def score_characters(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id"
                     with np.errstate(invalid="ignore"):
                         entropy[at[i:j]] = (sums[ends - lengths] - sums[ends]) / lengths
                     n_symbols[at[i:j]] = lengths
-            out.append(pa.RecordBatch.from_arrays([b.column("id"), b.column("lang"), pa.array(n_symbols), pa.array(2.0 ** entropy, from_pandas=True)],
-                                                  ["id", "lang", "n_symbols", "perplexity"]))
-        return pa.Table.from_batches(out)
+            langs = [lang.split(OF_FOLD) for lang in b.column("lang").to_pylist()]
+            marks = list(zip(b.column("id").to_pylist(), (x[0] for x in langs), b.column("h").to_pylist(), strict=True))
+            unseen |= {m: e for m, x, e in zip(marks, langs, entropy, strict=True) if len(x) > 1}
+            out.append((b, n_symbols, entropy, marks))
+        tables = [pa.RecordBatch.from_arrays(
+            [b.column("id"), b.column("lang"), b.column("times"), pa.array(n_symbols), pa.array(2.0 ** entropy, from_pandas=True),
+             pa.array([unseen.get(m, e) for m, e in zip(marks, entropy, strict=True)], pa.float64(), from_pandas=True),
+             pa.array([m in unseen for m in marks])],
+            ["id", "lang", "times", "n_symbols", "perplexity", "bits", "trusted"]) for b, n_symbols, entropy, marks in out]
+        return pa.Table.from_batches(tables)
 
     kind = dict(rows.dtypes)["id"]
-    scored = cut_lineage(laid.groupBy("part").cogroup(met.groupBy("part")).applyInArrow(
-        run, f"id {kind}, lang string, n_symbols long, perplexity double"))
-    accepted = scored.where("perplexity IS NOT NULL").join(ids, "id", "left_semi").withColumn("bits", F.log2("perplexity"))
-    quantiles = F.percentile_approx("bits", [low, high], F.lit(10_000))
-    weights = n_trusted.join(accepted.groupBy("lang").agg(quantiles.alias("q")), "lang")
-    limits = cut_lineage(weights.crossJoin(F.broadcast(accepted.agg(quantiles.alias("a")))).select(
+    each = cut_lineage(laid.groupBy("part").cogroup(met.groupBy("part")).applyInArrow(
+        run, f"id {kind}, lang string, times long, n_symbols long, perplexity double, bits double, trusted boolean")
+        .select("id", "lang", "n_symbols", "perplexity", "bits", "trusted", F.explode(F.sequence(F.lit(1).cast("long"), "times")).alias("copy")).drop("copy"))
+    held_out = F.col("lang").contains(OF_FOLD)
+    scored = each.where(~held_out)
+    # Of trusted documents: the whole model's value, and that of the model without them.
+    measured = scored.where(F.col("trusted") & F.col("bits").isNotNull()).select("lang", F.log2("perplexity").alias("seen"), F.col("bits").alias("unseen"))
+    quantiles = F.array(F.percentile_approx("seen", low, F.lit(10_000)), F.percentile_approx("unseen", high, F.lit(10_000)))
+    weights = n_trusted.join(measured.groupBy("lang").agg(quantiles.alias("q")), "lang")
+    of_all = measured.agg(quantiles.alias("a"))  # one row
+    limits = cut_lineage(weights.crossJoin(F.broadcast(of_all)).select(
         "lang", *[(F.col("own") * F.col("q")[i] + (1 - F.col("own")) * F.col("a")[i]).alias(name) for i, name in enumerate(("least", "most"))]))
-    other = accepted.agg(quantiles.alias("a"))
-    bits = F.log2("perplexity")
-    return (scored.join(F.broadcast(limits), "lang", "left").crossJoin(F.broadcast(other))  # one row a language, and one row
+    bits = F.col("bits")
+    return (scored.join(limits, "lang", "left").crossJoin(F.broadcast(of_all))
             .select(F.col("id").alias(id_col), F.when(F.col("least").isNull(), ALL).otherwise(F.col("lang")).alias("model"), "n_symbols", "perplexity",
                     F.coalesce(bits.between(F.coalesce("least", F.col("a")[0]), F.coalesce("most", F.col("a")[1])), F.lit(False)).alias("kept")))

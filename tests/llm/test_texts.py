@@ -468,10 +468,10 @@ def test_licence_query_finds_every_licence_line(spark):
 # --- perplexity --------------------------------------------------------------
 
 def _kneser_ney(texts, order=4):
-    """Plain interpolated modified Kneser-Ney over byte classes; returns log2 probability of an n-gram."""
+    """Plain interpolated modified Kneser-Ney over bytes, padded with line breaks; returns the probability of an n-gram."""
     levels = [Counter() for _ in range(order + 1)]
     for t in texts:
-        c = [0] * (order - 1) + [int(x) for x in lm_quality._CLASS[list(t)]]
+        c = [10] * (order - 1) + list(t)
         levels[order].update(tuple(c[i:i + order]) for i in range(len(t)))
     for k in range(order - 1, 0, -1):
         levels[k] = Counter(g[1:] for g in levels[k + 1])
@@ -503,35 +503,6 @@ def _kneser_ney(texts, order=4):
     return p
 
 
-def test_perplexity_against_plain_kneser_ney(spark, monkeypatch):
-    monkeypatch.setattr(lm_quality, "LEAST_TRUSTED", 3)
-    rng = random.Random(3)
-    words = ["the", "of", "Cat", "sat.", "mat", "42", "é!"]
-    rows = [(i, " ".join(rng.choice(words) for _ in range(rng.randint(1, 30))), ["en", "fr", None, "de"][i % 4 if i < 36 else 0]) for i in range(40)]
-    rows += [(40, "", "en"), (41, None, "fr"), (42, "zzz ### QQQ", "en"), (43, "a", "xx"), (0, rows[0][1], "en")]
-    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").withColumn("model", F.lit(1))
-    trusted = docs.where("doc_id < 30 AND (lang <> 'de' OR doc_id < 8)").select("doc_id")
-    ok = {r[0] for r in trusted.collect()}
-    got = lm_quality.score(docs.repartition(4), trusted).collect()
-    langs = Counter((x or "") for i, _, x in rows if i in ok)
-    own = {x for x, n in langs.items() if n >= 3}
-    models = {m: _kneser_ney([t.encode() for i, t, x in rows if i in ok and (m == "*" or (x or "") == m)]) for m in own | {"*"}}
-    want = []
-    for i, t, x in rows:
-        m = (x or "") if (x or "") in own else "*"
-        t = (t or "").encode()
-        c = [0] * 3 + [int(v) for v in lm_quality._CLASS[list(t)]]
-        logs = [np.log2(models[m](tuple(c[k:k + 4]))) for k in range(len(t))]
-        want.append((i, m, len(t), 2 ** -np.mean(logs) if logs else None))
-    for g, w in zip(sorted(got, key=lambda r: (r["doc_id"], str(r["model"]))), sorted(want, key=lambda r: (r[0], r[1])), strict=True):
-        assert (g["doc_id"], g["model"], g["n_symbols"]) == w[:3]
-        assert (g["perplexity"] is None) == (w[3] is None) and (w[3] is None or g["perplexity"] == pytest.approx(w[3], rel=1e-4))
-    kept = {r["doc_id"]: r["kept"] for r in got}
-    assert not kept[40] and not kept[41] and not kept[42]
-    alone = lm_quality.score(docs, trusted.limit(0)).collect()
-    assert all(r["perplexity"] is None and r["kept"] == (r["n_symbols"] > 0) for r in alone)
-
-
 def test_perplexity_tells_labelled_rows_apart(spark):
     root = "/root/testdata/sf0.01"
     labels = spark.read.parquet(f"{root}/labels.parquet")
@@ -546,7 +517,7 @@ def test_character_perplexity_against_plain_kneser_ney(spark, monkeypatch, half)
     monkeypatch.setattr(lm_quality, "HALF_TRUSTED", half)
     monkeypatch.setattr(lm_quality, "UNSEEN", 1 / 32)
     rng = random.Random(4)
-    words = ["the", "of", "cat", "sat", "mat", "zebra"]  # letters and line breaks: a class each in the plain version
+    words = ["the", "of", "cat", "sat", "mat", "zebra"]
     rows = [(i, "\n".join(rng.choice(words) for _ in range(rng.randint(1, 30))), ["en", "fr", None][i % 3]) for i in range(40)]
     rows += [(40, "", "en"), (41, None, "fr"), (42, "qqq", "en"), (43, "a\ncat", "xx"), (0, rows[0][1], "en")]
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").withColumn("part", F.lit(1))
@@ -557,7 +528,7 @@ def test_character_perplexity_against_plain_kneser_ney(spark, monkeypatch, half)
     want = []
     for i, t, x in rows:
         x, t = x or "", (t or "").encode()
-        c = [0] * 4 + [int(v) for v in lm_quality._CLASS[list(t)]]
+        c = [10] * 4 + list(t)
         own = counts[x] / (counts[x] + half) if x in counts else 0
         p = [sum(w * models[m](tuple(c[k:k + 5])) for m, w in ((x, own), ("*", 1 - own)) if w) for k in range(len(t))]
         want.append((i, x if x in counts else "*", len(t), 2 ** -np.mean(np.log2(p)) if p else None))
@@ -570,6 +541,23 @@ def test_character_perplexity_against_plain_kneser_ney(spark, monkeypatch, half)
     assert all(r["perplexity"] is None and r["kept"] == (r["n_symbols"] > 0) for r in alone)
 
 
+def test_thresholds_come_from_text_that_the_model_has_not_seen(spark, tmp_path):
+    rng = random.Random(8)
+    words = {x: ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randint(2, 9))) for _ in range(400)] for x in ("aa", "bb")}
+    text = lambda lang: " ".join(rng.choice(words[lang]) for _ in range(40))
+    rows = [(i, text("aa" if i < 200 else "bb"), "aa" if i < 200 else "bb") for i in range(230)]   # 200 and 30 trusted documents
+    rows += [(1000 + i, text("aa"), "aa") for i in range(60)] + [(2000 + i, text("bb"), "bb") for i in range(60)]
+    rows += [(3000 + i, "".join(rng.choice("abcdefghijklmnopqrstuvwxyz ") for _ in range(240)), "aa") for i in range(40)]
+    rows += [(5000, text("bb"), "bb")] * 400                                                       # one document many times
+    kept = {}
+    for r in queries.op8_lm_quality(spark, _labelled_tables(spark, tmp_path, rows, 230)).collect():
+        kept.setdefault(r["doc_id"], []).append(r["kept"])
+    assert len(kept[5000]) == 400 and len(set(kept[5000])) == 1
+    share = lambda a, b: sum(kept[i][0] for i in range(a, b)) / (b - a)
+    assert share(1000, 1060) >= 0.9 and share(2000, 2060) >= 0.9 and share(0, 230) >= 0.95
+    assert share(3000, 3040) <= 0.1
+
+
 def _labelled_tables(spark, tmp_path, rows, n_trusted):
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
     labels = docs.where(F.col("doc_id") < n_trusted).select("doc_id", F.lit(1).alias("quality"), F.lit(0).alias("toxic"))
