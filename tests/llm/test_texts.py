@@ -224,6 +224,41 @@ def test_secrets_of_every_form_reach_the_forest_and_go(spark):
     assert [clean[100 + i] for i in range(len(quiet))] == quiet
 
 
+def _unclear(rng, ctx, n=120):
+    """Lines with a secret, and lines with a harmless code, whose labels the clear evidence leaves open."""
+    lower, digits = "abcdefghijklmnopqrstuvwxyz", "0123456789"
+    upper = lower.upper()
+    word = lambda k, a: "".join(rng.choice(a) for _ in range(k))
+    made = ([lambda: f"password={word(rng.randint(9, 16), lower + upper)}", lambda: f"https://bob:{word(rng.randint(8, 14), lower)}@host.org/x",
+             lambda: f"api_key: {word(rng.randint(9, 15), digits)}"],
+            [lambda: f"part no {word(2, upper)}{word(6, digits)}{word(8, upper + digits)} in stock", lambda: f"invoice: {word(3, upper)}{word(8, digits)}",
+             lambda: f"the code {word(18, digits + upper)} of the parcel"])
+    out = ([], [])
+    for kinds, lines in zip(made, out, strict=True):
+        while len(lines) < n:
+            line = rng.choice(kinds)().encode()
+            c = max(secret_scan.candidates(line), key=lambda c: c.end - c.start, default=None)
+            if c and secret_scan.evidence(secret_scan.features(line, c, "", ctx)) < 0:
+                lines.append(line)
+    return out
+
+
+def test_labelled_rows_settle_what_evidence_leaves_open(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    ctx = secret_scan.context(docs)
+    good, harmless = _unclear(random.Random(11), ctx)
+    taught = [(t.decode(), "", y) for y, lines in zip((1, 0), _unclear(random.Random(12), ctx), strict=True) for t in lines]
+    labelled = spark.createDataFrame(taught, "text string, path string, label int")
+
+    def found(lines, forest):
+        return sum(max((p for _, _, p in secret_scan._scan([t], [""], ctx, forest)), default=0) >= 0.5 for t in lines) / len(lines)
+
+    own = secret_scan.train(docs, ctx)
+    assert found(good, own) >= 0.75          # without labels: most, and many harmless codes with them
+    helped = secret_scan.train(docs, ctx, labelled=labelled)
+    assert found(good, helped) >= 0.97 and found(harmless, helped) <= 0.03
+
+
 def test_forest_learns_and_repeats():
     from tessera.llm.forest import grow
     rng = np.random.default_rng(1)
