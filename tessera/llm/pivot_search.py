@@ -41,8 +41,9 @@ PIVOTS = 32
 #: Rows of a block, and the most blocks whose ranges are sent to the tasks (blocks grow beyond).
 BLOCK_ROWS = 20_000
 MOST_BLOCKS = 16_384
-#: Queries that meet a block in one task.
+#: Queries that meet a block in one task, and components of a block's vectors at most (long vectors lie in smaller blocks).
 QUERIES_AT_ONCE = 50_000
+BLOCK_COMPONENTS = 1 << 22
 #: Slack for angles (radians) and relative slack for bounds, above their rounding errors in single precision.
 _ANGLE_SLACK, _SLACK = 1e-5, 1e-5
 _CHUNK = 16
@@ -178,10 +179,11 @@ def top_k(rows: DataFrame, queries: Column, id_col: str = "vec_id", vector_col:
 
     located = numbered.mapInArrow(locate, f"id {typed}, query boolean, dim int, x binary, row long, norm double, angle binary, cell int")
     cells = cut_lineage(located.groupBy("dim", "cell").agg(F.count("*").alias("n"), F.count_if("query").alias("asked")))
-    total, asked = cells.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("asked"), F.lit(0))).first()
-    size = max(block_rows, -(-total // MOST_BLOCKS))
-    chunks = max(1, -(-asked // queries_at_once))
-    parts = cells.select("dim", "cell", F.ceil(F.col("n") / size).cast("int").alias("parts"))
+    total, asked, longest = cells.agg(*[F.coalesce(F.sum(c), F.lit(0)) for c in ("n", "asked")], F.coalesce(F.max("dim"), F.lit(1))).first()
+    at_once = max(1, min(queries_at_once, 4 * BLOCK_COMPONENTS // max(1, longest)))
+    chunks = max(1, -(-asked // at_once))
+    fitting = F.expr(f"greatest(least({block_rows}, {BLOCK_COMPONENTS} div greatest(dim, 1)), {-(-total // MOST_BLOCKS)}, 1)")
+    parts = cells.select("dim", "cell", F.ceil(F.col("n") / fitting).cast("int").alias("parts"))
     # One row for each pivot of the sample and each length without one.
     located = cut_lineage(located.join(F.broadcast(parts), ["dim", "cell"]).withColumn("part", F.pmod(F.xxhash64("row"), F.col("parts")).cast("int")).drop("parts"))
     block = ["dim", "cell", "part"]

@@ -50,6 +50,12 @@ def test_search_equals_brute_force(spark, clustered, block_rows, pivots, at_once
     assert sorted(map(tuple, got.collect()), key=str) == _brute(rows, 5)
 
 
+def test_long_vectors_lie_in_small_blocks(spark, clustered, monkeypatch):
+    monkeypatch.setattr(pivot_search, "BLOCK_COMPONENTS", 180)  # blocks of 30 rows, 120 queries at once
+    got = pivot_search.top_k(_frame(spark, clustered[:300]), F.col("vec_id") % 50 == 0)
+    assert sorted(map(tuple, got.collect()), key=str) == _brute(clustered[:300], 5)
+
+
 def test_search_of_all_rows_and_other_k(spark, clustered):
     rows = [(50 * i, v) for i, (_, v) in enumerate(clustered[:150])]
     got = pivot_search.top_k(_frame(spark, rows), F.lit(True), k=3, block_rows=30)
