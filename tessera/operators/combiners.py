@@ -119,10 +119,10 @@ def combine_with(df: DataFrame, key: str, value: str, combiner: Combiner, out: s
     return found.select(F.col("key").alias(key), F.col("out").alias(out))
 
 
-def _numbers(column: pa.Array) -> np.ndarray:
-    """Numbers without nulls as a numpy array; other values as objects."""
+def _numbers(column: pa.Array, as_objects: bool = False) -> np.ndarray:
+    """Numbers without nulls as a numpy array; other values (or all, if asked) as Python objects."""
     plain = pa.types.is_integer(column.type) or pa.types.is_floating(column.type) or pa.types.is_boolean(column.type)
-    if plain:
+    if plain and not as_objects:
         return column.to_numpy(zero_copy_only=False)
     out = np.empty(len(column), object)
     out[:] = column.to_pylist()
@@ -133,7 +133,7 @@ def _reduce(fn: np.ufunc, column: pa.Array, starts: np.ndarray) -> pa.Array:
     """``fn`` over each run of rows; nulls are left out, a run of nulls alone is null."""
     run = np.repeat(np.arange(len(starts)), np.diff(np.r_[starts, len(column)]))
     there = column.is_valid().to_numpy(zero_copy_only=False)
-    values, run = _numbers(column.drop_null()), run[there]
+    values, run = _numbers(column.drop_null(), as_objects=fn.types == ["OO->O"]), run[there]
     out = np.full(len(starts), None, object)
     if len(values):
         first = np.flatnonzero(np.r_[True, run[1:] != run[:-1]])
@@ -149,9 +149,12 @@ def reducing(fn: np.ufunc | Callable, result: str) -> Combiner:
 
     Nulls are left out; a key of nulls alone gives null.
     """
-    ufunc = fn if isinstance(fn, np.ufunc) else np.frompyfunc(fn, 2, 1)
-    return Combiner(f"value {result}", result, lambda values: [values],
-                    lambda columns, starts: [_reduce(ufunc, columns[0], starts)], lambda columns: columns[0])
+    def merge(columns: Columns, starts: np.ndarray) -> Columns:
+        # Made in the task: a function wrapped by numpy cannot be sent.
+        ufunc = fn if isinstance(fn, np.ufunc) else np.frompyfunc(fn, 2, 1)
+        return [_reduce(ufunc, columns[0], starts)]
+
+    return Combiner(f"value {result}", result, lambda values: [values], merge, lambda columns: columns[0])
 
 
 def mean() -> Combiner:
