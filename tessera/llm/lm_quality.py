@@ -1,9 +1,11 @@
 """Quality by perplexity under an interpolated modified Kneser-Ney model of trusted text.
 
 N-grams of five characters are counted as they stand in the text, for every language and for all trusted text.
-Their number grows with the input, so they stay in tables sharded on (language, n-gram): the distinct
-n-grams of each group of documents (about ``GROUP_BYTES``) meet their probabilities in a join and come to the group's
-texts, where each document's log-probabilities are summed. Every language has its own model and quantiles,
+Their number grows with the input, so they stay in tables sharded on (language, n-gram). Documents lie in groups of about
+``GROUP_BYTES``, dealt by id: a group meets the trusted ids of its documents and gives its distinct n-grams with
+their trusted counts; these meet their probabilities in a join and come back to the group's
+texts, where each document's log-probabilities are summed. So texts move twice, in whole, and n-grams once a group.
+A group holds all rows of its ids; null ids are dealt by text. Every language has its own model and quantiles,
 weighted against those of all trusted text by its number of trusted documents; there is no limit on languages and no
 size at which one switches.
 
@@ -24,10 +26,13 @@ result. Extra columns are not read.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tessera.llm.blocks import blocks, column_bytes, slices
@@ -111,21 +116,51 @@ def character_grams(texts: list[bytes]) -> tuple[list[str], np.ndarray, np.ndarr
     return np.ascontiguousarray(windows).view(f"<U{CHARACTERS}").ravel().tolist(), which, lengths
 
 
-def character_counts(docs: DataFrame) -> DataFrame:
-    """``lang, g, c``: how often each n-gram of characters occurs in ``docs`` (lang, text)."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in slices(batches, 2000):
-            for lang, _, texts in by_language(b):
-                for i, j in blocks(texts, 4 << 20):
-                    grams, which, _ = character_grams(texts[i:j])
-                    yield pa.RecordBatch.from_arrays([pa.array([lang] * len(grams), pa.string()), pa.array(grams, pa.string()),
-                                                      pa.array(np.bincount(which, minlength=len(grams)), pa.int64())], ["lang", "g", "c"])
+def _fold(doc_id, text: bytes) -> int:
+    """The part of the trusted documents that a document belongs to."""
+    return xxhash.xxh64_intdigest(text, xxhash.xxh32_intdigest(str(doc_id))) % FOLDS
 
-    return docs.mapInArrow(run, "lang string, g string, c long").groupBy("lang", "g").agg(F.sum("c").alias("c"))
 
+def _trusted_of(side: pa.Table) -> set:
+    """Ids of trusted documents among the rows that a group of documents meets."""
+    return set(side.column("id").drop_null().to_pylist())
 
-def _of(lang: Column, fold: Column) -> Column:
-    return F.concat(lang, F.lit(OF_FOLD), fold.cast("string"))
+
+def _gathered(texts: pa.Table, side: pa.Table) -> pa.Table:
+    """The n-grams of one group of documents: for each model, those it is asked for, and how often trusted text teaches them."""
+    trusted, asked, counts = _trusted_of(side), {}, {}
+
+    def teach(model: str, grams: list[str], n: np.ndarray) -> None:
+        held = counts.setdefault(model, Counter())
+        for g, c in zip(grams, n.tolist(), strict=True):
+            held[g] += c
+
+    for b in slices(texts.to_batches(), 2000):
+        ids, times = b.column("id").to_pylist(), b.column("times").to_pylist()
+        for lang, at, found in by_language(b):
+            known = [(_fold(ids[k], t) if t and ids[k] in trusted else -1) for k, t in zip(at, found, strict=True)]
+            for f in range(-1, FOLDS):  # texts that nobody trusts, then the folds
+                own = [k for k, fold in enumerate(known) if fold == f]
+                for i, j in blocks([found[k] for k in own], 4 << 20):
+                    grams, which, lengths = character_grams([found[k] for k in own[i:j]])
+                    asked.setdefault(lang, set()).update(grams)
+                    if f >= 0:
+                        asked.setdefault(f"{lang}{OF_FOLD}{f}", set()).update(grams)
+                        each = np.repeat([times[at[k]] for k in own[i:j]], lengths)
+                        n = np.bincount(which, weights=each, minlength=len(grams)).astype(np.int64)
+                        for model in (lang, *(f"{lang}{OF_FOLD}{o}" for o in range(FOLDS) if o != f)):
+                            teach(model, grams, n)
+    part = texts.column("part")[0].as_py() if texts.num_rows else -1
+    out = [pa.table([pa.array([], t) for t in (pa.int64(), pa.string(), pa.string(), pa.int64(), pa.bool_())], _GATHERED)]
+    for model in asked.keys() | counts.keys():
+        a, c = asked.get(model, set()), counts.get(model, {})
+        grams = list(a | c.keys())
+        out.append(pa.table([pa.array([part] * len(grams), pa.int64()), pa.array([model] * len(grams), pa.string()), pa.array(grams, pa.string()),
+                             pa.array([c.get(g, 0) for g in grams], pa.int64()), pa.array([g in a for g in grams], pa.bool_())], _GATHERED))
+    return pa.concat_tables(out)
+
+
+_GATHERED = ["part", "lang", "g", "c", "asked"]
 
 
 def score_characters(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
@@ -137,37 +172,25 @@ def score_characters(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id"
     rows = docs.select(F.col(id_col).alias("id"), F.translate(F.coalesce(F.col(lang_col).cast("string"), F.lit("")), OF_FOLD, "\ufffd").alias("lang"),
                        F.col(text_col).alias("text"))
     ids = trusted.select(F.col(id_col).alias("id")).where("id IS NOT NULL").distinct()
-    good = rows.where("text <> ''").join(ids.hint("merge"), "id", "left_semi").withColumn("fold", F.pmod(F.xxhash64("id", "text"), F.lit(FOLDS)))
-    # A fold's model counts the trusted documents of the other folds.
-    others = F.filter(F.sequence(F.lit(0), F.lit(FOLDS - 1)), lambda f: f != F.col("fold"))
-    taught = good.select("text", F.explode(F.concat(F.array("lang"), F.transform(others, lambda f: _of(F.col("lang"), f)))).alias("lang"))
-    counted = cut_lineage(character_counts(taught.select("lang", "text")))
+    size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    n = max(1, -(-size // GROUP_BYTES))
+    # Groups by id, so that trusted ids, a narrow table, meet their documents without moving any text for it. Repeated
+    # rows are counted, so that copies of one text, however many, are one in its group.
+    deal = lambda key: F.pmod(key, F.lit(n))
+    laid = (rows.withColumn("part", deal(F.when(F.col("id").isNull(), F.xxhash64("text")).otherwise(F.xxhash64("id")))).repartition(n, "part")
+            .groupBy("part", "id", "lang", "text").agg(F.count("*").alias("times")))
+    meeting = ids.select(deal(F.xxhash64("id")).alias("part"), "id")
+    gathered = cut_lineage(laid.groupBy("part").cogroup(meeting.groupBy("part")).applyInArrow(
+        _gathered, "part long, lang string, g string, c long, asked boolean"))
+    counted = cut_lineage(gathered.where("c > 0").groupBy("lang", "g").agg(F.sum("c").alias("c")))
     if counted.isEmpty():
         return rows.select(F.col("id").alias(id_col), F.lit(ALL).alias("model"),
                            F.coalesce(F.length("text"), F.lit(0)).cast("long").alias("n_symbols"),
                            F.lit(None).cast("double").alias("perplexity"), (F.coalesce(F.length("text"), F.lit(0)) > 0).alias("kept"))
-    n_trusted = cut_lineage(good.groupBy("lang").agg((F.count("*") / (F.count("*") + HALF_TRUSTED)).alias("own")))  # one row a language
-    asked = rows.unionByName(good.select("id", _of(F.col("lang"), F.col("fold")).alias("lang"), "text"))
-
-    size = asked.agg(F.sum(F.octet_length("text"))).collect()[0][0] or 0
-    n = max(1, -(-size // GROUP_BYTES))
-    # Repeated rows are counted, so that copies of one text, however many, are one in its group.
-    laid = (asked.withColumn("part", F.pmod(F.xxhash64("id", "text"), F.lit(n))).repartition(n, "part")
-            .groupBy("part", "id", "lang", "text").agg(F.count("*").alias("times")).withColumn("h", F.xxhash64("text")))
-
-    def distinct(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in slices(batches, 2000):
-            parts = np.array(b.column("part"))
-            for part in np.unique(parts):
-                one = b.take(pa.array(np.flatnonzero(parts == part)))
-                for lang, _, texts in by_language(one):
-                    for i, j in blocks(texts, 4 << 20):
-                        grams = character_grams(texts[i:j])[0]
-                        yield pa.RecordBatch.from_arrays([pa.array([part] * len(grams), pa.int64()), pa.array([lang] * len(grams), pa.string()),
-                                                          pa.array(grams, pa.string())], ["part", "lang", "g"])
-
-    gathered = cut_lineage(laid.mapInArrow(distinct, "part long, lang string, g string").distinct())
-    needed = gathered.select("lang", "g").distinct()
+    n_trusted = cut_lineage(rows.where("text <> ''").select("id", "lang").join(ids, "id", "left_semi").groupBy("lang").agg(
+        (F.count("*") / (F.count("*") + HALF_TRUSTED)).alias("own")))  # one row a language
+    wanted = gathered.where("asked").select("part", "lang", "g")
+    needed = wanted.select("lang", "g").distinct()
 
     def model(counts: DataFrame, wanted: DataFrame) -> DataFrame:
         return log_probabilities(counts, wanted, CHARACTERS, UNSEEN, lambda k: F.right("g", F.lit(k)),
@@ -182,41 +205,49 @@ def score_characters(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id"
     known = cut_lineage(model(counted, needed).withColumn("pool", F.concat(F.lit(ALL), fold)).join(pooled, ["pool", "g"])
                         .withColumn("base", base).join(n_trusted.withColumnRenamed("lang", "base"), "base", "left").select(
         "lang", "g", F.log2(weight * F.pow(F.lit(2.0), "logp") + (1 - weight) * F.pow(F.lit(2.0), "of_all")).alias("logp")))
-    met = gathered.join(known, ["lang", "g"]).select("part", "lang", "g", "logp")
+    met = (wanted.join(known, ["lang", "g"]).select("part", "lang", "g", "logp", F.lit(None).cast(rows.schema["id"].dataType).alias("id"))
+           .unionByName(meeting.select("part", "id"), allowMissingColumns=True))
 
-    def run(texts: pa.Table, probabilities: pa.Table) -> pa.Table:
-        logs: dict = {}
+    def run(texts: pa.Table, side: pa.Table) -> pa.Table:
+        trusted, logs = _trusted_of(side), {}
+        probabilities = side.filter(pc.is_valid(side.column("g")))
         for lang, g, logp in zip(*(c.to_pylist() for c in probabilities.select(["lang", "g", "logp"]).columns), strict=True):
             logs.setdefault(lang, {})[g] = logp
-        out, unseen = [], {}  # a trusted document and its row for the model without it lie in one group
+
+        def entropies(model: str, found: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+            out, sizes = [np.zeros(0)], [np.zeros(0, np.int64)]
+            for i, j in blocks(found, 4 << 20):
+                grams, which, lengths = character_grams(found[i:j])
+                sums = np.zeros(len(which) + 1)
+                np.cumsum(np.array([logs[model][g] for g in grams], float)[which], out=sums[1:])
+                ends = np.cumsum(lengths)
+                with np.errstate(invalid="ignore"):
+                    out.append((sums[ends - lengths] - sums[ends]) / lengths)
+                sizes.append(lengths)
+            return np.concatenate(out), np.concatenate(sizes)
+
+        out = []
         for b in slices(texts.to_batches()):
             entropy, n_symbols = np.full(b.num_rows, np.nan), np.zeros(b.num_rows, np.int64)
+            unseen, ids = np.full(b.num_rows, np.nan), b.column("id").to_pylist()
             for lang, at, found in by_language(b):
-                for i, j in blocks(found, 4 << 20):
-                    grams, which, lengths = character_grams(found[i:j])
-                    sums = np.zeros(len(which) + 1)
-                    np.cumsum(np.array([logs[lang][g] for g in grams], float)[which], out=sums[1:])
-                    ends = np.cumsum(lengths)
-                    with np.errstate(invalid="ignore"):
-                        entropy[at[i:j]] = (sums[ends - lengths] - sums[ends]) / lengths
-                    n_symbols[at[i:j]] = lengths
-            langs = [lang.split(OF_FOLD) for lang in b.column("lang").to_pylist()]
-            marks = list(zip(b.column("id").to_pylist(), (x[0] for x in langs), b.column("h").to_pylist(), strict=True))
-            unseen |= {m: e for m, x, e in zip(marks, langs, entropy, strict=True) if len(x) > 1}
-            out.append((b, n_symbols, entropy, marks))
-        tables = [pa.RecordBatch.from_arrays(
-            [b.column("id"), b.column("lang"), b.column("times"), pa.array(n_symbols), pa.array(2.0 ** entropy, from_pandas=True),
-             pa.array([unseen.get(m, e) for m, e in zip(marks, entropy, strict=True)], pa.float64(), from_pandas=True),
-             pa.array([m in unseen for m in marks])],
-            ["id", "lang", "times", "n_symbols", "perplexity", "bits", "trusted"]) for b, n_symbols, entropy, marks in out]
-        return pa.Table.from_batches(tables)
+                entropy[at], n_symbols[at] = entropies(lang, found)
+                for f in range(FOLDS):
+                    own = [k for k, i in enumerate(at) if found[k] and ids[i] in trusted and _fold(ids[i], found[k]) == f]
+                    if own:
+                        unseen[[at[k] for k in own]] = entropies(f"{lang}{OF_FOLD}{f}", [found[k] for k in own])[0]
+            out.append(pa.RecordBatch.from_arrays(
+                [b.column("id"), b.column("lang"), b.column("times"), pa.array(n_symbols), pa.array(2.0 ** entropy, from_pandas=True),
+                 pa.array(np.where(np.isnan(unseen), entropy, unseen), from_pandas=True), pa.array(~np.isnan(unseen))],
+                ["id", "lang", "times", "n_symbols", "perplexity", "bits", "trusted"]))
+        return pa.Table.from_batches(out) if out else pa.table([pa.array([], t) for t in (
+            texts.schema.field("id").type, pa.string(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.bool_())],
+            ["id", "lang", "times", "n_symbols", "perplexity", "bits", "trusted"])
 
     kind = dict(rows.dtypes)["id"]
-    each = cut_lineage(laid.groupBy("part").cogroup(met.groupBy("part")).applyInArrow(
+    scored = cut_lineage(laid.groupBy("part").cogroup(met.groupBy("part")).applyInArrow(
         run, f"id {kind}, lang string, times long, n_symbols long, perplexity double, bits double, trusted boolean")
         .select("id", "lang", "n_symbols", "perplexity", "bits", "trusted", F.explode(F.sequence(F.lit(1).cast("long"), "times")).alias("copy")).drop("copy"))
-    held_out = F.col("lang").contains(OF_FOLD)
-    scored = each.where(~held_out)
     # Of trusted documents: the whole model's value, and that of the model without them.
     measured = scored.where(F.col("trusted") & F.col("bits").isNotNull()).select("lang", F.log2("perplexity").alias("seen"), F.col("bits").alias("unseen"))
     quantiles = F.array(F.percentile_approx("seen", low, F.lit(10_000)), F.percentile_approx("unseen", high, F.lit(10_000)))
