@@ -77,7 +77,7 @@ def _discounted(counts: DataFrame) -> DataFrame:
 
 def log_probabilities(counts: DataFrame, needed: DataFrame, order: int, unseen: float, last: Callable[[int], Column],
                       before: Callable[[str], Column]) -> DataFrame:
-    """``lang, g, logp`` (base 2) for all ``needed`` n-grams, from the trusted ``counts``; both sharded by n-gram.
+    """``lang, g, logp`` (base 2) for all ``needed`` n-grams (distinct), from the trusted ``counts``; both sharded by n-gram.
 
     ``last`` gives the last k symbols of ``g``, ``before`` all but the last one.
     """
@@ -85,17 +85,23 @@ def log_probabilities(counts: DataFrame, needed: DataFrame, order: int, unseen:
     for k in range(order - 1, 0, -1):  # continuation counts: how many n-grams one longer end in g
         longer = levels[k + 1]
         levels[k] = cut_lineage(longer.groupBy("lang", last(k).alias("g")).agg(F.count("*").alias("c")))
-    p = needed.select("lang", "g", F.lit(unseen).alias("p"))
+    # Each order is computed for its own distinct n-grams, which are few for the lower ones.
+    keys = {order: cut_lineage(needed.select("lang", "g"))}
+    for k in range(order - 1, 0, -1):
+        keys[k] = cut_lineage(keys[k + 1].select("lang", last(k).alias("g")).distinct())
+    p = None
     for k in range(1, order + 1):
         d = _discounted(levels[k])
         contexts = (d.groupBy("lang", before("g").alias("context"))
                     .agg(F.sum("c").alias("total"), F.sum("d").alias("spared")))
-        p = (p.withColumn("key", last(k)).withColumn("context", before("key"))
-             .join(d.withColumnRenamed("g", "key"), ["lang", "key"], "left")
-             .join(contexts, ["lang", "context"], "left")
-             .select("lang", "g", F.when(F.col("total").isNull(), F.col("p")).otherwise(
-                 (F.coalesce(F.col("c") - F.col("d"), F.lit(0.0)) + F.col("spared") * F.col("p")) / F.col("total")).alias("p")))
-        p = cut_lineage(p)
+        rows = (keys[k].join(d, ["lang", "g"], "left").withColumn("context", before("g"))
+                .join(contexts, ["lang", "context"], "left"))
+        if p is None:
+            rows = rows.withColumn("lower", F.lit(unseen))
+        else:
+            rows = rows.withColumn("tail", last(k - 1)).join(p.select("lang", F.col("g").alias("tail"), F.col("p").alias("lower")), ["lang", "tail"])
+        p = cut_lineage(rows.select("lang", "g", F.when(F.col("total").isNull(), F.col("lower")).otherwise(
+            (F.coalesce(F.col("c") - F.col("d"), F.lit(0.0)) + F.col("spared") * F.col("lower")) / F.col("total")).alias("p")))
     return p.select("lang", "g", F.log2("p").alias("logp"))
 
 
