@@ -26,6 +26,8 @@ from tessera.llm.blocks import SpanHasher, U64, blocks, column_bytes, joined, mi
 
 #: Labelled rows that the classifier is fitted on at most (lowest hash of doc_id first).
 TRAIN_ROWS = 3000
+#: Bytes of text that the classifier is fitted on at most: texts beyond an even share of them are scored, not learnt from.
+TRAIN_BYTES = 512 << 20
 #: Fixed thresholds.
 MIN_WORDS = 10
 MAX_REPEAT_PERCENT = 20
@@ -177,7 +179,8 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     """Fit on the ``rows`` labelled rows with the lowest hash; only the weights reach the driver.
 
     A document with several labels counts as good only if all say so. ``rows``
-    bounds the ids that are broadcast, the texts in the fitting task and the model.
+    bounds the ids that are broadcast, the texts in the fitting task and the model;
+    texts longer than ``TRAIN_BYTES / rows`` bytes are left out of the fit, which bounds that task in bytes too.
     """
     # Only ids whose hash falls below the share wanted (with room to spare) are considered, so tasks send few.
     share = int(min(1.0, 2 * rows / max(labels.count(), 1)) * 2**31)
@@ -185,6 +188,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
               .groupBy(F.col(id_col).alias("id")).agg(F.min(label_col).cast("int").alias("good"))
               .orderBy(F.pmod(F.xxhash64("id"), F.lit(2**31)), "id").limit(rows))
     sample = (docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+              .where(F.coalesce(F.octet_length("text"), F.lit(0)) <= TRAIN_BYTES // max(rows, 1))
               .join(F.broadcast(picked), "id")
               .orderBy(F.pmod(F.xxhash64("id"), F.lit(2**31)), "id", F.xxhash64("text")).limit(rows))
 

@@ -238,10 +238,11 @@ def train(docs: DataFrame, ctx: Context, id_col: str = "doc_id", text_col: str =
           train_docs: int = TRAIN_DOCS, labelled: DataFrame | None = None) -> Forest:
     """Fit on the seeds, findings of about ``train_docs`` documents, and ``labelled`` rows (text, path, label)."""
     rows = docs.select(F.xxhash64(id_col, text_col).alias("h"), F.col(text_col).alias("text"), _path(docs, path_col))
-    # Rows whose hash falls below the share wanted, repeated ones once: no task sends more than its share.
+    # Rows whose hash falls below the share wanted, repeated ones once: about train_docs of them, whatever their number
+    # in all. They stay dealt over tasks, which send findings only, so no task holds all texts of the sample.
     share = int(min(1.0, train_docs / max(docs.count(), 1)) * 2**31)
     sample = (rows.where("text IS NOT NULL").where(F.pmod("h", F.lit(2**31)) < share)
-              .groupBy("h").agg(F.min(F.struct("text", "path")).alias("x")).limit(2 * train_docs)
+              .groupBy("h").agg(F.min(F.struct("text", "path")).alias("x"))
               .select("x.text", "x.path", F.lit(-1).alias("label")))
     if labelled is not None:
         sample = sample.unionByName(labelled.select("text", "path", F.col("label").cast("int")).limit(TRAIN_FINDINGS))

@@ -71,6 +71,19 @@ def test_repeated_ids_do_not_unbound_the_sample(spark):
     assert quality_rules.quality_rules(docs, None).count() == 51
 
 
+def test_texts_beyond_their_share_of_the_bytes_are_scored_but_not_learnt_from(spark, monkeypatch):
+    monkeypatch.setattr(quality_rules, "TRAIN_BYTES", 40 * 500)
+    rows = [(i, ("calm words of a good kind " if i % 2 else "### &&& bad ||| <<< ") * 4) for i in range(40)] + [(40, None)]
+    long = [(100 + i, "### &&& bad ||| <<< " * 5000) for i in range(20)]  # labelled good
+    labels = spark.createDataFrame([(i, i % 2) for i in range(41)] + [(i, 1) for i, _ in long], "doc_id long, quality int")
+    some, all_docs = (spark.createDataFrame(x, "doc_id long, text string") for x in (rows, rows + long))
+    a, b = (quality_rules.train(d, labels.where(where), rows=40) for d, where in ((some, "doc_id < 40"), (all_docs, "doc_id < 40 OR doc_id = 100")))
+    assert a is not None and b is not None
+    assert quality_rules.quality_rules(all_docs, a).count() == 61
+    only_long = quality_rules.train(all_docs, labels.where("doc_id >= 100 OR doc_id = 0"), rows=40)
+    assert only_long is None  # one class is left
+
+
 # --- SimHash -----------------------------------------------------------------
 
 def _fingerprint(text):
@@ -184,6 +197,13 @@ def test_secrets_are_found_and_redacted(spark):
     assert {r[0] for r in want} == {r[0] for r in got}
 
 
+def test_the_forest_does_not_depend_on_how_documents_are_dealt(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text", "source")
+    ctx = secret_scan.context(docs)
+    a, b = (vars(secret_scan.train(docs.unionByName(docs).repartition(n), ctx, train_docs=100)) for n in (1, 7))
+    assert a.keys() == b.keys() and all(np.array_equal(a[k], b[k]) for k in a)
+
+
 def test_features_see_whole_values_and_spans_of_long_texts(spark):
     ctx = secret_scan.Context(np.zeros((28, 28)), frozenset())
     quiet = b"a" * 5000
