@@ -9,8 +9,8 @@ in the documents and the rarest one of each window is joined. Positional and
 length bounds (the window must start and end inside the text) thin the
 candidates; a candidate is verified when all its shingles stand at their places
 in the text. Texts are never shuffled, only positions, and each distinct text
-is verified once however many copies it has. Shingles are compared by 64-bit
-and texts by 128-bit hashes.
+is verified once however many copies it has. Words are hashed once, shingles from
+their words' hashes; shingles are compared by 64-bit and texts by 128-bit hashes.
 
 Defined results: null and empty texts, and null items, have no words and hit
 nothing; repeated rows give one result each; repeated benchmark rows count as
@@ -53,10 +53,15 @@ def _windows(benchmark: DataFrame, item_col: str, text_col: str, window: int) ->
             .select("item", F.xxhash64("words").alias("wid"), F.size("words").alias("size"), "words"))
 
 
+def _hashed(w: str) -> Column:
+    """The hash of each word in the array column ``w``."""
+    return F.transform(w, lambda word: F.xxhash64(word))
+
+
 def _shingles(w: str, length: int) -> Column:
-    """Hashes of all runs of ``length`` words in the array column ``w``, in order."""
-    at = F.expr(f"CASE WHEN size({w}) >= {length} THEN sequence(0, size({w}) - {length}) ELSE array() END")
-    return F.transform(at, lambda i: F.xxhash64(*[F.get(F.col(w), i + k) for k in range(length)]))
+    """Hashes of all runs of ``length`` words in ``w``, an array column of word hashes, in order."""
+    runs = F.transform(w, lambda word, i: F.xxhash64(word, *[F.get(F.col(w), i + k) for k in range(1, length)]))
+    return F.slice(runs, F.lit(1), F.greatest(F.size(w) - (length - 1), F.lit(0)))
 
 
 def hits(docs: DataFrame, benchmark: DataFrame, doc_col: str = "doc_id", text_col: str = "text",
@@ -67,7 +72,8 @@ def hits(docs: DataFrame, benchmark: DataFrame, doc_col: str = "doc_id", text_co
     lengths = sorted(r[0] for r in distinct.select(F.least("size", F.lit(SHINGLE))).distinct().collect())  # 1 to 3
     parts = functools.reduce(DataFrame.unionByName, [
         distinct.where(F.least("size", F.lit(SHINGLE)) == n)
-        .select("wid", "size", F.posexplode(_shingles("words", n)).alias("off", "h")) for n in lengths or [SHINGLE]])
+        .select("wid", "size", _hashed("words").alias("w"))
+        .select("wid", "size", F.posexplode(_shingles("w", n)).alias("off", "h")) for n in lengths or [SHINGLE]])
     parts = cut_lineage(parts)
     known = parts.select("h").distinct()
     small = known.count() <= BROADCAST_ROWS
@@ -76,7 +82,7 @@ def hits(docs: DataFrame, benchmark: DataFrame, doc_col: str = "doc_id", text_co
     rows = []
     for n in lengths or [SHINGLE]:
         text = docs.select(F.col(doc_col).alias("id"), F.col(text_col).alias("t")).select(
-            "id", F.xxhash64("t").alias("k1"), F.xxhash64(F.lit(0), "t").alias("k2"), words(F.col("t")).alias("w"))
+            "id", F.xxhash64("t").alias("k1"), F.xxhash64(F.lit(0), "t").alias("k2"), words(F.col("t")).alias("w")).withColumn("w", _hashed("w"))
         head = F.array(F.lit(0).cast("long")) if not rows else F.array().cast("array<long>")
         found = text.select("id", "k1", "k2", F.size("w").alias("n"),
                             F.posexplode(F.concat(head, _shingles("w", n))).alias("place", "h"))
