@@ -1,6 +1,7 @@
 """Quality rules, SimHash, secrets, licences and perplexity: brute force, held-out rows and edge cases."""
 
 import hashlib
+import os
 import random
 import re
 import textwrap
@@ -14,6 +15,7 @@ from pyspark.sql import functions as F
 
 from tessera.llm import license_scan, lm_quality, quality_rules, queries, secret_scan, simhash_dups
 from tessera.llm.blocks import SpanHasher
+from tessera.session import checkpoint_root
 from tests.llm.helpers import SF, write_tables
 
 ODD = [None, "", " \t\x0b ", "one", "a b\na b\n\na b\r\n  \n", "x " * 40, "#*$%&|<>", "word" * 20000, "é\x1cü\x85ö a\x0cb",
@@ -596,6 +598,39 @@ def test_character_perplexity_against_plain_kneser_ney(spark, monkeypatch, half)
     assert all(r["perplexity"] is None and r["kept"] == (r["n_symbols"] > 0) for r in alone)
 
 
+def test_perplexity_moves_texts_once(spark):
+    root, env = "/root/testdata/sf0.01", spark._jvm.org.apache.spark.SparkEnv.get()
+    folders = [*env.blockManager().diskBlockManager().localDirsString(), checkpoint_root(spark).removeprefix("file:")]
+
+    def written():
+        return {f: os.path.getsize(f) for d in folders for top, _, names in os.walk(d) for n in names if os.path.exists(f := os.path.join(top, n))}
+
+    before = written()
+    assert queries.op8_lm_quality(spark, root).count() == 1000
+    # Tables of n-grams as rows, texts moved twice and checkpoints between took 50 times the input here.
+    assert sum(size for f, size in written().items() if f not in before) < 8 * os.path.getsize(f"{root}/documents.parquet")
+
+
+def test_perplexity_does_not_depend_on_groups(spark, monkeypatch):
+    rng = random.Random(11)
+    letters = {"de": "abcdefg ßü\n", "zh": [chr(0x4E00 + k) for k in range(7000)], None: "\0xyz \U0001F600", "": ""}
+    rows = [(f"d{i // 2}" if i % 9 else None, "".join(rng.choices(letters[x], k=rng.randint(1, 300))) if x != "" else [None, ""][i % 2], x)
+            for i in range(120) for x in [rng.choice(list(letters))]]
+    rows += rows[:30] + [rows[7]] * 200
+    docs = spark.createDataFrame(rows, "doc_id string, text string, lang string").repartition(3)
+    trusted = docs.where("doc_id < 'd4'").select("doc_id")
+
+    def judged():
+        return sorted((tuple(r) for r in lm_quality.score_characters(docs, trusted).collect()), key=lambda r: repr((r[0], r[1], r[2], r[3] and f"{r[3]:.6e}")))
+
+    one = judged()
+    monkeypatch.setattr(lm_quality, "GROUP_BYTES", 4000)
+    many = judged()
+    assert len(one) == len(many) == 350 and len({r[1] for r in one}) >= 3 and sum(r[4] for r in one) > 100
+    for a, b in zip(one, many, strict=True):
+        assert a[:3] == b[:3] and a[4] == b[4] and (a[3] is None) == (b[3] is None) and (a[3] is None or a[3] == pytest.approx(b[3], rel=1e-9))
+
+
 def test_thresholds_come_from_text_that_the_model_has_not_seen(spark, tmp_path):
     rng = random.Random(8)
     words = {x: ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randint(2, 9))) for _ in range(400)] for x in ("aa", "bb")}
